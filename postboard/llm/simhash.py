@@ -13,9 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import re
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,16 +21,17 @@ from pyspark.sql import functions as F
 from postboard.llm.common import materialise, rows_of
 
 BITS = 64
-SPLIT = re.compile(r"[\x20\x09-\x0D]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
-    """Bit i is set when it is set in over half the hashes of the text's word shingles; 0 for texts without words."""
-    w = [x for x in SPLIT.split((text or "").translate(LOWER)) if x]
+    """Bit i is set when it is set in over half the hashes of the text's word shingles; 0 for texts without words.
+
+    bytes.lower() and bytes.split() know only ASCII: A-Z, and space and tab to carriage return.
+    """
+    w = (text or "").encode().lower().split()
     if not w:
         return 0
-    shingles = [" ".join(s) for s in zip(*[w[k:] for k in range(width)], strict=False)] or [" ".join(w)]
+    shingles = [b" ".join(s) for s in zip(*[w[k:] for k in range(width)], strict=False)] or [b" ".join(w)]
     total, digest = np.zeros(BITS, np.int64), xxhash.xxh64_intdigest
     for at in range(0, len(shingles), 8192):
         h = np.fromiter((digest(s, seed) for s in shingles[at : at + 8192]), np.uint64)
@@ -105,19 +104,33 @@ def search(fps: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius:
             stack += [(a[da <= cut], b[db <= cut]), (a[da > cut], b[db > cut]), (a[near_a], b[near_b]), (a[far_a], b[in_b])]
 
 
-def cell_links(tile: pd.DataFrame, radius: int) -> pd.DataFrame:
-    """A spanning forest of the pairs of one tile; `side` tells the two shards apart (0 only: one shard with itself)."""
-    fps = tile["fp"].to_numpy(np.int64).view(np.uint64)
-    side = tile["side"].to_numpy()
+def tile_links(tile: np.ndarray, fps: np.ndarray, side: np.ndarray, radius: int, small: int = 48) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the pairs of sorted tiles; `side` tells a tile's two shards apart (0 only: one shard).
+
+    Small tiles are compared all at once, each row with those a few places on; others have a vantage-point tree each.
+    """
     forest = Forest(len(fps))
-    if side.any():
-        search(fps, np.flatnonzero(side == 0), np.flatnonzero(side == 1), radius, forest)
-    else:
-        search(fps, np.arange(len(fps)), None, radius, forest)
-    roots = np.array([forest.root(i) for i in range(len(fps))], dtype=int)
+    starts = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
+    sizes = np.diff(np.r_[starts, len(tile)])
+    two = np.bitwise_or.reduceat(side, starts).astype(bool)
+    few = np.repeat(sizes <= small, sizes)
+    paired = np.repeat(two, sizes)
+    for k in range(1, min(small, int(sizes.max()))):
+        i = np.flatnonzero(few[:-k] & (tile[:-k] == tile[k:]) & (~paired[:-k] | (side[:-k] != side[k:])))
+        i = i[np.bitwise_count(fps[i] ^ fps[i + k]) <= radius]
+        for x in i.tolist():
+            forest.join(x, x + k)
+    for at, n, both in zip(starts.tolist(), sizes.tolist(), two.tolist(), strict=True):
+        if n > small:
+            rows = np.arange(at, at + n)
+            if both:
+                search(fps, rows[side[rows] == 0], rows[side[rows] == 1], radius, forest)
+            else:
+                search(fps, rows, None, radius, forest)
+    roots = np.fromiter(map(forest.root, range(len(fps))), int, len(fps))
     at = np.flatnonzero(roots != np.arange(len(fps)))
     signed = fps.view(np.int64)
-    return pd.DataFrame({"a": signed[roots[at]], "b": signed[at]})
+    return signed[roots[at]], signed[at]
 
 
 def links(distinct: DataFrame, radius: int, cell_rows: int) -> DataFrame:
@@ -135,8 +148,33 @@ def links(distinct: DataFrame, radius: int, cell_rows: int) -> DataFrame:
         F.sequence(F.lit(0), F.col("shards") - 1),
         lambda o: F.struct(F.least("shard", o).alias("s"), F.greatest("shard", o).alias("t"), (F.col("shard") > o).cast("int").alias("side")),
     )
-    tiles = cells.select("fp", "band", "value", F.inline(with_each))
-    return tiles.groupBy("band", "value", "s", "t").applyInPandas(lambda t: cell_links(t, radius), "a long, b long")
+    keys = ["band", "value", "s", "t"]
+    tiles = cells.select("fp", "band", "value", F.inline(with_each)).repartition(*keys).sortWithinPartitions(*keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Whole tiles at a time: a batch's last tile waits for the next batch. A tile has at most two shards."""
+        rest: tuple[np.ndarray, ...] | None = None
+
+        def found(part: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+            x, y = tile_links(part[0], part[1], part[2], radius)
+            return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
+
+        for batch in batches:
+            column = lambda n: batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False)  # noqa: B023, E731
+            key = (column("band").astype(np.int64) << 58) ^ (column("value").astype(np.int64) << 40) ^ (column("s").astype(np.int64) << 20) ^ column("t")
+            now = (key, column("fp").view(np.uint64), column("side").astype(np.int8))
+            if rest is not None:
+                now = tuple(np.concatenate(x) for x in zip(rest, now, strict=True))
+            if not len(now[0]):
+                continue
+            last = int(np.flatnonzero(np.r_[True, now[0][1:] != now[0][:-1]])[-1])
+            if last:
+                yield found(tuple(x[:last] for x in now))
+            rest = tuple(x[last:] for x in now)
+        if rest is not None:
+            yield found(rest)
+
+    return tiles.mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -160,7 +198,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError("the components did not settle")
 
 
-def near_duplicates(docs: DataFrame, *, radius: int = 4, width: int = 4, cell_rows: int = 4096) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, radius: int = 4, width: int = 4, cell_rows: int = 2048) -> DataFrame:
     """Per row: doc_id, fingerprint (hex) and component_id, the least doc_id reachable by links.
 
     Texts that are null or have no words share fingerprint zero. Rows without an id get a fingerprint; their component

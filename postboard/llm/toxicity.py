@@ -88,7 +88,7 @@ def learn_lexicon(sample: DataFrame, least: int, precision: float, max_entries:
     """Words, and word beginnings of 4 to 8 letters, that mark toxic documents.
 
     An occurrence counts once for each different pair of neighbours, so copies of a text do not make its rare words
-    insults. At most `max_entries` entries, the most frequent first, come to the driver.
+    insults. A beginning must hold for the different words that have it, three at least, and not only for a frequent one. At most `max_entries` entries, the most frequent first, come to the driver.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,9 +106,12 @@ def learn_lexicon(sample: DataFrame, least: int, precision: float, max_entries:
     bad = F.sum((F.col("toxic") > 0).cast("long"))
     words = found.groupBy("word").agg(bad.alias("bad"), F.count("*").alias("n"))
     entries = F.array(F.col("word"), *[F.when(F.length("word") >= k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in STEMS])
-    counts = words.select(F.explode(F.array_compact(entries)).alias("entry"), "bad", "n").groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
+    counts = words.select(F.explode(F.array_compact(entries)).alias("entry"), "bad", "n").groupBy("entry").agg(
+        F.sum("bad").alias("bad"), F.sum("n").alias("n"), F.count("*").alias("words"), F.count_if(2 * F.col("bad") > F.col("n")).alias("bad_words")
+    )
+    stem = ~F.col("entry").endswith("*") | (F.col("bad_words") >= 3) & ((F.col("bad_words") + 0.5) / (F.col("words") + 1) >= precision)
     weight = (F.col("bad") + 0.5) / (F.col("n") + 1)
-    kept = counts.filter((F.col("bad") >= least) & (weight >= precision)).select("entry", weight.alias("weight"), "bad")
+    kept = counts.filter((F.col("bad") >= least) & (weight >= precision) & stem).select("entry", weight.alias("weight"), "bad")
     return {r["entry"]: r["weight"] for r in kept.orderBy(F.desc("bad"), "entry").limit(max_entries).collect()}
 
 
