@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Fixed value: what stands for null in a surrogate key.
 NULL_KEY = "_dbt_utils_surrogate_key_null_"
@@ -48,7 +49,7 @@ def parse_epoch_ms(c: Column) -> Column:
     return F.timestamp_millis(c)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_html(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """One pass of HTML5 entity decoding; Spark has no such function."""
     for s in batches:

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Hosting platforms and how their URLs name a board, the first that matches counts.
 PLATFORMS = [
@@ -87,7 +88,7 @@ def probe_tokens(name: Column, website: Column) -> Column:
     return F.slice(F.filter(F.array_distinct(forms), lambda t: ref_ok(F.lit("greenhouse"), t)), 1, 4)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def sitemap_locations(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """All locations of a sitemap; [] for null or bad XML, where the built-in xpath would fail the job."""
 

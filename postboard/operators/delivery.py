@@ -16,11 +16,12 @@ def new_since(gold: DataFrame, mark: DataFrame) -> DataFrame:
     return gold.join(F.broadcast(mark.select(F.col("watermark").alias("_mark"))), F.col("first_seen_at") > F.col("_mark")).drop("_mark")
 
 
-DELIVERY_ORDER = [F.col("fit_score").desc_nulls_last(), F.col("match_score").desc(), F.col("posted_or_updated_at").desc_nulls_last(), F.col("job_key").asc()]
+def order() -> list[Column]:
+    return [F.col("fit_score").desc_nulls_last(), F.col("match_score").desc(), F.col("posted_or_updated_at").desc_nulls_last(), F.col("job_key").asc()]
 
 
 def delivery_order(df: DataFrame) -> DataFrame:
-    return df.orderBy(*DELIVERY_ORDER)
+    return df.orderBy(*order())
 
 
 def signal_line() -> Column:

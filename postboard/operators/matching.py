@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Up to this many terms are matched by native expressions; more by a vectorised helper with an index of words.
 MOST_NATIVE = 200
@@ -31,7 +32,7 @@ def many_terms(terms: Sequence[str]):  # noqa: ANN201
         runs = re.findall(r"[a-z0-9]+", t.lower())
         first.setdefault(runs[0] if runs else "", []).append((t, re.compile(word_pattern(t))))
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf(T.ArrayType(T.StringType()))
     def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         def one(text: str | None) -> list[str]:
             low = (text or "").lower()

@@ -80,7 +80,8 @@ def valid_score(score: Column) -> Column:
     return F.when(score.between(1, 5), score)
 
 
-RECENCY = [F.col("posted_or_updated_at").desc_nulls_last(), F.col("job_key").asc()]
+def recency() -> list[Column]:
+    return [F.col("posted_or_updated_at").desc_nulls_last(), F.col("job_key").asc()]
 
 
 def gold(silver_df: DataFrame, scored: DataFrame | None = None, extracted: DataFrame | None = None, matched: DataFrame | None = None) -> DataFrame:
@@ -95,4 +96,4 @@ def gold(silver_df: DataFrame, scored: DataFrame | None = None, extracted: DataF
             df = df.join(table.select("content_hash", *[c for c in columns if c in table.columns]), "content_hash", "left")
     if "fit_score" in df.columns:
         df = df.withColumn("fit_score", valid_score(F.col("fit_score")))
-    return global_row_number(df, RECENCY, "recency_rank")
+    return global_row_number(df, recency(), "recency_rank")

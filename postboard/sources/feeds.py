@@ -71,13 +71,10 @@ def f(path: str) -> Column:
     return F.col(f"item.{path}")
 
 
-BOARD, RAW = F.col("board_ref"), F.col("raw")
-
-
 def shape_a(payloads: DataFrame, source: str = "A") -> tuple[DataFrame, DataFrame]:
     """The body comes escaped and is decoded once."""
     df, bad = items(payloads, "A")
-    return df.select(*posting(source, BOARD, external_id=f("id"), title=f("title"), location=f("location.name"), url=f("absolute_url"), description_html=unescape_html(F.coalesce(f("content"), F.lit(""))), posted=parse_timestamp(f("updated_at")), raw=RAW)), bad
+    return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("title"), location=f("location.name"), url=f("absolute_url"), description_html=unescape_html(F.coalesce(f("content"), F.lit(""))), posted=parse_timestamp(f("updated_at")), raw=F.col("raw"))), bad
 
 
 def shape_b(payloads: DataFrame, source: str = "B") -> tuple[DataFrame, DataFrame]:
@@ -85,12 +82,12 @@ def shape_b(payloads: DataFrame, source: str = "B") -> tuple[DataFrame, DataFram
     df, bad = items(payloads, "B")
     lists = F.array_join(F.transform(F.coalesce(f("lists"), F.array().cast("array<struct<text:string,content:string>>")), lambda x: F.concat(F.lit("<h3>"), F.coalesce(x["text"], F.lit("")), F.lit("</h3>"), F.coalesce(x["content"], F.lit("")))), "\n")
     body = join_sections(f("description"), lists, f("additional"))
-    return df.select(*posting(source, BOARD, external_id=f("id"), title=f("text"), location=f("categories.location"), remote_policy=f("workplaceType"), department=f("categories.department"), employment_type=f("categories.commitment"), url=f("hostedUrl"), description_html=body, posted=parse_epoch_ms(f("createdAt")), raw=RAW)), bad
+    return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("text"), location=f("categories.location"), remote_policy=f("workplaceType"), department=f("categories.department"), employment_type=f("categories.commitment"), url=f("hostedUrl"), description_html=body, posted=parse_epoch_ms(f("createdAt")), raw=F.col("raw"))), bad
 
 
 def shape_c(payloads: DataFrame, source: str = "C") -> tuple[DataFrame, DataFrame]:
     df, bad = items(payloads, "C")
-    return df.select(*posting(source, BOARD, external_id=f("id"), title=f("title"), location=f("location"), remote_policy=f("workplaceType"), department=f("department"), employment_type=f("employmentType"), url=f("jobUrl"), description_html=f("descriptionHtml"), posted=parse_timestamp(f("publishedAt")), raw=RAW)), bad
+    return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("title"), location=f("location"), remote_policy=f("workplaceType"), department=f("department"), employment_type=f("employmentType"), url=f("jobUrl"), description_html=f("descriptionHtml"), posted=parse_timestamp(f("publishedAt")), raw=F.col("raw"))), bad
 
 
 def with_detail(df: DataFrame, details: DataFrame, schema: str, key: Column, detail_key: str) -> DataFrame:
@@ -109,22 +106,22 @@ def shape_d(payloads: DataFrame, details: DataFrame, source: str = "D", url: str
     state = first(o("location.state"), o("atsLocation.state"), o("atsLocation.province"), f("location.state"), f("atsLocation.state"), f("atsLocation.province"))
     country = first(o("location.addressCountry"), o("atsLocation.country"), f("atsLocation.country"))
     fallback = F.lit(url)
-    fallback = F.replace(F.replace(fallback, F.lit("{board}"), BOARD), F.lit("{id}"), f("id"))
-    raw = F.concat(F.lit('{"list":'), RAW, F.lit(',"detail":'), "_detail_raw", F.lit("}"))
-    return df.select(*posting(source, BOARD, external_id=f("id"), title=f("jobOpeningName"), location=join_parts(city, state, country), remote_policy=F.when(f("isRemote"), "Remote"), department=f("departmentLabel"), employment_type=f("employmentStatusLabel"), url=F.coalesce(blank_to_null(o("jobOpeningShareUrl")), fallback), description_html=F.coalesce(o("description"), F.lit("")), posted=parse_timestamp(o("datePosted")), raw=raw)), bad
+    fallback = F.replace(F.replace(fallback, F.lit("{board}"), F.col("board_ref")), F.lit("{id}"), f("id"))
+    raw = F.concat(F.lit('{"list":'), F.col("raw"), F.lit(',"detail":'), "_detail_raw", F.lit("}"))
+    return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("jobOpeningName"), location=join_parts(city, state, country), remote_policy=F.when(f("isRemote"), "Remote"), department=f("departmentLabel"), employment_type=f("employmentStatusLabel"), url=F.coalesce(blank_to_null(o("jobOpeningShareUrl")), fallback), description_html=F.coalesce(o("description"), F.lit("")), posted=parse_timestamp(o("datePosted")), raw=raw)), bad
 
 
 def shape_e(payloads: DataFrame, source: str = "E") -> tuple[DataFrame, DataFrame]:
     df, bad = items(payloads, "E")
     place = F.coalesce(blank_to_null(f("location")), join_parts(f("city"), F.coalesce(blank_to_null(f("state_name")), f("state_code")), f("country")))
     remote = F.when(f("remote"), "Remote").when(f("hybrid"), "Hybrid").when(f("on_site"), "OnSite")
-    return df.select(*posting(source, BOARD, external_id=f("id"), title=f("title"), location=place, remote_policy=remote, department=f("department"), employment_type=f("employment_type_code"), url=f("careers_url"), description_html=join_sections(f("description"), f("requirements")), posted=parse_timestamp(f("published_at")), raw=RAW)), bad
+    return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("title"), location=place, remote_policy=remote, department=f("department"), employment_type=f("employment_type_code"), url=f("careers_url"), description_html=join_sections(f("description"), f("requirements")), posted=parse_timestamp(f("published_at")), raw=F.col("raw"))), bad
 
 
 def shape_f(payloads: DataFrame, source: str = "F") -> tuple[DataFrame, DataFrame]:
     """The account's own description is not the posting's."""
     df, bad = items(payloads, "F")
-    return df.select(*posting(source, BOARD, external_id=f("shortcode"), title=f("title"), location=join_parts(f("city"), f("state"), f("country")), remote_policy=F.when(f("telecommuting"), "Remote"), department=blank_to_null(f("department")), employment_type=blank_to_null(f("employment_type")), url=F.coalesce(blank_to_null(f("url")), f("shortlink")), description_html=F.coalesce(f("description"), F.lit("")), posted=parse_timestamp(F.coalesce(blank_to_null(f("published_on")), f("created_at"))), raw=RAW)), bad
+    return df.select(*posting(source, F.col("board_ref"), external_id=f("shortcode"), title=f("title"), location=join_parts(f("city"), f("state"), f("country")), remote_policy=F.when(f("telecommuting"), "Remote"), department=blank_to_null(f("department")), employment_type=blank_to_null(f("employment_type")), url=F.coalesce(blank_to_null(f("url")), f("shortlink")), description_html=F.coalesce(f("description"), F.lit("")), posted=parse_timestamp(F.coalesce(blank_to_null(f("published_on")), f("created_at"))), raw=F.col("raw"))), bad
 
 
 def shape_g(payloads: DataFrame, source: str = "G") -> tuple[DataFrame, DataFrame]:
@@ -132,7 +129,7 @@ def shape_g(payloads: DataFrame, source: str = "G") -> tuple[DataFrame, DataFram
     df, bad = items(payloads, "G")
     body = join_sections(f("description"), *[headed(f(f"{s}_header"), f(s)) for s in ("key_responsibilities", "skills_knowledge_expertise", "benefits")])
     place = F.coalesce(join_parts(f("location.city"), f("location.province")), blank_to_null(f("location.name")))
-    return df.select(*posting(source, BOARD, external_id=f("id"), title=f("title"), location=place, remote_policy=f("workplace_type_text"), department=f("department.name"), employment_type=f("employment_type_text"), url=f("url"), description_html=body, raw=RAW)), bad
+    return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("title"), location=place, remote_policy=f("workplace_type_text"), department=f("department.name"), employment_type=f("employment_type_text"), url=f("url"), description_html=body, raw=F.col("raw"))), bad
 
 
 def shape_h(payloads: DataFrame, details: DataFrame, source: str = "H") -> tuple[DataFrame, DataFrame]:
@@ -145,8 +142,8 @@ def shape_h(payloads: DataFrame, details: DataFrame, source: str = "H") -> tuple
     df = with_detail(df, details, H_DETAIL, f("uuid"), "uuid")
     d = lambda p: F.col(f"detail.{p}")
     places = F.when(F.size(F.coalesce(d("workLocations"), F.array().cast("array<string>"))) > 0, d("workLocations")).otherwise(F.col("_places"))
-    raw = F.concat(F.lit('{"list":'), RAW, F.lit(',"detail":'), "_detail_raw", F.lit("}"))
-    return df.select(*posting(source, BOARD, external_id=f("uuid"), title=f("name"), location=blank_to_null(F.array_join(F.array_distinct(places), "; ")), remote_policy=F.when(d("isRemote"), "Remote"), department=F.coalesce(d("department.name"), f("department.label")), employment_type=d("employmentType.label"), url=f("url"), description_html=F.coalesce(d("description.role"), F.lit("")), posted=parse_timestamp(d("createdOn")), raw=raw)), bad
+    raw = F.concat(F.lit('{"list":'), F.col("raw"), F.lit(',"detail":'), "_detail_raw", F.lit("}"))
+    return df.select(*posting(source, F.col("board_ref"), external_id=f("uuid"), title=f("name"), location=blank_to_null(F.array_join(F.array_distinct(places), "; ")), remote_policy=F.when(d("isRemote"), "Remote"), department=F.coalesce(d("department.name"), f("department.label")), employment_type=d("employmentType.label"), url=f("url"), description_html=F.coalesce(d("description.role"), F.lit("")), posted=parse_timestamp(d("createdOn")), raw=raw)), bad
 
 
 def shape_i(payloads: DataFrame, details: DataFrame, source: str = "I") -> tuple[DataFrame, DataFrame]:
@@ -157,5 +154,5 @@ def shape_i(payloads: DataFrame, details: DataFrame, source: str = "I") -> tuple
     section = lambda s: headed(F.col(f"detail.jobAd.sections.{s}.title"), F.col(f"detail.jobAd.sections.{s}.text"))
     place = F.coalesce(tidy_location(f("location.fullLocation")), join_parts(f("location.city"), f("location.region"), f("location.country")))
     remote = F.when(f("location.remote"), "Remote").when(f("location.hybrid"), "Hybrid")
-    raw = F.concat(F.lit('{"list":'), RAW, F.lit(',"detail":'), "_detail_raw", F.lit("}"))
-    return df.select(*posting(source, BOARD, external_id=f("id"), title=f("name"), location=place, remote_policy=remote, department=f("department.label"), employment_type=f("typeOfEmployment.label"), url=F.col("detail.postingUrl"), description_html=join_sections(section("jobDescription"), section("qualifications"), section("additionalInformation")), posted=parse_timestamp(f("releasedDate")), raw=raw)), bad
+    raw = F.concat(F.lit('{"list":'), F.col("raw"), F.lit(',"detail":'), "_detail_raw", F.lit("}"))
+    return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("name"), location=place, remote_policy=remote, department=f("department.label"), employment_type=f("typeOfEmployment.label"), url=F.col("detail.postingUrl"), description_html=join_sections(section("jobDescription"), section("qualifications"), section("additionalInformation")), posted=parse_timestamp(f("releasedDate")), raw=raw)), bad
