@@ -1,4 +1,632 @@
-"""Registered queries and their SQL."""
+"""Registered queries over the tables of a folder, each with the SQL that gives the same rows."""
 
-QUERIES = {}
-SQL = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from postboard.functions import text as tx
+from postboard.functions import web
+from postboard.operators import companies, corpus, delivery, enrich, evaluation, matching, monitoring, postings, quality, ranking
+from postboard.plans import tables as tb
+from postboard.sources import config_tables, feeds
+from postboard.sources import landing as land
+from postboard.streaming import incremental
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.silver(tb.landing(spark, sf_dir), locations=tb.MARKERS, desired=tb.DESIRED, titles=tb.TITLES, deal_breakers=tb.DEAL_BREAKERS)
+
+
+def extracted_of(silver: DataFrame) -> DataFrame:
+    m = tb.model_row(F.col("content_hash"))
+    return silver.select("content_hash").distinct().select(
+        "content_hash", F.when(m["type"] == 0, "product").otherwise("services").alias("company_type"),
+        F.when(m["geo"] == 0, "us_only").when(m["geo"] == 1, "unclear").otherwise("canada_ok").alias("geo_restriction"),
+        F.when(m["type"] == 0, "yes").otherwise("no").alias("manages_people"), m["ok"].alias("extract_ok"),
+    )
+
+
+def scored_of(extracted: DataFrame) -> DataFrame:
+    return extracted.filter("extract_ok").select("content_hash", tx.round_score(tb.model_row(F.col("content_hash"))["raw"]).alias("fit_score"))
+
+
+def gold_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = silver_of(spark, sf_dir)
+    extracted = extracted_of(silver)
+    return postings.gold(silver, scored_of(extracted), extracted)
+
+
+SIGNALS = ["job_key", "content_hash", "title", "location", "desired_tech_hits", "title_match", "deal_breaker_hits", "deal_breaker_terms", "match_score", "is_active", "first_seen_at", "last_seen_at"]
+
+
+@query(f"WITH {tb.GOLD_SQL} SELECT job_key, source, company, match_score, title_match, fit_score, company_type, geo_restriction, first_seen_at, recency_rank FROM gold")
+def w1_live_ranked_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold_of(spark, sf_dir).select("job_key", "source", "company", "match_score", "title_match", "fit_score", "company_type", "geo_restriction", "first_seen_at", "recency_rank")
+
+
+@query(f"WITH {tb.SILVER_SQL} SELECT {', '.join(SIGNALS)} FROM silver")
+def silver_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_of(spark, sf_dir).select(*SIGNALS)
+
+
+@query(f"WITH {tb.LIFE_SQL} SELECT job_key, source, company, external_id, url, posted_or_updated_at, first_seen_at, last_seen_at, is_active FROM current")
+def lifecycle_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = postings.keyed(tb.landing(spark, sf_dir))
+    return postings.with_activity(postings.lifecycle(rows), rows).select("job_key", "source", "company", "external_id", "url", "posted_or_updated_at", "first_seen_at", "last_seen_at", "is_active")
+
+
+@query(f"WITH {tb.LIFE_SQL} SELECT job_key, location FROM current WHERE {tb.GATE_SQL}")
+def location_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.lifecycle(postings.keyed(tb.landing(spark, sf_dir))).filter(postings.location_allowed(F.col("location"), tb.MARKERS)).select("job_key", "location")
+
+
+@query(f"""WITH {tb.LANDING_SQL} SELECT source, company, min(ingested_at) AS first_at, max(ingested_at) AS board_at, (SELECT max(ingested_at) FROM landing) AS pipeline_at,
+  max(ingested_at) >= (SELECT max(ingested_at) FROM landing) - INTERVAL 36 HOUR AS fresh FROM landing GROUP BY ALL""")
+def board_and_pipeline_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tb.landing(spark, sf_dir)
+    last = rows.agg(F.max("ingested_at").alias("pipeline_at"))
+    boards = rows.groupBy("source", "company").agg(F.min("ingested_at").alias("first_at"), F.max("ingested_at").alias("board_at"))
+    return boards.join(F.broadcast(last), how="cross").withColumn("fresh", F.col("board_at") >= tx.hours_before(F.col("pipeline_at"), 36))
+
+
+@query(f"SELECT doc_id, array_to_string({tb.terms_sql('text', tb.DESIRED)}, ', ') AS terms, len({tb.terms_sql('text', tb.DESIRED)}) AS n FROM documents")
+def rule_term_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = matching.matched_terms(F.col("text"), tb.DESIRED)
+    return tb.table(spark, sf_dir, "documents").select("doc_id", F.array_join(found, ", ").alias("terms"), F.size(found).cast("long").alias("n"))
+
+
+MANY = [f"{a}{b}" for a in ("th", "er", "on", "in", "an", "re", "nd", "st", "en", "ou", "de", "le", "ch", "ge", "es") for b in ("", "e", "er", "ing", "ed", "or", "is", "at", "ly", "ion", "en", "ha", "on", "ti", "sh", "wh")]
+
+
+@query("SELECT doc_id, len(list_filter(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+')), lambda x: list_contains([" + ", ".join(f"'{t}'" for t in MANY) + "], x))) AS n FROM documents")
+def rule_term_matches_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.table(spark, sf_dir, "documents").select("doc_id", F.size(matching.matched_terms(F.col("text"), MANY)).cast("long").alias("n"))
+
+
+@query("SELECT page_id, regexp_replace(html, '<[^>]+>', ' ', 'g') AS clean_text, " + tb.key_sql("url", "html") + " AS k, 'redacted:' || substr(sha256(url), 1, 8) AS ref, '2.' || substr(sha256(html), 1, 12) AS version FROM pages")
+def strip_html_and_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u, h = F.col("url"), F.col("html")
+    return tb.table(spark, sf_dir, "pages").select("page_id", tx.strip_html(h).alias("clean_text"), tx.surrogate_key(u, h).alias("k"), tx.redact_ref(u).alias("ref"), tx.landed_version(h).alias("version"))
+
+
+@query(f"""WITH {tb.LANDING_SQL} SELECT source, CAST(ingested_at AS DATE) AS ingest_date, count(*) AS n FROM landing
+  WHERE CAST(ingested_at AS DATE) >= (SELECT CAST(max(ingested_at) AS DATE) FROM landing) - 10 GROUP BY ALL""")
+def retention_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tb.landing(spark, sf_dir).withColumn("ingest_date", F.col("ingested_at").cast("date"))
+    return land.within_retention(rows, F.col("ingest_date"), 10).groupBy("source", "ingest_date").agg(F.count("*").alias("n"))
+
+
+# Enrichment
+
+
+@query(f"WITH {tb.SILVER_SQL} SELECT content_hash, min(title) AS title, array_to_string(list_sort(list_distinct(list(location) FILTER (WHERE location IS NOT NULL))), ' | ') AS locations FROM silver GROUP BY content_hash")
+def distinct_text_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.distinct_texts(silver_of(spark, sf_dir)).select("content_hash", "title", "locations")
+
+
+@query(f"WITH {tb.MODEL_SQL} SELECT content_hash FROM works WHERE content_hash NOT IN (SELECT content_hash FROM extracted WHERE extract_ok AND company_type = 'product')")
+def extraction_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts not yet done well: the products count as done, failures come again."""
+    silver = silver_of(spark, sf_dir)
+    done = extracted_of(silver).withColumn("extract_model", F.when(F.col("company_type") == "product", "m2").otherwise("m1"))
+    return enrich.to_extract(silver, done, "m2").select("content_hash")
+
+
+@query(f"""WITH {tb.MODEL_SQL} SELECT e.content_hash, 'p' || (SELECT max(conv_id) FROM conversations) AS prompt_version FROM extracted e WHERE extract_ok
+  AND NOT EXISTS (SELECT 1 FROM scored s WHERE s.content_hash = e.content_hash AND s.fit_score < 3)""")
+def scoring_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anti join on text, prompt and model; scores of 3 and more were made with an older prompt."""
+    extracted = extracted_of(silver_of(spark, sf_dir)).withColumn("relevant_text", F.col("content_hash"))
+    prompts = tb.table(spark, sf_dir, "conversations").select(F.concat(F.lit("p"), F.col("conv_id").cast("string")).alias("prompt_version"), F.lit("x").alias("rendered_prompt"), F.col("conv_id").alias("rendered_at"))
+    newest = enrich.newest_prompt(prompts).select(F.col("prompt_version").alias("_p"))
+    scored = scored_of(extracted).join(F.broadcast(newest), how="cross").select("content_hash", F.when(F.col("fit_score") < 3, F.col("_p")).otherwise("old").alias("prompt_version"), F.lit("m").alias("scoring_model"))
+    return enrich.to_score(extracted, scored, prompts, "m").select("content_hash", "prompt_version")
+
+
+def answer(batch: pd.DataFrame) -> pd.DataFrame:
+    """A stand-in model: facts about the text; it fails on texts of odd length."""
+    n = batch["clean_text"].str.len()
+    return pd.DataFrame({
+        "content_hash": batch["content_hash"], "company_type": "product", "geo_restriction": "unclear", "manages_people": "no", "years_experience_min": n % 7,
+        "required_techs": [["a", "b"]] * len(batch), "nice_to_have_techs": [["c"]] * len(batch), "relevant_text": batch["clean_text"].str.slice(0, 20),
+        "status": n.map(lambda k: "failed" if k % 2 else ""), "response": '{"model_version": "stub-1"}',
+    })
+
+
+@query(f"""WITH {tb.SILVER_SQL} SELECT content_hash, length(min(clean_text)) % 7 AS years_experience_min, 'a, b' AS required_techs, substr(min(clean_text), 1, 20) AS relevant_text,
+  length(min(clean_text)) % 2 = 0 AS extract_ok, 'stub-1' AS extract_model FROM silver GROUP BY content_hash""")
+def batch_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = enrich.distinct_texts(silver_of(spark, sf_dir)).select("content_hash", "clean_text")
+    rows = enrich.extraction_rows(enrich.infer(work, answer, "content_hash string, " + enrich.ANSWER), "stub", F.lit("2024-01-01").cast("timestamp"))
+    return rows.select("content_hash", "years_experience_min", "required_techs", "relevant_text", "extract_ok", "extract_model")
+
+
+@query(f"""WITH {tb.MODEL_SQL}, fresh AS (SELECT content_hash, 9 AS fit_score, 'x' AS note FROM scored WHERE fit_score > 3)
+  SELECT content_hash, fit_score, NULL::VARCHAR AS note FROM scored WHERE content_hash NOT IN (SELECT content_hash FROM fresh) UNION ALL SELECT * FROM fresh""")
+def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = scored_of(extracted_of(silver_of(spark, sf_dir)))
+    fresh = old.filter("fit_score > 3").select("content_hash", F.lit(9).cast("long").alias("fit_score"), F.lit("x").alias("note"))
+    return enrich.upsert(old, fresh)
+
+
+@query("""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+  d AS (SELECT p.vec_id AS content_hash, u.vec_id AS unit_id, round(list_cosine_similarity(p.e, u.e), 12) AS s FROM v p, v u WHERE u.vec_id < 20 AND p.vec_id >= 20)
+  SELECT CAST(content_hash AS VARCHAR) AS content_hash, unit_id, round(s, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY s DESC, unit_id) AS r FROM d) WHERE r = 1""")
+def vector_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = tb.table(spark, sf_dir, "embeddings")
+    texts = v.filter("vec_id >= 20").select(F.col("vec_id").cast("string").alias("content_hash"), "embedding")
+    units = v.filter("vec_id < 20").select(F.col("vec_id").alias("unit_id"), "embedding")
+    return enrich.best_match(texts, units).select("content_hash", "unit_id", F.round("similarity", 6).alias("similarity"))
+
+
+@query("SELECT doc_id, 'Extract.' || chr(10) || '<location>' || coalesce(lang, 'not stated') || '</location>' || chr(10) || '<posting>' || substr(text, 1, 60) || chr(10) || text || '</posting>' AS prompt FROM documents")
+def extraction_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.table(spark, sf_dir, "documents").select("doc_id", enrich.extraction_prompt("Extract.", F.col("lang"), F.substring("text", 1, 60), F.col("text")).alias("prompt"))
+
+
+# Delivery, monitoring, evaluation
+
+SIGNAL_SQL = """concat_ws(' — ', 'match ' || match_score, CASE WHEN fit_score IS NOT NULL THEN 'LLM ' || fit_score || '/5' ELSE 'unscored' END,
+  concat_ws(', ', 'tech hits: ' || desired_tech_hits, CASE WHEN title_match THEN 'title match' END, CASE WHEN deal_breaker_terms <> '' THEN 'mentions ' || deal_breaker_terms END,
+    company_type, CASE geo_restriction WHEN 'us_only' THEN 'text says US only' WHEN 'unclear' THEN 'eligibility unstated' END, CASE WHEN manages_people = 'yes' THEN 'manages people' END))"""
+
+
+@query(f"""WITH {tb.GOLD_SQL}, mark AS (SELECT max(ingested_at) - INTERVAL 600 HOUR AS w FROM landing)
+  SELECT job_key, {SIGNAL_SQL} AS line, row_number() OVER (ORDER BY fit_score DESC NULLS LAST, match_score DESC, posted_or_updated_at DESC NULLS LAST, job_key) AS pos FROM gold, mark WHERE first_seen_at > w""")
+def delivery_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mark = tb.landing(spark, sf_dir).agg(tx.hours_before(F.max("ingested_at"), 600).alias("watermark"))
+    df = delivery.new_since(gold_of(spark, sf_dir), mark).withColumn("similarity", F.lit(None).cast("double")).withColumn("best_match_source", F.lit(None).cast("string"))
+    return ranking.global_row_number(df, delivery.order(), "pos").select("job_key", delivery.signal_line().alias("line"), "pos")
+
+
+@query(f"WITH {tb.GOLD_SQL} SELECT max(first_seen_at) AS watermark, count(*) AS postings_sent FROM gold HAVING count(*) > 0")
+def delivery_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delivery.next_watermark(gold_of(spark, sf_dir), F.current_timestamp()).drop("sent_at")
+
+
+@query("""WITH b AS (SELECT event_type AS source, CAST(user_id % 75 AS VARCHAR) AS company, count(*) AS rows, min(value) < 0.5 AS failed FROM events GROUP BY ALL)
+  SELECT source, CAST(sum(rows) AS BIGINT) AS rows_fetched, count(*) AS company_count, count(*) FILTER (WHERE failed) AS failed_boards,
+    CASE WHEN count(*) FILTER (WHERE failed) = count(*) THEN 'error' ELSE 'ok' END AS status,
+    CASE WHEN count(*) FILTER (WHERE failed) > 0 THEN (CASE WHEN count(*) FILTER (WHERE failed) = count(*) THEN 'failed: ' ELSE 'skipped: ' END) || array_to_string(list_sort(list(company) FILTER (WHERE failed)), ', ') END AS error
+  FROM b GROUP BY source""")
+def run_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    boards = tb.table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("source"), (F.col("user_id") % 75).cast("string").alias("company")).agg(F.count("*").alias("rows"), (F.min("value") < 0.5).alias("failed"))
+    return monitoring.run_rollup(boards)
+
+
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("finished_at")
+    df = tb.table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("source"), day).agg(F.count("*").alias("rows_fetched"))
+    return df.withColumn("status", F.when(F.col("rows_fetched") % 5 == 0, "error").otherwise("ok")).withColumn("run_id", F.col("finished_at").cast("string"))
+
+
+LEDGER_SQL = "ledger AS (SELECT event_type AS source, CAST(date_trunc('day', ts) AS TIMESTAMP) AS finished_at, count(*) AS rows_fetched, CASE WHEN count(*) % 5 = 0 THEN 'error' ELSE 'ok' END AS status FROM events GROUP BY ALL)"
+
+
+@query(f"""WITH {LEDGER_SQL}, prior AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY finished_at DESC) AS r FROM ledger WHERE status = 'ok' AND finished_at < (SELECT max(finished_at) FROM ledger)),
+  base AS (SELECT source, CAST(trunc(median(rows_fetched)) AS BIGINT) AS baseline FROM prior WHERE r <= 14 GROUP BY source HAVING count(*) >= 5)
+  SELECT source, rows_fetched, baseline FROM (SELECT source, CAST(round(rows_fetched * 0.4) AS BIGINT) AS rows_fetched FROM ledger WHERE finished_at = (SELECT max(finished_at) FROM ledger)) JOIN base USING (source)
+  WHERE baseline > 0 AND rows_fetched < baseline * 0.5""")
+def volume_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = ledger(spark, sf_dir)
+    last = runs.agg(F.max("finished_at").alias("_last"))
+    runs = runs.join(F.broadcast(last), how="cross")
+    now = runs.filter("finished_at = _last").select("source", F.round(F.col("rows_fetched") * 0.4).cast("long").alias("rows_fetched"), F.lit("ok").alias("status"))
+    return monitoring.volume_drops(now, runs.filter("finished_at < _last"))
+
+
+@query(f"WITH {LEDGER_SQL} SELECT source, finished_at, rows_fetched FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY finished_at DESC) AS r FROM ledger WHERE status = 'ok') WHERE r <= 7")
+def last_ok_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitoring.last_runs(ledger(spark, sf_dir), 7).select("source", "finished_at", "rows_fetched")
+
+
+@query(f"""WITH {tb.LANDING_SQL}, board AS (SELECT source || ':' || company AS source, ingested_at FROM landing), expected AS (SELECT DISTINCT source FROM board UNION SELECT n_name FROM nation),
+  last AS (SELECT source, max(ingested_at) AS last_at FROM board GROUP BY source)
+  SELECT source, last_at, CASE WHEN last_at IS NULL OR last_at < m - INTERVAL 30 HOUR THEN 'error' WHEN last_at < m - INTERVAL 12 HOUR THEN 'warn' ELSE 'pass' END AS state
+  FROM expected LEFT JOIN last USING (source), (SELECT max(ingested_at) AS m FROM landing)""")
+def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tb.landing(spark, sf_dir).select(F.concat_ws(":", "source", "company").alias("source"), "ingested_at")
+    expected = rows.select("source").union(tb.table(spark, sf_dir, "nation").select("n_name"))
+    now = rows.agg(F.max("ingested_at")).first()[0]
+    return monitoring.freshness(rows, expected, F.lit(now).cast("timestamp_ntz"))
+
+
+@query(f"""WITH {tb.SILVER_SQL}, raw AS (SELECT source, octet_length(encode(description_html)) + octet_length(encode(title)) AS raw_bytes, octet_length(encode(description_html)) AS text_bytes FROM landing),
+  per AS (SELECT source, count(*) AS rows, sum(raw_bytes) AS raw_bytes, sum(text_bytes) AS text_bytes, coalesce(any_value(k.n), 0) AS kept FROM raw LEFT JOIN (SELECT source, count(*) AS n FROM silver WHERE is_active GROUP BY source) k USING (source) GROUP BY source)
+  SELECT source, CAST(sum(rows) AS BIGINT) AS rows, round(sum(raw_bytes) / 1e6, 6) AS raw_mb, round(sum(text_bytes) / 1e6, 6) AS text_mb, round(sum(raw_bytes) / sum(rows) / 1e3, 6) AS kb_per_row,
+    round(100 * sum(raw_bytes) / (SELECT sum(raw_bytes) FROM per), 6) AS pct_bytes, CAST(sum(kept) AS BIGINT) AS kept, round(sum(kept) / sum(rows), 6) AS keep_rate FROM per GROUP BY ROLLUP (source)""")
+def cost_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = lambda c: F.octet_length(c).cast("long")
+    raw = tb.landing(spark, sf_dir).select("source", (size("description_html") + size("title")).alias("raw_bytes"), size("description_html").alias("text_bytes"))
+    return monitoring.cost_report(raw, silver_of(spark, sf_dir).filter("is_active"))
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    docs = tb.table(spark, sf_dir, "documents")
+    gold = docs.select(F.col("doc_id").cast("string").alias("job_key"), F.when(F.col("doc_id") % 7 != 0, F.col("n_chars") % 6).alias("fit_score"), (F.col("n_chars") % 31).alias("match_score"))
+    labels = tb.table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("job_key"), (F.col("quality") == 0).alias("relevant"))
+    return gold, labels
+
+
+EVAL_SQL = """g AS (SELECT CAST(doc_id AS VARCHAR) AS job_key, CASE WHEN doc_id % 7 <> 0 THEN n_chars % 6 END AS fit_score, n_chars % 31 AS match_score FROM documents),
+  l AS (SELECT CAST(doc_id AS VARCHAR) AS job_key, quality = 0 AS relevant FROM labels),
+  s AS (SELECT 'fit_score' AS ranking, job_key, fit_score AS score, relevant FROM g JOIN l USING (job_key) UNION ALL SELECT 'match_score', job_key, match_score, relevant FROM g JOIN l USING (job_key)),
+  r AS (SELECT *, row_number() OVER (PARTITION BY ranking ORDER BY score DESC NULLS LAST, job_key) AS rn, count(*) OVER (PARTITION BY ranking) AS candidates FROM s),
+  p AS (SELECT ranking, k, candidates, count(*) FILTER (WHERE rn <= k AND relevant) AS hits, CASE WHEN candidates > k THEN round(count(*) FILTER (WHERE rn <= k AND relevant) / k, 6) END AS precision FROM r, (SELECT unnest([5, 10, 20]) AS k) GROUP BY ranking, k, candidates)"""
+
+
+@query(f"WITH {EVAL_SQL} SELECT ranking, CAST(k AS BIGINT) AS k, candidates, hits, precision FROM p")
+def precision_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.precision_at(evaluation.labelled_scores(*labelled(spark, sf_dir), ["fit_score", "match_score"]))
+
+
+@query(f"""WITH {EVAL_SQL}, d AS (SELECT round(sum(a.precision - b.precision), 6) AS delta, count(*) AS usable FROM p a JOIN p b USING (k) WHERE a.ranking = 'fit_score' AND b.ranking = 'match_score' AND a.precision IS NOT NULL AND b.precision IS NOT NULL)
+  SELECT delta, usable, CASE WHEN usable = 0 THEN 'no verdict' WHEN delta > 0 THEN 'fit_score' WHEN delta < 0 THEN 'match_score' ELSE 'tie' END AS verdict FROM d""")
+def ranking_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.verdict(precision_at_k(spark, sf_dir), "fit_score", "match_score")
+
+
+@query(f"WITH {tb.GOLD_SQL} SELECT job_key, band FROM (SELECT job_key, coalesce(fit_score, 0) AS band, row_number() OVER (PARTITION BY coalesce(fit_score, 0) ORDER BY first_seen_at DESC, job_key) AS r FROM gold) WHERE r <= 33")
+def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.stratified_sample(gold_of(spark, sf_dir), 200).select("job_key", "band")
+
+
+# Feeds: payloads are made from documents, parsed, and must give the documents' fields again
+
+DOC_POSTED = "2024-03-0"
+
+
+def boards_of(spark: SparkSession, sf_dir: str, item: F.Column, wrap: str | None) -> DataFrame:
+    """One payload per board of 20 documents, the items in document order."""
+    docs = tb.table(spark, sf_dir, "documents").filter("text is not null").withColumn("id", F.col("doc_id").cast("string"))
+    docs = docs.groupBy(F.floor(F.col("doc_id") / 20).cast("string").alias("board_ref")).agg(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", item.alias("item")))), lambda x: x["item"]).alias("items"))
+    return docs.select("board_ref", F.to_json(F.struct(F.col("items").alias(wrap)) if wrap else F.col("items")).alias("payload"))
+
+
+def details_of(spark: SparkSession, sf_dir: str, detail: F.Column) -> DataFrame:
+    docs = tb.table(spark, sf_dir, "documents").filter("text is not null").withColumn("id", F.col("doc_id").cast("string"))
+    return docs.select(F.floor(F.col("doc_id") / 20).cast("string").alias("board_ref"), F.to_json(detail).alias("payload"))
+
+
+TITLE, DAY = "substr(text, 1, 60)", "CAST('2024-03-0' || (doc_id % 9 + 1) AS TIMESTAMP)"
+
+
+def feed_sql(location: str, remote: str, body: str, posted: str) -> str:
+    return f"SELECT CAST(doc_id // 20 AS VARCHAR) AS company, CAST(doc_id AS VARCHAR) AS external_id, {TITLE} AS title, {location} AS location, {remote} AS remote_policy, md5({body}) AS body, {posted} AS posted FROM documents WHERE text IS NOT NULL"
+
+
+def feed_rows(parsed: tuple[DataFrame, DataFrame]) -> DataFrame:
+    return parsed[0].select("company", "external_id", "title", "location", "remote_policy", F.md5("description_html").alias("body"), F.col("posted_or_updated_at").cast("timestamp_ntz").alias("posted"))
+
+
+def d(name: str) -> F.Column:
+    """Fields of a document as payload values."""
+    day = F.concat(F.lit(DOC_POSTED), (F.col("doc_id") % 9 + 1).cast("string"))
+    return {
+        "title": F.substring("text", 1, 60), "url": F.concat(F.lit("https://example.com/"), "id"), "day": day, "iso": F.concat(day, F.lit("T00:00:00Z")), "utc": F.concat(day, F.lit(" 00:00:00 UTC")),
+        "ms": F.unix_millis(day.cast("timestamp")), "escaped": F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")),
+        "third": F.col("doc_id") % 3, "null": F.lit(None).cast("string"),
+    }[name]
+
+
+@query(feed_sql("lang", "NULL::VARCHAR", "text", DAY))
+def feed_shape_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    item = F.struct("id", d("title").alias("title"), d("iso").alias("updated_at"), F.struct(F.col("lang").alias("name")).alias("location"), d("escaped").alias("content"), d("url").alias("absolute_url"))
+    return feed_rows(feeds.shape_a(boards_of(spark, sf_dir, item, "jobs")))
+
+
+@query(feed_sql("lang", "source", "text || chr(10) || '<h3>' || lang || '</h3>' || source || chr(10) || '<h3>b</h3>' || chr(10) || 'end'", DAY))
+def feed_shape_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = lambda h, b: F.struct(h.alias("text"), b.alias("content"))
+    item = F.struct("id", d("title").alias("text"), F.struct(F.col("lang").alias("location"), F.lit("full").alias("commitment"), F.lit("x").alias("department")).alias("categories"), F.col("source").alias("workplaceType"), d("url").alias("hostedUrl"), d("ms").alias("createdAt"), F.col("text").alias("description"), F.array(part(F.col("lang"), F.col("source")), part(F.lit("b"), F.lit(""))).alias("lists"), F.lit("end").alias("additional"))
+    return feed_rows(feeds.shape_b(boards_of(spark, sf_dir, item, None)))
+
+
+@query(feed_sql("lang", "source", "text", DAY))
+def feed_shape_c(spark: SparkSession, sf_dir: str) -> DataFrame:
+    item = F.struct("id", d("title").alias("title"), F.col("lang").alias("location"), F.col("source").alias("workplaceType"), d("iso").alias("publishedAt"), d("url").alias("jobUrl"), F.col("text").alias("descriptionHtml"))
+    return feed_rows(feeds.shape_c(boards_of(spark, sf_dir, item, "jobs")))
+
+
+@query(feed_sql("CASE doc_id % 3 WHEN 0 THEN lang || ', ' || source || ', Canada' WHEN 1 THEN lang || ', Canada' ELSE source || ', Canada' END", "CASE WHEN doc_id % 3 = 0 THEN 'Remote' END", "text", DAY))
+def feed_shape_d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    city, state = F.when(d("third") != 2, F.col("lang")).otherwise(""), F.when(d("third") != 1, F.col("source"))
+    item = F.struct("id", d("title").alias("jobOpeningName"), F.struct(d("null").alias("city"), state.alias("state")).alias("location"), (d("third") == 0).alias("isRemote"))
+    detail = F.struct(F.struct(F.struct("id", F.col("text").alias("description"), d("day").alias("datePosted"), F.struct(city.alias("city")).alias("location"), F.struct(F.lit("Canada").alias("country")).alias("atsLocation")).alias("jobOpening")).alias("result"))
+    return feed_rows(feeds.shape_d(boards_of(spark, sf_dir, item, "result"), details_of(spark, sf_dir, detail)))
+
+
+@query(feed_sql("CASE doc_id % 3 WHEN 0 THEN lang ELSE 'City, ' || source || ', CA' END", "CASE doc_id % 3 WHEN 0 THEN 'Remote' WHEN 1 THEN 'Hybrid' ELSE 'OnSite' END", "CASE doc_id % 3 WHEN 0 THEN text ELSE text || chr(10) || source END", DAY))
+def feed_shape_e(spark: SparkSession, sf_dir: str) -> DataFrame:
+    item = F.struct("id", d("title").alias("title"), F.col("text").alias("description"), F.when(d("third") == 0, "").otherwise(F.col("source")).alias("requirements"), d("url").alias("careers_url"), F.when(d("third") == 0, F.col("lang")).alias("location"), F.lit("City").alias("city"), F.lit("").alias("state_name"), F.col("source").alias("state_code"), F.lit("CA").alias("country"), (d("third") == 0).alias("remote"), (d("third") <= 1).alias("hybrid"), F.lit(True).alias("on_site"), d("utc").alias("published_at"))
+    return feed_rows(feeds.shape_e(boards_of(spark, sf_dir, item, "offers")))
+
+
+@query(feed_sql("CASE doc_id % 3 WHEN 0 THEN lang || ', CA' ELSE lang || ', ' || source || ', CA' END", "CASE WHEN doc_id % 3 = 0 THEN 'Remote' END", "text", DAY))
+def feed_shape_f(spark: SparkSession, sf_dir: str) -> DataFrame:
+    item = F.struct(F.col("id").alias("shortcode"), d("title").alias("title"), F.lit("").alias("employment_type"), (d("third") == 0).alias("telecommuting"), F.lit("").alias("department"), F.lit("").alias("url"), d("url").alias("shortlink"), F.when(d("third") == 0, d("day")).otherwise("").alias("published_on"), d("day").alias("created_at"), F.col("lang").alias("city"), F.when(d("third") == 0, "").otherwise(F.col("source")).alias("state"), F.lit("CA").alias("country"), F.col("text").alias("description"))
+    return feed_rows(feeds.shape_f(boards_of(spark, sf_dir, item, "jobs")))
+
+
+@query(feed_sql("CASE doc_id % 3 WHEN 0 THEN lang || ', ' || source ELSE 'Named' END", "source", "CASE doc_id % 3 WHEN 0 THEN text || chr(10) || '<h3>Head</h3>' || source ELSE text || chr(10) || source END", "NULL::TIMESTAMP"))
+def feed_shape_g(spark: SparkSession, sf_dir: str) -> DataFrame:
+    some = lambda c: F.when(d("third") == 0, F.col(c))
+    item = F.struct("id", d("title").alias("title"), d("url").alias("url"), F.col("text").alias("description"), F.when(d("third") == 0, "Head").alias("key_responsibilities_header"), F.col("source").alias("key_responsibilities"), F.lit("Lonely").alias("benefits_header"), F.col("source").alias("workplace_type_text"), F.struct(some("lang").alias("city"), some("source").alias("province"), F.lit("Named").alias("name")).alias("location"))
+    return feed_rows(feeds.shape_g(boards_of(spark, sf_dir, item, "data")))
+
+
+@query(feed_sql("CASE doc_id % 3 WHEN 0 THEN 'Detail' WHEN 1 THEN lang || '; ' || source ELSE lang END", "CASE WHEN doc_id % 3 = 0 THEN 'Remote' END", "text", DAY))
+def feed_shape_h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each job stands in the list once per location, some of them twice."""
+    docs = tb.table(spark, sf_dir, "documents").filter("text is not null").withColumn("id", F.col("doc_id").cast("string"))
+    row = lambda label: F.struct(F.col("id").alias("uuid"), d("title").alias("name"), d("url").alias("url"), F.struct(label.alias("label")).alias("workLocation"))
+    lists = F.array(row(F.col("lang")), row(F.when(d("third") == 1, F.col("source")).otherwise(F.col("lang"))))
+    per = docs.groupBy(F.floor(F.col("doc_id") / 20).cast("string").alias("board_ref")).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", lists.alias("rows")))), lambda x: x["rows"])).alias("rows"))
+    detail = F.struct(F.col("id").alias("uuid"), F.struct(F.lit("blurb").alias("company"), F.col("text").alias("role")).alias("description"), F.when(d("third") == 0, F.array(F.lit("Detail"))).alias("workLocations"), (d("third") == 0).alias("isRemote"), d("iso").alias("createdOn"))
+    return feed_rows(feeds.shape_h(per.select("board_ref", F.to_json("rows").alias("payload")), details_of(spark, sf_dir, detail)))
+
+
+@query(feed_sql("CASE doc_id % 3 WHEN 0 THEN 'Munich, Germany' ELSE lang || ', DE' END", "CASE doc_id % 3 WHEN 0 THEN 'Remote' WHEN 1 THEN 'Hybrid' END", "'<h3>Job</h3>' || text || chr(10) || source", DAY))
+def feed_shape_i(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two pages per board, the second repeating the first one's postings."""
+    place = F.struct(F.col("lang").alias("city"), F.lit("").alias("region"), F.lit("DE").alias("country"), (d("third") == 0).alias("remote"), (d("third") == 1).alias("hybrid"), F.when(d("third") == 0, "Munich, , Germany").alias("fullLocation"))
+    pages = boards_of(spark, sf_dir, F.struct("id", d("title").alias("name"), d("iso").alias("releasedDate"), place.alias("location")), "content")
+    section = lambda t, b: F.struct(t.alias("title"), b.alias("text"))
+    sections = F.struct(section(F.lit("Job"), F.col("text")).alias("jobDescription"), section(F.lit(""), F.col("source")).alias("qualifications"), section(F.lit("More"), F.lit("")).alias("additionalInformation"), section(F.lit("Us"), F.lit("blurb")).alias("companyDescription"))
+    detail = F.struct("id", d("url").alias("postingUrl"), F.struct(sections.alias("sections")).alias("jobAd"))
+    return feed_rows(feeds.shape_i(pages.union(pages), details_of(spark, sf_dir, detail)))
+
+
+@query("""SELECT CAST(doc_id // 20 AS VARCHAR) AS board_ref, CASE (doc_id // 20) % 3 WHEN 0 THEN 'no list at jobs' ELSE 'an item lacks id or title or absolute_url' END AS reason
+  FROM documents WHERE text IS NOT NULL AND (doc_id // 20) % 3 < 2 GROUP BY doc_id // 20""")
+def feed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the boards lack their list, a third an item's title; the others pass."""
+    item = F.struct("id", F.when(F.floor(F.col("doc_id") / 20) % 3 != 1, d("title")).alias("title"), d("url").alias("absolute_url"))
+    good = boards_of(spark, sf_dir, item, "jobs")
+    payload = F.when(F.col("board_ref").cast("long") % 3 == 0, F.replace("payload", F.lit('{"jobs":'), F.lit('{"work":'))).otherwise(F.col("payload"))
+    return feeds.shape_a(good.withColumn("payload", payload))[1]
+
+
+@query("SELECT page_id, html FROM pages")
+def html_unescape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Escaping a page and decoding it once gives the page."""
+    h = F.replace(F.replace(F.replace("html", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&#34;"))
+    return tb.table(spark, sf_dir, "pages").select("page_id", tx.unescape_html(h).alias("html"))
+
+
+@query("SELECT doc_id, NULLIF(regexp_replace(regexp_replace(lang || ', , ' || CASE WHEN doc_id % 2 = 0 THEN '' ELSE source END || ', ', '(,\\s*)+,', ',', 'g'), '^[, ]+|[, ]+$', '', 'g'), '') AS tidy, array_to_string(list_filter([NULLIF(lang, 'en'), source], lambda x: x IS NOT NULL), ', ') AS parts FROM documents")
+def tidy_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = F.concat("lang", F.lit(", , "), F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.col("source")), F.lit(", "))
+    return tb.table(spark, sf_dir, "documents").select("doc_id", tx.tidy_location(place).alias("tidy"), tx.join_parts(F.nullif("lang", F.lit("en")), F.col("source")).alias("parts"))
+
+
+# Companies, discovery, pages, corpus
+
+
+def company_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as string rows of the company table."""
+    c = tb.table(spark, sf_dir, "customer")
+    return c.select(
+        F.concat(F.lit(" "), F.replace("c_name", F.lit("Customer#"), F.lit("Firm  ")), F.lit(" ")).alias("company_name"), F.when(F.col("c_nationkey") % 2 == 0, "ashby").otherwise("greenhouse").alias("source"),
+        F.when(F.col("c_custkey") % 5 == 0, F.concat(F.lit("a b"), F.col("c_custkey").cast("string"))).when(F.col("c_custkey") % 7 == 0, "jobs").otherwise(F.concat(F.lit("ref"), F.col("c_custkey").cast("string"))).alias("board_ref"),
+        F.when(F.col("c_custkey") % 3 == 0, "true").when(F.col("c_custkey") % 11 == 0, "maybe").otherwise("").alias("active"), F.lit("").alias("tier"),
+        F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("https://WWW.firm"), F.col("c_custkey").cast("string"), F.lit(".com/about"))).otherwise("").alias("website"), F.lit(" ").alias("notes"), (F.col("c_custkey") + 2).alias("row_no"),
+    )
+
+
+COMPANY_SQL = """raw AS (SELECT ' ' || replace(c_name, 'Customer#', 'Firm  ') || ' ' AS company_name, CASE WHEN c_nationkey % 2 = 0 THEN 'ashby' ELSE 'greenhouse' END AS source,
+    CASE WHEN c_custkey % 5 = 0 THEN 'a b' || c_custkey WHEN c_custkey % 7 = 0 THEN 'jobs' ELSE 'ref' || c_custkey END AS board_ref,
+    CASE WHEN c_custkey % 3 = 0 THEN 'true' WHEN c_custkey % 11 = 0 THEN 'maybe' ELSE '' END AS active,
+    CASE WHEN c_custkey % 4 = 0 THEN 'https://WWW.firm' || c_custkey || '.com/about' ELSE '' END AS website, c_custkey + 2 AS row_no FROM customer),
+  company AS (SELECT trim(company_name) AS company_name, source, board_ref, active = 'true' AS active, 1 AS tier, website, '' AS notes FROM raw)"""
+
+
+@query(f"WITH {COMPANY_SQL} SELECT * FROM company")
+def company_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return config_tables.as_companies(company_rows(spark, sf_dir).drop("row_no"))
+
+
+@query(f"""WITH {COMPANY_SQL}, ok AS (SELECT *, CASE source WHEN 'ashby' THEN regexp_full_match(board_ref, '[A-Za-z0-9][A-Za-z0-9._-]*( [A-Za-z0-9._-]+)*') ELSE regexp_full_match(board_ref, '[A-Za-z0-9][A-Za-z0-9._-]*') END AND board_ref <> 'jobs' AS ok FROM raw)
+  SELECT row_no, CASE WHEN active = 'maybe' OR active = 'true' THEN 'problem' ELSE 'notice' END AS level, CASE WHEN active = 'maybe' THEN 'malformed row' ELSE 'bad board name' END AS problem FROM ok WHERE active = 'maybe' OR NOT ok""")
+def company_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return companies.validate(company_rows(spark, sf_dir), ["ashby", "greenhouse"])
+
+
+@query(f"""WITH {COMPANY_SQL} SELECT source, count(*) AS rows, count(*) FILTER (WHERE active) AS active, count(*) FILTER (WHERE NOT active) AS inactive, count(*) FILTER (WHERE board_ref = '') AS blank_refs, count(*) FILTER (WHERE website <> '') AS with_website
+  FROM company GROUP BY ROLLUP (source)""")
+def company_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return companies.inventory(company_dimension(spark, sf_dir))
+
+
+@query(f"""WITH {COMPANY_SQL}, m AS (SELECT *, lower(regexp_replace(company_name, '\\s+', ' ', 'g')) AS k FROM company),
+  i AS (SELECT 'firm ' || lpad(CAST(s_suppkey * 2 AS VARCHAR), 9, '0') AS k, 'FIRM ' || lpad(CAST(s_suppkey * 2 AS VARCHAR), 9, '0') AS company_name, 'ashby' AS source, 'ref' || (s_suppkey * 2) AS board_ref, 'https://new' || s_suppkey AS website, 'n' AS notes FROM supplier)
+  SELECT coalesce(m.company_name, i.company_name) AS company_name, coalesce(m.source, i.source) AS source, CASE WHEN m.k IS NOT NULL THEN m.board_ref ELSE i.board_ref END AS board_ref, coalesce(m.active, false) AS active, coalesce(m.tier, 1) AS tier,
+    coalesce(NULLIF(m.website, ''), i.website, '') AS website, coalesce(NULLIF(m.notes, ''), i.notes, '') AS notes, m.k IS NULL AS added, m.k IS NOT NULL AND i.k IS NOT NULL AS filled,
+    m.k IS NOT NULL AND i.k IS NOT NULL AND (m.source <> i.source OR m.board_ref <> i.board_ref) AS conflict FROM m FULL JOIN i USING (k)""")
+def company_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = tb.table(spark, sf_dir, "supplier")
+    n = (F.col("s_suppkey") * 2).cast("string")
+    incoming = s.select(F.concat(F.lit("FIRM "), F.lpad(n, 9, "0")).alias("company_name"), F.lit("ashby").alias("source"), F.concat(F.lit("ref"), n).alias("board_ref"), F.lit(False).alias("active"), F.lit(1).alias("tier"), F.concat(F.lit("https://new"), F.col("s_suppkey").cast("string")).alias("website"), F.lit("n").alias("notes"), F.col("s_suppkey").alias("pos"))
+    return companies.merge(company_dimension(spark, sf_dir), incoming)
+
+
+@query(f"""WITH {COMPANY_SQL}, d AS (SELECT company_name, 'redacted:' || substr(sha256(company_name), 1, 8) AS a, 'redacted:' || substr(sha256(board_ref), 1, 8) AS b FROM company),
+  refs AS (SELECT DISTINCT 'redacted:' || substr(sha256('ref' || s_suppkey), 1, 8) AS ref FROM supplier) SELECT company_name, ref FROM d JOIN refs ON ref = a OR ref = b""")
+def company_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refs = tb.table(spark, sf_dir, "supplier").select(tx.redact_ref(F.concat(F.lit("ref"), F.col("s_suppkey").cast("string"))).alias("ref"))
+    return companies.resolve_redacted(company_dimension(spark, sf_dir), refs).select("company_name", "ref")
+
+
+@query(f"""WITH {COMPANY_SQL}, k AS (SELECT *, coalesce(NULLIF(regexp_replace(regexp_replace(lower(website), '^.*?://', ''), '/.*$', ''), ''), lower(company_name)) AS key FROM company)
+  SELECT company_name, CASE WHEN website <> '' AND active THEN 'done' END AS status FROM k""")
+def resumed_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = company_dimension(spark, sf_dir).select("company_name", "website", "active")
+    done = rows.select("company_name", "website", F.when((F.col("website") != "") & F.col("active"), "done").otherwise("").alias("status"))
+    return companies.resume_results(rows.drop("active"), done).select("company_name", "status")
+
+
+@query(f"WITH {COMPANY_SQL} SELECT source FROM (SELECT DISTINCT source FROM company UNION SELECT n_name FROM nation) WHERE source NOT IN (SELECT source FROM company WHERE active)")
+def unconfigured_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = company_dimension(spark, sf_dir)
+    return monitoring.unconfigured(rows.select("source").union(tb.table(spark, sf_dir, "nation").select("n_name")), rows)
+
+
+@query("SELECT CASE WHEN lang = 'en' THEN 'english' ELSE lang END AS category, count(*) AS n FROM documents WHERE lang <> 'fr' GROUP BY ALL")
+def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("lang") == "en", " english ").when(F.col("lang") == "fr", " ").otherwise(F.col("lang"))
+    return companies.category_counts(tb.table(spark, sf_dir, "documents").select(label.alias("label")), "label")
+
+
+BOARD_URL_SQL = "CASE page_id % 6 WHEN 0 THEN 'https://boards.greenhouse.io/Co' || page_id WHEN 1 THEN 'https://jobs.eu.lever.co/co' || page_id || '/x' WHEN 2 THEN 'https://jobs.ashbyhq.com/Two%20Words' || page_id WHEN 3 THEN 'https://co' || page_id || '.recruitee.com/o/1' WHEN 4 THEN 'https://boards.greenhouse.io/embed' ELSE url END"
+
+
+def board_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, k = F.col("page_id").cast("string"), F.col("page_id") % 6
+    url = (
+        F.when(k == 0, F.concat(F.lit("https://boards.greenhouse.io/Co"), n)).when(k == 1, F.concat(F.lit("https://jobs.eu.lever.co/co"), n, F.lit("/x")))
+        .when(k == 2, F.concat(F.lit("https://jobs.ashbyhq.com/Two%20Words"), n)).when(k == 3, F.concat(F.lit("https://co"), n, F.lit(".recruitee.com/o/1")))
+        .when(k == 4, "https://boards.greenhouse.io/embed").otherwise(F.col("url"))
+    )
+    return tb.table(spark, sf_dir, "pages").select("page_id", url.alias("url"))
+
+
+@query(f"""SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'Greenhouse' WHEN 1 THEN 'Lever' WHEN 2 THEN 'Ashby' WHEN 3 THEN 'Recruitee' WHEN 4 THEN 'Greenhouse' END AS platform,
+  CASE page_id % 6 WHEN 0 THEN 'co' || page_id WHEN 1 THEN 'co' || page_id WHEN 2 THEN 'two words' || page_id WHEN 3 THEN 'co' || page_id WHEN 4 THEN 'embed' END AS token, page_id % 6 < 4 AS ok,
+  lower(regexp_extract({BOARD_URL_SQL}, '://([^/]+)', 1)) AS domain FROM pages""")
+def url_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = board_urls(spark, sf_dir).withColumn("p", web.platform_of(F.col("url")))
+    return df.select("page_id", "p.platform", "p.token", web.ref_ok(F.lower("p.platform"), F.col("p.token")).alias("ok"), web.normalize_domain(F.col("url")).alias("domain"))
+
+
+@query("""SELECT page_id, 'active' AS tier FROM pages WHERE page_id % 6 IN (0, 2) UNION ALL SELECT min(page_id), 'inventory' FROM pages WHERE page_id % 6 = 4 HAVING count(*) > 0
+  UNION ALL SELECT page_id, 'inventory' FROM pages WHERE page_id % 6 IN (1, 3)""")
+def discovery_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = board_urls(spark, sf_dir).withColumn("p", web.platform_of(F.col("url")))
+    rows = df.select(F.col("page_id").alias("pos"), F.lit("Firm").alias("company_name"), F.lower("p.platform").alias("source"), F.col("p.token").alias("token"), F.lit("").alias("website"))
+    boards, review = companies.discovered(rows, ["greenhouse", "ashby"])
+    return boards.unionByName(review).select(F.col("pos").alias("page_id"), F.when(F.col("active"), "active").otherwise("inventory").alias("tier"))
+
+
+@query("""WITH t AS (SELECT c_custkey, list_distinct(['acme' || c_custkey || 'inc', 'acme' || c_custkey || '-inc', 'a' || c_custkey, 'a' || c_custkey || '.com']) AS l FROM customer) SELECT c_custkey, array_to_string(['acme' || c_custkey || 'inc', 'acme' || c_custkey || '-inc', 'a' || c_custkey, 'a' || c_custkey || '.com'], '|') AS tokens FROM t""")
+def candidate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey").cast("string")
+    tokens = web.probe_tokens(F.concat(F.lit("Acme"), k, F.lit(" Inc.")), F.concat(F.lit("https://www.a"), k, F.lit(".com/x")))
+    return tb.table(spark, sf_dir, "customer").select("c_custkey", F.array_join(tokens, "|").alias("tokens"))
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 4 = 0 THEN '' WHEN page_id % 4 = 1 THEN url || '/careers|' || url || '/jobs/1' ELSE url || '/jobs/1' END AS careers, CASE WHEN page_id % 4 = 0 THEN 0 ELSE 1 END AS nested FROM pages""")
+def sitemap_careers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sitemaps made from the pages' URLs; every fourth is broken."""
+    u = F.replace("url", F.lit("&"), F.lit("&amp;"))
+    loc = lambda s: F.concat(F.lit("<url><loc>"), u, F.lit(s), F.lit("</loc></url>"))
+    xml = F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), loc("/jobs/1"), F.when(F.col("page_id") % 4 == 1, loc("/careers")).otherwise(""), loc("/more.xml"), F.when(F.col("page_id") % 4 == 0, "<broken>").otherwise(""), F.lit("</urlset>"))
+    df = tb.table(spark, sf_dir, "pages").select("page_id", web.sitemap_locations(xml).alias("l"))
+    return df.select("page_id", F.array_join(web.career_locations(F.col("l")), "|").alias("careers"), F.size(web.nested_sitemaps(F.col("l"))).alias("nested"))
+
+
+@query("""WITH h AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN '<script type="application/ld+json">{"@type": "JobPosting"}</script>' || html WHEN 1 THEN '<a href=1>Data <b>Engineer</b></a><a>Senior Analyst</a><a>Project Manager</a>' || html WHEN 2 THEN html || ' send us your resume, developer' ELSE html END AS html FROM pages),
+  t AS (SELECT page_id, html, trim(regexp_replace(regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'), ' ') AS text FROM h)
+  SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'jsonld' WHEN 1 THEN 'linky' WHEN 2 THEN 'prose' ELSE 'empty' END AS shape, length(text) AS n_text, len(regexp_extract_all(html, '(?i)<script\\b')) AS scripts, CASE WHEN length(text) < 800 THEN 'thin' ELSE 'plain' END AS verdict FROM t""")
+def page_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, h = F.col("page_id") % 4, F.col("html")
+    more = (
+        F.when(k == 0, F.concat(F.lit('<script type="application/ld+json">{"@type": "JobPosting"}</script>'), h))
+        .when(k == 1, F.concat(F.lit("<a href=1>Data <b>Engineer</b></a><a>Senior Analyst</a><a>Project Manager</a>"), h)).when(k == 2, F.concat(h, F.lit(" send us your resume, developer"))).otherwise(h)
+    )
+    df = tb.table(spark, sf_dir, "pages").select("page_id", more.alias("html"))
+    return df.select("page_id", web.page_shape(F.col("html")).alias("shape"), web.rendering(F.col("html")).alias("r")).select("page_id", "shape", "r.*")
+
+
+def corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as evidence corpora: turns of one role are a position's bullets, system-like rest are projects."""
+    c = tb.table(spark, sf_dir, "conversations").filter("text is not null")
+    bullets = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text", "role"))), lambda x: F.struct(x["text"].alias("text"), F.array(x["role"]).alias("evidences")))
+    roles = c.groupBy("conv_id", "role").agg(bullets.alias("bullets"))
+    work = F.array_sort(F.collect_list(F.struct(F.col("role").alias("org"), F.lit("Speaker").alias("title"), F.lit("2024").alias("period"), "bullets")))
+    df = roles.groupBy("conv_id").agg(work.alias("work_history"))
+    none = F.array().cast("array<string>")
+    return df.select(
+        "conv_id", F.lit("S").alias("summary"), F.lit("senior").alias("seniority"), none.alias("constraints"), F.array(F.struct(F.lit("g").alias("group"), F.array(F.lit("x"), F.lit("y")).alias("items"))).alias("skills"),
+        "work_history", F.array(F.struct(F.lit("p").alias("name"), F.lit("built").alias("text"), F.array(F.lit("project")).alias("evidences"))).alias("projects"), none.alias("education"),
+    )
+
+
+UNITS_SQL = """u AS (SELECT conv_id, role || ':2024:' || (row_number() OVER (PARTITION BY conv_id, role ORDER BY turn, text) - 1) AS unit_id, 'Speaker at ' || role || ' (2024)' AS source, text, role, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn, text) AS b FROM conversations WHERE text IS NOT NULL)"""
+
+
+@query(f"WITH {UNITS_SQL} SELECT conv_id, unit_id, source, text FROM u UNION ALL SELECT DISTINCT conv_id, 'project:p', 'project p', 'built' FROM u")
+def evidence_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.evidence_units(corpora(spark, sf_dir), "conv_id").select("conv_id", "unit_id", "source", "text")
+
+
+@query(f"""WITH {UNITS_SQL}, n AS (SELECT role AS family, count(*) AS n FROM u GROUP BY role UNION ALL SELECT 'project', count(DISTINCT conv_id) FROM u)
+  SELECT family, coalesce(n, 0) AS n FROM (SELECT unnest(['user', 'assistant', 'project', 'nobody']) AS family) LEFT JOIN n USING (family)""")
+def family_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.coverage(corpus.evidence_units(corpora(spark, sf_dir), "conv_id"), ["user", "assistant", "project", "nobody"])
+
+
+@query(f"""WITH {UNITS_SQL}, l AS (SELECT conv_id, string_agg('- [' || source || '] ' || text, chr(10) ORDER BY role, b) AS lines FROM u GROUP BY conv_id)
+  SELECT conv_id, md5('R' || chr(10) || chr(10) || 'Candidate summary:' || chr(10) || 'S' || chr(10) || chr(10) || 'Seniority: senior' || chr(10) || chr(10) || 'Constraints (report as eligibility, rule 2):' || chr(10) || '- (none stated)' || chr(10) || chr(10)
+    || 'Skills:' || chr(10) || '  g: x, y' || chr(10) || chr(10) || 'Work done (match against this, not against titles):' || chr(10) || lines || chr(10) || '- [project p] built' || chr(10)) AS prompt FROM l""")
+def rendered_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = corpora(spark, sf_dir)
+    return corpus.render_prompt(rows, corpus.evidence_units(rows, "conv_id"), "conv_id", "R").select("conv_id", F.md5("prompt").alias("prompt"))
+
+
+@query("""SELECT key, line_no, term, 'private term' AS kind FROM (SELECT doc_id AS key, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents WHERE text IS NOT NULL), (SELECT unnest(['idiot', 'licensed']) AS term)
+  WHERE regexp_matches(lower(line), '\\b' || term || '\\b')""")
+def private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tb.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("key"), "text")
+    return matching.scan_lines(docs, ["idiot", "Licensed", "the", "harness"], "private term", skipped=["harness"])
+
+
+@query("SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS squeezed FROM documents WHERE text IS NOT NULL AND trim(text) <> ''")
+def squeezed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.table(spark, sf_dir, "documents").select("doc_id", tx.squeeze(F.col("text")).alias("squeezed")).filter("squeezed is not null")
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(round(value) AS BIGINT) AS score, ts - INTERVAL 36 HOUR AS before FROM events")
+def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"), tx.round_score(F.col("value")).alias("score"), tx.hours_before(F.col("ts"), 36).alias("before"))
+
+
+@query("""SELECT 'not_null' AS "check", 'doc_id' AS "column", count(*) FILTER (WHERE doc_id IS NULL) AS failures, 'error' AS severity FROM documents UNION ALL SELECT 'not_null', 'text', count(*) FILTER (WHERE text IS NULL), 'error' FROM documents
+  UNION ALL SELECT 'unique', 'text', (SELECT count(*) FROM (SELECT text FROM documents WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1)), 'error'
+  UNION ALL SELECT 'accepted_values', 'lang', (SELECT count(DISTINCT lang) FROM documents WHERE lang NOT IN ('en', 'de')), 'warn'""")
+def data_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tb.table(spark, sf_dir, "documents")
+    return quality.not_null(docs, ["doc_id", "text"]).unionByName(quality.unique(docs, "text")).unionByName(quality.accepted_values(docs, "lang", ["en", "de"], "warn"))
+
+
+@query(f"WITH {tb.LIFE_SQL} SELECT job_key, url, first_seen_at, last_seen_at FROM current")
+def lifecycle_from_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State merged from batches that arrive out of order equals a rebuild."""
+    rows = tb.landing(spark, sf_dir)
+    late = F.dayofmonth("ingested_at") % 2 == 0
+    state = incremental.merge_state(incremental.partial_state(rows.filter(late)), rows.filter(~late))
+    return incremental.current_from_state(state).select("job_key", "url", "first_seen_at", "last_seen_at")
+
+
+@query(f"""WITH {tb.LANDING_SQL}, keyed AS (SELECT *, {tb.key_sql('source', 'company', 'external_id')} AS job_key FROM landing) SELECT job_key FROM keyed GROUP BY job_key HAVING min(ingested_at) >= TIMESTAMP '2024-01-03'""")
+def net_new_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tb.landing(spark, sf_dir)
+    old = F.col("ingested_at") < F.lit("2024-01-03").cast("timestamp_ntz")
+    return incremental.net_new(rows.filter(~old), incremental.partial_state(rows.filter(old)))
