@@ -23,6 +23,8 @@ LETTER = re.compile(r"[^\W\d_]")
 
 def codewords(n: int, extra_bits: int = 24) -> np.ndarray:
     """A row of bits (+1, -1) per language: the exhaustive code for up to five, else fixed pseudo-random columns."""
+    if n < 2:
+        return np.ones((n, 1), dtype=np.int8)
     if n <= 5:
         return np.array([[1 if i == 0 or (b >> (i - 1)) & 1 else -1 for b in range(2 ** (n - 1) - 1)] for i in range(n)], dtype=np.int8).reshape(n, -1)
     rng, bits = np.random.default_rng(7), max(31, n + extra_bits)
