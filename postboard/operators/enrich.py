@@ -111,7 +111,7 @@ def best_match(texts: DataFrame, units: DataFrame, *, most_units: int = 20_000,
     if len(rows) > most_units:
         raise ValueError(f"more than {most_units} units")
     ids = [r["unit_id"] for r in rows]
-    matrix = np.array([r["embedding"] for r in rows], dtype=float).reshape(len(rows), -1)
+    matrix = np.array([r["embedding"] for r in rows], dtype=float) if rows else np.zeros((0, 1))
     norms = np.linalg.norm(matrix, axis=1) if len(rows) else np.zeros(0)
     ids, matrix, norms = [i for i, n in zip(ids, norms, strict=True) if n > 0], matrix[norms > 0], norms[norms > 0]
 

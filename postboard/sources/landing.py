@@ -35,9 +35,10 @@ def land(postings: DataFrame, path: str, run_id: str, ingested_at: dt.datetime)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A table, or an empty one of its schema where nothing was landed yet."""
+    """A table in its declared columns, or an empty one where nothing was landed yet."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        df = spark.read.schema(schema).parquet(path)
+        return df.select(spark.createDataFrame([], schema).columns)
     except AnalysisException:
         return spark.createDataFrame([], schema)
 
