@@ -79,11 +79,12 @@ def remove_repeats(docs: DataFrame, *, least_words: int = 30) -> DataFrame:
     added ones are replaced.
     """
     docs = docs.drop("removed", "n_removed", "n_removed_chars")
-    found = materialise(digests(docs).distinct(), "units")
+    found = materialise(digests(docs), "units")
     rank = F.struct("doc_id", "text_hash", "unit")
     firsts = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(rank).alias("first")).filter("n > 1").select("h1", "h2", "first")
+    firsts = materialise(firsts, "firsts")  # so that both sides of the join are dealt anew, and Spark may split a hot digest
     later = found.join(firsts, ["h1", "h2"]).filter(~rank.eqNullSafe(F.col("first")))
-    per_doc = later.groupBy("doc_id", "text_hash").agg(F.collect_list("unit").alias("_units"))
+    per_doc = later.groupBy("doc_id", "text_hash").agg(F.collect_set("unit").alias("_units"))
     per_doc = per_doc.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_units")
     rows = docs.withColumn("_text_hash", F.xxhash64("text"))
     rows = rows.join(per_doc, rows.doc_id.eqNullSafe(per_doc["_id"]) & (rows["_text_hash"] == per_doc["_hash"]), "left").drop("_id", "_hash", "_text_hash")
