@@ -67,14 +67,18 @@ class Forest:
 
 
 def search(fps: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius: int, forest: Forest, leaf: int = 256) -> None:
-    """Join all pairs within the radius: inside `left`, or between `left` and `right` (places in fps)."""
+    """Join all pairs within the radius: inside `left`, or between `left` and `right` (places in fps).
+
+    A vantage point that splits off less than a tenth of the pairs is given up: the places are halved instead.
+    """
     stack = [(left, right)]
+    size = lambda x, y: len(x) * (len(x) - 1) // 2 if y is None else len(x) * len(y)
     while stack:
         a, b = stack.pop()
-        own = b is None
-        b = a if own else b
-        if not len(a) or not len(b) or own and len(a) == 1:
+        own, pairs = b is None, size(a, b)
+        if not pairs:
             continue
+        b = a if own else b
         if len(a) <= leaf and len(b) <= leaf:
             near = np.bitwise_count(fps[a][:, None] ^ fps[b][None, :]) <= radius
             x, y = np.nonzero(np.triu(near, 1) if own else near)
@@ -84,24 +88,20 @@ def search(fps: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius:
         vantage = fps[a[0]]
         da, db = np.bitwise_count(fps[a] ^ vantage).astype(int), np.bitwise_count(fps[b] ^ vantage).astype(int)
         cut = int(np.median(da if len(a) >= len(b) else db))
-        if cut >= max(da.max(), db.max()):
-            cut = max(da.max(), db.max()) - 1
-        if cut < min(da.min(), db.min()):  # all at one distance: the vantage point does not split them
-            half = len(a) // 2 if len(a) >= len(b) else 0
-            if own:
-                stack += [(a[:half], None), (a[half:], None), (a[:half], a[half:])]
-            elif half:
-                stack += [(a[:half], b), (a[half:], b)]
-            else:
-                stack += [(a, b[: len(b) // 2]), (a, b[len(b) // 2 :])]
-            continue
         # d(x, y) >= |d(x, v) - d(y, v)|: across the cut, only those within the radius of it can pair
-        near_a, near_b = (da <= cut) & (da > cut - radius), (db > cut) & (db <= cut + radius)
+        low_a, low_b = (da <= cut) & (da > cut - radius), (db <= cut) & (db > cut - radius)
+        high_a, high_b = (da > cut) & (da <= cut + radius), (db > cut) & (db <= cut + radius)
         if own:
-            stack += [(a[da <= cut], None), (a[da > cut], None), (a[near_a], a[near_b])]
+            parts = [(a[da <= cut], None), (a[da > cut], None), (a[low_a], a[high_a])]
         else:
-            far_a, in_b = (da > cut) & (da <= cut + radius), (db <= cut) & (db > cut - radius)
-            stack += [(a[da <= cut], b[db <= cut]), (a[da > cut], b[db > cut]), (a[near_a], b[near_b]), (a[far_a], b[in_b])]
+            parts = [(a[da <= cut], b[db <= cut]), (a[da > cut], b[db > cut]), (a[low_a], b[high_b]), (a[high_a], b[low_b])]
+        if max(size(*p) for p in parts) > 0.9 * pairs:
+            h, k = len(a) // 2, len(b) // 2
+            if own:
+                parts = [(a[:h], None), (a[h:], None), (a[:h], a[h:])]
+            else:
+                parts = [(a[:h], b), (a[h:], b)] if len(a) >= len(b) else [(a, b[:k]), (a, b[k:])]
+        stack += parts
 
 
 def tile_links(tile: np.ndarray, fps: np.ndarray, side: np.ndarray, radius: int, small: int = 48) -> tuple[np.ndarray, np.ndarray]:
