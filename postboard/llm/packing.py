@@ -13,13 +13,14 @@ import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postboard.llm.bpe import PIECES, byte_letters
+from postboard.llm.bpe import PIECES, byte_letters, loaded
 from postboard.llm.common import materialise, rows_of
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -36,6 +37,14 @@ def tokenizer(path: str) -> tuple[tiktoken.Encoding, bool]:
     return tiktoken.Encoding("file", pat_str=PIECES, mergeable_ranks=ranks, special_tokens=special), bool(special)
 
 
+def ids_of(text: str, path: str) -> np.ndarray:
+    """Ids of a text. The faster library gives up on runs of hundreds of thousands of spaces; the queue of op5 does not."""
+    try:
+        return tokenizer(path)[0].encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        return np.array(loaded(path).encode(text), np.uint32)
+
+
 def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
     """Pieces of every document: its ids and an end id, cut from the end so that only the first may be shorter.
 
@@ -43,12 +52,11 @@ def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFra
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, _ = tokenizer(path)
         end = int(end_id).to_bytes(4, "little")
         for doc_ids, texts in rows_of(batches, "doc_id", "text"):
             out: list[list[int | None]] = [[], [], [], [], []]
             for doc_id, text in zip(doc_ids, texts, strict=True):
-                ids = enc.encode_to_numpy(text or "", allowed_special="all").astype("<u4").tobytes() + end
+                ids = ids_of(text or "", path).astype("<u4").tobytes() + end
                 n = len(ids) // 4
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
