@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from postboard.llm.common import materialise
 
-#: The patterns of the base kinds.
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-IP = r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"
+#: The patterns of the base kinds. A match starts where a run of its first characters does, or where the last
+#: match ended (\G), and runs are possessive: a long run is read once, and long addresses need no deep stack.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 #: 16 to 19 digits: a whole run of digits with single separators, so that longer and shorter runs fail.
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"

@@ -129,6 +129,17 @@ def test_packing(spark, docs):
     assert packing.packed(docs.limit(0), PATH).count() == 0
 
 
+def test_packing_long_runs(spark):
+    rows = [(0, " " * 400_000 + "x"), (1, "\n\t" * 400_000), (2, "y" * 400_000)]
+    library, got = Tokenizer.from_file(PATH), {}
+    for r in packing.packed(frame(spark, rows), PATH).collect():
+        got.setdefault(r.doc_id, []).append((r.start, r.length, r.ids_crc32))
+    for i, t in rows:
+        ids = [*library.encode(t, add_special_tokens=False).ids, 2]
+        assert sorted(got[i]) == [(a, n, zlib.crc32(np.array(ids[a : a + n], "<u4").tobytes())) for a, n, _ in sorted(got[i])]
+        assert sum(n for _, n, _ in got[i]) == len(ids)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 40), st.integers(1, 50), max_size=30))
 def test_packing_plan(counts):
@@ -202,6 +213,16 @@ def test_pii_base(spark, docs):
     assert pii.report(docs.limit(0)).count() == 0
 
 
+def test_pii_very_long_runs(spark):
+    """Runs that would take a deep stack, or time with the square of their length."""
+    rows = [(0, "x a@b" + ".c" * 40_000 + " y"), (1, "a" * 300_000 + " a@b.c"), (2, "1" * 300_000), (3, "1." * 8_000 + "9"), (4, "+1" + "-2" * 100_000)]
+    got = {r.doc_id: r for r in pii.report(frame(spark, rows)).collect()}
+    assert [got[i].n_email for i in range(5)] == [1, 1, 0, 0, 0]
+    assert [got[i].spans for i in (0, 1, 2)] == ["email:2:80005", "email:300001:300006", ""]
+    plain = [len(plain_spans(t)["ip"]) for i, t in rows if i > 2]
+    assert [got[i].n_ip for i in (3, 4)] == plain and got[4].n_phone == 0
+
+
 def test_pii_terms_and_sanitise(spark):
     rows = [(i, f"Notes {i}. The agent Zorblat wrote from z@q.org about item number{chr(97 + i)}.\nEnd") for i in range(5)]
     rows += [(10 + i, f"plain text {i} about the agent and item") for i in range(30)]
