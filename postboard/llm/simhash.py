@@ -1,8 +1,9 @@
 """Near-duplicate texts by SimHash fingerprints and vantage-point trees.
 
-Texts with equal fingerprints are one class from the start. Two different fingerprints with at most r differing bits
-agree on at least one of r + 1 bands of bits; so each band is a partition without overlap, and pairs are sought only
-within one band value (a cell). A cell with too many fingerprints is cut into shards, and every pair of shards is
+Texts with equal fingerprints are one class from the start. The bits are cut into r + k blocks; two fingerprints with at
+most r differing bits agree on at least k whole blocks. So each choice of k blocks (a band) partitions the fingerprints
+without overlap, and pairs are sought only within one band value (a cell). With r = 4 and k = 2 there are 15 bands of 21
+or 22 bits, so that even billions of fingerprints leave about a thousand to a cell. A cell with too many fingerprints is cut into shards, and every pair of shards is
 searched, so pairs across a boundary are found too. Within a task a vantage-point tree finds the pairs: fingerprints
 are split by their distance to a vantage point, and the triangle inequality leaves out branches that can hold no pair.
 Each task returns a spanning forest of its pairs, never all of them; label propagation joins the forests.
@@ -10,6 +11,7 @@ Each task returns a spanning forest of its pairs, never all of them; label propa
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,14 +135,23 @@ def tile_links(tile: np.ndarray, fps: np.ndarray, side: np.ndarray, radius: int,
     return signed[roots[at]], signed[at]
 
 
-def links(distinct: DataFrame, radius: int, cell_rows: int) -> DataFrame:
+def cells_of(distinct: DataFrame, radius: int, agree: int) -> DataFrame:
+    """(fp, band, value): each fingerprint in a cell per choice of `agree` of the radius + agree blocks of its bits."""
+    blocks = radius + agree
+    bounds = [BITS * k // blocks for k in range(blocks + 1)]
+    block = [F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in zip(bounds, bounds[1:], strict=False)]
+    bands = []
+    for band, chosen in enumerate(itertools.combinations(range(blocks), agree)):
+        value = F.lit(0).cast("long")
+        for k in chosen:
+            value = F.shiftleft(value, bounds[k + 1] - bounds[k]).bitwiseOR(block[k])
+        bands.append(F.struct(F.lit(band).alias("band"), value.alias("value")))
+    return distinct.select("fp", F.inline(F.array(*bands)))
+
+
+def links(distinct: DataFrame, radius: int, cell_rows: int, agree: int = 2) -> DataFrame:
     """(a, b): fingerprints joined by chains of pairs within the radius, a forest per tile."""
-    bounds = [BITS * k // (radius + 1) for k in range(radius + 2)]
-    bands = [
-        F.struct(F.lit(k).alias("band"), F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)).alias("value"))
-        for k, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False))
-    ]
-    cells = distinct.select("fp", F.inline(F.array(*bands)))
+    cells = cells_of(distinct, radius, agree)
     sizes = cells.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1")
     sizes = sizes.select("band", "value", F.ceil(F.col("n") / cell_rows).cast("int").alias("shards"))
     cells = cells.join(sizes, ["band", "value"]).withColumn("shard", F.pmod(F.xxhash64("fp"), F.col("shards")).cast("int"))
@@ -153,26 +164,31 @@ def links(distinct: DataFrame, radius: int, cell_rows: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole tiles at a time: a batch's last tile waits for the next batch. A tile has at most two shards."""
-        rest: tuple[np.ndarray, ...] | None = None
+        rest: list[np.ndarray] | None = None
+
+        def tile_numbers(now: list[np.ndarray]) -> np.ndarray:
+            moved = np.zeros(len(now[0]), bool)
+            for column in now[: len(keys)]:
+                moved[1:] |= column[1:] != column[:-1]
+            return np.cumsum(moved)
 
-        def found(part: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-            x, y = tile_links(part[0], part[1], part[2], radius)
+        def found(tile: np.ndarray, part: list[np.ndarray]) -> pa.RecordBatch:
+            x, y = tile_links(tile, part[-2].view(np.uint64), part[-1].astype(np.int8), radius)
             return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
 
         for batch in batches:
-            column = lambda n: batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False)  # noqa: B023, E731
-            key = (column("band").astype(np.int64) << 58) ^ (column("value").astype(np.int64) << 40) ^ (column("s").astype(np.int64) << 20) ^ column("t")
-            now = (key, column("fp").view(np.uint64), column("side").astype(np.int8))
+            now = [batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in (*keys, "fp", "side")]
             if rest is not None:
-                now = tuple(np.concatenate(x) for x in zip(rest, now, strict=True))
+                now = [np.concatenate(x) for x in zip(rest, now, strict=True)]
             if not len(now[0]):
                 continue
-            last = int(np.flatnonzero(np.r_[True, now[0][1:] != now[0][:-1]])[-1])
+            tile = tile_numbers(now)
+            last = int(np.searchsorted(tile, tile[-1]))
             if last:
-                yield found(tuple(x[:last] for x in now))
-            rest = tuple(x[last:] for x in now)
+                yield found(tile[:last], [x[:last] for x in now])
+            rest = [x[last:] for x in now]
         if rest is not None:
-            yield found(rest)
+            yield found(tile_numbers(rest), rest)
 
     return tiles.mapInArrow(run, "a long, b long")
 
@@ -198,7 +214,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError("the components did not settle")
 
 
-def near_duplicates(docs: DataFrame, *, radius: int = 4, width: int = 4, cell_rows: int = 2048) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, radius: int = 4, width: int = 4, cell_rows: int = 2048, agree: int = 2) -> DataFrame:
     """Per row: doc_id, fingerprint (hex) and component_id, the least doc_id reachable by links.
 
     Texts that are null or have no words share fingerprint zero. Rows without an id get a fingerprint; their component
@@ -206,7 +222,7 @@ def near_duplicates(docs: DataFrame, *, radius: int = 4, width: int = 4, cell_ro
     """
     prints = materialise(fingerprints(docs, width), "prints")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(classes.select("fp"), radius, cell_rows))
+    roots = components(links(classes.select("fp"), radius, cell_rows, agree))
     joined = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = joined.join(ids, "root").select(F.col("fp").alias("_fp"), "component_id")
