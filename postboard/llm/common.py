@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postboard.tables import materialise, shared_dir
+
+__all__ = ["SPACES", "hash_share", "held_out", "materialise", "rows_of", "shared_dir", "words"]
+
 #: White space between words: space, and tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -20,25 +22,6 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the session names none (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a result to the shared folder and read it back, so that later steps need not compute it again.
-
-    This also cuts the lineage: a lost executor costs its running tasks only.
-    """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def held_out(doc_id: Column) -> Column:
     """True for the third of documents that no model may learn from (null ids count as learnable)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -7,15 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postboard.tables import materialise
+
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str, partitions: int | None = None) -> DataFrame:
     """Adds 1..n in the given order over the whole frame.
 
     Rows are range-partitioned by the order and numbered within each partition; the counts of the partitions before are
     added. Only one number per partition is gathered. The order must be total, else equal rows get numbers in any order.
+    The partitioned rows are written once: two exchanges would sample bounds of their own and disagree about partitions.
     """
     parts = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    parts = parts.withColumn("_part", F.spark_partition_id())
+    parts = materialise(parts.withColumn("_part", F.spark_partition_id()), "ranges")
     sizes = parts.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # over one row per partition
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

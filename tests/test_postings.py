@@ -91,6 +91,18 @@ def test_global_row_number(spark, parts):
     assert sorted((r.n, r.x) for r in got) == [(i + 1, 499 - i) for i in range(500)]
 
 
+def test_global_row_number_wide(spark):
+    """Columns beyond the order must not part the counts from the rows."""
+    rows, before = 200_000, spark.conf.get("spark.sql.shuffle.partitions")
+    df = spark.range(rows).select((F.col("id") * 7919 % rows).alias("x"), F.sha2(F.col("id").cast("string"), 512).alias("wide"))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        got = global_row_number(df, [F.col("x")], "n").filter("wide is not null").agg(F.count("*"), F.count_if(F.col("n") == F.col("x") + 1)).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert tuple(got) == (rows, rows)
+
+
 def test_top_per_group(spark):
     df = spark.range(300).select((F.col("id") % 3).alias("k"), "id")
     got = top_per_group(df, ["k"], [F.col("id").desc()], 4).collect()
