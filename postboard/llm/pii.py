@@ -1,10 +1,11 @@
 """Personal data: base patterns, and terms that reveal protected entities (DataFrame functions only).
 
-Base spans come from fixed patterns. A term that stands near a protected value (an e-mail address, an IP address, a card
-or phone number) can reveal it: the corpus tells how strongly. With n_e and n_t the documents that hold the value and
-the term, n_te the different contexts that hold both, and N all documents, the pointwise mutual information
-log(n_te N / (n_e n_t)) is compared with the information log(N / n_e) of the value itself. A term that discloses more
-than a share of it is a span of kind `term`. Sanitising generalises base spans to their kind and removes terms.
+Base spans come from fixed patterns. A term that occurs with a protected entity (an e-mail address, an IP address, a card
+or phone number, or what several such values share) can reveal it: the corpus tells how strongly. With n_e, n_t and n_te
+the documents that hold the entity, the term and both, and N all documents, the pointwise mutual information
+log(n_te N / (n_e n_t)) is compared with the information log(N / n_e) of the entity itself. A term that discloses more
+than a share of it is a span of kind `term` wherever it occurs. Sanitising generalises base spans to their kind and
+removes terms.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 #: 16 to 19 digits: a whole run of digits with single separators, so that longer and shorter runs fail.
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+#: What can be a term.
+WORD = r"\p{L}{4,}"
 KINDS = ("email", "ip", "card", "phone")
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
@@ -70,62 +73,77 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return df
 
 
-def nearby_terms(spans: DataFrame, reach: int) -> DataFrame:
-    """(doc_id, text_hash, entity, context, term, start, end): the words within `reach` characters around each value, in its line."""
-    one = lambda k: F.transform(k, lambda s: F.struct(F.concat(F.lit(k + ":"), F.lower(s["value"])).alias("entity"), s["start"].alias("start"), s["end"].alias("end")))
-    df = spans.filter(F.size("email") + F.size("ip") + F.size("card") + F.size("phone") > 0)
-    df = df.select("doc_id", "text_hash", "_text", F.explode(F.concat(*[one(k) for k in KINDS])).alias("s"))
-    lo = F.greatest(F.col("s.start") - reach, F.lit(0))
-    before = F.element_at(F.split(F.substring("_text", lo + 1, F.col("s.start") - lo), "\n", -1), -1)
-    after = F.get(F.split(F.substring("_text", F.col("s.end") + 1, F.lit(reach)), "\n", -1), F.lit(0))
-    df = df.select("doc_id", "text_hash", "s", before.alias("_before"), after.alias("_after"))
-    df = df.withColumn("_context", F.xxhash64("_before", "_after"))
-    side = lambda text, at: F.struct(F.lit(text).alias("side"), F.col(text).alias("t"), at.alias("at"))
-    df = df.select(
-        "doc_id", "text_hash", F.col("s.entity").alias("entity"), F.col("_context").alias("context"),
-        F.explode(F.array(side("_before", F.col("s.start") - F.length("_before")), side("_after", F.col("s.end")))).alias("x"),
-    )
-    words, gaps = F.regexp_extract_all("x.t", F.lit(r"\p{L}{4,}"), F.lit(0)), F.transform(F.split("x.t", r"\p{L}{4,}", -1), lambda p: F.length(p))
-    df = df.select("doc_id", "text_hash", "entity", "context", F.col("x.at").alias("_at"), words.alias("_w"), gaps.alias("_g"))
-    df = df.select("doc_id", "text_hash", "entity", "context", "_at", "_w", "_g", F.posexplode("_w").alias("_k", "_term"))
-    passed = lambda a, n: F.aggregate(F.slice(a, 1, n), F.lit(0), lambda s, x: s + x)
-    start = F.col("_at") + passed(F.col("_g"), F.col("_k") + 1) + F.length(F.array_join(F.slice("_w", 1, F.col("_k")), ""))
-    return df.select("doc_id", "text_hash", "entity", "context", F.lower("_term").alias("term"), start.alias("start"), (start + F.length("_term")).alias("end"))
-
-
-def disclosing_terms(docs: DataFrame, near: DataFrame, spans: DataFrame, share: float, support: int) -> DataFrame:
-    """(entity, term) pairs whose mutual information reaches the share of the entity's information.
-
-    Words are counted over all documents, once a document; only pairs met in enough different contexts are looked up.
+def words_of(text: Column) -> Column:
+    """The words of a text in lower case, each once; those inside e-mail addresses are part of the value and do not count."""
+    free = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, EMAIL, " ")).otherwise(text)
+    return F.array_distinct(F.transform(F.regexp_extract_all(free, F.lit(WORD), F.lit(0)), lambda w: F.lower(w)))
+
+
+def entities(spans: DataFrame) -> Column:
+    """The protected entities of a row, each once: the literal values, and what several of them share (the domain of an
+    address, the network of an IP address, the issuer of a card, a phone number without its last four digits)."""
+    value = lambda k, f: F.transform(k, lambda s: F.concat(F.lit(k + ":"), f(F.lower(s["value"]))))
+    coarse = lambda k, f: F.transform(k, lambda s: F.concat(F.lit(k + " group:"), f(F.lower(s["value"]))))
+    plain = [value("email", lambda v: v), value("ip", lambda v: v), value("card", digits), value("phone", digits)]
+    shared = [
+        coarse("email", lambda v: F.substring_index(v, "@", -1)), coarse("ip", lambda v: F.substring_index(v, ".", 3)),
+        coarse("card", lambda v: F.left(digits(v), F.lit(6))), coarse("phone", lambda v: F.substring(digits(v), F.lit(1), F.length(digits(v)) - 4)),
+    ]
+    return F.array_distinct(F.concat(*plain, *shared))
+
+
+def disclosing_terms(rows: DataFrame, some: DataFrame, share: float, support: int) -> DataFrame:
+    """(term): words whose mutual information with an entity reaches the share of the entity's information.
+
+    Entities, terms and pairs are all counted in documents (rows). `some` holds id, hash and entities of the rows with
+    any. A pair has at most as many documents as its entity, so entities below the support are left out before pairing.
     """
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("context").alias("n_te")).filter(F.col("n_te") >= support)
-    pairs = materialise(pairs, "pairs")
-    terms = pairs.select("term").distinct()
-    n_docs = docs.agg(F.count("*").alias("n_docs"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{4,}"), F.lit(0)))).alias("term"))
-    n_t = words.groupBy("term").agg(F.count("*").alias("n_t")).join(terms, "term")
-    n_e = near.groupBy("entity").agg(F.count_distinct("doc_id", "text_hash").alias("n_e"))
-    df = pairs.join(n_t, "term").join(n_e, "entity").join(F.broadcast(n_docs))
+    named = materialise(some.select("_id", "_hash", F.explode("_entities").alias("entity"), "_n"), "entities")
+    n_e = materialise(named.groupBy("entity").agg(F.sum("_n").alias("n_e")).filter(F.col("n_e") >= support), "entity_counts")
+    often = named.join(n_e, "entity").groupBy("_id", "_hash").agg(F.collect_list("entity").alias("_entities"))
+    met = rows.join(often, same(rows)).select("_entities", F.explode(words_of(F.col("_text"))).alias("term")).select("term", F.explode("_entities").alias("entity"))
+    pairs = materialise(met.groupBy("entity", "term").agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= support), "pairs")
+    n_docs = rows.agg(F.count("*").alias("n_docs"))
+    n_t = rows.select(F.explode(words_of(F.col("_text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    df = pairs.join(n_t.join(pairs.select("term").distinct(), "term"), "term").join(n_e, "entity").join(F.broadcast(n_docs))
     information = F.log(F.col("n_docs") / F.col("n_e"))
-    mutual = F.log(F.col("n_te") * F.col("n_docs") / (F.col("n_e").cast("double") * F.greatest("n_t", "n_te")))
-    return df.filter((information > 0) & (mutual >= share * information)).select("entity", "term")
+    mutual = F.log(F.col("n_te") * F.col("n_docs").cast("double") / (F.col("n_e").cast("double") * F.col("n_t")))
+    return df.filter((information > 0) & (mutual >= share * information)).select("term").distinct()
+
+
+def same(rows: DataFrame) -> Column:
+    """Equal in id (null being an id) and text."""
+    return rows["doc_id"].eqNullSafe(F.col("_id")) & (rows["text_hash"] == F.col("_hash"))
+
+
+def term_spans(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """(_id, _hash, _terms): the places of the terms in each row that holds any, once per id and text."""
+    held = rows.select("doc_id", "text_hash", F.explode(words_of(F.col("_text"))).alias("term")).join(terms, "term")
+    held = held.groupBy("doc_id", "text_hash").agg(F.collect_set("term").alias("_held"))
+    held = held.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_held")
+    df = rows.join(held, same(rows))
+    df = df.withColumn("_g", F.transform(F.split("_text", WORD, -1), lambda p: F.length(p)))
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), F.array().cast(SPAN).alias("out"))
+    at = lambda a: a["at"] + F.get("_g", a["k"])
+    span = lambda a, w: F.struct(at(a).alias("start"), (at(a) + F.length(w)).alias("end"), F.lower(w).alias("value"))
+    step = lambda a, w: F.struct((at(a) + F.length(w)).alias("at"), (a["k"] + 1).alias("k"), F.when(F.array_contains("_held", F.lower(w)), F.array_append(a["out"], span(a, w))).otherwise(a["out"]).alias("out"))
+    places = F.aggregate(F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)), start, step, lambda a: a["out"])
+    return df.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), places.alias("_terms")).dropDuplicates(["_id", "_hash"])
 
 
-def all_spans(docs: DataFrame, *, share: float = 0.9, support: int = 3, reach: int = 60) -> DataFrame:
+def all_spans(docs: DataFrame, *, share: float = 0.9, support: int = 3) -> DataFrame:
     """Per row: doc_id, text_hash, _text, the base kinds and `term`, each an array of spans in order.
 
-    Terms never overlap base spans; rows equal in id and text get equal spans. Null ids are an id of their own.
+    A disclosing term is a span wherever it occurs, but never overlaps base spans; rows equal in id and text get equal
+    spans. Null ids are an id of their own.
     """
     spans = materialise(base_spans(docs).drop("_text"), "spans")
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("_text"))
-    some = spans.filter(F.size("email") + F.size("ip") + F.size("card") + F.size("phone") > 0).dropDuplicates(["doc_id", "text_hash"])
-    some = some.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), *KINDS)
-    same = lambda a: a["doc_id"].eqNullSafe(F.col("_id")) & (a["text_hash"] == F.col("_hash"))
-    held = rows.join(some, same(rows)).drop("_id", "_hash")
-    near = materialise(nearby_terms(held, reach), "near")
-    found = near.join(disclosing_terms(docs, near, spans, share, support), ["entity", "term"])
-    found = found.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "end", F.col("term").alias("value")))).alias("_terms"))
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_terms")
+    some = spans.filter(F.size("email") + F.size("ip") + F.size("card") + F.size("phone") > 0)
+    some = some.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), entities(some).alias("_entities"))
+    some = some.groupBy("_id", "_hash").agg(F.count("*").alias("_n"), F.first("_entities").alias("_entities"))
+    terms = materialise(disclosing_terms(rows, some, share, support), "terms")
+    found = term_spans(rows, terms)
     base = F.concat(*KINDS)
     free = F.filter(F.coalesce("_terms", F.array().cast(SPAN)), lambda t: ~F.exists(base, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     return spans.join(found, same(spans), "left").select("doc_id", "text_hash", *KINDS, free.alias("term"))

@@ -235,6 +235,19 @@ def test_pii_terms_and_sanitise(spark):
     assert clean[98].text == "ip [IP], [CARD]" and clean[99].text is None and clean[12].text == rows[7][1] and clean[0].kept == "k"
 
 
+def test_pii_terms_by_documents(spark):
+    """Copies, a far name, a repeated signature line, a shared domain, and a document that has the name alone."""
+    rows = [(i, "Quorvex met us. " + "so it goes on and on, " * 10 + "write to z@q.org") for i in range(20)]
+    rows += [(100 + i, f"note {i} of one day\nregards, Brindlemax, p@r.net") for i in range(5)]
+    rows += [(200 + i, f"Halvaric sent it, u{i}@firm.example") for i in range(5)]
+    rows += [(300 + i, f"plain text {i}, with regards, so it goes to one firm, write us") for i in range(200)] + [(900, "we asked Quorvex and Halvaric"), (None, "Brindlemax")]
+    texts = dict(rows)
+    got = {r.doc_id: r.spans for r in pii.report(frame(spark, rows)).collect()}
+    words = {i: {texts[i][int(a) : int(b)] for k, a, b in (x.split(":") for x in s.split(",") if x) if k == "term"} for i, s in got.items()}
+    assert "Quorvex" in words[0] and "Brindlemax" in words[100] and "Halvaric" in words[200]
+    assert words[900] == {"Quorvex", "Halvaric"} and words[None] == {"Brindlemax"} and not words[300]
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(1)
     rows = [(int(i), [float(x) for x in np.round(rng.normal(size=8), 1)]) for i in range(400)]
