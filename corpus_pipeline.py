@@ -23,10 +23,14 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the least id. Repeated rows of it are one row."""
-    groups = simhash.near_duplicates(docs, radius=4, width=4)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    return documents(docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    """One text of each group stays: the one with the least id (null ids last), then the least hash. Rows equal in id and
+    text are one row, the least of them."""
+    kept = simhash.survivors(docs, radius=4, width=4).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    rows = docs.withColumn("_text_hash", F.xxhash64("text"))
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["_text_hash"] == kept["_hash"]), "left_semi")
+    others = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    least = rows.groupBy("doc_id", "_text_hash").agg(F.min(F.struct(*others, "text")).alias("_row"))
+    return documents(least.select("doc_id", "_row.*"))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postboard.llm.common import materialise, rows_of
@@ -41,15 +41,18 @@ def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * total > len(shingles), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """(doc_id, fp long) of each row."""
+def fingerprints(docs: DataFrame, width: int = 4, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp long) of each row, and text_hash if asked for."""
+    extra = ["text_hash"] if hashed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_ids, texts in rows_of(batches, "doc_id", "text"):
+        for doc_ids, texts, *more in rows_of(batches, "doc_id", "text", *extra):
             fps = np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(fps)], ["doc_id", "fp"])
+            hashes = [pa.array(h[0], pa.int64()) for h in [more] if h]
+            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(fps), *hashes], ["doc_id", "fp", *extra])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select("doc_id", "text", *[F.xxhash64("text").alias(c) for c in extra])
+    return rows.mapInArrow(run, "doc_id long, fp long" + "".join(f", {c} long" for c in extra))
 
 
 class Forest:
@@ -214,6 +217,15 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError("the components did not settle")
 
 
+def labelled(prints: DataFrame, least: Column, radius: int, cell_rows: int, agree: int) -> DataFrame:
+    """(_fp, least): for each fingerprint the least value of a column of prints in its component."""
+    classes = prints.groupBy("fp").agg(least.alias("least"))
+    roots = components(links(classes.select("fp"), radius, cell_rows, agree))
+    joined = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    ids = joined.groupBy("root").agg(F.min("least").alias("least"))
+    return joined.select("fp", "root").join(ids, "root").select(F.col("fp").alias("_fp"), "least")
+
+
 def near_duplicates(docs: DataFrame, *, radius: int = 4, width: int = 4, cell_rows: int = 2048, agree: int = 2) -> DataFrame:
     """Per row: doc_id, fingerprint (hex) and component_id, the least doc_id reachable by links.
 
@@ -221,10 +233,13 @@ def near_duplicates(docs: DataFrame, *, radius: int = 4, width: int = 4, cell_ro
     is the least id among the others, or null. Repeated rows are in one component.
     """
     prints = materialise(fingerprints(docs, width), "prints")
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(classes.select("fp"), radius, cell_rows, agree))
-    joined = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = joined.join(ids, "root").select(F.col("fp").alias("_fp"), "component_id")
+    labels = labelled(prints, F.min("doc_id"), radius, cell_rows, agree)
     out = prints.join(labels, prints.fp == labels["_fp"])
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least").alias("component_id"))
+
+
+def survivors(docs: DataFrame, *, radius: int = 4, width: int = 4, cell_rows: int = 2048, agree: int = 2) -> DataFrame:
+    """(doc_id, text_hash) of one text per component: the least id, null ids last, then the least hash of the text."""
+    prints = materialise(fingerprints(docs, width, hashed=True), "prints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
+    return labelled(prints, first, radius, cell_rows, agree).select("least.doc_id", "least.text_hash").distinct()

@@ -43,3 +43,13 @@ def test_whole(spark, folder):
         docs = stage(spark, docs, folder)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, docs.select(columns).collect())) == sorted(map(tuple, corpus_pipeline.run(spark, folder).select(columns).collect()))
+
+
+def test_near_dedup_ids(spark):
+    """Only members of groups go: neither texts without an id, nor one of two texts that share an id."""
+    text = lambda c: " ".join(f"{c}{k}" for k in range(40))
+    rows = [(None, text("a")), (None, text("b")), (1, text("c")), (1, text("d")), (2, text("b")), (3, text("e")), (3, text("e")), (None, text("f")), (None, text("f"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    got = corpus_pipeline.simhash_stage(spark, docs, "").collect()
+    want = [(None, text("a")), (1, text("c")), (1, text("d")), (2, text("b")), (3, text("e")), (None, text("f"))]
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(i), t) for i, t in want)
