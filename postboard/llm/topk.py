@@ -7,6 +7,7 @@ rounds, so no task ever holds more than a block of each side and k entries per q
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,18 +20,64 @@ from postboard.llm.common import materialise
 BLOCK = "shard int, ids binary, dim int, vectors binary"
 
 
-def scaled(embedding: Column, scale: int) -> Column:
-    """floor(scale * x) of each component, as long; null if the vector or a component is null, not finite, or too large.
+#: Beside a score: MIDDLE where it fits a long; else bytes that sort (unsigned) as the exact scores beyond do.
+MIDDLE = b"\x80"
+
+
+def finite(embedding: Column) -> Column:
+    """Whether the vector is there and all its components are finite numbers."""
+    fit = lambda x: ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf"))
+    return embedding.isNotNull() & F.forall(embedding, lambda x: x.isNotNull() & F.coalesce(fit(x), F.lit(False)))
+
+
+def beyond(score: int) -> tuple[int, bytes]:
+    """The nearest long (2**63 - 1 in size at most), and the bytes beside it."""
+    if abs(score) < 2**63:
+        return score, MIDDLE
+    raw = abs(score).to_bytes(-(-score.bit_length() // 8), "big")
+    key = len(raw).to_bytes(2, "big") + raw
+    return (2**63 - 1, b"\xc0" + key) if score > 0 else (1 - 2**63, b"\x40" + bytes(255 - x for x in key))
 
-    Components that scale beyond 2**24 are outside what a tile adds up exactly and take no part either.
-    """
-    fit = lambda x: ~F.isnan(x) & (F.abs(x.cast("double") * scale) <= float(2**24))
-    good = embedding.isNotNull() & F.forall(embedding, lambda x: x.isNotNull() & F.coalesce(fit(x), F.lit(False)))
-    return F.when(good, F.transform(embedding, lambda x: F.floor(x.cast("double") * scale)))
 
+def whole(x: np.ndarray, y: np.ndarray, scale: int) -> list[int]:
+    """The scaled components y of a vector x, also where they are beyond a double."""
+    return [int(t) if math.isfinite(t) else int(s) * scale for s, t in zip(x.tolist(), y.tolist(), strict=True)]
+
+
+def large_scores(q: tuple[np.ndarray, np.ndarray], c: tuple[np.ndarray, np.ndarray], own: np.ndarray, k: int, scale: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per row of q: places in c that can be among the k best, and their exact scores (Python numbers).
+
+    A product in double, with both sides brought to at most 1 in size, bounds each score; places whose upper bound is
+    below the k-th lower bound are left out, as are a row's own ones. q and c hold the components before and after scaling.
+    """
+    fa, fb = (np.where(np.isfinite(y), y / scale, x) for x, y in (q, c))
+    fa, fb = (np.ldexp(x, -int(np.frexp(np.abs(x).max())[1])) for x in (fa, fb))
+    about = fa @ fb.T
+    error = (fa.shape[1] + 4) * 2.0**-50 * (np.abs(fa) @ np.abs(fb).T) + 1e-290
+    ints: dict[int, list[int]] = {}
+    for x, y, low, high, mine in zip(*q, about - error, about + error, own, strict=True):
+        at = np.flatnonzero(~mine)
+        if len(at) > k:
+            at = at[high[at] >= np.partition(low[at], len(at) - k)[len(at) - k]]
+        query = whole(x, y, scale)
+        for j in at.tolist():
+            if j not in ints:
+                ints[j] = whole(c[0][j], c[1][j], scale)
+        out = np.empty(len(at), object)
+        out[:] = [sum(u * v for u, v in zip(query, ints[j], strict=True)) for j in at.tolist()]
+        yield at, out
+
+
+def blocks(rows: DataFrame, shards: int, most: int, scale: int) -> DataFrame:
+    """Pack (vec_id, v) into blocks of at most `most` rows of one length; a block's shard follows from its first id.
+
+    Scaled components travel as 32-bit numbers where all of a block fit; else the components travel as doubles, not scaled.
+    """
 
-def blocks(rows: DataFrame, shards: int, most: int) -> DataFrame:
-    """Pack (vec_id, v) into blocks of at most `most` rows of one length; a block's shard follows from its first id."""
+    def packed(matrix: np.ndarray) -> bytes:
+        with np.errstate(over="ignore"):
+            y = np.floor(matrix * scale)
+        return (y.astype(np.int32) if not y.size or np.abs(y).max() < 2**31 else matrix).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -38,11 +85,11 @@ def blocks(rows: DataFrame, shards: int, most: int) -> DataFrame:
             lengths = np.asarray(vectors.value_lengths())
             for dim in np.unique(lengths):
                 at = np.flatnonzero(lengths == dim)
-                matrix = np.asarray(vectors.take(pa.array(at)).flatten()).reshape(len(at), dim)
+                matrix = np.asarray(vectors.take(pa.array(at)).flatten(), np.float64).reshape(len(at), dim)
                 for k in range(0, len(at), most):
                     part = ids[at[k : k + most]].astype(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([int(part[0] % shards)], pa.int32()), pa.array([part.tobytes()]), pa.array([int(dim)], pa.int32()), pa.array([matrix[k : k + most].astype(np.int32).tobytes()])],
+                        [pa.array([int(part[0] % shards)], pa.int32()), pa.array([part.tobytes()]), pa.array([int(dim)], pa.int32()), pa.array([packed(matrix[k : k + most])])],
                         ["shard", "ids", "dim", "vectors"],
                     )
 
@@ -51,6 +98,8 @@ def blocks(rows: DataFrame, shards: int, most: int) -> DataFrame:
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k highest scores of a row, ties to smaller ids: all above the k-th score, then the smallest at it."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(scores)), key=lambda j: (-scores[j], ids[j]))[:k], int)
     if len(scores) > k:
         least = np.partition(scores, len(scores) - k)[len(scores) - k]
         at = np.flatnonzero(scores >= least)
@@ -59,22 +108,40 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
-def tiles(pairs: DataFrame, k: int) -> DataFrame:
-    """The lists of each task: query_id, vec_id, score."""
+def tiles(pairs: DataFrame, k: int, scale: int) -> DataFrame:
+    """The lists of each task: query_id, vec_id, score, beyond."""
+
+    def unpacked(raw: bytes, n: int, dim: int) -> tuple[np.ndarray, np.ndarray]:
+        """The components before and after scaling; where all fit 32 bits, both are the scaled ones."""
+        if len(raw) == 4 * n * dim:
+            y = np.frombuffer(raw, np.int32).reshape(n, dim).astype(np.float64)
+            return y, y
+        x = np.frombuffer(raw, np.float64).reshape(n, dim)
+        with np.errstate(over="ignore"):
+            return x, np.floor(x * scale)
+
+    def rows_of_scores(q: tuple[np.ndarray, np.ndarray], c: tuple[np.ndarray, np.ndarray], ids: np.ndarray, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, exact scores) of each query, all of them or all that can count, in whichever numbers hold them."""
+        a, b = q[1], c[1]
+        most_a, most_b = (float(np.abs(x).max()) if x.size else 0.0 for x in (a, b))
+        with np.errstate(over="ignore"):
+            bound = np.float64(most_a) * most_b * a.shape[1]
+        if bound < 2**53:  # exact in double
+            yield from ((ids, row.astype(np.int64)) for row in a @ b.T)
+        elif bound < 2**62 and max(most_a, most_b) < 2**62:
+            yield from ((ids, row) for row in a.astype(np.int64) @ b.astype(np.int64).T)
+        else:
+            yield from ((ids[at], s) for at, s in large_scores(q, c, own, k, scale))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             for q_ids, q, c_ids, c, dim in zip(*[batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("q_ids", "q_vectors", "ids", "vectors", "dim")], strict=True):
                 queries, ids = np.frombuffer(q_ids, np.int64), np.frombuffer(c_ids, np.int64)
-                a = np.frombuffer(q, np.int32).reshape(len(queries), dim).astype(np.float64)
-                b = np.frombuffer(c, np.int32).reshape(len(ids), dim).astype(np.float64)
-                scores = a @ b.T  # exact in double: sums stay below 2**53 for up to 32 components of 2**24, checked here
-                if dim and len(a) and len(b) and np.abs(a).max() * np.abs(b).max() * dim >= 2**53:
-                    scores = a.astype(np.int64) @ b.astype(np.int64).T
-                for query, row in zip(queries.tolist(), scores, strict=True):
-                    other = ids != query
-                    s, i = row[other].astype(np.int64), ids[other]
+                scores = rows_of_scores(unpacked(q, len(queries), dim), unpacked(c, len(ids), dim), ids, queries[:, None] == ids[None, :])
+                for query, (i, s) in zip(queries.tolist(), scores, strict=True):
+                    other = i != query
+                    s, i = s[other], i[other]
                     at = best(s, i, k)
                     s, i = s[at], i[at]
                     if query in lists:
@@ -89,17 +156,19 @@ def tiles(pairs: DataFrame, k: int) -> DataFrame:
 
     def flat(lists: dict[int, tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         n = [len(s) for s, _ in lists.values()]
-        join = lambda k: np.concatenate([x[k] for x in lists.values()]) if lists else np.zeros(0, np.int64)
+        ids = np.concatenate([x[1] for x in lists.values()]) if lists else np.zeros(0, np.int64)
+        scores = [beyond(int(x)) for s, _ in lists.values() for x in s.tolist()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(np.array([*lists], dtype=np.int64), n)), pa.array(join(1)), pa.array(join(0))], ["query_id", "vec_id", "score"]
-        )
+            [pa.array(np.repeat(np.array([*lists], dtype=np.int64), n)), pa.array(ids), pa.array([x for x, _ in scores], pa.int64()), pa.array([x for _, x in scores], pa.binary())],
+            ["query_id", "vec_id", "score", "beyond"],
+        )
 
-    return pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+    return pairs.mapInArrow(run, "query_id long, vec_id long, score long, beyond binary")
 
 
 def merged(lists: DataFrame, k: int, groups: int = 16) -> DataFrame:
     """Top k per query of many lists, in two rounds."""
-    order = [F.col("score").desc(), F.col("vec_id")]
+    order = [F.col("score").desc(), F.col("beyond").desc(), F.col("vec_id")]
     first = Window.partitionBy("query_id", "_group").orderBy(*order)
     lists = lists.withColumn("_group", F.pmod(F.xxhash64("vec_id"), F.lit(groups))).withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= k)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*order))
@@ -111,14 +180,18 @@ def exact_top_k(vectors: DataFrame, *, every: int = 100, k: int = 10, scale: int
 
     Vectors that are null, or hold a null or a component that is not finite, take no part, nor do rows without an id. Only
     vectors of equal length are compared. Rows with the query's own id are never its results; of several queries with
-    one id, the smallest vector counts. Repeated candidate rows each count.
+    one id, the smallest vector counts. Repeated candidate rows each count. All finite vectors take part, and ranks follow
+    the exact scores; a score beyond a long is given as the nearest of -(2**63 - 1) and 2**63 - 1.
     """
-    rows = vectors.select("vec_id", scaled(F.col("embedding"), scale).alias("v")).filter("vec_id is not null and v is not null")
+    rows = vectors.filter(F.col("vec_id").isNotNull() & finite(F.col("embedding"))).select("vec_id", F.col("embedding").alias("v"))
     rows = materialise(rows, "vectors")
-    queries = rows.filter(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    numbers = F.transform("v", lambda x: F.floor(x.cast("double") * scale).cast("double"))
+    numbers = F.transform(F.arrays_zip(numbers.alias("y"), F.col("v").alias("x")), lambda p: F.when(F.abs(p["x"].cast("double") * scale) < float(2**53), p["y"]).otherwise(p["x"].cast("double") * scale))
+    least = F.min(F.struct(numbers.alias("y"), F.col("v")))
+    queries = rows.filter(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(least.alias("_l")).select("vec_id", F.col("_l.v").alias("v"))
     shards = max(1, -(-rows.count() // block))
-    q = blocks(queries, 1 << 30, block // 4).select(F.col("ids").alias("q_ids"), F.col("dim").alias("q_dim"), F.col("vectors").alias("q_vectors"))
+    q = blocks(queries, 1 << 30, block // 4, scale).select(F.col("ids").alias("q_ids"), F.col("dim").alias("q_dim"), F.col("vectors").alias("q_vectors"))
     q = q.select("*", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    c = blocks(rows, shards, block)
+    c = blocks(rows, shards, block, scale)
     pairs = c.join(q, (c.shard == q.shard) & (c.dim == q.q_dim)).select("q_ids", "q_vectors", "ids", "vectors", "dim")
-    return merged(tiles(pairs, k), k)
+    return merged(tiles(pairs, k, scale), k)

@@ -268,6 +268,22 @@ def test_top_k(spark):
     assert topk.exact_top_k(big).first().score == 64 * (16000 * 1024) ** 2
 
 
+def test_top_k_large(spark):
+    """Every finite vector takes part, however large; ranks follow exact scores beyond 2**63."""
+    rng = np.random.default_rng(2)
+    sizes = [1.0, 3e4, 2e6, 1e12, 1e30, 3e38, 1e306]
+    rows = [(i, [float(x) for x in rng.normal(size=4) * sizes[i % 7]]) for i in range(210)]
+    rows += [(500 + i, [1e20, 1.0 + i, 0.0, 0.0]) for i in range(30)] + [(1000, [1e15, 1e6, 0.0, 0.0]), (1100, [2e4] * 4), (1200, [2e4] * 4)]
+    exact = {i: [int(np.floor(x * 1024)) if abs(x) < 1e300 else int(x) * 1024 for x in v] for i, v in rows}
+    plain = []
+    for q in (i for i in exact if i % 100 == 0):
+        top = sorted((-sum(a * b for a, b in zip(exact[q], w, strict=True)), i) for i, w in exact.items() if i != q)[:10]
+        plain += [(q, r, i, max(min(-s, 2**63 - 1), 1 - 2**63)) for r, (s, i) in enumerate(top, 1)]
+    for block in (16, 4096):
+        got = topk.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=block)
+        assert sorted(plain) == sorted(map(tuple, got.collect()))
+
+
 def plain_fingerprint(text):
     low = (text or "").translate({c: c + 32 for c in range(65, 91)})
     w = split(low)
