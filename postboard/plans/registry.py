@@ -556,7 +556,10 @@ def page_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as evidence corpora: turns of one role are a position's bullets, system-like rest are projects."""
+    """Conversations as evidence corpora: turns of one role are a position's bullets, system-like rest are projects.
+
+    A whole conversation is one row: only for prompts, each of which must fit one row anyway.
+    """
     c = tb.table(spark, sf_dir, "conversations").filter("text is not null")
     bullets = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text", "role"))), lambda x: F.struct(x["text"].alias("text"), F.array(x["role"]).alias("evidences")))
     roles = c.groupBy("conv_id", "role").agg(bullets.alias("bullets"))
@@ -569,18 +572,32 @@ def corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def flat_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evidence units of `corpora`, numbered on the flat turns: no row or task holds a whole conversation."""
+    c = tb.table(spark, sf_dir, "conversations").filter("text is not null").select("conv_id", "role", "turn", "text")
+    n = ranking.global_row_number(c, [F.col(x) for x in ("conv_id", "role", "turn", "text")], "_n")
+    first = n.groupBy(F.col("conv_id").alias("_conv"), F.col("role").alias("_role")).agg(F.min("_n").alias("_first"))
+    n = n.join(first, n["conv_id"].eqNullSafe(first["_conv"]) & n["role"].eqNullSafe(first["_role"]))
+    bullets = n.select(
+        "conv_id", F.concat_ws(":", "role", F.lit("2024"), (F.col("_n") - F.col("_first")).cast("string")).alias("unit_id"),
+        F.format_string("Speaker at %s (2024)", "role").alias("source"), "text", F.array("role").alias("evidences"),
+    )
+    projects = c.select("conv_id").distinct().select("conv_id", F.lit("project:p").alias("unit_id"), F.lit("project p").alias("source"), F.lit("built").alias("text"), F.array(F.lit("project")).alias("evidences"))
+    return bullets.unionByName(projects)
+
+
 UNITS_SQL = """u AS (SELECT conv_id, role || ':2024:' || (row_number() OVER (PARTITION BY conv_id, role ORDER BY turn, text) - 1) AS unit_id, 'Speaker at ' || role || ' (2024)' AS source, text, role, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn, text) AS b FROM conversations WHERE text IS NOT NULL)"""
 
 
 @query(f"WITH {UNITS_SQL} SELECT conv_id, unit_id, source, text FROM u UNION ALL SELECT DISTINCT conv_id, 'project:p', 'project p', 'built' FROM u")
 def evidence_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus.evidence_units(corpora(spark, sf_dir), "conv_id").select("conv_id", "unit_id", "source", "text")
+    return flat_units(spark, sf_dir).select("conv_id", "unit_id", "source", "text")
 
 
 @query(f"""WITH {UNITS_SQL}, n AS (SELECT role AS family, count(*) AS n FROM u GROUP BY role UNION ALL SELECT 'project', count(DISTINCT conv_id) FROM u)
   SELECT family, coalesce(n, 0) AS n FROM (SELECT unnest(['user', 'assistant', 'project', 'nobody']) AS family) LEFT JOIN n USING (family)""")
 def family_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus.coverage(corpus.evidence_units(corpora(spark, sf_dir), "conv_id"), ["user", "assistant", "project", "nobody"])
+    return corpus.coverage(flat_units(spark, sf_dir), ["user", "assistant", "project", "nobody"])
 
 
 @query(f"""WITH {UNITS_SQL}, l AS (SELECT conv_id, string_agg('- [' || source || '] ' || text, chr(10) ORDER BY role, b) AS lines FROM u GROUP BY conv_id)
