@@ -2,9 +2,12 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -356,27 +359,82 @@ def test_vantage_tree_finds_all():
         assert [tree.root(i) for i in a] == [brute.root(i) for i in a]
 
 
+def main_of(page, scores=None):
+    return html_tree.chosen(html_tree.parsed(page, scores)).split("\n")
+
+
 def test_html():
     page = """<!doctype html><html><head><title>T</title></head><body class=home><nav><a href=/>Home</a></nav><header>Site</header>
     <div class="ad-box">Buy</div><article class=post><header><h1>Big &amp; bold</h1></header><p>One <b>two<i> three</b>
       four&nbsp;&#233;<p>Five<br>six<!-- no --><script>var x = "</p>";</script><ul><li>a<li>b</ul><form>name <input></form>
     <section id="comments"><p>reader</p></section></article><aside>More</aside><footer>&copy;</footer>"""
-    assert html_tree.chosen(html_tree.blocks(page), frozenset(), 0.6).split("\n") == ["Big & bold", "One two three four é", "Five six", "a", "b"]
-    for broken in ("", "<", "<p", "a < b", "</p></div>text", "<script>never closed", "<p class='x>y</p>", "<b><p>x</b>y"):
-        html_tree.blocks(broken)
-    assert html_tree.chosen(html_tree.blocks("plain words"), frozenset(), 0.6) == "plain words"
+    assert main_of(page) == ["Big & bold", "One two three four é", "Five six", "a", "b"]
+    for broken in ("", "<", "<p", "a < b", "</p></div>text", "<script>never closed", "<p class='x>y</p>", "<b><p>x</b>y", "<svg><p>x", "<a =>", "<a/b=c'd>"):
+        html_tree.parsed(broken)
+    assert main_of("plain words") == ["plain words"]
+
+
+def test_html_awkward_markup():
+    assert main_of("<html><head><title>T</title><meta charset=x><body><p>One<p>Two") == ["One", "Two"]
+    assert main_of("<head><style>x</style><p>No end of the head</p>") == ["No end of the head"]
+    assert main_of("<head><link>text in it") == ["text in it"]
+    assert main_of("<body class='home has-sidebar'><p title=don't>Odd quote</p><p title='a>b'>c</p>") == ["Odd quote", "c"]
+    assert main_of('<article id="cookie-recipe"><p>Bake <a href=x>all of this</a></p><p>with <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p><p><a href=x>only a link</a></p></article>') == ["Bake all of this", "with x=2", "only a link"]
+    assert main_of('<main><p>A</p><article class="comment"><p>me</p></article><div class="comment-list">you</div></main>') == ["A"]
+    assert main_of("<p>kept</p><p><a href=x>mostly links</a></p><div class=menu>m</div><noscript>plain</noscript>") == ["kept", "plain"]
+    for deep in ("<div>" * 40_000 + "x" + "</div>" * 40_000, "<b>" * 40_000 + "x", "<div><p>" * 20_000 + "x", "<b>" * 20_000 + "x</div>" * 20_000, "</div>" * 40_000 + "x"):
+        began = time.time()
+        assert "x" in main_of(deep)[0] and time.time() - began < 10
+
+
+def site(n):
+    """A site without telling names: a slogan, a menu of one layout with few texts, and stories."""
+    rng = random.Random(n)
+    story = lambda i: "".join(f"<p>Story {i} part {k} {rng.random()}</p>" + "<hr>" * rng.randint(0, 1) for k in range(rng.randint(1, 6)))
+    menu = lambda i: f"<div class=x><ul><li>One {i % 7}</li><li>Two</li></ul></div>"
+    return [(i, f"http://h.com/{i}", f"<body><div class=slogan>We sell things</div>{menu(i)}<div class=s>{story(i)}<div class=tail>The end</div></div><div class=x>Small print {i % 9}</div></body>") for i in range(n)]
+
+
+PAGES = "page_id long, url string, html string"
 
 
 def test_html_style_tree(spark):
     rows = [(i, f"http://h.com/{i}", f"<body><div class=slogan>We sell things</div><div class=text><p>Story {i}</p><p>More {i}</p></div></body>") for i in range(8)]
-    rows += [(100 + i, "http://one.com/", "<body><p>Same</p></body>") for i in range(9)] + [(200, None, None), (201, "no url", "<p>x</p>")]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    rows += [(100 + i, "http://one.com/", "<body><p>Same</p></body>") for i in range(9)] + [(200, None, None), (201, "no url", "<p>x</p>"), (None, "http://n.org", "<p>y</p>")]
+    df = spark.createDataFrame([(*r, "more") for r in rows], PAGES + ", scores string")
     got = {r.page_id: r for r in html_tree.main_text(df).collect()}
-    assert got[3].text == "Story 3\nMore 3" and got[3].n_chars == 14
-    assert got[104].text == "Same" and got[200].text == "" and got[200].url is None and got[201].text == "x"
+    assert got[3].text == "Story 3\nMore 3" and got[3].n_chars == 14 and len(got) == len({r[0] for r in rows})
+    assert got[104].text == "Same" and got[200].text == "" and got[200].url is None and got[201].text == "x" and got[None].text == "y"
     assert html_tree.main_text(df.limit(0)).count() == 0
 
 
+def test_html_planted_boilerplate(spark):
+    """Nothing but the tree can tell; without it the boilerplate stays."""
+    df = spark.createDataFrame(site(60), PAGES)
+    got, off = ({r.page_id: r.text for r in html_tree.main_text(df, use_tree=x).collect()} for x in (True, False))
+    for i, _, page in site(60):
+        assert got[i].split("\n") == re.findall(r"Story[^<]*", page)
+        assert {"We sell things", "The end", f"One {i % 7}", f"Small print {i % 9}"} <= {*off[i].split("\n")}
+
+
+def test_html_entropies(spark):
+    """The merged tree against plain counts over the distinct pages."""
+    rows = site(30) + [(900 + i, "http://h.com/x", site(30)[0][2]) for i in range(5)] + [(950, "http://two.com", "<p>a</p>"), (951, "http://two.com", "<p>b</p><p>c</p>")]
+    tree = html_tree.style_tree(html_tree.nodes_of(html_tree.keyed(spark.createDataFrame(rows, PAGES))))
+    counts, pages = {}, {}
+    for _, url, page in rows:
+        p = html_tree.parsed(page)
+        pages.setdefault((url.split("/")[2], p.digest), p)
+    for (host, _), p in pages.items():
+        for path, digests in p.nodes.items():
+            for k, x in enumerate(digests):
+                counts.setdefault((host, path - 2**63), [Counter(), Counter(), Counter()])[k][x] += 1
+    entropy = lambda c: -sum(n / c.total() * math.log(n / c.total()) for n in c.values())
+    plain = {key: (c[2].total(), entropy(c[2]) / math.log(c[2].total()) if c[2].total() > 1 else 1.0, 1 - math.exp(-entropy(c[1])), 1 - math.exp(-entropy(c[0]))) for key, c in counts.items()}
+    got = {(r.host, r.path): (r.pages, r.contents, r.branch, r.layout) for r in tree.collect()}
+    assert {*got} == {*plain} and all(got[k] == pytest.approx(plain[k], abs=1e-9) for k in got)
+
+
 def test_toxicity(spark):
     rng = random.Random(2)
     w = lambda n: [f"{a}{b}" for a, b in zip(rng.choices("ab cd ef gh kl mn".split(), k=n), rng.choices("ou ai ei au".split(), k=n), strict=True)]
