@@ -1,16 +1,20 @@
-"""Toxicity by a weighted grammar of word classes.
-
-Small transducers map words to classes: insult, threat, target, negation and reported speech. Their composition reads a
-clause and gives its pattern, the set of classes that a clause with an insult or a threat holds. Insults (words and word
-beginnings) are learned from labelled documents; so is the weight of each pattern, which decides how much a negated or
-reported insult still counts. A document's score combines its matched clauses; words outside a matched clause count nothing.
+"""Toxicity by a weighted grammar of finite-state transducers over word classes.
+
+A lexical transducer maps words to classes: insult, threat, target, negation, reported speech, filler and other. Three
+machines read the classes of a clause in order. The first marks an insult or threat as negated when a negation stands
+before it with only fillers between (a negated target is none). The second marks those after a verb of reported speech.
+The third accepts an insult alone, or an insult or threat with a target within reach before or after it; its final state
+names the pattern. The machines are composed into one table once. A clause's score is that of its best path: the weight
+of the insult or threat times the weight of the pattern. Insults (words and word beginnings) and pattern weights are
+learned from labelled documents; negated and reported patterns never weigh as much as plain ones. A document's score
+combines its matched clauses; words outside a matched clause count nothing.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -25,10 +29,104 @@ TARGETS = frozenset("you your yourself u he she they them him her du dich dir de
 NEGATIONS = frozenset("not no never neither nor without isn't aren't wasn't don't doesn't nicht kein keine keinen nie niemals ne pas jamais aucun aucune sans nunca jamás ni tampoco ningún ninguna sin".split())
 REPORTS = frozenset("said says say wrote writes quoted quotes claimed claims reported called sagte sagt schrieb behauptet zitierte dit disait écrit déclaré rapporte dijo dice escribió afirmó citó".split())
 THREATS = frozenset("kill murder destroy hurt shoot stab strangle beat töten umbringen erschießen vernichten zerstören tuer tuerai assassiner égorger détruire matar mataré asesinar destruir golpear".split())
+FILLERS = frozenset("a an the that this such some any be is are am was were been so very really quite totally bin bist ist sind ein eine einen der die das so sehr es est suis êtes sont un une le la les si très eres son sea el los las una tan muy".split())
 WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[.!?;:\n]")
+END = "."
 CLAUSE_END = frozenset(".!?;:\n")
-CLASSES = (("T", TARGETS), ("N", NEGATIONS), ("R", REPORTS), ("H", THREATS))
-STEMS = range(4, 9)
+CLASSES = (("T", TARGETS), ("N", NEGATIONS), ("R", REPORTS), ("H", THREATS), ("F", FILLERS), (END, CLAUSE_END))
+#: Symbols of the machines: classes in; marked insults and threats between (small: negated; J, K: reported).
+ALPHABET, STEMS = "OFTNRIH", range(4, 9)
+NEGATED, REPORTED = {"I": "i", "H": "h"}, {"I": "J", "i": "j", "H": "K", "h": "k"}
+#: How many fillers may stand after a negation, and other words between a target and its insult or threat.
+FILLER_REACH, BEFORE, AFTER = 3, 6, 3
+#: Weight of a pattern before learning, and the most that a negated or reported one may have of its plain form's.
+PRIORS, PRIOR_NEGATED, PRIOR_REPORTED, MOST_MARKED = {"TI": 0.9, "IT": 0.85, "I": 0.6, "HT": 0.9, "TH": 0.4}, 0.15, 0.35, 0.9
+
+State = tuple[object, ...]
+#: A machine's arcs from a state by a symbol: the next state and what is put out.
+Arcs = Callable[[State, str], list[tuple[State, str]]]
+
+
+def negation(q: State, x: str) -> list[tuple[State, str]]:
+    """State: how many more words the negation reaches over."""
+    (left,) = q
+    if x == "N":
+        return [((FILLER_REACH + 1,), "O")]
+    if x == "F":
+        return [((max(0, left - 1),), "O")]
+    return [((0,), "O" if left and x == "T" else NEGATED.get(x, x) if left else x)]
+
+
+def report(q: State, x: str) -> list[tuple[State, str]]:
+    """State: whether a verb of reported speech was read."""
+    if x == "R":
+        return [((1,), "O")]
+    return [(q, REPORTED.get(x, x) if q[0] else x)]
+
+
+def clause(q: State, x: str) -> list[tuple[State, str]]:
+    """Finds a pattern, in any way it can: each path picks one insult or threat and, where it likes, one target."""
+    kind, *rest = q
+    if kind == "end":  # a pattern was found
+        return [(q, "")]
+    if kind == "start":
+        out = [(q, "")]
+        if x == "T":
+            out.append((("target", BEFORE), ""))
+        elif x in "IiJj":
+            out += [(("end", x), "weight"), (("open", x, AFTER), "weight")]
+        elif x in "HhKk":
+            out.append((("open", x, AFTER), "weight"))
+        return out
+    if kind == "target":
+        if x in "IiJjHhKk":
+            return [(("end", "T" + x), "weight")]
+        return [(("target", rest[0] - 1), "")] if rest[0] else []
+    if x == "T":
+        return [(("end", rest[0] + "T"), "")]
+    return [(("open", rest[0], rest[1] - 1), "")] if rest[1] else []
+
+
+MACHINES: tuple[tuple[Arcs, State], ...] = ((negation, (0,)), (report, (0,)), (clause, ("start",)))
+
+
+def composed() -> tuple[list[list[list[tuple[int, bool]]]], dict[int, str]]:
+    """The machines as one: arcs by state and symbol (next state, whether the word's weight counts), and final states.
+
+    State 0 is the start. Only states that can be reached are made.
+    """
+    start = tuple(q for _, q in MACHINES)
+    number, table, todo = {start: 0}, [], [start]
+    for states in todo:  # grows on the way
+        row = []
+        for symbol in ALPHABET:
+            ways: list[tuple[tuple[State, ...], str]] = [((), symbol)]
+            for (arcs, _), q in zip(MACHINES, states, strict=True):
+                ways = [((*done, after), y) for done, x in ways for after, y in arcs(q, x)]
+            for after, _ in ways:
+                if after not in number:
+                    number[after] = len(number)
+                    todo.append(after)
+            row.append([(number[after], y == "weight") for after, y in ways])
+        table.append(row)
+    return table, {k: q[-1][1] for q, k in number.items() if q[-1][0] == "end"}
+
+
+TABLE, FINAL = composed()
+
+
+def plain_form(pattern: str) -> tuple[str, bool, bool]:
+    """The pattern without marks, and whether it was negated and reported."""
+    plain = pattern.translate(str.maketrans("iJjhKk", "IIIHHH"))
+    return plain, any(c in "ijhk" for c in pattern), any(c in "JjKk" for c in pattern)
+
+
+def prior_of(pattern: str) -> float:
+    plain, negated, reported = plain_form(pattern)
+    return PRIORS[plain] * (PRIOR_NEGATED if negated else 1.0) * (PRIOR_REPORTED if reported else 1.0)
+
+
+PATTERNS = sorted({*FINAL.values()})
 
 
 @dataclass
@@ -36,40 +134,56 @@ class Grammar:
     """`lexicon` has learned insults: a word, or a beginning followed by `*`, with its weight (0 to 1)."""
 
     lexicon: dict[str, float]
-    patterns: dict[str, float] = field(default_factory=dict)
-    default: float = 0.8
+    patterns: dict[str, float] = field(default_factory=lambda: {p: prior_of(p) for p in PATTERNS})
     cache: dict[str, tuple[str, float]] = field(default_factory=dict)
 
     def arc(self, word: str) -> tuple[str, float]:
-        """Class and weight of a word; the empty class for words that the grammar passes over."""
-        if (found := self.cache.get(word)) is None:
-            weight = max([self.lexicon.get(word, 0.0), *(self.lexicon.get(word[:k] + "*", 0.0) for k in STEMS if k <= len(word))])
-            found = ("I", weight) if weight else next(((c, 1.0) for c, of in CLASSES if word in of), ("", 0.0))
-            if len(self.cache) > 200_000:
-                self.cache.clear()
-            self.cache[word] = found
+        """The lexical transducer: class and weight of a word."""
+        weight = max([self.lexicon.get(word, 0.0), *(self.lexicon.get(word[:k] + "*", 0.0) for k in STEMS if k <= len(word))])
+        found = ("I", weight) if weight else next(((c, 1.0) for c, of in CLASSES if word in of), ("O", 1.0))
+        if len(self.cache) > 200_000:
+            self.cache.clear()
+        self.cache[word] = found
         return found
 
+    def found(self, arcs: list[tuple[str, float]]) -> dict[str, float]:
+        """The greatest weight of the insult or threat over all paths to each pattern."""
+        now = {0: 1.0}
+        for symbol, weight in arcs:
+            k, after = ALPHABET.index(symbol), {}
+            for q, w in now.items():
+                for to, counts in TABLE[q][k]:
+                    value = w * weight if counts else w
+                    if value > after.get(to, 0.0):
+                        after[to] = value
+            now = after
+        best: dict[str, float] = {}
+        for q, w in now.items():
+            if q in FINAL:
+                best[FINAL[q]] = max(w, best.get(FINAL[q], 0.0))
+        return best
+
     def clauses(self, text: str) -> list[tuple[str, float]]:
-        """(pattern, weight of its strongest insult or threat) of each matched clause."""
-        out, seen, weight = [], set(), 0.0
-        for word in [*WORD.findall(text.lower()), "."]:
-            if word in CLAUSE_END:
-                if weight and ("I" in seen or "T" in seen):  # a threat needs a target
-                    out.append(("".join(sorted(seen)), weight))
-                seen, weight = set(), 0.0
-            else:
-                kind, w = self.arc(word)
-                if kind:
-                    seen.add(kind)
-                    if kind in "IH":
-                        weight = max(weight, w)
+        """(pattern, score) of the best path of each clause that matches; clauses without insult or threat cannot."""
+        cache = self.cache
+        arcs = [cache.get(w) or self.arc(w) for w in WORD.findall(text.lower())]
+        at, out = [k for k, (c, _) in enumerate(arcs) if c in "IH"], []
+        if not at:
+            return out
+        ends = [-1, *(k for k, (c, _) in enumerate(arcs) if c == END), len(arcs)]
+        i = 0
+        for a, b in zip(ends, ends[1:], strict=False):
+            if i < len(at) and at[i] < b:
+                while i < len(at) and at[i] < b:
+                    i += 1
+                if best := self.found(arcs[a + 1 : b]):
+                    out.append(max(((p, w * self.patterns[p]) for p, w in best.items()), key=lambda x: (x[1], x[0])))
         return out
 
     def score(self, text: str | None, base: float = 0.02) -> float:
         clean = 1 - base
-        for pattern, weight in self.clauses(text or ""):
-            clean *= 1 - self.patterns.get(pattern, self.default) * weight
+        for _, weight in self.clauses(text or ""):
+            clean *= 1 - weight
         return 1 - clean
 
 
@@ -115,12 +229,23 @@ def learn_lexicon(sample: DataFrame, least: int, precision: float, max_entries:
     return {r["entry"]: r["weight"] for r in kept.orderBy(F.desc("bad"), "entry").limit(max_entries).collect()}
 
 
+def learned_patterns(counts: dict[str, tuple[int, int]], strength: float) -> dict[str, float]:
+    """Weight of each pattern from (toxic, all) documents with it; few documents leave it near its prior. A negated or
+    reported pattern gets a share of its plain form's weight at most, once for each mark."""
+    raw = {p: (counts.get(p, (0, 0))[0] + prior_of(p) * strength) / (counts.get(p, (0, 0))[1] + strength) for p in PATTERNS}
+    out = {}
+    for p in PATTERNS:
+        plain, negated, reported = plain_form(p)
+        out[p] = min(raw[p], raw[plain] * MOST_MARKED ** (negated + reported))
+    return out
+
+
 def fit(
-    docs: DataFrame, labels: DataFrame, *, max_rows: int = 40_000, least: int = 6, precision: float = 0.9, max_entries: int = 20_000, prior: float = 0.8, strength: float = 5.0
+    docs: DataFrame, labels: DataFrame, *, max_rows: int = 40_000, least: int = 6, precision: float = 0.9, max_entries: int = 20_000, strength: float = 5.0
 ) -> Grammar:
     """Learn the insults and the weight of each clause pattern; without labels the grammar knows threats alone."""
     sample = labelled(docs, labels, max_rows)
-    grammar = Grammar(learn_lexicon(sample, least, precision, max_entries), default=prior)
+    grammar = Grammar(learn_lexicon(sample, least, precision, max_entries))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter[tuple[str, int]] = Counter()
@@ -130,7 +255,7 @@ def fit(
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.int32()), pa.array([*n.values()], pa.int64())], ["pattern", "toxic", "n"])
 
     rows = sample.mapInArrow(run, "pattern string, toxic int, n long").groupBy("pattern").agg(F.sum(F.col("n") * F.col("toxic")).alias("bad"), F.sum("n").alias("n")).collect()
-    grammar.patterns = {r["pattern"]: (r["bad"] + prior * strength) / (r["n"] + strength) for r in rows}
+    grammar.patterns = learned_patterns({r["pattern"]: (r["bad"], r["n"]) for r in rows}, strength)
     grammar.cache = {}
     return grammar
 

@@ -452,10 +452,52 @@ def test_toxicity(spark):
     assert got[900].score == got[901].score < 0.1
     assert {r.doc_id for r in toxicity.reject_toxic(df, grammar).collect()} == {i for i, t in labels if not t} | {900, 901}
     none = toxicity.fit(df, marks.limit(0))
-    assert none.score("I will kill you") >= 0.7 and none.score("they kill time") >= 0.7 and none.score("nice day") < 0.1
+    assert none.score("I will kill you") >= 0.7 and none.score("they kill time") < 0.7 and none.score("nice day") < 0.1
     assert none.score("kill the lights. you see") < 0.1  # threat and target in different clauses
 
 
+def test_toxicity_order_and_reach():
+    g = toxicity.Grammar({"idiot": 1.0})
+    pattern = lambda text: [p for p, _ in g.clauses(text)]
+    assert pattern("You are an idiot") == ["TI"] and pattern("Idiot, not you") == ["I"] and pattern("idiot, you") == ["IT"]
+    assert pattern("You are not an idiot") == ["Ti"] and pattern("Not now, you are an idiot") == ["TI"] and pattern("Du bist kein idiot") == ["Ti"]
+    assert pattern("He said you are an idiot") == ["TJ"] and pattern("You are an idiot, he said") == ["TI"] and pattern("She wrote: you idiot") == ["TI"]
+    assert pattern("I will kill you.") == ["HT"] and pattern("I will never kill you") == ["hT"] and pattern("kill time. you") == [] and pattern("you one two three four five six seven idiot") == ["I"]
+    plain, negated, reported, alone = (g.score(x) for x in ("you are an idiot", "you are not an idiot", "he said you are an idiot", "one idiot"))
+    assert negated < reported < alone < plain and plain >= 0.7 > alone and g.score("idiot idiot idiot") == alone
+    counts = {p: (1000, 1000) for p in toxicity.PATTERNS}
+    learned = toxicity.learned_patterns(counts, 5.0)
+    assert learned["Ti"] < learned["TI"] and learned["TJ"] < learned["TI"] and learned["j"] < learned["i"] < learned["I"] and min(learned.values()) > 0.7
+
+
+def all_paths(arcs):
+    """Every path through the three machines one after the other, none composed: pattern and weight of each."""
+    marked, q, r = [], (0,), (0,)
+    for x, w in arcs:
+        (q, x), = toxicity.negation(q, x)
+        (r, x), = toxicity.report(r, x)
+        marked.append((x, w))
+
+    def walk(state, k, weight):
+        if k == len(marked):
+            return [(state[1], weight)] if state[0] == "end" else []
+        x, w = marked[k]
+        return [y for after, out in toxicity.clause(state, x) for y in walk(after, k + 1, weight * w if out == "weight" else weight)]
+
+    return walk(("start",), 0, 1.0)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("OFTNRIIHT"), st.sampled_from([0.25, 0.5, 1.0])), max_size=9))
+def test_toxicity_composition(arcs):
+    """Best weights of the composed machine, against all paths."""
+    arcs = [(x, w if x in "IH" else 1.0) for x, w in arcs]
+    plain = {}
+    for pattern, weight in all_paths(arcs):
+        plain[pattern] = max(weight, plain.get(pattern, 0.0))
+    assert toxicity.Grammar({}).found(arcs) == plain
+
+
 def test_held_out(spark):
     got = spark.range(100).select("id", held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in got)
