@@ -1,15 +1,18 @@
 """Best-fit packing of token sequences by exact complements.
 
 Documents become pieces of at most `capacity` tokens. Only the number of pieces of each length matters for the plan,
-so the plan is made from a histogram of at most `capacity` entries: combinations of one, two, three or four lengths
-that fill a sequence exactly are consumed as often as the counts allow, then best fit places what is left. Each step of
-the plan stands for many equal sequences, and Spark deals the pieces out to the plan's slots by rank within a length.
+so the plan is made from a histogram of at most `capacity` entries: the gap that a long piece leaves is looked up among
+the single lengths and the sums of two and three, combinations that fill it exactly are consumed as often as the counts
+allow, and best fit places the rest. Short pieces spent early on exact sums can be missing later, so several
+plans are made and the one with the fewest sequences is taken. Each step of a plan stands for many equal sequences, and Spark deals the
+pieces out to the plan's slots by rank within a length.
 """
 
 from __future__ import annotations
 
 import json
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -70,64 +73,99 @@ def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFra
     return docs.select("doc_id", "text").mapInArrow(run, PIECE_SCHEMA)
 
 
-def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+Plan = list[tuple[tuple[int, ...], int]]
+
+
+def take(left: dict[int, int], pattern: tuple[int, ...], out: Plan) -> None:
+    """Use a pattern as often as the counts allow."""
+    need = Counter(pattern)
+    times = min(left[n] // k for n, k in need.items())
+    out.append((pattern, times))
+    for n, k in need.items():
+        left[n] -= times * k
+        if not left[n]:
+            del left[n]
+
+
+def exact(left: dict[int, int], gap: int, most: int, biggest: int) -> tuple[int, ...] | None:
+    """`most` lengths, in falling order and none above `biggest`, that fill the gap; the first ones as long as can be."""
+    if most == 1:
+        return (gap,) if gap <= biggest and left.get(gap, 0) > 0 else None
+    for a in sorted((n for n, c in left.items() if c and n <= biggest and n < gap <= n * most), reverse=True):
+        left[a] -= 1
+        rest = exact(left, gap - a, most - 1, a)
+        left[a] += 1
+        if rest:
+            return (a, *rest)
+    return None
+
+
+def pairs(left: dict[int, int], capacity: int, out: Plan) -> None:
+    """Two lengths that fill a sequence: no plan with them apart is better."""
+    for n in sorted(left, reverse=True):
+        if n in left and capacity - n in left and (2 * n != capacity or left[n] > 1):
+            take(left, (n, capacity - n), out)
+
+
+def best_fit(left: dict[int, int], capacity: int) -> Plan:
+    """From the longest down, each piece goes into the fullest open sequence with room for it, many equal ones at once."""
+    rooms: dict[int, Plan] = {}
+    for n in sorted(left, reverse=True):
+        c = left[n]
+        while c:
+            room = min((r for r in rooms if r >= n), default=None)
+            if room is None:
+                each = min(capacity // n, c)
+                rooms.setdefault(capacity - each * n, []).append(((n,) * each, c // each))
+                c -= c // each * each
+                continue
+            pattern, times = rooms[room].pop()
+            used = min(c, times)
+            if used < times:
+                rooms[room].append((pattern, times - used))
+            if not rooms[room]:
+                del rooms[room]
+            rooms.setdefault(room - n, []).append(((*pattern, n), used))
+            c -= used
+    return [x for group in rooms.values() for x in group]
+
+
+def longest_first(left: dict[int, int], capacity: int, out: Plan) -> None:
+    """The longest piece's gap is filled exactly by one, two or three others, else by the longest that fit, in turn."""
+    while left:
+        long = max(left)
+        gap = capacity - long
+        left[long] -= 1
+        found = next((x for most in (1, 2, 3) if (x := exact(left, gap, most, long))), None)
+        if not found:
+            rest = []
+            for n in sorted(left, reverse=True):
+                k = min(left[n], gap // n)
+                rest += [n] * k
+                gap -= n * k
+            found = tuple(rest)
+        left[long] += 1
+        take(left, (long, *found), out)
+
+
+def plan(counts: dict[int, int], capacity: int) -> Plan:
     """Patterns of lengths and how many sequences follow each, for pieces counted by length (full ones left out).
 
-    Lengths are taken from the longest down. The gap that a length leaves is filled exactly by one other length, a pair
-    or a triple, if their counts last; each use takes as many as it can, so a pattern ends a length or the gap's
-    partners. What then remains is packed by best fit, again many equal sequences at a time.
+    The best of three: exact pairs, then exact sums from the longest piece down; exact pairs, then best fit; best fit
+    alone. So there are never more sequences than best fit from the longest down makes.
     """
-    left = {n: c for n, c in counts.items() if c > 0 and n < capacity}
-    out: list[tuple[tuple[int, ...], int]] = []
-
-    def take(pattern: tuple[int, ...]) -> int:
-        times = min(left.get(n, 0) // pattern.count(n) for n in set(pattern))
-        if times > 0:
-            out.append((pattern, times))
-            for n in pattern:
-                left[n] -= times
-                if not left[n]:
-                    del left[n]
-        return times
-
-    for most in (2, 3, 4):  # members of a combination, the long piece included
-        for long in sorted(left, reverse=True):
-            gap = capacity - long
-            if most == 2:
-                if gap in left and long in left:
-                    take((long, gap))
-                continue
-            for a in sorted((n for n in left if n <= min(gap, long)), reverse=True):
-                if long not in left:
-                    break
-                if a not in left:
-                    continue
-                rest = gap - a
-                if most == 3:
-                    if 0 < rest <= a and rest in left:
-                        take((long, a, rest))
-                    continue
-                for b in sorted((n for n in left if n <= min(rest, a)), reverse=True):
-                    c = rest - b
-                    if not 0 < c <= b:
-                        if c > b:
-                            break
-                        continue
-                    if c in left and b in left and take((long, a, b, c)) and (long not in left or a not in left):
-                        break
-    while left:  # best fit: the longest piece opens a sequence, the longest that fits goes in next
-        pattern, room, had = [], capacity, dict(left)
-        for n in sorted(left, reverse=True):
-            k = min(had[n], room // n)
-            pattern += [n] * k
-            room -= n * k
-            if not room:
-                break
-        take(tuple(pattern))
-    return out
-
-
-def slots(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:
+    given = {n: c for n, c in counts.items() if c > 0 and n < capacity}
+    plans: list[Plan] = []
+    for way in (lambda left, out: out.extend(best_fit(left, capacity)), lambda left, out: longest_first(left, capacity, out)):
+        left, out = dict(given), []
+        pairs(left, capacity, out)
+        way(left, out)
+        plans.append(out)
+    plans.append(best_fit(given, capacity))
+    return min(plans, key=lambda p: sum(times for _, times in p))
+
+
+def slots(patterns: Plan) -> list[tuple[int, int, int, int, int]]:
     """(length, first rank, number, first sequence, offset): pieces of a length by rank go to sequences in a row."""
     out, sequence, rank = [], 0, {}
     for pattern, times in patterns:

@@ -1,5 +1,6 @@
 """The training-data operators against plain versions on small texts with awkward cases."""
 
+import bisect
 import hashlib
 import itertools
 import math
@@ -127,8 +128,7 @@ def test_packing(spark, docs):
             assert offset == at
             at += length
         assert at <= cap
-    total = sum(r.length for r in got)
-    assert len(by) <= -(-total // cap) + 3
+    assert len(by) <= best_fit_decreasing(Counter(r.length for r in got), cap)
     assert packing.packed(docs.limit(0), PATH).count() == 0
 
 
@@ -153,8 +153,25 @@ def test_packing_plan(counts):
         for n in pattern:
             used[n] += times
     assert used == counts
-    n, total = sum(t for _, t in patterns), sum(k * v for k, v in counts.items())
-    assert n <= 2 * (total // 41) + 1
+    assert sum(t for _, t in patterns) <= best_fit_decreasing(counts, 41)
+
+
+def best_fit_decreasing(counts, capacity):
+    """Piece by piece."""
+    rooms = []
+    for n in sorted((n for n, c in counts.items() for _ in range(c)), reverse=True):
+        at = bisect.bisect_left(rooms, n)
+        room = rooms.pop(at) if at < len(rooms) else capacity
+        bisect.insort(rooms, room - n)
+    return len(rooms)
+
+
+@pytest.mark.parametrize("draw", [lambda r: r.randint(1, 1023), lambda r: min(1023, 1 + int(r.expovariate(1 / 150))), lambda r: min(1023, 1 + int(r.lognormvariate(5.5, 1))), lambda r: r.randint(300, 700), lambda r: min(1023, max(1, int(r.gauss(400, 60))))])
+def test_packing_few_sequences(draw):
+    rng = random.Random(8)
+    counts = Counter(draw(rng) for _ in range(20_000))
+    n, total, large = sum(t for _, t in packing.plan(counts, 1024)), sum(k * v for k, v in counts.items()), sum(v for k, v in counts.items() if k > 512)
+    assert max(-(-total // 1024), large) <= n <= best_fit_decreasing(counts, 1024)
 
 
 def test_language(spark):
