@@ -7,18 +7,18 @@ names the language. A small gap between the two best codewords flags the text as
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postboard.llm.common import hash_share, held_out, rows_of
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def codewords(n: int, extra_bits: int = 24) -> np.ndarray:
@@ -62,13 +62,16 @@ class Model:
         return self.languages[order[0]], float(p[order[0]]), bool(p[order[0]] - p[order[1]] < least_gap)
 
 
-def fit(docs: DataFrame, *, max_rows: int = 20_000, bits: int = 16, smoothing: float = 0.5, sharpness: float = 4.0) -> Model:
-    """Learn from documents with a text and a language that are not held out, about `max_rows` of them by a hash of the id.
+def fit(docs: DataFrame, *, max_rows: int = 20_000, bits: int = 16, smoothing: float = 0.5, sharpness: float = 4.0, most_languages: int = 200) -> Model:
+    """Learn from documents with a letter and a language that are not held out, about `max_rows` of them by a hash of the id.
 
-    The counts are summed in Spark; the driver gets languages x 2**bits numbers at most.
+    The counts are summed in Spark; the driver and each task get languages x 2**bits numbers at most, so more than
+    `most_languages` languages are an error.
     """
-    labelled = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    labelled = docs.filter(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     sample = hash_share(labelled, "doc_id", max_rows, labelled.count()).select("lang", "text")
+    if (found := len(sample.select("lang").distinct().limit(most_languages + 1).collect())) > most_languages:
+        raise ValueError(f"{found} languages or more; the model holds {most_languages}")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

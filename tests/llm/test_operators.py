@@ -192,6 +192,48 @@ def test_language(spark):
         assert min((a != b).sum() for a, b in itertools.combinations(code, 2)) >= (1 if n == 2 else 2)
 
 
+def test_language_letters(spark):
+    """Only letters make a text that has a language: no digits, numerals of other kinds, marks or symbols."""
+    df = spark.createDataFrame([(0, "baba dada", "xx"), (2, "kiki titi", "yy"), (8, "kiki", "yy"), (9, "titi", "yy"), (3, "", "xx"), (5, "²½①Ⅷ ٣ 12 _ \u0301 😀", "xx"), (6, "ª", None), (7, "日", None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in langid.identify(df, langid.fit(df)).collect()}
+    assert [got[i].lang_pred == "und" for i in (0, 3, 5, 6, 7)] == [False, True, True, False, False] and got[5].score == 0.0
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(df, most_languages=1)
+
+
+def test_language_plain(spark):
+    """Bit classifiers and decoding, trigram by trigram."""
+    rng = random.Random(6)
+    parts = {"aa": "la le li", "bb": "la lu ko", "cc": "zu zo la", "dd": "šu ko ze", "ee": "ba la zu"}
+    rows = [(i, " ".join("".join(rng.choices(parts[lang].split(), k=2)) for _ in range(rng.randint(1, 12))), lang) for i, lang in enumerate(rng.choices([*parts], k=120))]
+    grams = lambda t: [int.from_bytes(b[k : k + 3], "big") * 2654435761 % 2**32 >> 16 for b in [f" {t.lower()} ".encode()] for k in range(len(b) - 2)]
+    names, code, counts = sorted(parts), langid.codewords(5).tolist(), {}
+    known = [(t, lang) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    for t, lang in known:
+        counts.setdefault(lang, Counter()).update(grams(t))
+    p = lambda lang, g: (counts[lang][g] + 0.5) / (counts[lang].total() + 0.5 * 65536)
+
+    def margin(t, bit):
+        sides = {s: [n for n, c in zip(names, code, strict=True) if c[bit] == s] for s in (1, -1)}
+        odds = [math.log(np.mean([p(n, g) for n in sides[1]]) / np.mean([p(n, g) for n in sides[-1]])) for g in grams(t)]
+        return sum(odds) / len(odds)
+
+    bits = range(len(code[0]))
+    trust = []
+    for bit in bits:
+        wrong = sum((margin(t, bit) > 0) != (code[names.index(lang)][bit] > 0) for t, lang in known)
+        rate = (wrong + 1) / (len(known) + 2)
+        trust.append(max(0.05, math.log((1 - rate) / rate)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in langid.identify(df, langid.fit(df)).collect()}
+    for i, t, _ in rows[:40]:
+        m = [margin(t, bit) for bit in bits]
+        loss = [sum(w * math.log1p(math.exp(-4 * c * x)) for w, c, x in zip(trust, word, m, strict=True)) / sum(trust) for word in code]
+        share = [math.exp(-2 * x) / sum(math.exp(-2 * y) for y in loss) for x in loss]
+        assert got[i].lang_pred == names[int(np.argmax(share))] and got[i].score == pytest.approx(max(share), abs=1e-4)
+        assert got[i].ambiguous == (sorted(share)[-1] - sorted(share)[-2] < 0.1)
+
+
 def luhn(s):
     total = 0
     for i, c in enumerate(reversed(s)):
