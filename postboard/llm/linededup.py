@@ -1,8 +1,9 @@
 """Removal of passages that occur in several places, by hashing units of text.
 
-A unit is a line, or a sentence of one. Units are normalised and hashed to 128 bits; the digests are grouped over all
-documents, and the occurrence with the least rank (document, then place) is kept. Runs of units that are not the first
-of their kind are cut out when the run has enough words, so short common phrases stay where they are.
+A unit is a line, or a sentence of one; a sentence of many words is cut after certain words, so that a passage that begins
+or ends inside it still shares most of its units. Units are normalised and hashed to 128 bits; the digests are grouped
+over all documents, and the occurrence with the least rank (document, then place) is kept. Runs of units that are not the
+first of their kind are cut out when the run has enough words, so short common phrases stay where they are.
 """
 
 from __future__ import annotations
@@ -19,34 +20,56 @@ from postboard.llm.common import materialise, rows_of
 
 #: What ends a unit and belongs to it: a sentence's end with the spaces behind it, or line ends.
 BOUNDARY = re.compile(r"[.!?]+[ \t]+|\n+")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Units with more words are cut after words that `ends_part` picks, about one in eight.
+LONG = 24
 
 
-def units(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, normalised) of the units with a word, in order. Case and white space do not count."""
+def ends_part(word: str) -> bool:
+    """By the word (in lower case) alone, so that every copy of a passage is cut at the same places."""
+    return (ord(word[0]) + 31 * ord(word[-1]) + 7 * len(word)) % 8 == 0
+
+
+def units(text: str) -> list[tuple[int, int, bytes, int]]:
+    """(start, end, normalised, words) of the units with a word, in order. Case and white space do not count."""
     out, start = [], 0
     for end in [*(m.end() for m in BOUNDARY.finditer(text)), len(text)]:
-        if norm := " ".join(text[start:end].lower().split()):
-            out.append((start, end, norm))
-            start = end
+        words = text[start:end].lower().encode().split()  # bytes.split() knows the spaces between words as the class above
+        if not words:
+            continue
+        if len(words) > LONG:
+            at, first, found = start, 0, list(WORD.finditer(text, start, end))
+            for k, m in enumerate(found[:-1]):
+                if ends_part(m[0].lower()):
+                    out.append((at, found[k + 1].start(), b" ".join(words[first : k + 1]), k + 1 - first))
+                    at, first = found[k + 1].start(), k + 1
+            out.append((at, end, b" ".join(words[first:]), len(words) - first))
+        else:
+            out.append((start, end, b" ".join(words), len(words)))
+        start = end
     return out
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, unit, h1, h2) of each unit of each row."""
+    names = ["doc_id", "text_hash", "unit", "h1", "h2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[list[int | None]] = [[], [], [], [], []]
+
+        def flat() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if n == "unit" else pa.int64()) for c, n in zip(out, names, strict=True)], names)
+
         for doc_ids, hashes, texts in rows_of(batches, "doc_id", "text_hash", "text"):
-            out: list[list[int | None]] = [[], [], [], [], []]
-            for k, (doc_id, text_hash, text) in enumerate(zip(doc_ids, hashes, texts, strict=True)):
-                for u, (_, _, norm) in enumerate(units(text or "")):
+            for doc_id, text_hash, text in zip(doc_ids, hashes, texts, strict=True):
+                for u, (_, _, norm, _) in enumerate(units(text or "")):
                     d = xxhash.xxh3_128_digest(norm)
                     for column, value in zip(out, (doc_id, text_hash, u, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)), strict=True):
                         column.append(value)
-                if out[0] and (len(out[0]) > 100_000 or k == len(texts) - 1):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "text_hash", "unit", "h1", "h2"])
+                if len(out[0]) > 100_000:
+                    yield flat()
                     out = [[], [], [], [], []]
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "text_hash", "unit", "h1", "h2"])
+        yield flat()
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     return rows.mapInArrow(run, "doc_id long, text_hash long, unit int, h1 long, h2 long")
@@ -58,7 +81,7 @@ def cut(text: str, repeated: set[int], least_words: int) -> tuple[str, list[tupl
     while at < len(found):
         end, n = at, 0
         while end < len(found) and end in repeated:
-            n += found[end][2].count(" ") + 1
+            n += found[end][3]
             end += 1
         if n >= least_words:
             spans.append((found[at][0], found[end - 1][1]))
@@ -70,20 +93,34 @@ def cut(text: str, repeated: set[int], least_words: int) -> tuple[str, list[tupl
     return "".join([*kept, text[last:]]), spans
 
 
-def remove_repeats(docs: DataFrame, *, least_words: int = 30) -> DataFrame:
+def later_units(found: DataFrame, hot_shares: int = 1000) -> DataFrame:
+    """(doc_id, text_hash, unit) of the occurrences that are not the first of their digest.
+
+    Digests that hold over a thousandth of all repeated units are 1,000 at most: they are broadcast, and their units get
+    keys of their own in the join of the others, so no task gets a common line's units all at once.
+    """
+    rank = F.struct("doc_id", "text_hash", "unit")
+    firsts = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(rank).alias("first")).filter("n > 1")
+    firsts = materialise(firsts, "firsts")
+    repeated = firsts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = F.broadcast(firsts.filter(F.col("n") > repeated / hot_shares).select("h1", "h2", F.col("first").alias("hot_first")))
+    own = lambda c, k: F.when(F.col("hot_first").isNull(), F.col(c)).otherwise(F.xxhash64("doc_id", "text_hash", "unit", F.lit(k)))
+    units_ = found.join(hot, ["h1", "h2"], "left").select("doc_id", "text_hash", "unit", "hot_first", own("h1", 1).alias("k1"), own("h2", 2).alias("k2"))
+    joined = units_.join(firsts.select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "first"), ["k1", "k2"], "left")
+    first = F.coalesce("hot_first", "first")
+    return joined.filter(first.isNotNull() & ~rank.eqNullSafe(first)).select("doc_id", "text_hash", "unit")
+
+
+def remove_repeats(docs: DataFrame, *, least_words: int = 20) -> DataFrame:
     """All rows and columns of documents with `text` cleaned; adds removed (start:end, comma-joined, code points of the
     original text), n_removed (units' runs) and n_removed_chars.
 
     A null text stays null. Rows equal in id and text are one document: they lose the same runs. Rows of one id and
     different texts are ranked by the text's hash. Null ids rank first. Columns of the input that have the names of the
-    added ones are replaced.
+    added ones are replaced. The digests are computed twice, which costs less than to keep them.
     """
     docs = docs.drop("removed", "n_removed", "n_removed_chars")
-    found = materialise(digests(docs), "units")
-    rank = F.struct("doc_id", "text_hash", "unit")
-    firsts = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(rank).alias("first")).filter("n > 1").select("h1", "h2", "first")
-    firsts = materialise(firsts, "firsts")  # so that both sides of the join are dealt anew, and Spark may split a hot digest
-    later = found.join(firsts, ["h1", "h2"]).filter(~rank.eqNullSafe(F.col("first")))
+    later = later_units(digests(docs))
     per_doc = later.groupBy("doc_id", "text_hash").agg(F.collect_set("unit").alias("_units"))
     per_doc = per_doc.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_units")
     rows = docs.withColumn("_text_hash", F.xxhash64("text"))

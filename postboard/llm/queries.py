@@ -79,4 +79,31 @@ SQL: dict[str, str] = {
         SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 10
     """,
+    "op10_substring_dedup": r"""
+        WITH docs AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
+        cut AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?]+[ \t]+|\n+)', '\1' || chr(1), 'g'), chr(1)) AS p FROM docs),
+        pieces AS (SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k FROM cut),
+        grouped AS (  -- a piece without a word belongs to the next one that has a word
+          SELECT *, coalesce(sum(CAST(regexp_matches(piece, '[^\x20\x09-\x0D]') AS INT)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM pieces),
+        sentences AS (SELECT doc_id, g, string_agg(piece, '' ORDER BY k) AS s FROM grouped GROUP BY doc_id, g),
+        tokens AS (SELECT doc_id, g, regexp_extract_all(s, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') AS t FROM sentences WHERE regexp_matches(s, '[^\x20\x09-\x0D]')),
+        words AS (SELECT doc_id, g, len(t) AS n, unnest(t) AS token, generate_subscripts(t, 1) AS k FROM tokens),
+        plain AS (SELECT *, lower(regexp_replace(token, '[\x20\x09-\x0D]+', '', 'g')) AS w FROM words),
+        parts AS (
+          SELECT *, coalesce(sum(CAST(n > 24 AND (ord(w) + 31 * ord(right(w, 1)) + 7 * length(w)) % 8 = 0 AS INT)) OVER (PARTITION BY doc_id, g ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part FROM plain),
+        units AS (
+          SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY g, part) AS unit, string_agg(w, ' ' ORDER BY k) AS norm, string_agg(token, '' ORDER BY k) AS s, count(*) AS words
+          FROM parts GROUP BY doc_id, g, part),
+        placed AS (
+          SELECT *, coalesce(sum(length(s)) OVER (PARTITION BY doc_id ORDER BY unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+            row_number() OVER (PARTITION BY norm ORDER BY doc_id, unit) > 1 AS repeated FROM units),
+        islands AS (SELECT *, unit - row_number() OVER (PARTITION BY doc_id, repeated ORDER BY unit) AS island FROM placed),
+        judged AS (SELECT *, repeated AND sum(words) OVER (PARTITION BY doc_id, repeated, island) >= 20 AS gone FROM islands),
+        runs AS (SELECT doc_id, min(start) AS a, max(start + length(s)) AS b FROM judged WHERE gone GROUP BY doc_id, island),
+        spans AS (SELECT doc_id, string_agg(a || ':' || b, ',' ORDER BY a) AS removed, count(*) AS n, sum(b - a) AS chars FROM runs GROUP BY doc_id),
+        kept AS (SELECT doc_id, coalesce(string_agg(s, '' ORDER BY unit) FILTER (WHERE NOT gone), '') AS head, sum(length(s)) AS used FROM judged GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(removed, '') AS removed, coalesce(n, 0) AS n_removed, CAST(coalesce(chars, 0) AS BIGINT) AS n_removed_chars,
+          CASE WHEN used IS NULL THEN d.text ELSE head || substr(d.text, CAST(used AS BIGINT) + 1) END AS text
+        FROM documents d LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
 }

@@ -562,44 +562,81 @@ def test_held_out(spark):
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in got)
 
 
+def plain_units(text):
+    """Sentences and lines by a pattern that keeps what ends them, then the words of long ones, letter by letter."""
+    parts = re.split(r"((?:[.!?]+[ \t]+|\n+))", text)
+    sentences, held = [], ""
+    for body, end in zip(parts[::2], [*parts[1::2], ""], strict=True):
+        held += body + end
+        if split(held):
+            sentences.append(held)
+            held = ""
+    out, at = [], 0
+    for s in sentences:
+        chunks = [""]
+        tokens = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", s)
+        for k, token in enumerate(tokens):
+            chunks[-1] += token
+            w = token.strip(" \t\n\v\f\r").lower()
+            if len(tokens) > 24 and (ord(w[0]) + 31 * ord(w[-1]) + 7 * len(w)) % 8 == 0 and k < len(tokens) - 1:
+                chunks.append("")
+        for c in chunks:
+            out.append((at, at + len(c), " ".join(split(c.lower()))))
+            at += len(c)
+    return out
+
+
 def plain_dedup(rows, least):
-    seen, out = {}, {}
-    docs = sorted({(i is not None, i or 0, h, t) for i, h, t in rows if t is not None})
-    repeated = {}
-    for key in docs:
-        flags = []
-        for _, _, norm in linededup.units(key[3]):
-            flags.append(norm in seen)
-            seen.setdefault(norm, key)
-        repeated[key] = {k for k, f in enumerate(flags) if f}
-    for key in docs:
-        out[key] = linededup.cut(key[3], repeated[key], least)
+    """{(has id, id, hash, text): (clean text, spans)}, unit by unit in order of rank."""
+    seen, out = set(), {}
+    for key in sorted({(i is not None, i or 0, h, t) for i, h, t in rows if t is not None}):
+        spans, run, clean, last = [], [], "", 0
+        for a, b, norm in [*plain_units(key[3]), (0, 0, None)]:
+            if norm is not None and norm in seen:
+                run.append((a, b, len(split(norm))))
+                continue
+            if sum(n for *_, n in run) >= least:
+                spans.append((run[0][0], run[-1][1]))
+            run = []
+            seen.add(norm)
+        for a, b in spans:
+            clean, last = clean + key[3][last:a], b
+        out[key] = clean + key[3][last:], spans
     return out
 
 
 def test_line_dedup(spark, docs):
+    rng = random.Random(12)
+    long = [" ".join(rng.choices([*WORDS, "and", "A", "of"], k=70)) for _ in range(4)]
+    extra = [(500 + i, f"Own words {i} of it. " + rng.choice(long)[rng.randint(0, 40) :] + rng.choice(["", ".\n", "! "]) + f"more {i} " * 3) for i in range(30)]
+    docs = docs.union(frame(spark, extra))
     rows = [(r.doc_id, r.h, r.text) for r in docs.withColumn("h", F.xxhash64("text")).select("doc_id", "h", "text").collect()]
     plain = plain_dedup(rows, 8)
-    got = linededup.remove_repeats(docs, least_words=8).withColumn("orig", F.col("n_removed")).collect()
     want = []
     for i, h, t in rows:
         clean, spans = plain[(i is not None, i or 0, h, t)] if t is not None else (None, [])
-        want.append((str(i), str(clean), ",".join(f"{a}:{b}" for a, b in spans), len(spans)))
-    assert sorted(want) == sorted((str(r.doc_id), str(r.text), r.removed, r.n_removed) for r in got)
+        want.append((str(i), str(clean), ",".join(f"{a}:{b}" for a, b in spans), len(spans), sum(b - a for a, b in spans)))
+    got = linededup.remove_repeats(docs, least_words=8).collect()
+    assert sorted(want) == sorted((str(r.doc_id), str(r.text), r.removed, r.n_removed, r.n_removed_chars) for r in got)
     assert linededup.remove_repeats(docs.limit(0)).count() == 0
+    found = linededup.digests(docs)
+    every = [sorted(map(str, linededup.later_units(found, n).collect())) for n in (1, 1000, 10**9)]  # none hot, some hot, all hot
+    assert every[0] == every[1] == every[2]
 
 
 def test_line_dedup_passage(spark):
     passage = " ".join(f"w{i}" for i in range(60)) + "."
-    df = frame(spark, [(1, f"Start one.\n{passage}\nEnd one."), (2, f"Start two. {passage} End two."), (3, "Short line.\nOther"), (4, "Short line.\nElse")])
+    df = frame(spark, [(1, f"Start one.\n{passage}\nEnd one."), (2, f"Start two. {passage} End two."), (3, "Short line.\nOther"), (4, "Short line.\nElse"), (5, f"Five begins {passage[:-1]} and goes on")])
     got = {r.doc_id: r for r in linededup.remove_repeats(df).collect()}
     assert got[1].n_removed == 0 and passage not in got[2].text and got[2].text == "Start two. End two."
     a, b = map(int, got[2].removed.split(":"))
     assert f"Start two. {passage} End two."[a:b].strip() == passage and got[4].n_removed == 0
+    assert got[5].n_removed == 1 and len(split(got[5].text)) < 30  # inside a sentence, though its ends differ
 
 
 @given(st.text(alphabet="ab .!?\n\t", max_size=80))
 def test_units_cover(text):
     found = linededup.units(text)
-    assert all(a < b for a, b, _ in found) and all(x[1] <= y[0] for x, y in itertools.pairwise(found))
-    assert " ".join(n for _, _, n in found).split() == text.lower().split()
+    assert all(a < b for a, b, *_ in found) and all(x[1] <= y[0] for x, y in itertools.pairwise(found))
+    assert " ".join(n.decode() for _, _, n, _ in found).split() == text.lower().split()
+    assert [(a, b, n.decode()) for a, b, n, _ in found] == plain_units(text)

@@ -1,0 +1,26 @@
+"""The training-data queries against their SQL on the smallest tables."""
+
+import duckdb
+import pytest
+
+from postboard.llm import queries
+from tests.test_queries import FOLDER, TABLES, same
+
+
+@pytest.fixture(scope="module")
+def duck():
+    if not FOLDER.exists():
+        pytest.skip("no tables")
+    c = duckdb.connect()
+    for t in TABLES:
+        c.execute(f"create view {t} as select * from '{FOLDER}/{t}.parquet'")
+    return c
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query(spark, duck, name):
+    rows = [r.asDict() for r in queries.QUERIES[name](spark, str(FOLDER)).collect()]
+    q = duck.execute(queries.SQL[name])
+    plain = [dict(zip([d[0] for d in q.description], r, strict=True)) for r in q.fetchall()]
+    key = lambda r: tuple((k, same(r[k])) for k in sorted(r))
+    assert sorted(map(key, rows)) == sorted(map(key, plain))
