@@ -1,8 +1,10 @@
 """Exact top-k search by inner product: tiles of queries and candidates, partial selection, and merging of top lists.
 
-Queries and candidates travel as blocks (one row holds ids and a matrix). Each pair of blocks is a tile: one matrix
-product and a selection of k per query. A task merges the lists of its tiles, then lists are merged by query in two
-rounds, so no task ever holds more than a block of each side and k entries per query of the block.
+Queries and candidates travel as blocks (one row holds ids and a matrix), dealt to groups of many blocks. Each group of
+queries meets each group of candidates in one tile, so a vector is copied once per group of the other side, not once per
+block. A pair of blocks in a tile is one matrix product and a selection of k per query. A task merges the lists of its
+tiles, then lists are merged by query in two rounds, so no task ever holds more than a group of one side, a block of the
+other, and k entries per query of the group.
 """
 
 from __future__ import annotations
@@ -12,12 +14,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postboard.llm.common import materialise
 
-BLOCK = "shard int, ids binary, dim int, vectors binary"
+BLOCK = "grp int, ids binary, dim int, vectors binary"
 
 
 #: Beside a score: MIDDLE where it fits a long; else bytes that sort (unsigned) as the exact scores beyond do.
@@ -68,8 +71,8 @@ def large_scores(q: tuple[np.ndarray, np.ndarray], c: tuple[np.ndarray, np.ndarr
         yield at, out
 
 
-def blocks(rows: DataFrame, shards: int, most: int, scale: int) -> DataFrame:
-    """Pack (vec_id, v) into blocks of at most `most` rows of one length; a block's shard follows from its first id.
+def blocks(rows: DataFrame, groups: int, most: int, scale: int) -> DataFrame:
+    """Pack (vec_id, v) into blocks of at most `most` rows of one length; a block's group follows from its ids.
 
     Scaled components travel as 32-bit numbers where all of a block fit; else the components travel as doubles, not scaled.
     """
@@ -89,8 +92,8 @@ def blocks(rows: DataFrame, shards: int, most: int, scale: int) -> DataFrame:
                 for k in range(0, len(at), most):
                     part = ids[at[k : k + most]].astype(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([int(part[0] % shards)], pa.int32()), pa.array([part.tobytes()]), pa.array([int(dim)], pa.int32()), pa.array([packed(matrix[k : k + most])])],
-                        ["shard", "ids", "dim", "vectors"],
+                        [pa.array([xxhash.xxh3_64_intdigest(part.tobytes()) % groups], pa.int32()), pa.array([part.tobytes()]), pa.array([int(dim)], pa.int32()), pa.array([packed(matrix[k : k + most])])],
+                        ["grp", "ids", "dim", "vectors"],
                     )
 
     return rows.select("vec_id", "v").mapInArrow(run, BLOCK)
@@ -175,7 +178,7 @@ def merged(lists: DataFrame, k: int, groups: int = 16) -> DataFrame:
     return lists.select("query_id", rank.alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)
 
 
-def exact_top_k(vectors: DataFrame, *, every: int = 100, k: int = 10, scale: int = 1024, block: int = 4096) -> DataFrame:
+def exact_top_k(vectors: DataFrame, *, every: int = 100, k: int = 10, scale: int = 1024, block: int = 4096, most_grouped: int = 131_072) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other rows for each row whose id is divisible by `every`.
 
     Vectors that are null, or hold a null or a component that is not finite, take no part, nor do rows without an id. Only
@@ -189,9 +192,12 @@ def exact_top_k(vectors: DataFrame, *, every: int = 100, k: int = 10, scale: int
     numbers = F.transform(F.arrays_zip(numbers.alias("y"), F.col("v").alias("x")), lambda p: F.when(F.abs(p["x"].cast("double") * scale) < float(2**53), p["y"]).otherwise(p["x"].cast("double") * scale))
     least = F.min(F.struct(numbers.alias("y"), F.col("v")))
     queries = rows.filter(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(least.alias("_l")).select("vec_id", F.col("_l.v").alias("v"))
-    shards = max(1, -(-rows.count() // block))
-    q = blocks(queries, 1 << 30, block // 4, scale).select(F.col("ids").alias("q_ids"), F.col("dim").alias("q_dim"), F.col("vectors").alias("q_vectors"))
-    q = q.select("*", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    c = blocks(rows, shards, block, scale)
-    pairs = c.join(q, (c.shard == q.shard) & (c.dim == q.q_dim)).select("q_ids", "q_vectors", "ids", "vectors", "dim")
+    n, n_queries = rows.count(), queries.count()
+    tasks = 4 * vectors.sparkSession.sparkContext.defaultParallelism
+    grouped = max(block, min(most_grouped, math.isqrt(n * n_queries // tasks)))  # smaller groups where there would be few tiles
+    c_groups, q_groups = max(1, -(-n // grouped)), max(1, -(-n_queries // grouped))
+    each = lambda groups: F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    q = blocks(queries, q_groups, block // 4, scale).select(F.col("grp").alias("q_grp"), F.col("ids").alias("q_ids"), F.col("dim").alias("q_dim"), F.col("vectors").alias("q_vectors"), each(c_groups).alias("c_grp"))
+    c = blocks(rows, c_groups, block, scale).select("grp", "ids", "dim", "vectors", each(q_groups).alias("other"))
+    pairs = c.join(q, (c.grp == q.c_grp) & (c.other == q.q_grp) & (c.dim == q.q_dim)).select("q_ids", "q_vectors", "ids", "vectors", "dim")
     return merged(tiles(pairs, k, scale), k)
