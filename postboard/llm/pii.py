@@ -50,26 +50,39 @@ def good(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def with_spans(df: DataFrame, kind: str, pattern: str) -> DataFrame:
-    """Adds a column named after the kind: start, end and value of each match that is good, in order.
+def good_ones(kind: str) -> Column:
+    return F.filter(kind, lambda s: good(kind, s["value"]))
+
+
+def sums_before(lengths: Column, each: int = 256) -> Column:
+    """For each entry of an array the sum of those before it, in parts, so that long arrays are not copied entry by entry."""
+    ints = F.array().cast("array<int>")
+    state = lambda at, out: F.struct(at.alias("at"), out.alias("out"))
+    inner = lambda part, at: F.aggregate(part, state(at, ints), lambda a, x: state(a["at"] + x, F.array_append(a["out"], a["at"])), lambda a: a["out"])
+    parts = F.transform(F.sequence(F.lit(0), (F.size(lengths) / each).cast("int")), lambda c: F.slice(lengths, c * each + 1, each))
+    outer = lambda a, part: state(a["at"] + F.aggregate(part, F.lit(0), lambda s, x: s + x), F.array_append(a["out"], inner(part, a["at"])))
+    return F.flatten(F.aggregate(parts, state(F.lit(0), F.array().cast("array<array<int>>")), outer, lambda a: a["out"]))
+
+
+def matches(df: DataFrame, column: str, pattern: str) -> DataFrame:
+    """Adds start, end and value of each match of the pattern in `_text`, in order.
 
     Matches are extracted and the text is split by the same pattern; lengths of parts and matches add up to offsets.
     """
     df = df.withColumn("_m", F.regexp_extract_all("_text", F.lit(pattern), F.lit(0)))
     df = df.withColumn("_p", F.when(F.size("_m") > 0, F.transform(F.split("_text", pattern, -1), lambda p: F.length(p))))
-    empty = F.array().cast(SPAN)
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), empty.alias("out"))
-    span = lambda a, m: F.struct((a["at"] + F.get("_p", a["k"])).alias("start"), (a["at"] + F.get("_p", a["k"]) + F.length(m)).alias("end"), m.alias("value"))
-    step = lambda a, m: F.struct(span(a, m)["end"].alias("at"), (a["k"] + 1).alias("k"), F.when(good(kind, m), F.array_append(a["out"], span(a, m))).otherwise(a["out"]).alias("out"))
-    found = F.when(F.size("_m") > 0, F.aggregate("_m", start, step, lambda a: a["out"])).otherwise(empty)
-    return df.withColumn(kind, found).drop("_m", "_p")
+    df = df.withColumn("_b", F.when(F.size("_m") > 0, sums_before(F.transform("_m", lambda m, k: F.get("_p", k) + F.length(m)))))
+    at = lambda k: F.get("_b", k) + F.get("_p", k)
+    spans = F.transform("_m", lambda m, k: F.struct(at(k).alias("start"), (at(k) + F.length(m)).alias("end"), m.alias("value")))
+    return df.withColumn(column, F.when(F.size("_m") > 0, spans).otherwise(F.array().cast(SPAN))).drop("_m", "_p", "_b")
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, _text and a column of spans per kind for each row; a null text counts as empty."""
     df = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("_text"))
     for kind, pattern in zip(KINDS, (EMAIL, IP, CARD, PHONE), strict=True):
-        df = with_spans(df, kind, pattern)
+        df = matches(df, kind, pattern)
+        df = df.withColumn(kind, good_ones(kind))
     return df
 
 
@@ -103,6 +116,8 @@ def disclosing_terms(rows: DataFrame, some: DataFrame, share: float, support: in
     often = named.join(n_e, "entity").groupBy("_id", "_hash").agg(F.collect_list("entity").alias("_entities"))
     met = rows.join(often, same(rows)).select("_entities", F.explode(words_of(F.col("_text"))).alias("term")).select("term", F.explode("_entities").alias("entity"))
     pairs = materialise(met.groupBy("entity", "term").agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= support), "pairs")
+    if pairs.isEmpty():  # no words to count
+        return pairs.select("term")
     n_docs = rows.agg(F.count("*").alias("n_docs"))
     n_t = rows.select(F.explode(words_of(F.col("_text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     df = pairs.join(n_t.join(pairs.select("term").distinct(), "term"), "term").join(n_e, "entity").join(F.broadcast(n_docs))
@@ -122,12 +137,8 @@ def term_spans(rows: DataFrame, terms: DataFrame) -> DataFrame:
     held = held.groupBy("doc_id", "text_hash").agg(F.collect_set("term").alias("_held"))
     held = held.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_held")
     df = rows.join(held, same(rows))
-    df = df.withColumn("_g", F.transform(F.split("_text", WORD, -1), lambda p: F.length(p)))
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), F.array().cast(SPAN).alias("out"))
-    at = lambda a: a["at"] + F.get("_g", a["k"])
-    span = lambda a, w: F.struct(at(a).alias("start"), (at(a) + F.length(w)).alias("end"), F.lower(w).alias("value"))
-    step = lambda a, w: F.struct((at(a) + F.length(w)).alias("at"), (a["k"] + 1).alias("k"), F.when(F.array_contains("_held", F.lower(w)), F.array_append(a["out"], span(a, w))).otherwise(a["out"]).alias("out"))
-    places = F.aggregate(F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)), start, step, lambda a: a["out"])
+    df = matches(df, "_all", WORD)
+    places = F.filter("_all", lambda s: F.array_contains("_held", F.lower(s["value"])))
     return df.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), places.alias("_terms")).dropDuplicates(["_id", "_hash"])
 
 

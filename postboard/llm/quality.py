@@ -59,13 +59,19 @@ def base_failed(df: DataFrame) -> Column:
     return (df.n_words < 10) | (100 * df.n_repeat_words > 20 * df.n_words)
 
 
+def hash_number(text: Column) -> Column:
+    """A number of 32 bits: the first digits of the MD5, which other engines have too."""
+    return F.conv(F.left(F.md5(text), F.lit(8)), 16, 10).cast("long")
+
+
 def hashed_ngrams(docs: DataFrame, n: int, buckets: int, *more: Column) -> DataFrame:
     """A row per word: the bucket of the n-gram that starts there (shorter at the end of the text)."""
     df = docs.select(*more, words(F.col("text")).alias("_w"))
     kept = [c for c in df.columns if c != "_w"]
     moved = [F.slice("_w", k, F.greatest(F.size("_w"), F.lit(1))).alias(f"w{k}") for k in range(1, n + 1)]
     df = df.select(*kept, F.explode("_w" if n == 1 else F.arrays_zip(*moved)).alias("_z"))
-    return df.select(*kept, F.pmod(F.xxhash64("_z"), F.lit(buckets)).cast("int").alias("bucket"))
+    gram = F.col("_z") if n == 1 else F.concat_ws(" ", *[f"_z.w{k}" for k in range(1, n + 1)])
+    return df.select(*kept, (hash_number(gram) % buckets).cast("int").alias("bucket"))
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, n: int, buckets: int, max_trusted: int, smoothing: float) -> DataFrame:
@@ -75,7 +81,7 @@ def log_ratios(docs: DataFrame, labels: DataFrame, n: int, buckets: int, max_tru
     counts come from all documents. The bound on the trusted ids makes their broadcast small.
     """
     trusted = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
-    trusted = trusted.orderBy(F.xxhash64("_id"), "_id").limit(max_trusted).withColumn("_trusted", F.lit(1))
+    trusted = trusted.orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(max_trusted).withColumn("_trusted", F.lit(1))
     marked = docs.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("_id"), "left")
     grams = hashed_ngrams(marked, n, buckets, F.coalesce("_trusted", F.lit(0)).cast("long").alias("_trusted"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("_trusted").alias("trusted"))
@@ -96,11 +102,11 @@ def quality_rules(
     """
     weights = log_ratios(docs, labels, n, buckets, max_trusted, smoothing)
     grams = hashed_ngrams(docs, n, buckets, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"))
-    scored = grams.join(F.broadcast(weights), "bucket").groupBy("_id", "_h").agg(F.avg("weight").alias("llr"))
+    scored = grams.join(F.broadcast(weights), "bucket").groupBy("_id", "_h").agg(F.round(F.avg("weight"), 6).alias("llr"))
     base = base_counts(docs)
     df = base.join(scored, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_h")), "left")
     failed = base_failed(df)
     return df.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
-        (~failed & F.coalesce(F.col("llr") >= threshold, F.lit(False))).alias("kept"), F.round("llr", 9).alias("llr"),
+        (~failed & F.coalesce(F.col("llr") >= threshold, F.lit(False))).alias("kept"), "llr",
     )

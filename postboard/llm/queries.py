@@ -66,7 +66,68 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
+SPACE = r"[\x20\x09-\x0D]"
+
+
+def spans_sql(kind: str, pattern: str, good: str) -> str:
+    """Leftmost matches with offsets: each is put between marks, and the marks do not count."""
+    return f"""{kind}_marked AS (SELECT rid, string_split(regexp_replace(t, '({pattern})', chr(1) || '\\1' || chr(2), 'g'), chr(1)) AS p FROM docs),
+        {kind}_parts AS (SELECT rid, unnest(p) AS s, generate_subscripts(p, 1) AS k FROM {kind}_marked),
+        {kind}_placed AS (SELECT rid, k, split_part(s, chr(2), 1) AS v, coalesce(sum(length(s) - CAST(k > 1 AS INT)) OVER (PARTITION BY rid ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a FROM {kind}_parts),
+        {kind}s AS (SELECT rid, '{kind}' AS kind, v, CAST(a AS BIGINT) AS a, CAST(a + length(v) AS BIGINT) AS b FROM {kind}_placed WHERE k > 1 AND {good})"""
+
+
+DIGITS = "regexp_replace(v, '[^0-9]', '', 'g')"
+LUHN = f"""list_sum(list_transform(range(1, length({DIGITS}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN CAST(reverse({DIGITS})[i] AS INT)
+          ELSE (CAST(reverse({DIGITS})[i] AS INT) * 2) % 10 + CAST(reverse({DIGITS})[i] AS INT) // 5 END)) % 10 = 0"""
+
 SQL: dict[str, str] = {
+    "op1_quality_rules": rf"""
+        WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT rid, doc_id, t, list_filter(regexp_split_to_array(t, '{SPACE}+'), lambda x: x <> '') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM docs),
+        base AS (
+          SELECT rid, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines FROM w),
+        windows AS (SELECT rid, k, array_to_string(w[k:k + 4], ' ') AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS k FROM w)),
+        twice AS (SELECT rid, k FROM (SELECT rid, k, count(*) OVER (PARTITION BY rid, g) AS n FROM windows) WHERE n > 1),
+        covered AS (SELECT rid, count(DISTINCT k + i) AS n FROM twice, (SELECT unnest(range(5)) AS i) GROUP BY rid),
+        trusted AS (SELECT doc_id FROM (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 20000),
+        grams AS (SELECT rid, doc_id, CAST('0x' || left(md5(unnest(w)), 8) AS BIGINT) % 65536 AS bucket FROM w),
+        counts AS (SELECT bucket, count(*) AS raw, count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM trusted)) AS good FROM grams GROUP BY bucket),
+        weights AS (
+          SELECT bucket, CASE WHEN (SELECT sum(good) FROM counts) > 0 THEN ln((good + 1.0::DOUBLE) / ((SELECT sum(good) FROM counts) + 65536) / ((raw + 1.0::DOUBLE) / ((SELECT sum(raw) FROM counts) + 65536))) ELSE 0.0 END AS weight FROM counts),
+        scores AS (SELECT rid, round(avg(weight), 6) AS llr FROM grams JOIN weights USING (bucket) GROUP BY rid),
+        judged AS (SELECT *, coalesce(n, 0) AS n_repeat_words, n_words < 10 OR 100 * coalesce(n, 0) > 20 * n_words AS base_failed FROM base LEFT JOIN covered USING (rid) LEFT JOIN scores USING (rid))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(llr >= -0.35, false) AS kept, llr FROM judged
+    """,
+    "op4_pii": rf"""
+        WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+        {spans_sql("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true")},
+        {spans_sql("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "len(list_filter(string_split(v, '.'), lambda x: CAST(x AS HUGEINT) > 255)) = 0")},
+        {spans_sql("card", r"[0-9](?:[\x20-]?[0-9])+", f"length({DIGITS}) BETWEEN 16 AND 19 AND {LUHN}")},
+        {spans_sql("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({DIGITS}) BETWEEN 8 AND 15")},
+        base AS (SELECT *, CASE kind WHEN 'email' THEN 0 WHEN 'ip' THEN 1 WHEN 'card' THEN 2 ELSE 3 END AS nr FROM (SELECT rid, kind, v, a, b FROM emails UNION ALL SELECT rid, kind, v, a, b FROM ips UNION ALL SELECT rid, kind, v, a, b FROM cards UNION ALL SELECT rid, kind, v, a, b FROM phones)),
+        entity AS (
+          SELECT DISTINCT rid, unnest(CASE kind WHEN 'email' THEN ['email:' || lower(v), 'email group:' || regexp_extract(lower(v), '[^@]*$')]
+            WHEN 'ip' THEN ['ip:' || v, 'ip group:' || regexp_extract(v, '^[0-9]+\.[0-9]+\.[0-9]+')] WHEN 'card' THEN ['card:' || {DIGITS}, 'card group:' || left({DIGITS}, 6)]
+            ELSE ['phone:' || {DIGITS}, 'phone group:' || left({DIGITS}, length({DIGITS}) - 4)] END) AS e FROM base),
+        n_e AS (SELECT e, count(*) AS n_e FROM entity GROUP BY e HAVING count(*) >= 3),
+        free AS (SELECT rid, regexp_replace(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+', ' ', 'g') AS t FROM docs),
+        word AS (SELECT rid, unnest(list_distinct(list_transform(regexp_extract_all(t, '\p{{L}}{{4,}}'), lambda x: lower(x)))) AS w FROM free),
+        n_w AS (SELECT w, count(*) AS n_w FROM word GROUP BY w),
+        pair AS (SELECT e, w, count(*) AS n FROM entity JOIN n_e USING (e) JOIN word USING (rid) GROUP BY e, w HAVING count(*) >= 3),
+        term AS (
+          SELECT DISTINCT w FROM pair JOIN n_e USING (e) JOIN n_w USING (w), (SELECT count(*) AS n_docs FROM docs)
+          WHERE n_docs > n_e AND ln(n * n_docs::DOUBLE / (n_e::DOUBLE * n_w)) >= 0.9 * ln(n_docs::DOUBLE / n_e)),
+        {spans_sql("term", r"\p{L}{4,}", "lower(v) IN (SELECT w FROM term)")},
+        held AS (SELECT t.* FROM terms t JOIN word ON word.rid = t.rid AND word.w = lower(v)),
+        clear AS (SELECT rid, kind, v, a, b, 4 AS nr FROM held h WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.rid = h.rid AND base.a < h.b AND h.a < base.b)),
+        spans AS (
+          SELECT rid, count(*) FILTER (WHERE nr = 0) AS n_email, count(*) FILTER (WHERE nr = 1) AS n_ip, count(*) FILTER (WHERE nr = 2) AS n_card, count(*) FILTER (WHERE nr = 3) AS n_phone, count(*) FILTER (WHERE nr = 4) AS n_term,
+            string_agg(kind || ':' || a || ':' || b, ',' ORDER BY nr, a) FILTER (WHERE nr < 4) AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY nr, a) AS spans
+          FROM (SELECT rid, kind, a, b, nr FROM base UNION ALL SELECT rid, kind, a, b, nr FROM clear) GROUP BY rid)
+        SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone, coalesce(n_term, 0) AS n_term,
+          sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM docs LEFT JOIN spans USING (rid)
+    """,
     "op6_exact_top_k": """
         WITH v AS (
           SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
