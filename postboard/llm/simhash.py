@@ -71,7 +71,7 @@ class Forest:
         self.up[max(i, j)] = min(i, j)
 
 
-def search(fps: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius: int, forest: Forest, leaf: int = 256) -> None:
+def search(fps: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius: int, forest: Forest, leaf: int = 64) -> None:
     """Join all pairs within the radius: inside `left`, or between `left` and `right` (places in fps).
 
     A vantage point that splits off less than a tenth of the pairs is given up: the places are halved instead.
@@ -109,7 +109,7 @@ def search(fps: np.ndarray, left: np.ndarray, right: np.ndarray | None, radius:
         stack += parts
 
 
-def tile_links(tile: np.ndarray, fps: np.ndarray, side: np.ndarray, radius: int, small: int = 48) -> tuple[np.ndarray, np.ndarray]:
+def tile_links(tile: np.ndarray, fps: np.ndarray, side: np.ndarray, radius: int, small: int = 16) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the pairs of sorted tiles; `side` tells a tile's two shards apart (0 only: one shard).
 
     Small tiles are compared all at once, each row with those a few places on; others have a vantage-point tree each.
@@ -196,6 +196,15 @@ def links(distinct: DataFrame, radius: int, cell_rows: int, agree: int = 2) -> D
     return tiles.mapInArrow(run, "a long, b long")
 
 
+def dealt(df: DataFrame, by: str, salts: int = 8) -> DataFrame:
+    """Adds salt by another column, so that the rows of a hot key go to several tasks of a join with every_salt()."""
+    return df.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(salts)))
+
+
+def every_salt(df: DataFrame, salts: int = 8) -> DataFrame:
+    return df.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) of all nodes of the edges, root being the least node (by value) of the component.
 
@@ -205,7 +214,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = dealt(both, "v").join(every_salt(least), ["u", "salt"]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v").distinct()
         below = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(below, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(below.select("u", F.col("m").alias("v")))
@@ -221,9 +230,12 @@ def labelled(prints: DataFrame, least: Column, radius: int, cell_rows: int, agre
     """(_fp, least): for each fingerprint the least value of a column of prints in its component."""
     classes = prints.groupBy("fp").agg(least.alias("least"))
     roots = components(links(classes.select("fp"), radius, cell_rows, agree))
-    joined = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = joined.groupBy("root").agg(F.min("least").alias("least"))
-    return joined.select("fp", "root").join(ids, "root").select(F.col("fp").alias("_fp"), "least")
+    members = roots.union(roots.select("root", "root").distinct())
+    members = members.join(classes, members.node == classes.fp).select("node", "root", "least")
+    ids = members.groupBy("root").agg(F.min("least").alias("of_all"))
+    members = dealt(members, "node").join(every_salt(ids), ["root", "salt"]).select("node", "of_all")
+    joined = classes.join(members, classes.fp == members.node, "left")
+    return joined.select(F.col("fp").alias("_fp"), F.coalesce("of_all", "least").alias("least"))
 
 
 def near_duplicates(docs: DataFrame, *, radius: int = 4, width: int = 4, cell_rows: int = 2048, agree: int = 2) -> DataFrame:
