@@ -71,8 +71,12 @@ def inventory(companies: DataFrame) -> DataFrame:
     )
 
 
+def layout_order() -> list[Column]:
+    return [F.col("active").desc(), F.col("source").asc(), F.lower("company_name").asc()]
+
+
 def layout(companies: DataFrame) -> DataFrame:
-    return companies.orderBy(F.col("active").desc(), "source", F.lower("company_name"))
+    return companies.orderBy(*layout_order())
 
 
 def category_counts(rows: DataFrame, column: str) -> DataFrame:

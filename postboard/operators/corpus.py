@@ -13,6 +13,9 @@ CORPUS = (
     "projects array<struct<name:string,text:string,evidences:array<string>>>, education array<string>"
 )
 
+#: Headings of the prompt's parts.
+HEADINGS = {"summary": "Candidate summary:", "constraints": "Constraints (report as eligibility, rule 2):", "work": "Work done (match against this, not against titles):"}
+
 
 def evidence_units(corpus: DataFrame, key: str) -> DataFrame:
     """(key, seq, unit_id, source, text, evidences): bullets of all roles in order, then projects."""
@@ -46,11 +49,11 @@ def render_prompt(corpus: DataFrame, units: DataFrame, key: str, rubric: str) ->
     groups = F.transform("skills", lambda s: F.concat(F.lit("  "), s["group"], F.lit(": "), F.array_join(s["items"], ", ")))
     skills = F.when(F.size(F.coalesce("skills", F.expr("cast(array() as array<struct<group:string,items:array<string>>>)"))) > 0, F.concat(F.lit("Skills:\n"), F.array_join(groups, "\n"), F.lit("\n")))
     education = F.when(F.size(F.coalesce("education", F.array().cast("array<string>"))) > 0, F.concat(F.lit("\nEducation:\n"), bullets(F.col("education"))))
-    work = F.concat_ws("\n", F.lit("Work done (match against this, not against titles):"), F.transform("_u", lambda u: u["line"]))
+    work = F.concat_ws("\n", F.lit(HEADINGS["work"]), F.transform("_u", lambda u: u["line"]))
     text = F.concat(
         F.concat_ws(
-            "\n", F.lit(rubric), F.concat(F.lit("\nCandidate summary:\n"), "summary", F.lit("\n")), F.concat(F.lit("Seniority: "), "seniority", F.lit("\n")),
-            F.concat(F.lit("Constraints (report as eligibility, rule 2):\n"), bullets(F.col("constraints")), F.lit("\n")), skills, work, education,
+            "\n", F.lit(rubric), F.concat(F.lit("\n" + HEADINGS["summary"] + "\n"), "summary", F.lit("\n")), F.concat(F.lit("Seniority: "), "seniority", F.lit("\n")),
+            F.concat(F.lit(HEADINGS["constraints"] + "\n"), bullets(F.col("constraints")), F.lit("\n")), skills, work, education,
         ), F.lit("\n"),
     )
     return df.select(key, text.alias("prompt"))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from postboard.functions.text import round_score
 
@@ -32,8 +32,9 @@ def distinct_texts(silver: DataFrame) -> DataFrame:
 
 def todo(work: DataFrame, done: DataFrame, **current: str) -> DataFrame:
     """Rows of the worklist whose content hash is not done under the current values of the named columns."""
-    keys = done.filter(F.lit(True) if not current else " and ".join(f"{c} <=> '{v}'" for c, v in current.items())).select("content_hash").distinct()
-    return work.join(keys, "content_hash", "left_anti")
+    for column, value in current.items():
+        done = done.filter(F.col(column).eqNullSafe(F.lit(value)))
+    return work.join(done.select("content_hash").distinct(), "content_hash", "left_anti")
 
 
 def to_extract(silver: DataFrame, extracted: DataFrame, model: str) -> DataFrame:
@@ -101,37 +102,62 @@ def replace_table(df: DataFrame, path: str, staging: str) -> None:
     df.sparkSession.read.schema(df.schema).parquet(staging).write.mode("overwrite").parquet(path)
 
 
-def best_match(texts: DataFrame, units: DataFrame, *, most_units: int = 20_000, block: int = 2048) -> DataFrame:
+def packed(df: DataFrame, id_column: str, groups: int, block: int) -> DataFrame:
+    """(grp, dim, ids, vectors): blocks of up to `block` vectors of one length, the ids of a block in order. Vectors that
+    are null, hold a null or have no length are left out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch = batch[batch["embedding"].map(lambda v: v is not None and len(v) > 0 and not pd.isna(v).any() and bool(np.any(v)))]
+            for dim, part in batch.groupby(batch["embedding"].map(len)):
+                part = part.sort_values("id", kind="stable")
+                for at in range(0, len(part), block):
+                    some = part.iloc[at : at + block]
+                    matrix = np.stack(some["embedding"].to_numpy()).astype(float)
+                    yield pd.DataFrame({"grp": [zlib.crc32(matrix.tobytes()) % groups], "dim": [dim], "ids": [some["id"].tolist()], "vectors": [matrix.tobytes()]})
+
+    kind = df.schema[id_column].dataType.simpleString()
+    return df.select(F.col(id_column).alias("id"), "embedding").mapInPandas(run, f"grp int, dim int, ids array<{kind}>, vectors binary")
+
+
+def best_match(texts: DataFrame, units: DataFrame, *, block: int = 2048, grouped: int = 65_536) -> DataFrame:
     """Per content hash: the nearest unit by cosine distance, ties to the smaller unit id, and the similarity.
 
-    The units are a person's evidence and travel as one matrix; more than `most_units` are refused. Vectors without
-    length match nothing: such texts get null, such units are never chosen.
+    Each group of texts meets each group of units in one tile, block by block; the least distance of each text is merged
+    over the tiles. Only vectors of equal length are compared. Texts whose vector is null, holds a null or has no length
+    get null, and such units are never chosen.
     """
-    rows = units.select("unit_id", "embedding").orderBy("unit_id").limit(most_units + 1).collect()
-    if len(rows) > most_units:
-        raise ValueError(f"more than {most_units} units")
-    ids = [r["unit_id"] for r in rows]
-    matrix = np.array([r["embedding"] for r in rows], dtype=float) if rows else np.zeros((0, 1))
-    norms = np.linalg.norm(matrix, axis=1) if len(rows) else np.zeros(0)
-    ids, matrix, norms = [i for i, n in zip(ids, norms, strict=True) if n > 0], matrix[norms > 0], norms[norms > 0]
+    size = lambda df: max(1, -(-df.count() // grouped))
+    n_texts, n_units = size(texts), size(units)
+    spread = max(1, texts.sparkSession.sparkContext.defaultParallelism // (n_texts * n_units))  # more tiles where there are few
+    n_texts *= spread
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    t = packed(texts, "content_hash", n_texts, block).select(F.col("grp").alias("t"), "dim", F.col("ids").alias("hashes"), F.col("vectors").alias("x"), each(n_units).alias("u"))
+    u = packed(units, "unit_id", n_units, block).select(F.col("grp").alias("u"), "dim", F.col("ids").alias("units"), F.col("vectors").alias("y"), each(n_texts).alias("t"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            best_d, best_i = np.full(len(batch), np.inf), np.full(len(batch), -1)
-            if len(batch) and len(ids):
-                x = np.stack(batch["embedding"].to_numpy()).astype(float)
-                length = np.linalg.norm(x, axis=1)
-                for at in range(0, len(ids), block):
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        d = np.round(1 - (x @ matrix[at : at + block].T) / (length[:, None] * norms[None, at : at + block]), 12)
-                    i = np.nanargmin(np.where(length[:, None] > 0, d, np.inf), axis=1)
-                    near = d[np.arange(len(x)), i]
-                    better = (length > 0) & (near < best_d)
-                    best_d[better], best_i[better] = near[better], i[better] + at
-            yield pd.DataFrame(
-                {"content_hash": batch["content_hash"], "similarity": [1 - d if k >= 0 else None for d, k in zip(best_d, best_i, strict=True)], "unit_id": [ids[k] if k >= 0 else None for k in best_i]}
-            )
-
-    kind = units.schema["unit_id"].dataType
-    schema = T.StructType([T.StructField("content_hash", T.StringType()), T.StructField("similarity", T.DoubleType()), T.StructField("unit_id", kind)])
-    return texts.select("content_hash", "embedding").mapInPandas(run, schema)
+            for dim, hashes, x, ids, y in zip(*[batch[c] for c in ("dim", "hashes", "x", "units", "y")], strict=True):
+                a, b = (np.frombuffer(v).reshape(-1, dim) for v in (x, y))
+                d = np.round(1 - (a @ b.T) / (np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=1)), 12)
+                i = d.argmin(axis=1)  # the first, so the smallest id of the block
+                yield pd.DataFrame({"content_hash": hashes, "d": d[np.arange(len(a)), i], "unit_id": [ids[k] for k in i]})
+
+    kind, key = (df.schema[c].dataType.simpleString() for df, c in ((units, "unit_id"), (texts, "content_hash")))
+    near = t.join(u, ["t", "u", "dim"]).mapInPandas(run, f"content_hash {key}, d double, unit_id {kind}")
+    best = near.groupBy("content_hash").agg(F.min(F.struct("d", "unit_id")).alias("b"))
+    return texts.select("content_hash").join(best, "content_hash", "left").select("content_hash", (1 - F.col("b.d")).alias("similarity"), "b.unit_id")
+
+
+def match_rows(matches: DataFrame, units: DataFrame, model: str, at: Column) -> DataFrame:
+    """The match table's rows: each nearest unit's source and evidences beside it; texts without a unit have none."""
+    u = units.select(F.col("unit_id"), "source", F.array_join("evidences", ", ").alias("best_match_evidences"))
+    df = matches.filter("unit_id is not null").join(u, "unit_id")
+    return df.select(
+        "content_hash", "similarity", F.col("unit_id").alias("best_match_unit_id"), F.col("source").alias("best_match_source"), "best_match_evidences", F.lit(model).alias("embedding_model"), at.alias("matched_at"),
+    )
+
+
+def to_match(silver: DataFrame, matched: DataFrame) -> DataFrame:
+    """Texts without a row in the match table."""
+    return todo(distinct_texts(silver), matched)

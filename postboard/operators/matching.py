@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import operator
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,14 +17,20 @@ MOST_NATIVE = 200
 
 
 def word_pattern(term: str) -> str:
-    """The term as it is, between string ends or characters other than a-z and 0-9."""
+    """The term as it is, between string ends or characters other than a-z and 0-9. It begins with the term itself, so
+    that only its occurrences are looked at."""
     special = re.sub(r"([^A-Za-z0-9\s])", r"\\\1", term.lower())
-    return f"(^|[^a-z0-9]){special}($|[^a-z0-9])"
+    return f"{special}(?<![a-z0-9]{special})(?![a-z0-9])"
 
 
-def has_word(text: Column, term: str) -> Column:
-    """False for a null text."""
-    return F.coalesce(F.lower(text).rlike(word_pattern(term)), F.lit(False))
+def has_word(low: Column, term: str) -> Column:
+    """Whether a text in lower case holds the term; False for a null text."""
+    return F.coalesce(low.rlike(word_pattern(term)), F.lit(False))
+
+
+def with_lower(text: Column, found: Callable[[Column], Column]) -> Column:
+    """An expression over the text in lower case, which is made once."""
+    return F.transform(F.array(F.lower(text)), found)[0]
 
 
 def many_terms(terms: Sequence[str]):  # noqa: ANN201
@@ -52,17 +60,16 @@ def matched_terms(text: Column, terms: Sequence[str]) -> Column:
         return F.array().cast("array<string>")
     if len(terms) > MOST_NATIVE:
         return many_terms(terms)(text)
-    return F.array_compact(F.array(*[F.when(has_word(text, t), F.lit(t)) for t in terms]))
+    return with_lower(text, lambda low: F.array_compact(F.array(*[F.when(has_word(low, t), F.lit(t)) for t in terms])))
 
 
 def any_word(text: Column, terms: Sequence[str]) -> Column:
     terms = sorted({t for t in terms if t})
     if len(terms) > MOST_NATIVE:
         return F.size(matched_terms(text, terms)) > 0
-    found = F.lit(False)
-    for t in terms:
-        found = found | has_word(text, t)
-    return found
+    if not terms:
+        return F.lit(False)
+    return with_lower(text, lambda low: reduce(operator.or_, [has_word(low, t) for t in terms]))
 
 
 def term_list(rules: DataFrame, column: str, most: int = 100_000) -> list[str]:

@@ -20,9 +20,15 @@ def keyed(landing: DataFrame) -> DataFrame:
 
 
 def newest(columns: Sequence[str]) -> Column:
-    """The columns of the newest row: latest landing, then latest post date (nulls last), then the columns themselves."""
-    order = [F.col(c) for c in ("ingested_at", "posted_or_updated_at", "title", "url", "description_html") if c in columns]
-    return F.max_by(F.struct(*columns), F.struct(*order))
+    """The columns of the newest row."""
+    return F.max_by(F.struct(*columns), newest_order(columns))
+
+
+def newest_order(columns: Sequence[str]) -> Column:
+    """Latest landing, then latest post date (nulls last), then title, url and a digest of the body: the body itself is
+    carried once, not twice."""
+    order = [F.col(c) for c in ("ingested_at", "posted_or_updated_at", "title", "url") if c in columns]
+    return F.struct(*order, *[F.md5(c).alias("body") for c in ("description_html",) if c in columns])
 
 
 def lifecycle(landing: DataFrame) -> DataFrame:
@@ -32,13 +38,18 @@ def lifecycle(landing: DataFrame) -> DataFrame:
     return seen.select("job_key", *[F.col(f"_row.{c}").alias(c) for c in columns], "first_seen_at", "last_seen_at")
 
 
+def board_maxima(landing: DataFrame) -> DataFrame:
+    """(source, company, first_at, board_at): when each board landed first and last."""
+    return landing.groupBy("source", "company").agg(F.min("ingested_at").alias("first_at"), F.max("ingested_at").alias("board_at"))
+
+
 def with_activity(current: DataFrame, landing: DataFrame, stale_hours: int = 36) -> DataFrame:
     """Adds is_active: seen in its board's last landing, and the board landed within the hours before the last of all.
 
-    Both maxima come from every landed row. Boards with null parts compare as equal.
+    Both maxima come from every landed row; the second one from the first ones. Boards with null parts compare as equal.
     """
-    boards = landing.groupBy(F.col("source").alias("_source"), F.col("company").alias("_company")).agg(F.max("ingested_at").alias("_board_at"))
-    last = landing.agg(F.max("ingested_at").alias("_last_at"))
+    boards = board_maxima(landing).select(F.col("source").alias("_source"), F.col("company").alias("_company"), F.col("board_at").alias("_board_at"))
+    last = boards.agg(F.max("_board_at").alias("_last_at"))
     df = current.join(boards, F.col("source").eqNullSafe(F.col("_source")) & F.col("company").eqNullSafe(F.col("_company")), "left").join(F.broadcast(last), how="cross")
     active = (F.col("last_seen_at") >= F.col("_board_at")) & (F.col("_board_at") >= hours_before(F.col("_last_at"), stale_hours))
     return df.withColumn("is_active", F.coalesce(active, F.lit(False))).drop("_source", "_company", "_board_at", "_last_at")

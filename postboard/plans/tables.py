@@ -68,7 +68,7 @@ keyed AS (SELECT *, {key_sql('source', 'company', 'external_id')} AS job_key FRO
 life AS (
   SELECT *, min(ingested_at) OVER (PARTITION BY job_key) AS first_seen_at, max(ingested_at) OVER (PARTITION BY job_key) AS last_seen_at,
     max(ingested_at) OVER (PARTITION BY source, company) AS board_at, max(ingested_at) OVER () AS last_at,
-    row_number() OVER (PARTITION BY job_key ORDER BY ingested_at DESC, posted_or_updated_at DESC NULLS LAST, title DESC, url DESC, description_html DESC) AS rn
+    row_number() OVER (PARTITION BY job_key ORDER BY ingested_at DESC, posted_or_updated_at DESC NULLS LAST, title DESC, url DESC, md5(description_html) DESC) AS rn
   FROM keyed),
 current AS (
   SELECT * EXCLUDE (rn, board_at, last_at), last_seen_at >= board_at AND board_at >= last_at - INTERVAL 36 HOUR AS is_active FROM life WHERE rn = 1)"""

@@ -30,16 +30,17 @@ I_DETAIL = f"id string, postingUrl string, jobAd struct<sections:struct<jobDescr
 
 
 def items(payloads: DataFrame, shape: str) -> tuple[DataFrame, DataFrame]:
-    """(board_ref, pos, item, raw) of the good payloads in order, and (board_ref, reason) of the others.
+    """(board_ref, pos, item, raw) of the good payloads in order, and (board_ref, reason) of the others. A payload is read
+    once into its items' texts, and each item once.
 
     A payload is bad when its list is absent or no list, or when an item lacks a required field.
     """
     root, fields, required = SHAPES[shape]
-    found = F.get_json_object("payload", f"$.{root}" if root else "$")
-    rows = payloads.select("board_ref", F.when(F.ltrim(found).startswith("["), found).alias("_list"))
-    rows = rows.select("board_ref", "_list", F.from_json("_list", f"array<struct<{as_struct(fields)}>>").alias("_items"), F.from_json("_list", "array<string>").alias("_raw"))
-    lacking = F.exists("_items", lambda x: F.greatest(*[x[f].isNull() for f in required]))
-    reason = F.when(F.col("_list").isNull(), f"no list at {root or 'the root'}").when(F.col("_items").isNull(), "unreadable").when(lacking, f"an item lacks {' or '.join(required)}")
+    raw = F.from_json("payload", f"{root} array<string>")[root] if root else F.when(F.ltrim("payload").startswith("["), F.from_json("payload", "array<string>"))
+    rows = payloads.select("board_ref", raw.alias("_raw"))
+    rows = rows.select("board_ref", "_raw", F.transform("_raw", lambda x: F.from_json(x, f"struct<{as_struct(fields)}>")).alias("_items"))
+    lacking = F.exists("_items", lambda x: F.greatest(x.isNull(), *[x[f].isNull() for f in required]))
+    reason = F.when(F.col("_raw").isNull(), f"no list at {root or 'the root'}").when(lacking, f"an item lacks {' or '.join(required)}")
     rows = rows.withColumn("reason", reason)
     good = rows.filter("reason is null").select("board_ref", F.posexplode(F.arrays_zip(F.col("_items").alias("item"), F.col("_raw").alias("raw"))).alias("pos", "z"))
     return good.select("board_ref", "pos", F.col("z.item").alias("item"), F.col("z.raw").alias("raw")), rows.filter("reason is not null").select("board_ref", "reason")
@@ -90,16 +91,19 @@ def shape_c(payloads: DataFrame, source: str = "C") -> tuple[DataFrame, DataFram
     return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("title"), location=f("location"), remote_policy=f("workplaceType"), department=f("department"), employment_type=f("employmentType"), url=f("jobUrl"), description_html=f("descriptionHtml"), posted=parse_timestamp(f("publishedAt")), raw=F.col("raw"))), bad
 
 
-def with_detail(df: DataFrame, details: DataFrame, schema: str, key: Column, detail_key: str) -> DataFrame:
-    """Adds `detail` and its text to each item by board and id."""
+def with_detail(df: DataFrame, details: DataFrame, schema: str, key: Column, detail_key: str) -> tuple[DataFrame, DataFrame]:
+    """Adds `detail` and its text to each item by board and id; items without a readable one go to quarantine, one
+    (board_ref, reason) each."""
     d = details.select(F.col("board_ref").alias("_board"), F.from_json("payload", schema).alias("detail"), F.col("payload").alias("_detail_raw")).withColumn("_key", F.col(f"detail.{detail_key}"))
-    return df.join(d, (df.board_ref == F.col("_board")) & (key == F.col("_key")), "inner")
+    joined = df.withColumn("_id", key).join(d, (F.col("board_ref") == F.col("_board")) & (F.col("_id") == F.col("_key")), "left")
+    missing = joined.filter("_key is null").select("board_ref", F.concat(F.lit("no readable detail: "), "_id").alias("reason"))
+    return joined.filter("_key is not null"), missing
 
 
 def shape_d(payloads: DataFrame, details: DataFrame, source: str = "D", url: str = "https://{board}.bamboohr.com/careers/{id}") -> tuple[DataFrame, DataFrame]:
     """List and detail; each part of the location is the first that is filled among the four objects."""
     df, bad = items(payloads, "D")
-    df = with_detail(df, details, D_DETAIL, f("id"), "result.jobOpening.id")
+    df, missing = with_detail(df, details, D_DETAIL, f("id"), "result.jobOpening.id")
     o = lambda p: F.col(f"detail.result.jobOpening.{p}")
     first = lambda *c: F.coalesce(*[blank_to_null(x) for x in c])
     city = first(o("location.city"), o("atsLocation.city"), f("location.city"), f("atsLocation.city"))
@@ -108,7 +112,7 @@ def shape_d(payloads: DataFrame, details: DataFrame, source: str = "D", url: str
     fallback = F.lit(url)
     fallback = F.replace(F.replace(fallback, F.lit("{board}"), F.col("board_ref")), F.lit("{id}"), f("id"))
     raw = F.concat(F.lit('{"list":'), F.col("raw"), F.lit(',"detail":'), "_detail_raw", F.lit("}"))
-    return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("jobOpeningName"), location=join_parts(city, state, country), remote_policy=F.when(f("isRemote"), "Remote"), department=f("departmentLabel"), employment_type=f("employmentStatusLabel"), url=F.coalesce(blank_to_null(o("jobOpeningShareUrl")), fallback), description_html=F.coalesce(o("description"), F.lit("")), posted=parse_timestamp(o("datePosted")), raw=raw)), bad
+    return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("jobOpeningName"), location=join_parts(city, state, country), remote_policy=F.when(f("isRemote"), "Remote"), department=f("departmentLabel"), employment_type=f("employmentStatusLabel"), url=F.coalesce(blank_to_null(o("jobOpeningShareUrl")), fallback), description_html=F.coalesce(o("description"), F.lit("")), posted=parse_timestamp(o("datePosted")), raw=raw)), bad.union(missing)
 
 
 def shape_e(payloads: DataFrame, source: str = "E") -> tuple[DataFrame, DataFrame]:
@@ -139,20 +143,20 @@ def shape_h(payloads: DataFrame, details: DataFrame, source: str = "H") -> tuple
     seen = F.transform(F.array_sort(F.collect_list(F.struct("pos", f("workLocation.label").alias("label")))), lambda x: x["label"])
     df = df.groupBy("board_ref", f("uuid").alias("uuid")).agg(first.alias("_first"), F.array_distinct(F.array_compact(seen)).alias("_places"))
     df = df.select("board_ref", F.col("_first.item").alias("item"), F.col("_first.raw").alias("raw"), "_places")
-    df = with_detail(df, details, H_DETAIL, f("uuid"), "uuid")
+    df, missing = with_detail(df, details, H_DETAIL, f("uuid"), "uuid")
     d = lambda p: F.col(f"detail.{p}")
     places = F.when(F.size(F.coalesce(d("workLocations"), F.array().cast("array<string>"))) > 0, d("workLocations")).otherwise(F.col("_places"))
     raw = F.concat(F.lit('{"list":'), F.col("raw"), F.lit(',"detail":'), "_detail_raw", F.lit("}"))
-    return df.select(*posting(source, F.col("board_ref"), external_id=f("uuid"), title=f("name"), location=blank_to_null(F.array_join(F.array_distinct(places), "; ")), remote_policy=F.when(d("isRemote"), "Remote"), department=F.coalesce(d("department.name"), f("department.label")), employment_type=d("employmentType.label"), url=f("url"), description_html=F.coalesce(d("description.role"), F.lit("")), posted=parse_timestamp(d("createdOn")), raw=raw)), bad
+    return df.select(*posting(source, F.col("board_ref"), external_id=f("uuid"), title=f("name"), location=blank_to_null(F.array_join(F.array_distinct(places), "; ")), remote_policy=F.when(d("isRemote"), "Remote"), department=F.coalesce(d("department.name"), f("department.label")), employment_type=d("employmentType.label"), url=f("url"), description_html=F.coalesce(d("description.role"), F.lit("")), posted=parse_timestamp(d("createdOn")), raw=raw)), bad.union(missing)
 
 
 def shape_i(payloads: DataFrame, details: DataFrame, source: str = "I") -> tuple[DataFrame, DataFrame]:
     """Pages are rows; a posting on two pages counts once. Three named sections make the body."""
     df, bad = items(payloads, "I")
     df = df.groupBy("board_ref", f("id").alias("_id")).agg(F.min_by(F.struct("item", "raw"), F.struct("pos", "raw")).alias("_first")).select("board_ref", F.col("_first.item").alias("item"), F.col("_first.raw").alias("raw"))
-    df = with_detail(df, details, I_DETAIL, f("id"), "id")
+    df, missing = with_detail(df, details, I_DETAIL, f("id"), "id")
     section = lambda s: headed(F.col(f"detail.jobAd.sections.{s}.title"), F.col(f"detail.jobAd.sections.{s}.text"))
     place = F.coalesce(tidy_location(f("location.fullLocation")), join_parts(f("location.city"), f("location.region"), f("location.country")))
     remote = F.when(f("location.remote"), "Remote").when(f("location.hybrid"), "Hybrid")
     raw = F.concat(F.lit('{"list":'), F.col("raw"), F.lit(',"detail":'), "_detail_raw", F.lit("}"))
-    return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("name"), location=place, remote_policy=remote, department=f("department.label"), employment_type=f("typeOfEmployment.label"), url=F.col("detail.postingUrl"), description_html=join_sections(section("jobDescription"), section("qualifications"), section("additionalInformation")), posted=parse_timestamp(f("releasedDate")), raw=raw)), bad
+    return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("name"), location=place, remote_policy=remote, department=f("department.label"), employment_type=f("typeOfEmployment.label"), url=F.col("detail.postingUrl"), description_html=join_sections(section("jobDescription"), section("qualifications"), section("additionalInformation")), posted=parse_timestamp(f("releasedDate")), raw=raw)), bad.union(missing)

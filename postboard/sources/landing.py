@@ -35,12 +35,14 @@ def land(postings: DataFrame, path: str, run_id: str, ingested_at: dt.datetime)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A table in its declared columns, or an empty one where nothing was landed yet."""
+    """A table in its declared columns, or an empty one where the path is not there yet; other errors are errors."""
     try:
         df = spark.read.schema(schema).parquet(path)
-        return df.select(spark.createDataFrame([], schema).columns)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
+    return df.select(spark.createDataFrame([], schema).columns)
 
 
 def stage_raw(raw: DataFrame) -> DataFrame:
@@ -50,9 +52,29 @@ def stage_raw(raw: DataFrame) -> DataFrame:
 
 
 def within_retention(raw: DataFrame, day: Column, days: int = 180) -> DataFrame:
-    """Rows whose day partition is at most `days` before the newest one."""
-    last = raw.agg(F.max(day).alias("_last"))
-    return raw.join(F.broadcast(last), how="cross").filter(day >= F.date_sub("_last", days)).drop("_last")
+    """Rows whose day partition is at most `days` before the newest one. The bound is a literal, so that a scan reads
+    only the partitions within it."""
+    last = raw.agg(F.max(day).cast("date")).first()[0]
+    return raw.filter(day >= F.lit(last - dt.timedelta(days=days))) if last else raw
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whichever file system holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def expire(spark: SparkSession, path: str, days: int = 180) -> int:
+    """Drop the day partitions of a landing that are more than `days` older than the newest, and return their number."""
+    parts = spark.read.option("basePath", path).parquet(path).select("source", "ingest_date").distinct()
+    last = parts.agg(F.max("ingest_date")).first()[0]
+    if last is None:
+        return 0
+    old = parts.filter(F.col("ingest_date") < F.lit(last - dt.timedelta(days=days))).collect()  # sources times days
+    for r in old:
+        source = "__HIVE_DEFAULT_PARTITION__" if r["source"] is None else spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(r["source"])
+        remove(spark, f"{path}/source={source}/ingest_date={r['ingest_date']}")
+    return len(old)
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
 
-from postboard.operators.postings import keyed, newest
-from postboard.sources.landing import read_or_empty
+from postboard.operators.postings import keyed, newest, newest_order
+from postboard.sources.landing import remove
 
 
 def stream_landing(spark: SparkSession, source: str, target: str, checkpoint: str, schema: T.StructType) -> StreamingQuery:
@@ -20,7 +20,7 @@ def partial_state(landing: DataFrame) -> DataFrame:
     """(job_key, first, last, order of the newest row, newest row) of a batch; merging such rows in any order is safe."""
     df = keyed(landing)
     columns = [c for c in df.columns if c != "job_key"]
-    order = F.struct(*[F.col(c) for c in ("ingested_at", "posted_or_updated_at", "title", "url", "description_html")])
+    order = newest_order(columns)
     return df.groupBy("job_key").agg(F.min("ingested_at").alias("first_seen_at"), F.max("ingested_at").alias("last_seen_at"), F.max(order).alias("_order"), newest(columns).alias("_row"))
 
 
@@ -36,15 +36,26 @@ def current_from_state(state: DataFrame) -> DataFrame:
     return state.select("job_key", *[F.col(f"_row.{c}").alias(c) for c in columns], "first_seen_at", "last_seen_at")
 
 
-def stream_lifecycle(spark: SparkSession, source: str, state_path: str, checkpoint: str, schema: T.StructType) -> StreamingQuery:
-    """Keep the state of a growing landing folder, one version per batch; the newest version is the state."""
+def stream_lifecycle(spark: SparkSession, source: str, state_path: str, checkpoint: str, schema: T.StructType, files_each: int | None = None) -> StreamingQuery:
+    """Keep the state of a growing landing folder; the newest version v0, v1, ... is the state.
+
+    All new files of a trigger are one batch (unless `files_each` bounds them), so the state is written once per trigger.
+    The version before stays until the next batch, in case this one is run again; older ones go. A batch whose version
+    before is missing is an error, as the state would begin anew.
+    """
     empty = partial_state(spark.createDataFrame([], schema)).schema
 
     def step(batch: DataFrame, n: int) -> None:
-        before = read_or_empty(batch.sparkSession, f"{state_path}/v{n - 1}", empty)
+        s = batch.sparkSession
+        before = s.read.schema(empty).parquet(f"{state_path}/v{n - 1}") if n else s.createDataFrame([], empty)
         merge_state(before, batch).write.mode("overwrite").parquet(f"{state_path}/v{n}")
+        if n > 1:
+            remove(s, f"{state_path}/v{n - 2}")
 
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    files = spark.readStream.schema(schema)
+    if files_each:
+        files = files.option("maxFilesPerTrigger", files_each)
+    return files.parquet(source).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def net_new(batch: DataFrame, state: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,6 +39,39 @@ def test_feed_places(spark):
     assert got["1"].location == "A; C" and got["1"].description_html == "yes" and got["2"].location == "Z"
 
 
+def test_feed_details_to_quarantine(spark):
+    """What is listed is a posting or in quarantine."""
+    jobs = [{"uuid": u, "name": "N", "url": "x", "workLocation": {"label": "A"}} for u in ("1", "2", "3")]
+    details = [("h", {"uuid": "1", "description": {"role": "yes"}}), ("h", '{"uuid": "2", '), ("other", {"uuid": "3", "description": {"role": "no"}})]
+    good, bad = feeds.shape_h(payloads(spark, ("h", jobs), ("none", {"x": 1})), payloads(spark, *details))
+    assert [r.external_id for r in good.collect()] == ["1"]
+    assert sorted(map(tuple, bad.collect())) == [("h", "no readable detail: 2"), ("h", "no readable detail: 3"), ("none", "no list at the root")]
+
+
+def test_retention(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    good, _ = feeds.shape_c(payloads(spark, ("c", {"jobs": [{"id": "1", "title": "T", "jobUrl": "u"}]})), source="a b=c")
+    for k in (0, 3, 9, 10):
+        land.land(good, path, f"r{k}", T0 + dt.timedelta(days=k))
+    rows = spark.read.option("basePath", path).parquet(path)
+    assert land.within_retention(rows, F.col("ingest_date"), 7).count() == 3
+    assert land.expire(spark, path, 7) == 1 and land.expire(spark, path, 7) == 0
+    assert {r.run_id for r in land.read_or_empty(spark, path, land.RAW).collect()} == {"r3", "r9", "r10"}
+
+
+def test_reads_fail_loudly(spark, tmp_path):
+    (tmp_path / "x").write_text("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer|read"):
+        land.read_or_empty(spark, str(tmp_path / "x"), land.RAW).collect()
+    assert land.read_or_empty(spark, str(tmp_path / "none"), land.RAW).count() == 0
+
+
+def test_todo_takes_any_model_name(spark):
+    work = spark.createDataFrame([("h",)], "content_hash string")
+    done = spark.createDataFrame([("h", "it's"), ("h", None)], "content_hash string, extract_model string")
+    assert enrich.todo(work, done, extract_model="it's").count() == 0 and enrich.todo(work, done, extract_model="' or 1=1 --").count() == 1
+
+
 def test_time_forms(spark):
     df = spark.createDataFrame([("2026-07-22 14:20:52 UTC",), ("2026-07-22",), ("2026-07-22T10:00:00Z",), ("",), (None,), ("soon",)], "s string")
     got = [r[0] for r in df.select(tx.parse_timestamp(F.col("s"))).collect()]
@@ -135,10 +170,26 @@ def test_enrichment_second_run_is_empty(spark):
 
 
 def test_best_match_without_length(spark):
-    texts = spark.createDataFrame([("a", [1.0, 0.0]), ("z", [0.0, 0.0])], "content_hash string, embedding array<float>")
-    units = spark.createDataFrame([(2, [2.0, 0.0]), (1, [1.0, 0.0]), (0, [0.0, 0.0])], "unit_id int, embedding array<float>")
+    vectors = [("a", [1.0, 0.0]), ("z", [0.0, 0.0]), ("n", None), ("m", [1.0, None]), ("long", [1.0, 0.0, 0.0])]
+    texts = spark.createDataFrame(vectors, "content_hash string, embedding array<float>")
+    units = spark.createDataFrame([(2, [2.0, 0.0]), (1, [1.0, 0.0]), (0, [0.0, 0.0]), (3, None), (4, [None, 1.0])], "unit_id int, embedding array<float>")
     got = {r.content_hash: (r.unit_id, r.similarity) for r in enrich.best_match(texts, units).collect()}
-    assert got["a"] == (1, 1.0) and got["z"][1] is None and enrich.best_match(texts, units.limit(0)).filter("unit_id is not null").count() == 0
+    assert got == {"a": (1, 1.0), "z": (None, None), "n": (None, None), "m": (None, None), "long": (None, None)}
+    assert enrich.best_match(texts, units.limit(0)).filter("unit_id is not null").count() == 0 and enrich.best_match(texts.limit(0), units).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [{"block": 3, "grouped": 5}, {"block": 2048, "grouped": 65_536}])
+def test_best_match_tiles(spark, sizes):
+    rng = random.Random(3)
+    draw = lambda n, kind: [(kind(i), [float(rng.randint(-2, 2)) for _ in range(3)]) for i in range(n)]
+    texts, units = draw(40, str), draw(23, int)
+    plain = {}
+    for h, v in texts:
+        cos = lambda w, v=v: round(sum(a * b for a, b in zip(v, w, strict=True)) / (math.hypot(*v) * math.hypot(*w)), 12)
+        near = sorted((-cos(w), u) for u, w in units if any(w)) if any(v) else []
+        plain[h] = near[0][1] if near else None
+    got = enrich.best_match(spark.createDataFrame(texts, "content_hash string, embedding array<double>"), spark.createDataFrame(units, "unit_id long, embedding array<double>"), **sizes)
+    assert {r.content_hash: r.unit_id for r in got.collect()} == plain
 
 
 def test_merge(spark):
@@ -184,6 +235,20 @@ def test_checks(spark):
 RAW = "source string, company string, external_id string, title string, location string, url string, description_html string, ingested_at timestamp, posted_or_updated_at timestamp"
 
 
+def test_stream_state_is_not_forgotten(spark, tmp_path):
+    from pyspark.sql.types import _parse_datatype_string
+
+    schema, source = _parse_datatype_string(RAW), str(tmp_path / "in")
+    row = lambda k: spark.createDataFrame([("s", "c", str(k), "t", None, "u", "d", T0, None)], schema)
+    run = lambda: incremental.stream_lifecycle(spark, source, str(tmp_path / "state"), str(tmp_path / "cp"), schema).awaitTermination()
+    row(0).write.mode("append").parquet(source)
+    run()
+    land.remove(spark, str(tmp_path / "state/v0"))
+    row(1).write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        run()
+
+
 def test_streams(spark, tmp_path):
     from pyspark.sql.types import _parse_datatype_string
 
@@ -192,7 +257,8 @@ def test_streams(spark, tmp_path):
     source = str(tmp_path / "in")
     for k in range(4):
         spark.createDataFrame(rows[k::4], schema).coalesce(1).write.mode("append").parquet(source)
-    incremental.stream_lifecycle(spark, source, str(tmp_path / "state"), str(tmp_path / "cp"), schema).awaitTermination()
+    incremental.stream_lifecycle(spark, source, str(tmp_path / "state"), str(tmp_path / "cp"), schema, files_each=1).awaitTermination()
+    assert not (tmp_path / "state/v1").exists()
     state = spark.read.parquet(str(tmp_path / "state/v3"))
     whole = incremental.partial_state(spark.read.schema(schema).parquet(source))
     key = lambda df: sorted(map(str, incremental.current_from_state(df).collect()))
