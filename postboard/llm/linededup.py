@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -20,56 +21,79 @@ from postboard.llm.common import materialise, rows_of
 
 #: What ends a unit and belongs to it: a sentence's end with the spaces behind it, or line ends.
 BOUNDARY = re.compile(r"[.!?]+[ \t]+|\n+")
+BYTES_BOUNDARY = re.compile(BOUNDARY.pattern.encode())
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Units with more words are cut after words that `ends_part` picks, about one in eight.
+#: Units with more words are cut after words that `part_ends` picks, about one in eight.
 LONG = 24
 
 
-def ends_part(word: str) -> bool:
-    """By the word (in lower case) alone, so that every copy of a passage is cut at the same places."""
-    return (ord(word[0]) + 31 * ord(word[-1]) + 7 * len(word)) % 8 == 0
+def part_ends(words: list[bytes]) -> list[int]:
+    """Places after which a long sentence is cut (its end is one): by each word in lower case alone, so that every copy of
+    a passage is cut at the same places."""
+    if len(words) <= LONG:
+        return [len(words)]
+    return [k for k, w in enumerate(words[:-1], 1) if not (w[0] + 31 * w[-1] + 7 * len(w)) & 7] + [len(words)]
+
+
+def normalised(text: str) -> list[bytes]:
+    """The units with a word, in order. Case and white space do not count; bytes.split() splits where words do."""
+    out, start, low = [], 0, text.lower().encode()
+    for end in [*(m.end() for m in BYTES_BOUNDARY.finditer(low)), len(low)]:
+        if words := low[start:end].split():
+            if len(words) <= LONG:
+                out.append(b" ".join(words))
+            else:
+                first = 0
+                for k in part_ends(words):
+                    out.append(b" ".join(words[first:k]))
+                    first = k
+        start = end
+    return out
 
 
-def units(text: str) -> list[tuple[int, int, bytes, int]]:
-    """(start, end, normalised, words) of the units with a word, in order. Case and white space do not count."""
+def units(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, words) of the same units in the text; what has no word belongs to the unit after it."""
     out, start = [], 0
     for end in [*(m.end() for m in BOUNDARY.finditer(text)), len(text)]:
-        words = text[start:end].lower().encode().split()  # bytes.split() knows the spaces between words as the class above
+        words = text[start:end].lower().encode().split()
         if not words:
             continue
-        if len(words) > LONG:
-            at, first, found = start, 0, list(WORD.finditer(text, start, end))
-            for k, m in enumerate(found[:-1]):
-                if ends_part(m[0].lower()):
-                    out.append((at, found[k + 1].start(), b" ".join(words[first : k + 1]), k + 1 - first))
-                    at, first = found[k + 1].start(), k + 1
-            out.append((at, end, b" ".join(words[first:]), len(words) - first))
-        else:
-            out.append((start, end, b" ".join(words), len(words)))
+        ends, places = part_ends(words), []
+        if len(ends) > 1:
+            places = [m.start() for m in WORD.finditer(text, start, end)]
+        at, first = start, 0
+        for k in ends:
+            after = places[k] if k < len(words) else end
+            out.append((at, after, k - first))
+            at, first = after, k
         start = end
     return out
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, unit, h1, h2) of each unit of each row."""
-    names = ["doc_id", "text_hash", "unit", "h1", "h2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[list[int | None]] = [[], [], [], [], []]
-
-        def flat() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if n == "unit" else pa.int64()) for c, n in zip(out, names, strict=True)], names)
-
         for doc_ids, hashes, texts in rows_of(batches, "doc_id", "text_hash", "text"):
-            for doc_id, text_hash, text in zip(doc_ids, hashes, texts, strict=True):
-                for u, (_, _, norm, _) in enumerate(units(text or "")):
-                    d = xxhash.xxh3_128_digest(norm)
-                    for column, value in zip(out, (doc_id, text_hash, u, int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)), strict=True):
-                        column.append(value)
-                if len(out[0]) > 100_000:
-                    yield flat()
-                    out = [[], [], [], [], []]
-        yield flat()
+            at = 0
+            while at < len(texts):
+                found, counts = [], []
+                for text in texts[at:]:
+                    of_text = normalised(text or "")
+                    found += map(xxhash.xxh3_128_digest, of_text)
+                    counts.append(len(of_text))
+                    if len(found) > 100_000:
+                        break
+                here = slice(at, at + len(counts))
+                at += len(counts)
+                rows = np.repeat(np.arange(len(counts)), counts)
+                places = np.arange(len(found)) - np.repeat(np.cumsum(counts) - counts, counts)
+                halves = np.frombuffer(b"".join(found), ">i8").astype(np.int64).reshape(-1, 2)
+                ids, texts_ = pa.array(doc_ids[here], pa.int64()), pa.array(hashes[here], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(rows)), texts_.take(pa.array(rows)), pa.array(places.astype(np.int32)), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())],
+                    ["doc_id", "text_hash", "unit", "h1", "h2"],
+                )
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     return rows.mapInArrow(run, "doc_id long, text_hash long, unit int, h1 long, h2 long")
@@ -81,7 +105,7 @@ def cut(text: str, repeated: set[int], least_words: int) -> tuple[str, list[tupl
     while at < len(found):
         end, n = at, 0
         while end < len(found) and end in repeated:
-            n += found[end][3]
+            n += found[end][2]
             end += 1
         if n >= least_words:
             spans.append((found[at][0], found[end - 1][1]))

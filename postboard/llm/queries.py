@@ -151,7 +151,7 @@ SQL: dict[str, str] = {
         words AS (SELECT doc_id, g, len(t) AS n, unnest(t) AS token, generate_subscripts(t, 1) AS k FROM tokens),
         plain AS (SELECT *, lower(regexp_replace(token, '[\x20\x09-\x0D]+', '', 'g')) AS w FROM words),
         parts AS (
-          SELECT *, coalesce(sum(CAST(n > 24 AND (ord(w) + 31 * ord(right(w, 1)) + 7 * length(w)) % 8 = 0 AS INT)) OVER (PARTITION BY doc_id, g ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part FROM plain),
+          SELECT *, coalesce(sum(CAST(n > 24 AND (CAST('0x' || left(hex(encode(w)), 2) AS INT) + 31 * CAST('0x' || right(hex(encode(w)), 2) AS INT) + 7 * octet_length(encode(w))) % 8 = 0 AS INT)) OVER (PARTITION BY doc_id, g ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part FROM plain),
         units AS (
           SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY g, part) AS unit, string_agg(w, ' ' ORDER BY k) AS norm, string_agg(token, '' ORDER BY k) AS s, count(*) AS words
           FROM parts GROUP BY doc_id, g, part),
