@@ -59,23 +59,19 @@ def base_failed(df: DataFrame) -> Column:
     return (df.n_words < 10) | (100 * df.n_repeat_words > 20 * df.n_words)
 
 
-def hash_number(text: Column) -> Column:
-    """A number of 32 bits: the first digits of the MD5, which other engines have too."""
-    return F.conv(F.left(F.md5(text), F.lit(8)), 16, 10).cast("long")
-
-
-def hashed_ngrams(docs: DataFrame, n: int, buckets: int, *more: Column) -> DataFrame:
-    """A row per word: the bucket of the n-gram that starts there (shorter at the end of the text)."""
+def hashed_ngrams(docs: DataFrame, n: int, digits: int, *more: Column) -> DataFrame:
+    """A row per word: the bucket of the n-gram that starts there (shorter at the end of the text). A bucket is named by
+    the first digits of the MD5, which other engines have too."""
     df = docs.select(*more, words(F.col("text")).alias("_w"))
     kept = [c for c in df.columns if c != "_w"]
     moved = [F.slice("_w", k, F.greatest(F.size("_w"), F.lit(1))).alias(f"w{k}") for k in range(1, n + 1)]
     df = df.select(*kept, F.explode("_w" if n == 1 else F.arrays_zip(*moved)).alias("_z"))
     gram = F.col("_z") if n == 1 else F.concat_ws(" ", *[f"_z.w{k}" for k in range(1, n + 1)])
-    return df.select(*kept, (hash_number(gram) % buckets).cast("int").alias("bucket"))
+    return df.select(*kept, F.left(F.md5(gram), F.lit(digits)).alias("bucket"))
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, n: int, buckets: int, max_trusted: int, smoothing: float) -> DataFrame:
-    """(bucket, weight): log of the smoothed trusted probability over the smoothed raw one, at most `buckets` rows.
+def log_ratios(docs: DataFrame, labels: DataFrame, n: int, digits: int, max_trusted: int, smoothing: float) -> DataFrame:
+    """(bucket, weight): log of the smoothed trusted probability over the smoothed raw one, at most 16**digits rows.
 
     Trusted are the documents labelled quality 1, at most `max_trusted` of them, the first by a hash of their id; raw
     counts come from all documents. The bound on the trusted ids makes their broadcast small.
@@ -83,25 +79,25 @@ def log_ratios(docs: DataFrame, labels: DataFrame, n: int, buckets: int, max_tru
     trusted = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
     trusted = trusted.orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(max_trusted).withColumn("_trusted", F.lit(1))
     marked = docs.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("_id"), "left")
-    grams = hashed_ngrams(marked, n, buckets, F.coalesce("_trusted", F.lit(0)).cast("long").alias("_trusted"))
+    grams = hashed_ngrams(marked, n, digits, F.coalesce("_trusted", F.lit(0)).cast("long").alias("_trusted"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("_trusted").alias("trusted"))
     counts = materialise(counts, "ngrams")
     totals = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw_all"), F.coalesce(F.sum("trusted"), F.lit(0)).alias("trusted_all"))
-    p = lambda n, total: (F.col(n) + smoothing) / (F.col(total) + smoothing * buckets)
+    p = lambda n, total: (F.col(n) + smoothing) / (F.col(total) + smoothing * 16**digits)
     weight = F.when(F.col("trusted_all") > 0, F.log(p("trusted", "trusted_all") / p("raw", "raw_all"))).otherwise(0.0)
     return materialise(counts.join(F.broadcast(totals)).select("bucket", weight.alias("weight")), "ratios")
 
 
 def quality_rules(
-    docs: DataFrame, labels: DataFrame, *, n: int = 1, buckets: int = 65536, max_trusted: int = 20000, smoothing: float = 1.0, threshold: float = -0.35
+    docs: DataFrame, labels: DataFrame, *, n: int = 1, digits: int = 4, max_trusted: int = 20000, smoothing: float = 1.0, threshold: float = -0.35
 ) -> DataFrame:
     """Per row of documents: counts, base_failed, llr (mean log ratio of its n-grams) and kept.
 
     Texts that are null or without words have llr null and fail the base rules. Without trusted labels every llr is 0,
     so the base rules alone decide. Rows equal in id and text get equal results; other columns are ignored.
     """
-    weights = log_ratios(docs, labels, n, buckets, max_trusted, smoothing)
-    grams = hashed_ngrams(docs, n, buckets, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"))
+    weights = log_ratios(docs, labels, n, digits, max_trusted, smoothing)
+    grams = hashed_ngrams(docs, n, digits, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"))
     scored = grams.join(F.broadcast(weights), "bucket").groupBy("_id", "_h").agg(F.round(F.avg("weight"), 6).alias("llr"))
     base = base_counts(docs)
     df = base.join(scored, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_h")), "left")

@@ -91,7 +91,7 @@ SQL: dict[str, str] = {
         twice AS (SELECT rid, k FROM (SELECT rid, k, count(*) OVER (PARTITION BY rid, g) AS n FROM windows) WHERE n > 1),
         covered AS (SELECT rid, count(DISTINCT k + i) AS n FROM twice, (SELECT unnest(range(5)) AS i) GROUP BY rid),
         trusted AS (SELECT doc_id FROM (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 20000),
-        grams AS (SELECT rid, doc_id, CAST('0x' || left(md5(unnest(w)), 8) AS BIGINT) % 65536 AS bucket FROM w),
+        grams AS (SELECT rid, doc_id, left(md5(unnest(w)), 4) AS bucket FROM w),
         counts AS (SELECT bucket, count(*) AS raw, count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM trusted)) AS good FROM grams GROUP BY bucket),
         weights AS (
           SELECT bucket, CASE WHEN (SELECT sum(good) FROM counts) > 0 THEN ln((good + 1.0::DOUBLE) / ((SELECT sum(good) FROM counts) + 65536) / ((raw + 1.0::DOUBLE) / ((SELECT sum(raw) FROM counts) + 65536))) ELSE 0.0 END AS weight FROM counts),

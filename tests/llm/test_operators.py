@@ -72,15 +72,15 @@ def test_quality_ratio(spark, n):
     good = [(i, " ".join(rng.choice(["sun", "moon", "star", "sky", f"g{rng.randint(0, 30)}"]) for _ in range(60))) for i in range(60)]
     junk = [(100 + i, " ".join(f"z{rng.randint(0, 10**6)}#" for _ in range(60))) for i in range(30)]
     labels = spark.createDataFrame([(i, 1) for i, _ in good], "doc_id long, quality int")
-    got = {r.doc_id: r for r in quality.quality_rules(frame(spark, good + junk + [(500, None)]), labels, n=n, buckets=512).collect()}
-    raw, trusted = np.zeros(512), np.zeros(512)
+    got = {r.doc_id: r for r in quality.quality_rules(frame(spark, good + junk + [(500, None)]), labels, n=n, digits=2).collect()}
+    raw, trusted = np.zeros(256), np.zeros(256)
     grams = lambda t: [" ".join(split(t)[k : k + n]) for k in range(len(split(t)))]
-    bucket = lambda g: int(hashlib.md5(g.encode()).hexdigest()[:8], 16) % 512
+    bucket = lambda g: int(hashlib.md5(g.encode()).hexdigest()[:2], 16)
     for i, t in good + junk:
         for g in grams(t):
             raw[bucket(g)] += 1
             trusted[bucket(g)] += i < 100
-    weight = np.log((trusted + 1) / (trusted.sum() + 512)) - np.log((raw + 1) / (raw.sum() + 512))
+    weight = np.log((trusted + 1) / (trusted.sum() + 256)) - np.log((raw + 1) / (raw.sum() + 256))
     for i, t in good + junk:
         assert got[i].llr == pytest.approx(np.mean([weight[bucket(g)] for g in grams(t)]), abs=2e-6)
     if n == 1:
