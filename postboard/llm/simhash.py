@@ -246,7 +246,8 @@ def near_duplicates(docs: DataFrame, *, radius: int = 4, width: int = 4, cell_ro
     """
     prints = materialise(fingerprints(docs, width), "prints")
     labels = labelled(prints, F.min("doc_id"), radius, cell_rows, agree)
-    out = prints.join(labels, prints.fp == labels["_fp"])
+    prints, labels = dealt(prints, "doc_id"), every_salt(labels).withColumnRenamed("salt", "_salt")
+    out = prints.join(labels, (prints.fp == labels["_fp"]) & (prints.salt == labels["_salt"]))  # copies in their thousands share a print
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least").alias("component_id"))
 
 
