@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postboard.tables import materialise, shared_dir
 
-__all__ = ["SPACES", "hash_share", "held_out", "materialise", "rows_of", "shared_dir", "words"]
+__all__ = ["SPACES", "hash_share", "held_out", "materialise", "rows_of", "running_sum", "shared_dir", "words"]
 
 #: White space between words: space, and tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -38,3 +38,17 @@ def hash_share(df: DataFrame, column: str, most: int, total: int) -> DataFrame:
     if total <= most:
         return df
     return df.filter(F.pmod(F.xxhash64(column), F.lit(1_000_000)) < int(1_000_000 * most / total))
+
+
+def running_sum(df: DataFrame, order: Sequence[Column], value: str, name: str) -> DataFrame:
+    """Adds the sum of a column over all rows before, in the given order over the whole frame.
+
+    Rows are range-partitioned by the order and added up within each partition, and the sums of the partitions before are
+    added. Only one number per partition is gathered. Rows that are equal in the order get sums in any order.
+    """
+    parts = materialise(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = parts.groupBy("_part").agg(F.sum(value).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # over one row per partition
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    local = F.sum(value).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    return parts.join(F.broadcast(offsets), "_part").withColumn(name, F.coalesce(local, F.lit(0)) + F.col("_before")).drop("_part", "_before")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postboard.llm import bpe, html_tree, langid, linededup, packing, pii, quality, simhash, topk, toxicity
+from postboard.llm import bpe, clustering, html_tree, langid, linededup, mixing, packing, pii, quality, simhash, topk, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -59,10 +59,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", "removed", "n_removed", "n_removed_chars", "text")
 
 
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("first_slot")
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"), k=40, dims=64, scale=256, rounds=5, seed=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_best_fit_packing, op3_language_id, op4_pii, op5_bpe, op6_exact_top_k, op7_simhash, op8_html_extraction, op9_toxicity, op10_substring_dedup,
+        op12_source_mix, op13_centroid_clustering,
     )
 }
 
@@ -81,6 +90,22 @@ DIGITS = "regexp_replace(v, '[^0-9]', '', 'g')"
 LUHN = f"""list_sum(list_transform(range(1, length({DIGITS}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN CAST(reverse({DIGITS})[i] AS INT)
           ELSE (CAST(reverse({DIGITS})[i] AS INT) * 2) % 10 + CAST(reverse({DIGITS})[i] AS INT) // 5 END)) % 10 = 0"""
 
+
+
+def nearest_sql(k: int) -> str:
+    return f"""near{k} AS (
+          SELECT rid, any_value(vec_id) AS vec_id, any_value(v) AS v, min(struct_pack(d := d, c := c)).c AS c, min(d) AS d FROM (
+            SELECT rid, vec_id, v.v, c.c, list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM (SELECT *, row_number() OVER () AS rid FROM v) v, c{k} c) GROUP BY rid)"""
+
+
+def round_sql(k: int) -> str:
+    """Assign to the centroids c{k} and make c{k + 1}: exact floors of means."""
+    return f"""{nearest_sql(k)},
+        m{k} AS (SELECT c, list(m ORDER BY i) AS v FROM (SELECT c, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM near{k}) GROUP BY c, i) GROUP BY c),
+        c{k + 1} AS (SELECT c, coalesce(m{k}.v, c{k}.v) AS v FROM c{k} LEFT JOIN m{k} USING (c)),
+        """
+
+
 SQL: dict[str, str] = {
     "op1_quality_rules": rf"""
         WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
@@ -167,4 +192,38 @@ SQL: dict[str, str] = {
           CASE WHEN used IS NULL THEN d.text ELSE head || substr(d.text, CAST(used AS BIGINT) + 1) END AS text
         FROM documents d LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)
     """,
+    "op12_source_mix": r"""
+        WITH s AS (
+          SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(concat_ws(':', 'mix', doc_id, coalesce(text, ''))) AS mark FROM documents),
+        src AS (SELECT source, sum(size) AS total, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no FROM s GROUP BY source),
+        weighed AS (SELECT *, [5, 2, 1][no % 3 + 1] AS w FROM src),
+        filled AS (  -- sources by the level at which they are full: the first k are full if the level without them is above
+          SELECT *, row_number() OVER r AS k, sum(2 * total) OVER r AS full_words, coalesce(sum(w) OVER (ORDER BY no DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0) - sum(w) OVER r AS w_left,
+            sum(total) OVER () AS whole FROM weighed WINDOW r AS (ORDER BY total / w::DOUBLE, no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+        level AS (  -- the least k with which the next source is not full
+          SELECT coalesce(min(k) FILTER (WHERE holds), 0) AS k FROM (
+            SELECT k, lead(2 * total) OVER (ORDER BY k) * w_left >= (1.5 * whole - full_words) * lead(w) OVER (ORDER BY k) AS holds FROM filled
+            UNION ALL SELECT 0, 2 * total * (w_left + w) >= 1.5 * whole * w FROM filled WHERE k = 1)),
+        target AS (
+          SELECT f.source, f.no, f.total, CASE WHEN f.k <= level.k THEN 2.0::DOUBLE * f.total
+            ELSE f.w * (1.5 * whole - coalesce((SELECT max(full_words) FROM filled g, level WHERE g.k = level.k), 0))::DOUBLE / (SELECT sum(w) FROM filled g, level WHERE g.k > level.k)::DOUBLE END AS target
+          FROM filled f, level),
+        placed AS (
+          SELECT s.doc_id, s.size, t.total, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS take,
+            coalesce(sum(s.size) OVER (PARTITION BY t.no ORDER BY mark, s.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begun
+          FROM s JOIN target t ON s.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(total AS BIGINT) AS source_size, target,
+          CAST(CASE WHEN size = 0 THEN 0 ELSE size * (take // total) + greatest(0, least(size, take % total - begun)) END AS BIGINT) AS taken FROM placed
+    """,
+    "op13_centroid_clustering": f"""
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+          WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        c0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), vec_id, v) - 1 AS c, v FROM v ORDER BY sha256('2:' || vec_id) NULLS LAST, vec_id, v LIMIT 40),
+        {"".join(round_sql(k) for k in range(5))}
+        {nearest_sql(5)},
+        own AS (SELECT c, sum(d) AS inertia FROM near5 GROUP BY c)
+        SELECT near5.vec_id, CAST(near5.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(own.inertia AS BIGINT) AS cluster_inertia, CAST((SELECT sum(d) FROM near5) AS BIGINT) AS inertia,
+          sha256(array_to_string(c5.v, ',')) AS centroid_sha256 FROM near5 JOIN own USING (c) JOIN c5 USING (c)
+    """,
 }
