@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postboard.llm import bpe, clustering, html_tree, langid, linededup, mixing, packing, pii, quality, simhash, topk, toxicity
+from postboard.llm import bpe, clustering, html_tree, langid, linededup, mixing, packing, pii, prefix_trie, quality, simhash, topk, toxicity
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -59,6 +59,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", "removed", "n_removed", "n_removed_chars", "text")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_prefixes(table(spark, sf_dir, "conversations"))
+
+
 def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("first_slot")
 
@@ -71,7 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_best_fit_packing, op3_language_id, op4_pii, op5_bpe, op6_exact_top_k, op7_simhash, op8_html_extraction, op9_toxicity, op10_substring_dedup,
-        op12_source_mix, op13_centroid_clustering,
+        op11_prefix_trie, op12_source_mix, op13_centroid_clustering,
     )
 }
 
@@ -192,6 +196,32 @@ SQL: dict[str, str] = {
           CASE WHEN used IS NULL THEN d.text ELSE head || substr(d.text, CAST(used AS BIGINT) + 1) END AS text
         FROM documents d LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)
     """,
+    "op11_prefix_trie": """
+        WITH t AS (
+          SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k
+          FROM conversations WHERE conv_id IS NOT NULL),
+        s AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS codes FROM t GROUP BY conv_id),
+        hs AS (  -- CRC-32 byte by byte and bit by bit
+          SELECT conv_id, n, base, xor(list_reduce([4294967295] || codes, lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295) % 9 AS h FROM s),
+        conv AS (SELECT a.conv_id, a.base, a.h, least(a.h, coalesce(b.n, 0)) AS lead FROM hs a LEFT JOIN hs b ON b.conv_id = a.base),
+        turns AS (
+          SELECT c.conv_id, t.k AS d, role, text FROM conv c JOIN t ON t.conv_id = c.base AND t.k <= c.lead
+          UNION ALL SELECT c.conv_id, c.lead + t.k - c.h, role, text FROM conv c JOIN t USING (conv_id) WHERE t.k > c.h),
+        member AS (
+          SELECT conv_id, d, md5(string_agg(md5(length(role) || ':' || role || text), '' ORDER BY d) OVER (PARTITION BY conv_id ORDER BY d)) AS node, octet_length(encode(text)) AS bytes FROM turns
+          UNION ALL SELECT conv_id, 0, '', 0 FROM conv),
+        size AS (SELECT conv_id, max(d) AS n FROM member GROUP BY conv_id),
+        node AS (
+          SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes, string_agg(CASE WHEN d = n THEN conv_id END, ',' ORDER BY conv_id) AS ends
+          FROM member JOIN size USING (conv_id) GROUP BY node, d),
+        linked AS (SELECT node.*, m.node AS parent FROM node LEFT JOIN member m ON m.conv_id = node.conv_id AND m.d = node.d - 1),
+        kids AS (SELECT parent AS node, count(*) AS n_children FROM linked WHERE parent IS NOT NULL GROUP BY parent),
+        below AS (
+          SELECT m.node, sum((l.n_convs - 1) * l.bytes) AS saved, count(*) FILTER (WHERE k.node IS NULL) AS leaves
+          FROM linked l LEFT JOIN kids k ON k.node = l.node JOIN member m ON m.conv_id = l.conv_id AND m.d <= l.d GROUP BY m.node)
+        SELECT l.conv_id, CAST(l.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, l.n_convs, coalesce(k.n_children, 0) AS n_children, b.leaves AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(coalesce(l.ends, '')) AS ends_sha256
+        FROM linked l JOIN below b USING (node) LEFT JOIN kids k ON k.node = l.node LEFT JOIN node p ON p.node = l.parent
+    """,
     "op12_source_mix": r"""
         WITH s AS (
           SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(concat_ws(':', 'mix', doc_id, coalesce(text, ''))) AS mark FROM documents),
