@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postboard.functions.text import round_score
+from postboard.sources import versioned
 
 EXTRACTED = "content_hash string, company_type string, geo_restriction string, manages_people string, years_experience_min long, required_techs string, nice_to_have_techs string, relevant_text string, extract_ok boolean, extract_model string, extracted_at timestamp"
 SCORED = "content_hash string, fit_score long, scoring_model string, prompt_version string, scored_at timestamp"
@@ -96,10 +97,12 @@ def upsert(old: DataFrame, new: DataFrame, key: str = "content_hash") -> DataFra
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def replace_table(df: DataFrame, path: str, staging: str) -> None:
-    """Write beside the table, then over it; the table may be an input of the frame."""
-    df.write.mode("overwrite").parquet(staging)
-    df.sparkSession.read.schema(df.schema).parquet(staging).write.mode("overwrite").parquet(path)
+def upsert_table(path: str, new: DataFrame, key: str = "content_hash", buckets: int = 256) -> versioned.Version:
+    """Upsert into a table in buckets on disk: only the buckets of new rows are written, and one rename shows the new version.
+
+    New columns join the table's, null in older rows. Readers of the version before are not disturbed.
+    """
+    return versioned.change(path, new, key, lambda old, rows: upsert(old, rows, key), buckets=buckets)
 
 
 def packed(df: DataFrame, id_column: str, groups: int, block: int) -> DataFrame:
@@ -158,6 +161,6 @@ def match_rows(matches: DataFrame, units: DataFrame, model: str, at: Column) ->
     )
 
 
-def to_match(silver: DataFrame, matched: DataFrame) -> DataFrame:
-    """Texts without a row in the match table."""
-    return todo(distinct_texts(silver), matched)
+def to_match(extracted: DataFrame, matched: DataFrame) -> DataFrame:
+    """(content_hash, relevant_text) of the scorable texts without a row in the match table."""
+    return todo(scorable(extracted).select("content_hash", "relevant_text"), matched)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from postboard.functions.text import hours_before, strip_html, surrogate_key
 from postboard.operators.matching import any_word, matched_terms
-from postboard.operators.ranking import global_row_number
+from postboard.operators.ranking import first_per_key, global_row_number
+from postboard.tables import materialise
 
 PAYLOAD = ["title", "location", "remote_policy", "department", "employment_type", "url", "description_html"]
 
@@ -19,23 +20,55 @@ def keyed(landing: DataFrame) -> DataFrame:
     return landing.withColumn("job_key", surrogate_key(F.col("source"), F.col("company"), F.col("external_id")))
 
 
-def newest(columns: Sequence[str]) -> Column:
-    """The columns of the newest row."""
-    return F.max_by(F.struct(*columns), newest_order(columns))
+#: Up to this many pointers (about 100 bytes each) are sent to all tasks; more are sent as a bitmap first.
+MOST_SENT = 1_000_000
+#: Bits of one row of the bitmap, and of the whole at most (256 MB).
+ROW_BITS, MOST_BITS = 32_768, 1 << 31
 
 
-def newest_order(columns: Sequence[str]) -> Column:
-    """Latest landing, then latest post date (nulls last), then title, url and a digest of the body: the body itself is
-    carried once, not twice."""
-    order = [F.col(c) for c in ("ingested_at", "posted_or_updated_at", "title", "url") if c in columns]
-    return F.struct(*order, *[F.md5(c).alias("body") for c in ("description_html",) if c in columns])
+def newest_order() -> list[Column]:
+    """Among rows of one landing: latest post date (nulls last), then title, url and a digest of the body."""
+    return [F.col("posted_or_updated_at").desc_nulls_last(), F.col("title").desc_nulls_last(), F.col("url").desc_nulls_last(), F.md5("description_html").desc_nulls_last()]
 
 
-def lifecycle(landing: DataFrame) -> DataFrame:
-    """One row per posting: its newest row, first_seen_at and last_seen_at. One shuffle, combined before it."""
+def pointers(landing: DataFrame) -> DataFrame:
+    """(job_key, source, company, first_seen_at, last_seen_at): all that the history has to say of a posting, in fixed-width
+    aggregates over four narrow columns."""
+    return landing.groupBy("job_key", "source", "company").agg(F.min("ingested_at").alias("first_seen_at"), F.max("ingested_at").alias("last_seen_at"))
+
+
+def maybe_there(rows: DataFrame, wanted: DataFrame, n: int, *columns: str) -> DataFrame:
+    """The rows whose columns occur in the other frame, and some of the others: one bit per wanted row, at a hash, in a bitmap
+    of sixteen bits for each of the n wanted, so that few unwanted rows go into the shuffle of the join that follows."""
+    bits = min(MOST_BITS, max(ROW_BITS, 1 << (16 * n - 1).bit_length()))
+    place = F.pmod(F.xxhash64(*columns), F.lit(bits))
+    marks = wanted.select(F.expr(f"{ROW_BITS}").cast("long").alias("_w"), place.alias("_at")).groupBy(F.floor(F.col("_at") / F.col("_w")).alias("_row")).agg(F.bitmap_construct_agg(F.col("_at") % F.col("_w")).alias("_bits"))
+    rows = rows.withColumn("_at", place).withColumn("_row", F.floor(F.col("_at") / ROW_BITS)).join(F.broadcast(marks), "_row")
+    byte = F.conv(F.hex(F.substring("_bits", F.expr(f"cast(_at % {ROW_BITS} div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("int")
+    return rows.filter(F.call_function("shiftright", byte, F.expr("cast(_at % 8 as int)")) % 2 == 1).drop("_at", "_row", "_bits")
+
+
+def newest_rows(landing: DataFrame, seen: DataFrame, most_sent: int | None = None) -> DataFrame:
+    """One row per posting with first_seen_at and last_seen_at: its newest row, fetched by its pointer.
+
+    Bodies of older rows are read, but go into no shuffle: where there are few pointers they are broadcast, and where there
+    are many a bitmap of them is, before the rows that pass it are joined.
+    """
+    seen = seen.groupBy("job_key").agg(F.min("first_seen_at").alias("first_seen_at"), F.max("last_seen_at").alias("last_seen_at"))
+    n = seen.count()
     columns = [c for c in landing.columns if c != "job_key"]
-    seen = landing.groupBy("job_key").agg(F.min("ingested_at").alias("first_seen_at"), F.max("ingested_at").alias("last_seen_at"), newest(columns).alias("_row"))
-    return seen.select("job_key", *[F.col(f"_row.{c}").alias(c) for c in columns], "first_seen_at", "last_seen_at")
+    if n <= (MOST_SENT if most_sent is None else most_sent):
+        seen = F.broadcast(seen)
+    else:
+        landing = maybe_there(landing, seen.withColumnRenamed("last_seen_at", "ingested_at"), n, "job_key", "ingested_at")
+    wanted = seen.withColumnRenamed("job_key", "_key")
+    last = landing.join(wanted, (F.col("job_key") == F.col("_key")) & F.col("ingested_at").eqNullSafe(F.col("last_seen_at")))
+    return first_per_key(last, ["job_key"], newest_order()).select("job_key", *columns, "first_seen_at", "last_seen_at")
+
+
+def lifecycle(landing: DataFrame) -> DataFrame:
+    """One row per posting: its newest row, first_seen_at and last_seen_at. The landing is read twice, narrow and whole."""
+    return newest_rows(landing, materialise(pointers(landing), "pointers"))
 
 
 def board_maxima(landing: DataFrame) -> DataFrame:
@@ -43,18 +76,25 @@ def board_maxima(landing: DataFrame) -> DataFrame:
     return landing.groupBy("source", "company").agg(F.min("ingested_at").alias("first_at"), F.max("ingested_at").alias("board_at"))
 
 
-def with_activity(current: DataFrame, landing: DataFrame, stale_hours: int = 36) -> DataFrame:
+def with_activity(current: DataFrame, boards: DataFrame, stale_hours: int = 36) -> DataFrame:
     """Adds is_active: seen in its board's last landing, and the board landed within the hours before the last of all.
 
-    Both maxima come from every landed row; the second one from the first ones. Boards with null parts compare as equal.
+    The boards' maxima come from every landed row. Boards with null parts compare as equal.
     """
-    boards = board_maxima(landing).select(F.col("source").alias("_source"), F.col("company").alias("_company"), F.col("board_at").alias("_board_at"))
+    boards = boards.select(F.col("source").alias("_source"), F.col("company").alias("_company"), F.col("board_at").alias("_board_at"))
     last = boards.agg(F.max("_board_at").alias("_last_at"))
     df = current.join(boards, F.col("source").eqNullSafe(F.col("_source")) & F.col("company").eqNullSafe(F.col("_company")), "left").join(F.broadcast(last), how="cross")
     active = (F.col("last_seen_at") >= F.col("_board_at")) & (F.col("_board_at") >= hours_before(F.col("_last_at"), stale_hours))
     return df.withColumn("is_active", F.coalesce(active, F.lit(False))).drop("_source", "_company", "_board_at", "_last_at")
 
 
+def current_postings(landing: DataFrame, stale_hours: int = 36) -> DataFrame:
+    """The lifecycle with is_active; the boards' maxima come from the same pointers, not from the landing again."""
+    seen = materialise(pointers(landing), "pointers")
+    boards = seen.groupBy("source", "company").agg(F.min("first_seen_at").alias("first_at"), F.max("last_seen_at").alias("board_at"))
+    return with_activity(newest_rows(landing, seen), boards, stale_hours)
+
+
 def location_allowed(location: Column, markers: Sequence[str]) -> Column:
     """Unknown and bare remote locations pass, others need a marker as a whole word; '' does not pass."""
     return location.isNull() | (F.lower(F.trim(location)) == "remote") | any_word(location, markers)
@@ -79,8 +119,7 @@ def silver(
 
     Tags are stripped and texts hashed only after the newest row is known, so the many older copies are not touched.
     """
-    landing = keyed(landing)
-    df = with_activity(lifecycle(landing), landing, stale_hours).filter(location_allowed(F.col("location"), locations))
+    df = current_postings(keyed(landing), stale_hours).filter(location_allowed(F.col("location"), locations))
     df = df.withColumn("clean_text", strip_html(F.col("description_html")))
     df = df.withColumn("content_hash", surrogate_key(F.col("title"), F.col("clean_text")))
     return with_signals(df, desired=desired, titles=titles, deal_breakers=deal_breakers)

@@ -15,6 +15,7 @@ from postboard.plans import tables as tb
 from postboard.sources import config_tables, feeds
 from postboard.sources import landing as land
 from postboard.streaming import incremental
+from postboard.tables import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +36,11 @@ def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.silver(tb.landing(spark, sf_dir), locations=tb.MARKERS, desired=tb.DESIRED, titles=tb.TITLES, deal_breakers=tb.DEAL_BREAKERS)
 
 
+def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written once, for those that read it more than once."""
+    return materialise(silver_of(spark, sf_dir), "silver")
+
+
 def extracted_of(silver: DataFrame) -> DataFrame:
     m = tb.model_row(F.col("content_hash"))
     return silver.select("content_hash").distinct().select(
@@ -49,7 +55,7 @@ def scored_of(extracted: DataFrame) -> DataFrame:
 
 
 def gold_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = silver_of(spark, sf_dir)
+    silver = silver_table(spark, sf_dir)
     extracted = extracted_of(silver)
     return postings.gold(silver, scored_of(extracted), extracted)
 
@@ -69,8 +75,7 @@ def silver_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {tb.LIFE_SQL} SELECT job_key, source, company, external_id, url, posted_or_updated_at, first_seen_at, last_seen_at, is_active FROM current")
 def lifecycle_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = postings.keyed(tb.landing(spark, sf_dir))
-    return postings.with_activity(postings.lifecycle(rows), rows).select("job_key", "source", "company", "external_id", "url", "posted_or_updated_at", "first_seen_at", "last_seen_at", "is_active")
+    return postings.current_postings(postings.keyed(tb.landing(spark, sf_dir))).select("job_key", "source", "company", "external_id", "url", "posted_or_updated_at", "first_seen_at", "last_seen_at", "is_active")
 
 
 @query(f"WITH {tb.LIFE_SQL} SELECT job_key, location FROM current WHERE {tb.GATE_SQL}")
@@ -124,7 +129,7 @@ def distinct_text_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {tb.MODEL_SQL} SELECT content_hash FROM works WHERE content_hash NOT IN (SELECT content_hash FROM extracted WHERE extract_ok AND company_type = 'product')")
 def extraction_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts not yet done well: the products count as done, failures come again."""
-    silver = silver_of(spark, sf_dir)
+    silver = silver_table(spark, sf_dir)
     done = extracted_of(silver).withColumn("extract_model", F.when(F.col("company_type") == "product", "m2").otherwise("m1"))
     return enrich.to_extract(silver, done, "m2").select("content_hash")
 
@@ -638,7 +643,7 @@ def lifecycle_from_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tb.landing(spark, sf_dir)
     late = F.dayofmonth("ingested_at") % 2 == 0
     state = incremental.merge_state(incremental.partial_state(rows.filter(late)), rows.filter(~late))
-    return incremental.current_from_state(state).select("job_key", "url", "first_seen_at", "last_seen_at")
+    return state.select("job_key", "url", "first_seen_at", "last_seen_at")
 
 
 @query(f"""WITH {tb.LANDING_SQL}, keyed AS (SELECT *, {tb.key_sql('source', 'company', 'external_id')} AS job_key FROM landing) SELECT job_key FROM keyed GROUP BY job_key HAVING min(ingested_at) >= TIMESTAMP '2024-01-03'""")

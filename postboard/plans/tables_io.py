@@ -6,6 +6,7 @@ import datetime as dt
 import uuid
 
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +16,9 @@ from postboard.plans import registry as rg
 from postboard.plans import tables as tb
 from postboard.sources import config_tables, feeds
 from postboard.sources import landing as land
+from postboard.sources import versioned
 from postboard.streaming import incremental
-from postboard.tables import shared_dir
+from postboard.tables import materialise, shared_dir
 
 query, AT = rg.query, dt.datetime(2024, 1, 5, 6)
 
@@ -191,12 +193,25 @@ def embedded(df: DataFrame, id_column: str) -> DataFrame:
     return enrich.infer(df.select(F.col(id_column).alias("id"), F.coalesce("text", F.lit("")).alias("text")), embed, "id string, embedding array<double>").withColumnRenamed("id", id_column)
 
 
-def matched_of(spark: SparkSession, sf_dir: str, silver: DataFrame) -> DataFrame:
-    """The match table: texts that are not matched yet, embedded, with the nearest unit's source."""
-    work = enrich.to_match(silver, enrich.empty(spark, enrich.MATCHED)).select("content_hash", F.substring("clean_text", 1, 2000).alias("text"))
-    units = units_of(spark, sf_dir)
-    best = enrich.best_match(embedded(work, "content_hash"), embedded(units, "unit_id"))
-    return enrich.upsert(enrich.empty(spark, enrich.MATCHED), enrich.match_rows(best, units, "letters", F.lit(AT)))
+def relevant(extracted: DataFrame, silver: DataFrame) -> DataFrame:
+    """Extracted rows with what a model may have found relevant: the whole text, nothing where the eligibility is unclear."""
+    texts = enrich.distinct_texts(silver).select("content_hash", "clean_text")
+    return extracted.join(texts, "content_hash").withColumn("relevant_text", F.when(F.col("geo_restriction") != "unclear", F.col("clean_text")).otherwise("")).drop("clean_text")
+
+
+def matched_of(spark: SparkSession, sf_dir: str, extracted: DataFrame) -> DataFrame:
+    """The match table, filled in two runs: half of the texts first, then those that it lacks. A third run has nothing to do."""
+    path, units = folder(spark, "matched"), materialise(units_of(spark, sf_dir), "units")
+    vectors, matched = materialise(embedded(units, "unit_id"), "unit_vectors"), enrich.empty(spark, enrich.MATCHED)
+    for part in (F.col("content_hash") < "8", F.lit(True)):
+        work = enrich.to_match(extracted.filter(part), matched).withColumnRenamed("relevant_text", "text")
+        best = enrich.best_match(materialise(embedded(work, "content_hash"), "text_vectors"), vectors)
+        version = enrich.upsert_table(path, enrich.match_rows(best, units, "letters", F.lit(AT)), buckets=16)
+        matched = versioned.read(spark, path, version)
+    left = enrich.to_match(extracted, matched).filter(f"lower(relevant_text) rlike '[{LETTERS}]'")  # others have no vector
+    if not left.isEmpty():
+        raise AssertionError("a text was left out")
+    return matched
 
 
 def counts_sql(text: str) -> str:
@@ -204,14 +219,15 @@ def counts_sql(text: str) -> str:
 
 
 MATCH_SQL = f"""unit AS (SELECT conv_id || ':' || unit_id AS unit_id, source, role, {counts_sql('lower(text)')} AS e FROM u),
-  txt AS (SELECT content_hash, {counts_sql('lower(substr(min(clean_text), 1, 2000))')} AS e FROM silver GROUP BY content_hash),
+  txt AS (SELECT content_hash, {counts_sql('lower(min(clean_text))')} AS e FROM silver JOIN extracted USING (content_hash) WHERE extract_ok AND geo_restriction <> 'unclear' GROUP BY content_hash),
   near AS (SELECT content_hash, unit_id, source, role, round(list_cosine_similarity(txt.e, unit.e), 12) AS s FROM txt, unit WHERE list_sum(txt.e) > 0 AND list_sum(unit.e) > 0),
   matched AS (SELECT content_hash, s AS similarity, unit_id, source AS best_match_source, role FROM (SELECT *, row_number() OVER (PARTITION BY content_hash ORDER BY s DESC, unit_id) AS r FROM near) WHERE r = 1)"""
 
 
-@query(f"WITH {tb.SILVER_SQL}, {rg.UNITS_SQL}, {MATCH_SQL} SELECT content_hash, round(similarity, 6) AS similarity, unit_id AS best_match_unit_id, best_match_source, role AS best_match_evidences, 'letters' AS embedding_model FROM matched")
+@query(f"WITH {tb.MODEL_SQL}, {rg.UNITS_SQL}, {MATCH_SQL} SELECT content_hash, round(similarity, 6) AS similarity, unit_id AS best_match_unit_id, best_match_source, role AS best_match_evidences, 'letters' AS embedding_model FROM matched")
 def match_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = matched_of(spark, sf_dir, rg.silver_of(spark, sf_dir))
+    silver = rg.silver_table(spark, sf_dir)
+    df = matched_of(spark, sf_dir, materialise(relevant(rg.extracted_of(silver), silver), "extracted"))
     return df.drop("matched_at").withColumn("similarity", F.round("similarity", 6))
 
 
@@ -220,9 +236,9 @@ def match_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     contains(coalesce(best_match_source, ''), 'Speaker') AS likes FROM g""")
 def matched_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold with all three model tables, and what the delivered line tells of them."""
-    silver = rg.silver_of(spark, sf_dir)
-    extracted = rg.extracted_of(silver)
-    df = postings.gold(silver, rg.scored_of(extracted), extracted, matched_of(spark, sf_dir, silver)).withColumn("line", delivery.signal_line())
+    silver = rg.silver_table(spark, sf_dir)
+    extracted = materialise(relevant(rg.extracted_of(silver), silver), "extracted")
+    df = postings.gold(silver, rg.scored_of(extracted), extracted, matched_of(spark, sf_dir, extracted)).withColumn("line", delivery.signal_line())
     percent, score = F.col("line").rlike(r"vectors \d+%"), F.col("line").rlike(r"LLM \d/5")
     told = F.when(percent & score, "both").when(percent, "vectors").when(score, "score").when(F.col("line").contains("unscored"), "unscored")
     return df.select("job_key", "recency_rank", F.round("similarity", 6).alias("similarity"), "best_match_source", told.alias("told"), F.col("line").contains("like: Speaker at").alias("likes"))
@@ -269,6 +285,20 @@ def feed_detail_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(bad.select("board_ref", F.regexp_extract("reason", "([0-9]+)$", 1).alias("external_id"), "reason"))
 
 
+@query("""WITH d AS (SELECT CAST(doc_id // 20 AS VARCHAR) AS board_ref, doc_id % 3 > 0 AS twice, doc_id % 4 = 0 AS lacks FROM documents WHERE text IS NOT NULL)
+  SELECT board_ref, count(*) AS listed, count(*) FILTER (WHERE NOT lacks) AS postings, count(*) FILTER (WHERE lacks) AS missing, count(*) FILTER (WHERE twice AND NOT lacks) AS again FROM d GROUP BY board_ref""")
+def feed_doubled_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two thirds of the details were fetched twice, a quarter not at all: each listed posting is a posting or in quarantine."""
+    item = F.struct("id", rg.d("title").alias("name"), rg.d("iso").alias("releasedDate"))
+    detail = rg.details_of(spark, sf_dir, F.struct("id", rg.d("url").alias("postingUrl"))).withColumn("n", F.get_json_object("payload", "$.id").cast("long")).filter("n % 4 > 0")
+    boards = rg.boards_of(spark, sf_dir, item, "content")
+    good, bad = feeds.shape_i(boards, detail.unionByName(detail.filter("n % 3 > 0")).drop("n"))
+    each = good.select(F.col("company").alias("board_ref"), F.lit("posting").alias("kind")).unionByName(bad.select("board_ref", F.substring_index("reason", ":", 1).alias("kind")))
+    n = lambda kind: F.count_if(F.col("kind") == kind)
+    listed = boards.select("board_ref", F.json_array_length(F.get_json_object("payload", "$.content")).cast("long").alias("listed"))
+    return each.groupBy("board_ref").agg(n("posting").alias("postings"), n("no readable detail").alias("missing"), n("detail again").alias("again")).join(listed, "board_ref")
+
+
 @query("SELECT event_id, user_id, event_type FROM events")
 def streamed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed files come through the stream once, though it is started twice."""
@@ -288,4 +318,63 @@ def streamed_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k in (1, 0, 2):
         rows.filter(F.dayofmonth("ingested_at") % 3 == k).write.mode("append").parquet(source)
         incremental.stream_lifecycle(spark, source, state, checkpoint, rows.schema).awaitTermination()
-    return incremental.current_from_state(spark.read.parquet(f"{state}/v2")).select("job_key", "url", "first_seen_at", "last_seen_at")
+    return incremental.state_of(spark, state).select("job_key", "url", "first_seen_at", "last_seen_at")
+
+
+@query(f"WITH {tb.LANDING_SQL}, keyed AS (SELECT *, {tb.key_sql('source', 'company', 'external_id')} AS job_key FROM landing) SELECT job_key, source, company, external_id FROM keyed GROUP BY ALL")
+def streamed_net_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each posting comes out of the stream once, though its files are late and come again, and the stream is restarted."""
+    source, target, checkpoint = (folder(spark, n) for n in ("landed", "new", "progress"))
+    rows = tb.landing(spark, sf_dir)
+    for k in (1, 0, 1):
+        rows.filter(F.dayofmonth("ingested_at") % 2 == k).write.mode("append").parquet(source)
+        incremental.stream_net_new(spark, source, target, checkpoint, rows.schema).awaitTermination()
+    return spark.read.parquet(target)
+
+
+@query(f"""WITH {tb.MODEL_SQL}, fresh AS (SELECT content_hash, 9 AS fit_score, 'x' AS note FROM scored WHERE fit_score > 3)
+  SELECT content_hash, fit_score, NULL::VARCHAR AS note FROM scored WHERE content_hash NOT IN (SELECT content_hash FROM fresh) UNION ALL SELECT * FROM fresh""")
+def upserted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores as a table in buckets, and an upsert with a new column; the version before stays as it was."""
+    path, old = folder(spark, "scores"), rg.scored_of(rg.extracted_of(rg.silver_of(spark, sf_dir)))
+    first = enrich.upsert_table(path, old, buckets=16)
+    before = versioned.read(spark, path, first)
+    second = enrich.upsert_table(path, before.filter("fit_score > 3").select("content_hash", F.lit(9).cast("long").alias("fit_score"), F.lit("x").alias("note")))
+    if before.columns != ["content_hash", "fit_score"] or before.filter("fit_score = 9").count():
+        raise AssertionError("a reader saw the next version")
+    return versioned.read(spark, path, second)
+
+
+class Lost(Exception):
+    pass
+
+
+@query(f"""WITH {tb.GOLD_SQL}, m AS (SELECT max(first_seen_at) AS last FROM gold), g AS (SELECT *, date_diff('hour', first_seen_at, last) AS age FROM gold, m WHERE first_seen_at > last - INTERVAL 600 HOUR),
+  b AS (SELECT *, CASE WHEN age > 400 THEN 0 WHEN age > 200 THEN 1 ELSE 2 END AS batch FROM g)
+  SELECT job_key, batch, row_number() OVER (PARTITION BY batch ORDER BY fit_score DESC NULLS LAST, match_score DESC, posted_or_updated_at DESC NULLS LAST, job_key) AS pos FROM b""")
+def delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold arrives in three snapshots, each with all before it; the second delivery fails after it was sent and before the
+    ledger knows. What the receiver holds, one copy per number, is each posting once."""
+    source, outbox, ledger, checkpoint, received = (folder(spark, n) for n in ("gold", "outbox", "ledger", "progress", "received"))
+    gold = materialise(rg.gold_of(spark, sf_dir).withColumn("similarity", F.lit(None).cast("double")).withColumn("best_match_source", F.lit(None).cast("string")).withColumn("first_seen_at", F.col("first_seen_at").cast("timestamp")), "gold")
+    last, fails = gold.agg(F.max("first_seen_at")).first()[0], [1]
+
+    def send(n: int, rows: DataFrame) -> None:
+        rows.select("job_key", F.lit(n).alias("batch"), "pos").write.mode("overwrite").parquet(f"{received}/{n}")
+        if n in fails:
+            fails.remove(n)
+            raise Lost
+
+    if last is None:
+        return spark.createDataFrame([], "job_key string, batch int, pos long")
+    now = F.lit(last) - F.make_dt_interval(hours=F.lit(574))  # so that the first mark is 600 hours back
+    for hours in (401, 201, 0):
+        gold.filter(F.col("first_seen_at") <= F.lit(last) - F.make_dt_interval(hours=F.lit(hours))).write.mode("append").parquet(source)
+        for _ in range(2):
+            try:
+                incremental.stream_delivery(spark, source, outbox, ledger, checkpoint, gold.schema, send, now).awaitTermination()
+                break
+            except StreamingQueryException:
+                if fails:
+                    raise
+    return spark.read.parquet(*[f"{received}/{n}" for n in range(3)])

@@ -6,7 +6,7 @@ Payloads that lack what their shape requires go to a quarantine frame with a rea
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postboard.functions.text import blank_to_null, headed, join_parts, join_sections, parse_epoch_ms, parse_timestamp, tidy_location, unescape_html
@@ -93,11 +93,14 @@ def shape_c(payloads: DataFrame, source: str = "C") -> tuple[DataFrame, DataFram
 
 def with_detail(df: DataFrame, details: DataFrame, schema: str, key: Column, detail_key: str) -> tuple[DataFrame, DataFrame]:
     """Adds `detail` and its text to each item by board and id; items without a readable one go to quarantine, one
-    (board_ref, reason) each."""
+    (board_ref, reason) each. Of several details with one board and id, as a second fetch leaves them, the least text counts, and
+    each of the others is a line in quarantine."""
     d = details.select(F.col("board_ref").alias("_board"), F.from_json("payload", schema).alias("detail"), F.col("payload").alias("_detail_raw")).withColumn("_key", F.col(f"detail.{detail_key}"))
-    joined = df.withColumn("_id", key).join(d, (F.col("board_ref") == F.col("_board")) & (F.col("_id") == F.col("_key")), "left")
+    d = d.filter("_key is not null").withColumn("_copy", F.row_number().over(Window.partitionBy("_board", "_key").orderBy("_detail_raw")))
+    again = d.filter("_copy > 1").select(F.col("_board").alias("board_ref"), F.concat(F.lit("detail again: "), "_key").alias("reason"))
+    joined = df.withColumn("_id", key).join(d.filter("_copy = 1").drop("_copy"), (F.col("board_ref") == F.col("_board")) & (F.col("_id") == F.col("_key")), "left")
     missing = joined.filter("_key is null").select("board_ref", F.concat(F.lit("no readable detail: "), "_id").alias("reason"))
-    return joined.filter("_key is not null"), missing
+    return joined.filter("_key is not null"), missing.unionByName(again)
 
 
 def shape_d(payloads: DataFrame, details: DataFrame, source: str = "D", url: str = "https://{board}.bamboohr.com/careers/{id}") -> tuple[DataFrame, DataFrame]:

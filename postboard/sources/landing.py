@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,12 +26,11 @@ def as_raw(postings: DataFrame, run_id: str, ingested_at: dt.datetime) -> DataFr
 
 
 def land(postings: DataFrame, path: str, run_id: str, ingested_at: dt.datetime) -> int:
-    """Append to the landing, by source and day, and return the number of rows; no rows, nothing written."""
-    rows = as_raw(postings, run_id, ingested_at).withColumn("ingest_date", F.lit(ingested_at.date()))
-    count = rows.count()
-    if count:
-        rows.write.mode("append").partitionBy("source", "ingest_date").parquet(path)
-    return count
+    """Append to the landing, by source and day, and return the number of rows, which is counted as they are written."""
+    seen = Observation()
+    rows = as_raw(postings, run_id, ingested_at).withColumn("ingest_date", F.lit(ingested_at.date())).observe(seen, F.count(F.lit(1)).alias("n"))
+    rows.write.mode("append").partitionBy("source", "ingest_date").parquet(path)
+    return seen.get["n"]
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
-from postboard.operators.postings import keyed, newest, newest_order
-from postboard.sources.landing import remove
+from postboard.operators.delivery import deliver
+from postboard.operators.postings import keyed, lifecycle
+from postboard.sources import versioned
 
 
 def stream_landing(spark: SparkSession, source: str, target: str, checkpoint: str, schema: T.StructType) -> StreamingQuery:
@@ -17,40 +20,53 @@ def stream_landing(spark: SparkSession, source: str, target: str, checkpoint: st
 
 
 def partial_state(landing: DataFrame) -> DataFrame:
-    """(job_key, first, last, order of the newest row, newest row) of a batch; merging such rows in any order is safe."""
-    df = keyed(landing)
-    columns = [c for c in df.columns if c != "job_key"]
-    order = newest_order(columns)
-    return df.groupBy("job_key").agg(F.min("ingested_at").alias("first_seen_at"), F.max("ingested_at").alias("last_seen_at"), F.max(order).alias("_order"), newest(columns).alias("_row"))
+    """The lifecycle of a batch; merging such states in any order gives the lifecycle of all."""
+    return lifecycle(keyed(landing))
 
 
 def merge_state(state: DataFrame, batch: DataFrame) -> DataFrame:
-    """The state after a batch: minima, maxima and the newest row, which do not depend on the batches' order."""
-    both = state.unionByName(partial_state(batch))
-    return both.groupBy("job_key").agg(F.min("first_seen_at").alias("first_seen_at"), F.max("last_seen_at").alias("last_seen_at"), F.max("_order").alias("_order"), F.max_by("_row", "_order").alias("_row"))
+    """The state after a batch of landed rows."""
+    return merged_states(state, partial_state(batch))
+
+
+def merged_states(a: DataFrame, b: DataFrame) -> DataFrame:
+    """One state of two: minima, maxima and the newer row, by a join of rows that are unique on both sides."""
 
+    def order(side: str) -> Column:
+        c = lambda name: F.col(f"{side}.{name}")
+        return F.struct(c("last_seen_at"), c("posted_or_updated_at"), c("title"), c("url"), F.md5(c("description_html")))
 
-def current_from_state(state: DataFrame) -> DataFrame:
-    """The rows that a full rebuild of the lifecycle gives."""
-    columns = state.schema["_row"].dataType.names
-    return state.select("job_key", *[F.col(f"_row.{c}").alias(c) for c in columns], "first_seen_at", "last_seen_at")
+    old, new = a.select("job_key", F.struct(*a.columns).alias("_a")), b.select("job_key", F.struct(*a.columns).alias("_b"))
+    both = old.join(new, "job_key", "full")
+    row = F.when(F.col("_a").isNull() | (F.col("_b").isNotNull() & (order("_b") > order("_a"))), F.col("_b")).otherwise(F.col("_a"))
+    seen = {"first_seen_at": F.least("_a.first_seen_at", "_b.first_seen_at"), "last_seen_at": F.greatest("_a.last_seen_at", "_b.last_seen_at")}
+    return both.withColumn("_row", row).select(*[seen.get(c, F.col(f"_row.{c}")).alias(c) for c in a.columns])
 
 
-def stream_lifecycle(spark: SparkSession, source: str, state_path: str, checkpoint: str, schema: T.StructType, files_each: int | None = None) -> StreamingQuery:
-    """Keep the state of a growing landing folder; the newest version v0, v1, ... is the state.
+def state_of(spark: SparkSession, state_path: str, number: int | None = None) -> DataFrame | None:
+    """The state that the stream keeps; None before its first batch."""
+    version = versioned.load(spark, state_path, number)
+    return version and versioned.read(spark, state_path, version)
 
-    All new files of a trigger are one batch (unless `files_each` bounds them), so the state is written once per trigger.
-    The version before stays until the next batch, in case this one is run again; older ones go. A batch whose version
-    before is missing is an error, as the state would begin anew.
+
+def stream_lifecycle(spark: SparkSession, source: str, state_path: str, checkpoint: str, schema: T.StructType, files_each: int | None = None, buckets: int = 256) -> StreamingQuery:
+    """Keep the state of a growing landing folder in buckets by key; a trigger rewrites only those that its rows touch.
+
+    All new files of a trigger are one batch (unless `files_each` bounds them). A version of the table names the batch that it
+    holds: a batch that is run again after its version is there changes nothing, and one whose predecessor is not there is an
+    error, as the state would lack rows. The version before stays for readers; older ones go.
     """
-    empty = partial_state(spark.createDataFrame([], schema)).schema
 
     def step(batch: DataFrame, n: int) -> None:
         s = batch.sparkSession
-        before = s.read.schema(empty).parquet(f"{state_path}/v{n - 1}") if n else s.createDataFrame([], empty)
-        merge_state(before, batch).write.mode("overwrite").parquet(f"{state_path}/v{n}")
-        if n > 1:
-            remove(s, f"{state_path}/v{n - 2}")
+        before = versioned.load(s, state_path)
+        done = -1 if before is None else before.batch
+        if done >= n:
+            return
+        if done != n - 1:
+            raise ValueError(f"the state holds batch {done}, and batch {n} was to follow")
+        versioned.change(state_path, partial_state(batch), "job_key", merged_states, buckets=buckets, batch=n)
+        versioned.expire(s, state_path, keep=2)
 
     files = spark.readStream.schema(schema)
     if files_each:
@@ -61,3 +77,26 @@ def stream_lifecycle(spark: SparkSession, source: str, state_path: str, checkpoi
 def net_new(batch: DataFrame, state: DataFrame) -> DataFrame:
     """The batch's postings that the state does not know, one row each."""
     return keyed(batch).select("job_key").distinct().join(state.select("job_key"), "job_key", "left_anti")
+
+
+def stream_net_new(spark: SparkSession, source: str, target: str, checkpoint: str, schema: T.StructType, files_each: int | None = None) -> StreamingQuery:
+    """Append (job_key, source, company, external_id) of each posting that no earlier file held, once.
+
+    The keys seen so far are the state of the stream, kept in its checkpoint; late and repeated files add nothing, and a
+    restart goes on where it was. There is no watermark, as a posting may come back at any time: the state has a row per posting.
+    On a cluster it belongs in RocksDB (`spark.sql.streaming.stateStore.providerClass`).
+    """
+    files = spark.readStream.schema(schema)
+    if files_each:
+        files = files.option("maxFilesPerTrigger", files_each)
+    new = keyed(files.parquet(source)).select("job_key", "source", "company", "external_id").dropDuplicates(["job_key"])
+    return new.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stream_delivery(spark: SparkSession, source: str, outbox: str, ledger_path: str, checkpoint: str, schema: T.StructType, send: Callable[[int, DataFrame], None], now: Column, files_each: int | None = None) -> StreamingQuery:
+    """Deliver each trigger's gold rows as one numbered delivery; see `deliver` for what a failure and a restart do."""
+    files = spark.readStream.schema(schema)
+    if files_each:
+        files = files.option("maxFilesPerTrigger", files_each)
+    step = lambda batch, n: deliver(batch, outbox, ledger_path, n, send, now)
+    return files.parquet(source).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
