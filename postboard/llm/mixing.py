@@ -113,7 +113,7 @@ def mixed(docs: DataFrame, slots: DataFrame, block: int) -> DataFrame:
     document's place. In the order of slot and place, they are the mix. Documents are as `placed` gives them."""
     number = F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}")))
     parts = docs.filter("size > 0").withColumn("block", number)
-    df = parts.join(slots, ["source_no", "block"])
+    df = parts.join(slots.hint("merge"), ["source_no", "block"])  # slots come from few rows, and are many all the same
     first, end = F.greatest("start", F.col("block") * block), F.least("upto", F.col("start") + F.col("size"))
     return df.select("slot", "doc_id", "source_no", "start", (first - F.col("start")).alias("first"), (end - F.col("start")).alias("end")).filter("end > first")
 
