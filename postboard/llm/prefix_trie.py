@@ -276,7 +276,7 @@ def summed(placed: DataFrame, prefixes: DataFrame, ends: DataFrame, convs: DataF
     spans = spans.join(hooks.select("owner", F.coalesce("_least", "_root").alias("_hook")), "owner").withColumn("parent", F.coalesce("parent", "_hook"))
     spans = spans.withColumn("chunk", F.explode(F.sequence(F.expr(f"(p + 1) div {CHUNK}"), F.expr(f"e div {CHUNK}"))))
     nodes = spans.withColumn("d", F.explode(F.sequence(F.greatest(F.col("p") + 1, F.col("chunk") * CHUNK), F.least("e", F.col("chunk") * CHUNK + CHUNK - 1))))
-    nodes = nodes.join(prefixes.select(F.col("sid").alias("owner"), "d", "bytes", F.col("upto").alias("_upto")), ["owner", "d"])
+    nodes = nodes.hint("merge").join(prefixes.select(F.col("sid").alias("owner"), "d", "bytes", F.col("upto").alias("_upto")), ["owner", "d"])
     here = F.col("d") == F.col("e")
     nodes = nodes.select(
         "conv_id", F.col("d").alias("depth"), F.when(F.col("d") == F.col("p") + 1, F.col("parent")).otherwise(F.col("conv_id")).alias("parent_conv_id"), "n_convs",
