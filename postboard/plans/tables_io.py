@@ -14,7 +14,7 @@ from postboard.functions import vectors
 from postboard.operators import companies, delivery, enrich, monitoring, postings, quality, ranking
 from postboard.plans import registry as rg
 from postboard.plans import tables as tb
-from postboard.sources import config_tables, feeds
+from postboard.sources import config_tables, feeds, payload_files
 from postboard.sources import landing as land
 from postboard.sources import versioned
 from postboard.streaming import incremental
@@ -285,6 +285,15 @@ def feed_detail_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(bad.select("board_ref", F.regexp_extract("reason", "([0-9]+)$", 1).alias("external_id"), "reason"))
 
 
+@query(rg.feed_sql("lang", "NULL::VARCHAR", "text", rg.DAY))
+def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads written as files, one per board, and read by several tasks each."""
+    path = folder(spark, "payloads")
+    item = F.struct("id", rg.d("title").alias("title"), rg.d("iso").alias("updated_at"), F.struct(F.col("lang").alias("name")).alias("location"), rg.d("escaped").alias("content"), rg.d("url").alias("absolute_url"))
+    rg.boards_of(spark, sf_dir, item, "jobs").repartition("board_ref").write.partitionBy("board_ref").text(path)
+    return rg.feed_rows(feeds.shape_a(payload_files.PayloadFiles(spark, path)))
+
+
 @query("""WITH d AS (SELECT CAST(doc_id // 20 AS VARCHAR) AS board_ref, doc_id % 3 > 0 AS twice, doc_id % 4 = 0 AS lacks FROM documents WHERE text IS NOT NULL)
   SELECT board_ref, count(*) AS listed, count(*) FILTER (WHERE NOT lacks) AS postings, count(*) FILTER (WHERE lacks) AS missing, count(*) FILTER (WHERE twice AND NOT lacks) AS again FROM d GROUP BY board_ref""")
 def feed_doubled_details(spark: SparkSession, sf_dir: str) -> DataFrame:

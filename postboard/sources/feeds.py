@@ -1,15 +1,20 @@
 """Feed payloads of nine shapes to postings.
 
-Input rows hold (board_ref, payload) and, for shapes with details, a second frame of (board_ref, payload) per posting.
+Input rows hold (board_ref, payload), or are files of payloads, and, for shapes with details, a second frame of
+(board_ref, payload) per posting.
 Payloads that lack what their shape requires go to a quarantine frame with a reason; other boards continue.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postboard.functions.text import blank_to_null, headed, join_parts, join_sections, parse_epoch_ms, parse_timestamp, tidy_location, unescape_html
+from postboard.sources.payload_files import PayloadFiles, item_texts
+from postboard.tables import materialise
 
 #: The root of each shape's list, its items' fields, and the fields that no item may lack.
 SHAPES: dict[str, tuple[str, str, tuple[str, ...]]] = {
@@ -29,23 +34,38 @@ I_SECTION = "struct<title:string,text:string>"
 I_DETAIL = f"id string, postingUrl string, jobAd struct<sections:struct<jobDescription:{I_SECTION},qualifications:{I_SECTION},additionalInformation:{I_SECTION}>>"
 
 
-def items(payloads: DataFrame, shape: str) -> tuple[DataFrame, DataFrame]:
+def items(payloads: DataFrame | PayloadFiles, shape: str) -> tuple[DataFrame, DataFrame]:
     """(board_ref, pos, item, raw) of the good payloads in order, and (board_ref, reason) of the others. A payload is read
     once into its items' texts, and each item once.
 
-    A payload is bad when its list is absent or no list, or when an item lacks a required field.
+    A payload is bad when its list is absent or no list, or when an item lacks a required field. Payloads in files are split
+    inside the file, so that the items of a large board are spread over tasks.
     """
     root, fields, required = SHAPES[shape]
+    if isinstance(payloads, PayloadFiles):
+        return items_of_files(payloads, root, f"struct<{as_struct(fields)}>", required)
     raw = F.from_json("payload", f"{root} array<string>")[root] if root else F.when(F.ltrim("payload").startswith("["), F.from_json("payload", "array<string>"))
     rows = payloads.select("board_ref", raw.alias("_raw"))
     rows = rows.select("board_ref", "_raw", F.transform("_raw", lambda x: F.from_json(x, f"struct<{as_struct(fields)}>")).alias("_items"))
     lacking = F.exists("_items", lambda x: F.greatest(x.isNull(), *[x[f].isNull() for f in required]))
-    reason = F.when(F.col("_raw").isNull(), f"no list at {root or 'the root'}").when(lacking, f"an item lacks {' or '.join(required)}")
-    rows = rows.withColumn("reason", reason)
+    rows = rows.withColumn("reason", reason(root, required, F.col("_raw").isNull(), lacking))
     good = rows.filter("reason is null").select("board_ref", F.posexplode(F.arrays_zip(F.col("_items").alias("item"), F.col("_raw").alias("raw"))).alias("pos", "z"))
     return good.select("board_ref", "pos", F.col("z.item").alias("item"), F.col("z.raw").alias("raw")), rows.filter("reason is not null").select("board_ref", "reason")
 
 
+def reason(root: str, required: Sequence[str], unlisted: Column, lacking: Column) -> Column:
+    return F.when(unlisted, f"no list at {root or 'the root'}").when(lacking, f"an item lacks {' or '.join(required)}")
+
+
+def items_of_files(files: PayloadFiles, root: str, fields: str, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    texts, lists = item_texts(files, root)
+    rows = materialise(texts.withColumn("item", F.from_json("raw", fields)), "items")
+    lacking = rows.filter(F.greatest(F.col("item").isNull(), *[F.col(f"item.{f}").isNull() for f in required])).select("file").distinct().withColumn("_lacks", F.lit(True))
+    why = reason(root, required, ~F.col("listed"), F.col("odd") | F.coalesce("_lacks", F.lit(False)))
+    bad = materialise(lists.join(lacking, "file", "left").withColumn("reason", why).filter("reason is not null").select("board_ref", "file", "reason"), "quarantine")
+    return rows.join(bad.select("file"), "file", "left_anti").select("board_ref", "pos", "item", "raw"), bad.select("board_ref", "reason")
+
+
 def as_struct(fields: str) -> str:
     """`a string, b struct<...>` as the inside of a struct type."""
     out, depth = [""], 0
@@ -72,13 +92,13 @@ def f(path: str) -> Column:
     return F.col(f"item.{path}")
 
 
-def shape_a(payloads: DataFrame, source: str = "A") -> tuple[DataFrame, DataFrame]:
+def shape_a(payloads: DataFrame | PayloadFiles, source: str = "A") -> tuple[DataFrame, DataFrame]:
     """The body comes escaped and is decoded once."""
     df, bad = items(payloads, "A")
     return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("title"), location=f("location.name"), url=f("absolute_url"), description_html=unescape_html(F.coalesce(f("content"), F.lit(""))), posted=parse_timestamp(f("updated_at")), raw=F.col("raw"))), bad
 
 
-def shape_b(payloads: DataFrame, source: str = "B") -> tuple[DataFrame, DataFrame]:
+def shape_b(payloads: DataFrame | PayloadFiles, source: str = "B") -> tuple[DataFrame, DataFrame]:
     """The body has three parts: description, lists with headers, additional."""
     df, bad = items(payloads, "B")
     lists = F.array_join(F.transform(F.coalesce(f("lists"), F.array().cast("array<struct<text:string,content:string>>")), lambda x: F.concat(F.lit("<h3>"), F.coalesce(x["text"], F.lit("")), F.lit("</h3>"), F.coalesce(x["content"], F.lit("")))), "\n")
@@ -86,7 +106,7 @@ def shape_b(payloads: DataFrame, source: str = "B") -> tuple[DataFrame, DataFram
     return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("text"), location=f("categories.location"), remote_policy=f("workplaceType"), department=f("categories.department"), employment_type=f("categories.commitment"), url=f("hostedUrl"), description_html=body, posted=parse_epoch_ms(f("createdAt")), raw=F.col("raw"))), bad
 
 
-def shape_c(payloads: DataFrame, source: str = "C") -> tuple[DataFrame, DataFrame]:
+def shape_c(payloads: DataFrame | PayloadFiles, source: str = "C") -> tuple[DataFrame, DataFrame]:
     df, bad = items(payloads, "C")
     return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("title"), location=f("location"), remote_policy=f("workplaceType"), department=f("department"), employment_type=f("employmentType"), url=f("jobUrl"), description_html=f("descriptionHtml"), posted=parse_timestamp(f("publishedAt")), raw=F.col("raw"))), bad
 
@@ -103,7 +123,7 @@ def with_detail(df: DataFrame, details: DataFrame, schema: str, key: Column, det
     return joined.filter("_key is not null"), missing.unionByName(again)
 
 
-def shape_d(payloads: DataFrame, details: DataFrame, source: str = "D", url: str = "https://{board}.bamboohr.com/careers/{id}") -> tuple[DataFrame, DataFrame]:
+def shape_d(payloads: DataFrame | PayloadFiles, details: DataFrame, source: str = "D", url: str = "https://{board}.bamboohr.com/careers/{id}") -> tuple[DataFrame, DataFrame]:
     """List and detail; each part of the location is the first that is filled among the four objects."""
     df, bad = items(payloads, "D")
     df, missing = with_detail(df, details, D_DETAIL, f("id"), "result.jobOpening.id")
@@ -118,20 +138,20 @@ def shape_d(payloads: DataFrame, details: DataFrame, source: str = "D", url: str
     return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("jobOpeningName"), location=join_parts(city, state, country), remote_policy=F.when(f("isRemote"), "Remote"), department=f("departmentLabel"), employment_type=f("employmentStatusLabel"), url=F.coalesce(blank_to_null(o("jobOpeningShareUrl")), fallback), description_html=F.coalesce(o("description"), F.lit("")), posted=parse_timestamp(o("datePosted")), raw=raw)), bad.union(missing)
 
 
-def shape_e(payloads: DataFrame, source: str = "E") -> tuple[DataFrame, DataFrame]:
+def shape_e(payloads: DataFrame | PayloadFiles, source: str = "E") -> tuple[DataFrame, DataFrame]:
     df, bad = items(payloads, "E")
     place = F.coalesce(blank_to_null(f("location")), join_parts(f("city"), F.coalesce(blank_to_null(f("state_name")), f("state_code")), f("country")))
     remote = F.when(f("remote"), "Remote").when(f("hybrid"), "Hybrid").when(f("on_site"), "OnSite")
     return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("title"), location=place, remote_policy=remote, department=f("department"), employment_type=f("employment_type_code"), url=f("careers_url"), description_html=join_sections(f("description"), f("requirements")), posted=parse_timestamp(f("published_at")), raw=F.col("raw"))), bad
 
 
-def shape_f(payloads: DataFrame, source: str = "F") -> tuple[DataFrame, DataFrame]:
+def shape_f(payloads: DataFrame | PayloadFiles, source: str = "F") -> tuple[DataFrame, DataFrame]:
     """The account's own description is not the posting's."""
     df, bad = items(payloads, "F")
     return df.select(*posting(source, F.col("board_ref"), external_id=f("shortcode"), title=f("title"), location=join_parts(f("city"), f("state"), f("country")), remote_policy=F.when(f("telecommuting"), "Remote"), department=blank_to_null(f("department")), employment_type=blank_to_null(f("employment_type")), url=F.coalesce(blank_to_null(f("url")), f("shortlink")), description_html=F.coalesce(f("description"), F.lit("")), posted=parse_timestamp(F.coalesce(blank_to_null(f("published_on")), f("created_at"))), raw=F.col("raw"))), bad
 
 
-def shape_g(payloads: DataFrame, source: str = "G") -> tuple[DataFrame, DataFrame]:
+def shape_g(payloads: DataFrame | PayloadFiles, source: str = "G") -> tuple[DataFrame, DataFrame]:
     """Four sections, three of them with headers; there is no post date."""
     df, bad = items(payloads, "G")
     body = join_sections(f("description"), *[headed(f(f"{s}_header"), f(s)) for s in ("key_responsibilities", "skills_knowledge_expertise", "benefits")])
@@ -139,7 +159,7 @@ def shape_g(payloads: DataFrame, source: str = "G") -> tuple[DataFrame, DataFram
     return df.select(*posting(source, F.col("board_ref"), external_id=f("id"), title=f("title"), location=place, remote_policy=f("workplace_type_text"), department=f("department.name"), employment_type=f("employment_type_text"), url=f("url"), description_html=body, raw=F.col("raw"))), bad
 
 
-def shape_h(payloads: DataFrame, details: DataFrame, source: str = "H") -> tuple[DataFrame, DataFrame]:
+def shape_h(payloads: DataFrame | PayloadFiles, details: DataFrame, source: str = "H") -> tuple[DataFrame, DataFrame]:
     """The list has a row per job and location: one row per job, its distinct locations in order; the detail's win."""
     df, bad = items(payloads, "H")
     first = F.min_by(F.struct("item", "raw"), "pos")
@@ -153,7 +173,7 @@ def shape_h(payloads: DataFrame, details: DataFrame, source: str = "H") -> tuple
     return df.select(*posting(source, F.col("board_ref"), external_id=f("uuid"), title=f("name"), location=blank_to_null(F.array_join(F.array_distinct(places), "; ")), remote_policy=F.when(d("isRemote"), "Remote"), department=F.coalesce(d("department.name"), f("department.label")), employment_type=d("employmentType.label"), url=f("url"), description_html=F.coalesce(d("description.role"), F.lit("")), posted=parse_timestamp(d("createdOn")), raw=raw)), bad.union(missing)
 
 
-def shape_i(payloads: DataFrame, details: DataFrame, source: str = "I") -> tuple[DataFrame, DataFrame]:
+def shape_i(payloads: DataFrame | PayloadFiles, details: DataFrame, source: str = "I") -> tuple[DataFrame, DataFrame]:
     """Pages are rows; a posting on two pages counts once. Three named sections make the body."""
     df, bad = items(payloads, "I")
     df = df.groupBy("board_ref", f("id").alias("_id")).agg(F.min_by(F.struct("item", "raw"), F.struct("pos", "raw")).alias("_first")).select("board_ref", F.col("_first.item").alias("item"), F.col("_first.raw").alias("raw"))

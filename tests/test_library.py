@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from postboard.functions import text as tx
 from postboard.functions import web
 from postboard.operators import companies, corpus, delivery, enrich, evaluation, monitoring, quality
-from postboard.sources import config_tables, feeds
+from postboard.sources import config_tables, feeds, payload_files
 from postboard.sources import landing as land
 from postboard.sources import versioned
 from postboard.streaming import incremental
@@ -267,3 +267,54 @@ def test_streams(spark, tmp_path):
     for _ in range(2):
         incremental.stream_landing(spark, source, str(tmp_path / "out"), str(tmp_path / "cp2"), schema).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 40
+
+
+def test_payload_files(spark, tmp_path):
+    """Files of a few hundred bytes a split give what payloads in rows give, whatever stands in their strings."""
+    rng, tricky = random.Random(1), ["}", '{"a":1}', '"', "\\", '\\"', '"jobs":[', "],", "}]", "é😀", "\n", ""]
+    job = lambda i: {"id": i, "title": rng.choice(tricky) + "t", "absolute_url": "u", "content": "".join(rng.choice(tricky) for _ in range(rng.randint(0, 12))), "location": {"name": rng.choice(tricky)}}
+    boards = {}
+    for b in range(6):
+        payload = {"meta": {"jobs": [1], "x": "}{"}, "jobs": [job(i) for i in range(rng.randint(0, 40))], "more": [{"z": {}}]}
+        boards[f"b {b}"] = json.dumps(payload, indent=rng.choice([None, 1]), ensure_ascii=rng.random() < 0.5)
+    one = '{"id":1,"title":"a","absolute_url":"u"}'
+    boards |= {"nolist": '{"x":1}', "not json": "not json", "cut": f'{{"jobs":[{one}', "cut 2": f'{{"jobs":[{one}]', "dict": '{"jobs":{"id":1}}', "lack": '{"jobs":[{"id":1}]}', "number": f'{{"jobs":[1,{one}]}}', "null": '{"jobs":null}'}
+    boards |= {"empty": '{"jobs":[]}', "blank": " ", "nested": f'{{"a":{{"jobs":[{one}]}}}}', "spaces": f' {{ "jobs" : [ {one} , {one} ] }} \n', "list": "[]", "text": '{"jobs":["a","}"]}', "list of lists": f'{{"jobs":[[{one}]]}}'}
+    for b, text in boards.items():
+        (tmp_path / f"board_ref={b}").mkdir()
+        (tmp_path / f"board_ref={b}/0.json").write_text(text)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    files = payload_files.PayloadFiles(spark, str(tmp_path))
+    plain = lambda good: sorted((r.board_ref, r.pos, json.dumps(json.loads(r.raw), sort_keys=True), str(r.item)) for r in good.collect())
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        good, bad = feeds.items(files, "A")
+        want, want_bad = feeds.items(payloads(spark, *boards.items()), "A")
+        assert plain(good) == plain(want) and sorted(map(tuple, bad.collect())) == sorted(map(tuple, want_bad.collect()))
+        assert payload_files.pieces(files).groupBy("file").agg(F.countDistinct("split").alias("n")).agg(F.max("n")).first()[0] > 5
+        assert feeds.shape_a(files)[0].count() == good.count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_payload_files_bare_list(spark, tmp_path):
+    boards = {"a": '[{"id":"1","text":"]}","hostedUrl":"u","lists":[{"text":"x","content":"{"}]},{"id":"2","text":"t","hostedUrl":"u"}]', "b": '{"x":[{"id":1}]}', "c": "[]"}
+    for b, text in boards.items():
+        (tmp_path / f"board_ref={b}").mkdir()
+        (tmp_path / f"board_ref={b}/0.json").write_text(text)
+    good, bad = feeds.items(payload_files.PayloadFiles(spark, str(tmp_path)), "B")
+    assert sorted((r.board_ref, r.pos, r.item.text) for r in good.collect()) == [("a", 0, "]}"), ("a", 1, "t")] and [r.board_ref for r in bad.collect()] == ["b"]
+
+
+def test_doubled_details(spark):
+    """A detail that was fetched twice makes one posting; the surplus is told."""
+    item = lambda k: {"id": k, "name": "n", "uuid": k, "url": "u", "jobOpeningName": "n"}
+    listed = [item("1"), item("2")]
+    kinds = {"H": (feeds.shape_h, listed, lambda k, t: {"uuid": k, "description": {"role": t}}), "I": (feeds.shape_i, {"content": listed}, lambda k, t: {"id": k, "postingUrl": t}), "D": (feeds.shape_d, {"result": listed}, lambda k, t: {"result": {"jobOpening": {"id": k, "description": t}}})}
+    for shape, payload, detail in kinds.values():
+        details = payloads(spark, *[("b", detail("1", t)) for t in ("x", "y", "x")], ("b", detail("9", "x")), ("b", detail("9", "x")), ("b", "not json"))
+        good, bad = shape(payloads(spark, ("b", payload)), details)
+        assert [r.external_id for r in good.collect()] == ["1"]
+        assert sorted(r.reason for r in bad.collect()) == ["detail again: 1", "detail again: 1", "detail again: 9", "no readable detail: 2"]
