@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import html
-from collections.abc import Iterator
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Fixed value: what stands for null in a surrogate key.
 NULL_KEY = "_dbt_utils_surrogate_key_null_"
@@ -49,11 +46,47 @@ def parse_epoch_ms(c: Column) -> Column:
     return F.timestamp_millis(c)
 
 
-@F.pandas_udf(T.StringType())
-def unescape_html(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """One pass of HTML5 entity decoding; Spark has no such function."""
-    for s in batches:
-        yield s.map(lambda x: None if x is None else html.unescape(x))
+#: The references that make up nearly all of escaped markup; they are looked for first.
+COMMON = {"lt;": "<", "gt;": ">", "amp;": "&", "quot;": '"', "#39;": "'", "nbsp;": "\xa0"}
+#: What HTML5 puts in the place of numbers that name no character.
+REPLACED = {0: "\ufffd", 13: "\r"} | {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+
+
+def nothing(n: Column) -> Column:
+    """Numbers of control characters and non-characters, which leave nothing behind."""
+    last = n.bitwiseAND(F.lit(0xFFFF))
+    return n.between(1, 8) | (n == 11) | n.between(14, 31) | n.between(0x7F, 0x9F) | n.between(0xFDD0, 0xFDEF) | last.isin(0xFFFE, 0xFFFF)
+
+
+def character(n: Column) -> Column:
+    """The character of an HTML5 numeric reference."""
+    plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    replaced = F.create_map(*[F.lit(x) for pair in REPLACED.items() for x in pair])
+    return F.when(n.isin(*REPLACED), replaced[n]).when(n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "\ufffd").when(nothing(n), "").otherwise(plain)
+
+
+def decoded(part: Column) -> Column:
+    """What follows an ampersand, up to the next one, with the reference that it begins with decoded."""
+    after = lambda found: F.substr(part, F.length(found) + 1)
+    low, hexed, name = (F.regexp_extract(part, p, 0) for p in (r"^#[0-9]+;?", r"^#[xX][0-9a-fA-F]+;?", "^[^\t\n\f <&#;]{1,32};?"))
+    digits = lambda found, skip: F.ltrim(F.rtrim(F.substr(found, F.lit(skip)), F.lit(";")), F.lit("0"))
+    number = lambda d, base: F.when(F.length(d) > 8, 0x7FFFFFFF).otherwise(F.coalesce(F.conv(F.nullif(d, F.lit("")), base, 10), F.lit("0")).cast("long"))
+    names = F.create_map(*[F.lit(x) for k in sorted(html5, key=lambda k: (k not in COMMON, k)) for x in (k, html5[k])])
+    # names that need no semicolon also count as the beginning of a longer word, the longest first
+    open_names = sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k))
+    begun = F.regexp_extract(part, "^(" + "|".join(open_names) + ")", 0)
+    case = F.when(part == "", "&")
+    for k, v in COMMON.items():
+        case = case.when(F.startswith(part, F.lit(k)), F.concat(F.lit(v), F.substr(part, F.lit(len(k) + 1))))
+    case = case.when(low != "", F.concat(character(number(digits(low, 2), 10)), after(low))).when(hexed != "", F.concat(character(number(digits(hexed, 3), 16)), after(hexed)))
+    whole = F.try_element_at(names, name)
+    return case.when(whole.isNotNull(), F.concat(whole, after(name))).when(begun != "", F.concat(F.try_element_at(names, begun), after(begun))).otherwise(F.concat(F.lit("&"), part))
+
+
+def unescape_html(c: Column) -> Column:
+    """One pass of HTML5 entity decoding: no reference reaches over an ampersand, so each is decoded on its own."""
+    parts = F.split(c, "&", -1)
+    return F.when(~F.contains(c, F.lit("&")), c).otherwise(F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), decoded), "")))
 
 
 def tidy_location(c: Column) -> Column:

@@ -7,12 +7,14 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Up to this many terms are matched by native expressions; more by a vectorised helper with an index of words.
+#: Up to this many terms are matched by native expressions; more by an automaton in a
+#: vectorised helper.
 MOST_NATIVE = 200
 
 
@@ -34,18 +36,27 @@ def with_lower(text: Column, found: Callable[[Column], Column]) -> Column:
 
 
 def many_terms(terms: Sequence[str]):  # noqa: ANN201
-    """A column function for large term sets: a term is tried only where its first word occurs."""
-    first: dict[str, list[tuple[str, re.Pattern[str]]]] = {}
+    """A column function of texts in lower case for large term sets: one Aho-Corasick automaton reads each text once, however
+    many terms there are. Tasks make the automaton from the terms; it is not sent."""
+    by_low: dict[str, list[str]] = {}
     for t in terms:
-        runs = re.findall(r"[a-z0-9]+", t.lower())
-        first.setdefault(runs[0] if runs else "", []).append((t, re.compile(word_pattern(t))))
+        by_low.setdefault(t.lower(), []).append(t)
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def one(text: str | None) -> list[str]:
-            low = (text or "").lower()
-            tried = [p for w in {*re.findall(r"[a-z0-9]+", low), ""} for p in first.get(w, ())] if text is not None else []
-            return sorted(t for t, p in tried if p.search(low))
+        automaton = ahocorasick.Automaton()
+        for low in by_low:
+            automaton.add_word(low, low)
+        automaton.make_automaton()
+        part_of_word = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
+
+        def one(low: str | None) -> list[str]:
+            found = set()
+            for end, word in automaton.iter(low or ""):
+                begin = end + 1 - len(word)
+                if word not in found and low[begin - 1 : begin] not in part_of_word and low[end + 1 : end + 2] not in part_of_word:
+                    found.add(word)
+            return sorted(t for word in found for t in by_low[word])
 
         for s in batches:
             yield s.map(one)
@@ -59,7 +70,7 @@ def matched_terms(text: Column, terms: Sequence[str]) -> Column:
     if not terms:
         return F.array().cast("array<string>")
     if len(terms) > MOST_NATIVE:
-        return many_terms(terms)(text)
+        return many_terms(terms)(F.lower(text))
     return with_lower(text, lambda low: F.array_compact(F.array(*[F.when(has_word(low, t), F.lit(t)) for t in terms])))
 
 
