@@ -67,6 +67,8 @@ class Bpe:
         self.ranks = {vocab[a] << 16 | vocab[b]: (rank + 1) << 48 | vocab[a + b] for rank, (a, b) in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         size = max([*vocab.values(), *self.special.values()]) + 1
+        if size > 1 << 16:
+            raise ValueError(f"ids up to {size - 1}: a queue entry has room for 65,535")
         self.strings = [b""] * size
         for s, i in vocab.items():
             self.strings[i] = as_bytes(s)

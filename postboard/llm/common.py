@@ -33,11 +33,13 @@ def rows_of(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[
         yield tuple(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns)
 
 
-def hash_share(df: DataFrame, column: str, most: int, total: int) -> DataFrame:
-    """About `most` of `total` rows, chosen by a hash of the id; all rows if there are fewer."""
+def hash_share(df: DataFrame, columns: str | Sequence[str], most: int, total: int) -> DataFrame:
+    """About `most` of `total` rows, chosen by a hash of the columns; all rows if there are fewer. Rows that are equal in the
+    columns go together, so they should tell rows apart: an id that many rows share does not."""
     if total <= most:
         return df
-    return df.filter(F.pmod(F.xxhash64(column), F.lit(1_000_000)) < int(1_000_000 * most / total))
+    columns = [columns] if isinstance(columns, str) else columns
+    return df.filter(F.pmod(F.xxhash64(*columns), F.lit(1_000_000)) < int(1_000_000 * most / total))
 
 
 def running_sum(df: DataFrame, order: Sequence[Column], value: str, name: str) -> DataFrame:

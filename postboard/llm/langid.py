@@ -69,7 +69,7 @@ def fit(docs: DataFrame, *, max_rows: int = 20_000, bits: int = 16, smoothing: f
     `most_languages` languages are an error.
     """
     labelled = docs.filter(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    sample = hash_share(labelled, "doc_id", max_rows, labelled.count()).select("lang", "text")
+    sample = hash_share(labelled, ["doc_id", "text"], max_rows, labelled.count()).select("lang", "text")
     if (found := len(sample.select("lang").distinct().limit(most_languages + 1).collect())) > most_languages:
         raise ValueError(f"{found} languages or more; the model holds {most_languages}")
 

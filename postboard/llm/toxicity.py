@@ -1,13 +1,15 @@
 """Toxicity by a weighted grammar of finite-state transducers over word classes.
 
-A lexical transducer maps words to classes: insult, threat, target, negation, reported speech, filler and other. Three
-machines read the classes of a clause in order. The first marks an insult or threat as negated when a negation stands
-before it with only fillers between (a negated target is none). The second marks those after a verb of reported speech.
-The third accepts an insult alone, or an insult or threat with a target within reach before or after it; its final state
-names the pattern. The machines are composed into one table once. A clause's score is that of its best path: the weight
-of the insult or threat times the weight of the pattern. Insults (words and word beginnings) and pattern weights are
-learned from labelled documents; negated and reported patterns never weigh as much as plain ones. A document's score
-combines its matched clauses; words outside a matched clause count nothing.
+A lexical transducer maps words to classes: insult, threat, target, negation, reported speech, copula, filler and other.
+Three machines read the classes of a clause in order. The first marks an insult or threat as negated when a negation stands
+before it with only fillers between (a negated target is none). The second marks those after a verb of reported speech; a
+colon or a quotation mark does not end a clause. The third accepts an insult or threat with a target within reach before or
+after it, an insult after a copula ("the man is an ..."), two insults, an insult that ends an exclamation, and an insult
+alone; its final state names the pattern. The machines are composed into one table once. A clause's score is that of its
+best path: the weight of the insult or threat times the weight of the pattern. Insults (words and word beginnings) and
+pattern weights are learned from labelled documents; negated and reported patterns never weigh as much as plain ones, and
+an insult alone never weighs enough to reject a text. A document's score combines its matched clauses, so that insults
+alone count where several clauses have one.
 """
 
 from __future__ import annotations
@@ -29,18 +31,23 @@ TARGETS = frozenset("you your yourself u he she they them him her du dich dir de
 NEGATIONS = frozenset("not no never neither nor without isn't aren't wasn't don't doesn't nicht kein keine keinen nie niemals ne pas jamais aucun aucune sans nunca jamás ni tampoco ningún ninguna sin".split())
 REPORTS = frozenset("said says say wrote writes quoted quotes claimed claims reported called sagte sagt schrieb behauptet zitierte dit disait écrit déclaré rapporte dijo dice escribió afirmó citó".split())
 THREATS = frozenset("kill murder destroy hurt shoot stab strangle beat töten umbringen erschießen vernichten zerstören tuer tuerai assassiner égorger détruire matar mataré asesinar destruir golpear".split())
-FILLERS = frozenset("a an the that this such some any be is are am was were been so very really quite totally bin bist ist sind ein eine einen der die das so sehr es est suis êtes sont un une le la les si très eres son sea el los las una tan muy".split())
-WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[.!?;:\n]")
+COPULAS = frozenset("be is are am was were been bin bist ist sind war est suis êtes sont était es eres son sea era".split())
+FILLERS = frozenset("a an the that this such some any so very really quite totally ein eine einen der die das so sehr un une le la les si très el los las una tan muy".split())
+WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*|[.!?;\n]")
 END = "."
-CLAUSE_END = frozenset(".!?;:\n")
-CLASSES = (("T", TARGETS), ("N", NEGATIONS), ("R", REPORTS), ("H", THREATS), ("F", FILLERS), (END, CLAUSE_END))
-#: Symbols of the machines: classes in; marked insults and threats between (small: negated; J, K: reported).
-ALPHABET, STEMS = "OFTNRIH", range(4, 9)
+CLAUSE_END = frozenset(".!?;\n")
+CLASSES = (("T", TARGETS), ("N", NEGATIONS), ("R", REPORTS), ("H", THREATS), ("C", COPULAS), ("F", FILLERS), (END, CLAUSE_END))
+#: Symbols of the machines: classes, and V for the end of an exclamation, come in; between the machines there are marked
+#: insults and threats (small: negated; J, K: reported).
+ALPHABET, STEMS = "OFTNRIHCV", range(4, 9)
 NEGATED, REPORTED = {"I": "i", "H": "h"}, {"I": "J", "i": "j", "H": "K", "h": "k"}
 #: How many fillers may stand after a negation, and other words between a target and its insult or threat.
 FILLER_REACH, BEFORE, AFTER = 3, 6, 3
-#: Weight of a pattern before learning, and the most that a negated or reported one may have of its plain form's.
-PRIORS, PRIOR_NEGATED, PRIOR_REPORTED, MOST_MARKED = {"TI": 0.9, "IT": 0.85, "I": 0.6, "HT": 0.9, "TH": 0.4}, 0.15, 0.35, 0.9
+#: Weight of a pattern before learning; shares of it for marks; the most that a marked one may have of its plain form's.
+PRIORS = {"TI": 0.9, "IT": 0.85, "CI": 0.85, "II": 0.85, "I!": 0.75, "I": 0.5, "HT": 0.9, "TH": 0.4}
+PRIOR_NEGATED, PRIOR_REPORTED, MOST_MARKED = 0.15, 0.35, 0.5
+#: The most that an insult alone weighs: one clause stays below a threshold of 0.7, two come to 0.8.
+MOST_ALONE = 0.55
 
 State = tuple[object, ...]
 #: A machine's arcs from a state by a symbol: the next state and what is put out.
@@ -52,8 +59,8 @@ def negation(q: State, x: str) -> list[tuple[State, str]]:
     (left,) = q
     if x == "N":
         return [((FILLER_REACH + 1,), "O")]
-    if x == "F":
-        return [((max(0, left - 1),), "O")]
+    if x in "FC":
+        return [((max(0, left - 1),), x)]
     return [((0,), "O" if left and x == "T" else NEGATED.get(x, x) if left else x)]
 
 
@@ -77,14 +84,28 @@ def clause(q: State, x: str) -> list[tuple[State, str]]:
             out += [(("end", x), "weight"), (("open", x, AFTER), "weight")]
         elif x in "HhKk":
             out.append((("open", x, AFTER), "weight"))
+        elif x == "C":
+            out.append((("copula", FILLER_REACH), ""))
         return out
+    if kind == "copula":
+        if x in "IiJj":
+            return [(("end", "C" + x), "weight")]
+        return [(("copula", rest[0] - 1), "")] if x == "F" and rest[0] else []
+    if kind == "again":
+        return [(("end", rest[0] * 2), "weight")] if x == rest[0] else [(q, "")]
     if kind == "target":
         if x in "IiJjHhKk":
             return [(("end", "T" + x), "weight")]
         return [(("target", rest[0] - 1), "")] if rest[0] else []
+    found, left = rest
     if x == "T":
-        return [(("end", rest[0] + "T"), "")]
-    return [(("open", rest[0], rest[1] - 1), "")] if rest[1] else []
+        return [(("end", found + "T"), "")]
+    if x == "V" and left == AFTER and found in "IiJj":
+        return [(("end", found + "!"), "")]
+    out = [(("open", found, left - 1), "")] if left else []
+    if found in "IiJj":
+        out.append((("end", found * 2), "weight") if x == found else (("again", found), ""))
+    return out
 
 
 MACHINES: tuple[tuple[Arcs, State], ...] = ((negation, (0,)), (report, (0,)), (clause, ("start",)))
@@ -165,8 +186,8 @@ class Grammar:
 
     def clauses(self, text: str) -> list[tuple[str, float]]:
         """(pattern, score) of the best path of each clause that matches; clauses without insult or threat cannot."""
-        cache = self.cache
-        arcs = [cache.get(w) or self.arc(w) for w in WORD.findall(text.lower())]
+        cache, words = self.cache, WORD.findall(text.lower())
+        arcs = [cache.get(w) or self.arc(w) for w in words]
         at, out = [k for k, (c, _) in enumerate(arcs) if c in "IH"], []
         if not at:
             return out
@@ -176,7 +197,8 @@ class Grammar:
             if i < len(at) and at[i] < b:
                 while i < len(at) and at[i] < b:
                     i += 1
-                if best := self.found(arcs[a + 1 : b]):
+                cried = [("V", 1.0)] if b < len(words) and words[b] == "!" else []
+                if best := self.found(arcs[a + 1 : b] + cried):
                     out.append(max(((p, w * self.patterns[p]) for p, w in best.items()), key=lambda x: (x[1], x[0])))
         return out
 
@@ -231,8 +253,9 @@ def learn_lexicon(sample: DataFrame, least: int, precision: float, max_entries:
 
 def learned_patterns(counts: dict[str, tuple[int, int]], strength: float) -> dict[str, float]:
     """Weight of each pattern from (toxic, all) documents with it; few documents leave it near its prior. A negated or
-    reported pattern gets a share of its plain form's weight at most, once for each mark."""
+    reported pattern gets a share of its plain form's weight at most, once for each mark, and an insult alone a fixed most."""
     raw = {p: (counts.get(p, (0, 0))[0] + prior_of(p) * strength) / (counts.get(p, (0, 0))[1] + strength) for p in PATTERNS}
+    raw["I"] = min(raw["I"], MOST_ALONE)
     out = {}
     for p in PATTERNS:
         plain, negated, reported = plain_form(p)

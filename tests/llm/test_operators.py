@@ -511,17 +511,18 @@ def test_toxicity(spark):
     w = lambda n: [f"{a}{b}" for a, b in zip(rng.choices("ab cd ef gh kl mn".split(), k=n), rng.choices("ou ai ei au".split(), k=n), strict=True)]
     rows, labels = [], []
     for i in range(400):
-        words, toxic = w(30), i % 5 == 0
+        words, toxic, insult = w(30), i % 5 == 0, rng.choice(["grobian", "snorkol", "snorkel", "snorkat", "snorkut"])
         if toxic:
-            words[rng.randrange(30)] = rng.choice(["grobian", "snorkol", "snorkel", "snorkat", "snorkut"])
+            at = rng.randrange(30)
+            words[at : at + 1] = rng.choice(["you are a {}", "the man is a {}", "{} you", "{} ab {}"]).format(insult, insult).split()
         rows.append((i, " ".join(words) + "."))
         labels.append((i, int(toxic)))
-    df, marks = frame(spark, rows + [(900, None), (901, ""), (902, "a snorkixxx here")]), spark.createDataFrame(labels + [(None, 1), (5, None)], "doc_id long, toxic int")
+    df, marks = frame(spark, rows + [(900, None), (901, ""), (902, "you snorkixxx"), (903, "a snorkixxx here")]), spark.createDataFrame(labels + [(None, 1), (5, None)], "doc_id long, toxic int")
     grammar = toxicity.fit(df, marks)
     got = {r.doc_id: r for r in toxicity.score(df, grammar).collect()}
-    assert all(got[i].predicted == t for i, t in labels) and got[902].predicted == 1
+    assert all(got[i].predicted == t for i, t in labels) and got[902].predicted == 1 and got[903].predicted == 0
     assert got[900].score == got[901].score < 0.1
-    assert {r.doc_id for r in toxicity.reject_toxic(df, grammar).collect()} == {i for i, t in labels if not t} | {900, 901}
+    assert {r.doc_id for r in toxicity.reject_toxic(df, grammar).collect()} == {i for i, t in labels if not t} | {900, 901, 903}
     none = toxicity.fit(df, marks.limit(0))
     assert none.score("I will kill you") >= 0.7 and none.score("they kill time") < 0.7 and none.score("nice day") < 0.1
     assert none.score("kill the lights. you see") < 0.1  # threat and target in different clauses
@@ -532,13 +533,23 @@ def test_toxicity_order_and_reach():
     pattern = lambda text: [p for p, _ in g.clauses(text)]
     assert pattern("You are an idiot") == ["TI"] and pattern("Idiot, not you") == ["I"] and pattern("idiot, you") == ["IT"]
     assert pattern("You are not an idiot") == ["Ti"] and pattern("Not now, you are an idiot") == ["TI"] and pattern("Du bist kein idiot") == ["Ti"]
-    assert pattern("He said you are an idiot") == ["TJ"] and pattern("You are an idiot, he said") == ["TI"] and pattern("She wrote: you idiot") == ["TI"]
+    assert pattern("He said you are an idiot") == ["TJ"] and pattern("You are an idiot, he said") == ["TI"] and pattern("She wrote: you idiot") == ["TJ"]
     assert pattern("I will kill you.") == ["HT"] and pattern("I will never kill you") == ["hT"] and pattern("kill time. you") == [] and pattern("you one two three four five six seven idiot") == ["I"]
     plain, negated, reported, alone = (g.score(x) for x in ("you are an idiot", "you are not an idiot", "he said you are an idiot", "one idiot"))
-    assert negated < reported < alone < plain and plain >= 0.7 > alone and g.score("idiot idiot idiot") == alone
+    assert negated < reported < alone < plain and plain >= 0.7 > alone
+    assert pattern("the boss is a very idiot") == ["CI"] and pattern("is he there an idiot") == ["TI"] and pattern("idiot and so on to the last idiot") == ["II"] and pattern("what an idiot!") == ["I!"] and pattern("idiot in time!") == ["I"]
+    assert pattern("she said: no idiot, not an idiot") == ["jj"] and pattern("the boss is not an idiot") == ["i"]
     counts = {p: (1000, 1000) for p in toxicity.PATTERNS}
     learned = toxicity.learned_patterns(counts, 5.0)
-    assert learned["Ti"] < learned["TI"] and learned["TJ"] < learned["TI"] and learned["j"] < learned["i"] < learned["I"] and min(learned.values()) > 0.7
+    assert learned["Ti"] < learned["TI"] and learned["TJ"] < learned["TI"] and learned["j"] < learned["i"] < learned["I"] < 0.7 < min(learned[p] for p in toxicity.PRIORS if p != "I")
+
+
+def test_toxicity_no_word_alone(spark):
+    """Whatever the labels say, no text is rejected for one insult without a clause around it."""
+    rows = [(i, f"{a} grobian {b}." if i % 2 else f"{a} {b} and so on.") for i, (a, b) in enumerate(itertools.product([f"x{k}" for k in range(30)], ["y", "z"]))]
+    g = toxicity.fit(frame(spark, rows), spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int"))
+    scores = {t: g.score(t) for t in ("the word grobian is in a dictionary", "grobian", "you are a grobian", "he said: you are a grobian", "he said \"you are a grobian\"", "the boss is a grobian", "one grobian. Another grobian.", "grobian!", "not a grobian. never a grobian.")}
+    assert g.lexicon and [s >= 0.7 for s in scores.values()] == [False, False, True, False, False, True, True, True, False]
 
 
 def all_paths(arcs):
@@ -559,7 +570,7 @@ def all_paths(arcs):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from("OFTNRIIHT"), st.sampled_from([0.25, 0.5, 1.0])), max_size=9))
+@given(st.lists(st.tuples(st.sampled_from("OFTNRIIHTCV"), st.sampled_from([0.25, 0.5, 1.0])), max_size=9))
 def test_toxicity_composition(arcs):
     """Best weights of the composed machine, against all paths."""
     arcs = [(x, w if x in "IH" else 1.0) for x, w in arcs]
