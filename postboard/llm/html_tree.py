@@ -7,8 +7,8 @@ differ and 0 that all show the same. Layout counts as 1 - exp(-entropy): 0 for o
 important as its contents times the most varied layout in, at or above it: menus, adverts and footers come in one layout
 or with few contents, articles in many. Elements marked as article or main count as varied in layout.
 
-What an element is called weighs in: navigation, adverts, forms or comments by a quarter, ambiguous names by half. A
-branch below the threshold is cut from the page, with all that is in it. What is outside the page's article, where there
+What an element is called weighs in: navigation, adverts, forms or comments by a quarter, ambiguous names by half. Names
+count as a whole (`ad-slot`, not `ad-hoc`). What is not shown (noscript, hidden, display: none) is no text at all. A branch below the threshold is cut from the page, with all that is in it. What is outside the page's article, where there
 is one, is no main text.
 """
 
@@ -30,22 +30,27 @@ from postboard.llm.common import materialise, rows_of
 #: An attribute; a value without quotes may hold quotes.
 ATTRIBUTE = r"""[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+"""
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|template|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|"
+    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|template|iframe|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|"
     rf"<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{ATTRIBUTE})*+)>|<[!?/][^>]*>",
     re.S | re.I,
 )
+SINGLE = re.compile(ATTRIBUTE)
+#: What an element says that is not shown, attribute by attribute.
+HIDDEN = re.compile(r"""hidden(?:\s*=(?!\s*["']?until-found).*)?|aria-hidden\s*=\s*["']?true["']?|style\s*=.*\bdisplay\s*:\s*none\b.*""", re.S | re.I)
 NAMED = re.compile(r"""(?<![^\s/"'])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*))""", re.I)
 #: Elements of HTML by what they do.
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr svg math noscript".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr svg math".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-IN_HEAD = frozenset("base link meta noscript".split())
+IN_HEAD = frozenset("base link meta".split())
 #: Elements that end a formula or drawing which was left open.
 BLOCKS = frozenset("address article aside blockquote div dl dt dd fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul".split())
 NOISE_TAGS = frozenset("nav footer aside form button select option dialog menu object canvas audio video fieldset head".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
-#: Parts of class names and ids that say what an element is, and those that may say so.
-NOISE_NAMES = frozenset("ad ads advert adverts advertisement advertising nav navbar navigation menu sidebar breadcrumb breadcrumbs footer comment comments reply replies respond disqus masthead copyright".split())
+#: Words of class names and ids that say what an element is, those that may say so, and those beside them that
+#: tell where it stands or how it is built. A name counts where all its words are of these: `ad-slot`, but not `ad-hoc`.
+NOISE_NAMES = frozenset("ad ads advert adverts advertisement advertising nav navbar navigation menu sidebar breadcrumb breadcrumbs footer comment comments reply replies respond response responses discussion disqus masthead copyright".split())
 MAYBE_NAMES = frozenset("banner cookie cookies consent notice notices promo promotion sponsor sponsored share sharing social related newsletter subscribe subscription popup modal widget login signup toolbar gdpr".split())
+BESIDE = frozenset("site page main top bottom left right inner outer primary secondary global mobile desktop sticky fixed slot box list bar block area section item items unit container wrapper wrap group row col column panel header head body content links link icons buttons button form thread policy overlay strip card posts articles stories media network news reader user the".split())
 CLOSED_BY = {"p": frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 
 NEUTRAL, SURE, MAYBE, MOST_LINKS = 0.5, 0.25, 0.5, 0.6
@@ -64,8 +69,14 @@ def prior(tag: str, names: list[str], role: str, in_article: bool) -> float:
         return SURE
     if tag in ("article", "main"):
         return SURE if any(n.lower() in NOISE_NAMES for n in names) else 1.0
-    parts = {p for n in names for p in re.split(r"[-_\s]+", n.lower())}
-    return SURE if parts & NOISE_NAMES else MAYBE if parts & MAYBE_NAMES else 1.0
+    whole = [{*re.split(r"[-_\s]+", re.sub(r"\d+|([a-z])(?=[A-Z])", r"\1-", n).lower())} - {""} for n in names]
+    said = {p for parts in whole if parts <= NOISE_NAMES | MAYBE_NAMES | BESIDE for p in parts}
+    return SURE if said & NOISE_NAMES else MAYBE if said & MAYBE_NAMES else 1.0
+
+
+def hidden(attributes: str) -> bool:
+    """Whether a tag's attributes keep its element from being shown."""
+    return ("hidden" in attributes or "none" in attributes) and any(HIDDEN.fullmatch(a) for a in SINGLE.findall(attributes))
 
 
 @dataclass(slots=True)
@@ -80,6 +91,7 @@ class Element:
     own: int = 1
     sub: int = 1
     content: int = 1
+    hidden: bool = False
     step: int = 0
     block: Element | None = None  # of an inline element: the block it is in
 
@@ -109,7 +121,7 @@ def parsed(page: str, scores: Scores | None = None, threshold: float = 0.3) -> P
     scores, out = scores or {}, Page()
     unknown = (NEUTRAL, 1.0, 1.0)
     bottom = Element("", ROOT, above=scores.get(ROOT, unknown)[2])
-    stack, opened, parts, links = [bottom], Counter(), [], 0
+    stack, opened, parts, links, muted = [bottom], Counter(), [], 0, 0
 
     def flush() -> None:
         nonlocal parts
@@ -125,13 +137,14 @@ def parsed(page: str, scores: Scores | None = None, threshold: float = 0.3) -> P
             parts = []
 
     def close(k: int) -> None:
-        nonlocal links
+        nonlocal links, muted
         if any(e.tag not in INLINE for e in stack[k:]):
             flush()
         while len(stack) > k:
             e = stack.pop()
             opened[e.tag] -= 1
             links -= e.tag == "a"
+            muted -= e.hidden
             if e.tag not in INLINE:
                 up = stack[-1].block or stack[-1]
                 up.own, up.sub, up.content = mixed(up.own, e.step), mixed(up.sub, mixed(e.step, e.sub)), mixed(up.content, e.content)
@@ -161,7 +174,8 @@ def parsed(page: str, scores: Scores | None = None, threshold: float = 0.3) -> P
             text = page[at : m.start()]
             if opened["head"] and not text.isspace():
                 leave_head()
-            parts.append((text, links > 0))
+            if not muted:
+                parts.append((text, links > 0))
         at = m.end()
         tag = (m[3] or "").lower()
         if not tag or tag in ("html", "body"):
@@ -195,15 +209,17 @@ def parsed(page: str, scores: Scores | None = None, threshold: float = 0.3) -> P
         top = stack[-1]
         if tag in INLINE:
             if not m[4].endswith("/"):
-                stack.append(Element(tag, top.path, top.weight, top.article, top.cut, top.dull, top.above, block=top.block or top))
+                stack.append(Element(tag, top.path, top.weight, top.article, top.cut, top.dull, top.above, hidden=hidden(m[4]), block=top.block or top))
                 opened[tag] += 1
+                muted += stack[-1].hidden
                 links += tag == "a"
             continue
         said = {a[0].lower(): a[1] or a[2] or a[3] for a in NAMED.findall(m[4])} if m[4] else {}
         classes = said.get("class", "").split()
         p = prior(tag, [*classes, said.get("id", "")], said.get("role", "").lower(), top.article)
         step = xxhash.xxh3_64_intdigest(" ".join([tag, *sorted({re.sub(r"\d+", "", c) for c in classes})]))
-        e = Element(tag, mixed(top.path, step), min(p, top.weight), step=step)
+        e = Element(tag, mixed(top.path, step), min(p, top.weight), step=step, hidden=hidden(m[4]))
+        muted += e.hidden
         e.article = top.article or tag in ("article", "main") and p == 1.0
         content, sub, own = scores.get(e.path, unknown)
         above = 1.0 if e.article else top.above
@@ -216,7 +232,8 @@ def parsed(page: str, scores: Scores | None = None, threshold: float = 0.3) -> P
         text = re.sub(r"<[a-zA-Z/!?][^<>]*\Z", "", page[at:])
         if opened["head"] and not text.isspace():
             leave_head()
-        parts.append((text, links > 0))
+        if not muted:
+            parts.append((text, links > 0))
     flush()
     if len(stack) > 1:
         close(1)
