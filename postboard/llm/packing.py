@@ -1,9 +1,9 @@
 """Best-fit packing of token sequences by exact complements.
 
 Documents become pieces of at most `capacity` tokens. Only the number of pieces of each length matters for the plan,
-so the plan is made from a histogram of at most `capacity` entries: the gap that a long piece leaves is looked up among
-the single lengths and the sums of two and three, combinations that fill it exactly are consumed as often as the counts
-allow, and best fit places the rest. Short pieces spent early on exact sums can be missing later, so several
+so the plan is made from a histogram of at most `capacity` entries: the gap that a long piece leaves is looked up in an
+index of the sums of one, two and three lengths, combinations that fill it exactly are consumed while the counts allow,
+those of plentiful lengths first, and best fit places the rest. Short pieces spent early on exact sums can be missing later, so several
 plans are made and the one with the fewest sequences is taken. Each step of a plan stands for many equal sequences, and Spark deals the
 pieces out to the plan's slots by rank within a length.
 """
@@ -76,10 +76,10 @@ def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFra
 Plan = list[tuple[tuple[int, ...], int]]
 
 
-def take(left: dict[int, int], pattern: tuple[int, ...], out: Plan) -> None:
-    """Use a pattern as often as the counts allow."""
+def take(left: dict[int, int], pattern: tuple[int, ...], out: Plan, at_once: int | None = None) -> None:
+    """Use a pattern as often as the counts allow, or so many times."""
     need = Counter(pattern)
-    times = min(left[n] // k for n, k in need.items())
+    times = at_once or min(left[n] // k for n, k in need.items())
     out.append((pattern, times))
     for n, k in need.items():
         left[n] -= times * k
@@ -87,17 +87,41 @@ def take(left: dict[int, int], pattern: tuple[int, ...], out: Plan) -> None:
             del left[n]
 
 
-def exact(left: dict[int, int], gap: int, most: int, biggest: int) -> tuple[int, ...] | None:
-    """`most` lengths, in falling order and none above `biggest`, that fill the gap; the first ones as long as can be."""
-    if most == 1:
-        return (gap,) if gap <= biggest and left.get(gap, 0) > 0 else None
-    for a in sorted((n for n, c in left.items() if c and n <= biggest and n < gap <= n * most), reverse=True):
-        left[a] -= 1
-        rest = exact(left, gap - a, most - 1, a)
-        left[a] += 1
-        if rest:
-            return (a, *rest)
-    return None
+class Sums:
+    """The lengths at hand by their sums: a length, two of them, and (from a length and two of them) three.
+
+    An entry that no pieces are left for is dropped when it is met.
+    """
+
+    def __init__(self, left: dict[int, int], most: int) -> None:
+        self.left, self.pairs = left, {}
+        lengths = sorted(left, reverse=True)
+        for i, a in enumerate(lengths):
+            for b in lengths[i:]:
+                if a + b <= most:
+                    self.pairs.setdefault(a + b, []).append((a, b))
+
+    def there(self, *pattern: int) -> int:
+        """How many times the pieces at hand make a pattern."""
+        return min(self.left.get(n, 0) // k for n, k in Counter(pattern).items())
+
+    def pair(self, total: int, biggest: int, *beside: int) -> tuple[int, int, int] | None:
+        """(times, smaller, larger) of the pair that is there most often, beside other pieces."""
+        entries = self.pairs.get(total, [])
+        entries[:] = [x for x in entries if self.there(*x)]
+        found = max(((self.there(*beside, a, b), b, a) for a, b in entries if a <= biggest), default=None)
+        return found if found and found[0] else None
+
+    def filling(self, gap: int, biggest: int) -> tuple[int, ...] | None:
+        """One to three lengths, none above `biggest`, that fill the gap exactly: as few as can be, then those of which there
+        are most, so that rare lengths are kept for the gaps that only they fill."""
+        if gap <= biggest and self.there(gap):
+            return (gap,)
+        if found := self.pair(gap, biggest):
+            return found[2], found[1]
+        threes = ((self.pair(gap - a, a, a), a) for a in sorted(self.left, reverse=True) if a <= biggest and gap / 3 <= a < gap - 1)
+        times, a, pair = max(((x[0], a, x) for x, a in threes if x), default=(0, 0, None))
+        return (a, pair[2], pair[1]) if times else None
 
 
 def pairs(left: dict[int, int], capacity: int, out: Plan) -> None:
@@ -130,33 +154,29 @@ def best_fit(left: dict[int, int], capacity: int) -> Plan:
     return [x for group in rooms.values() for x in group]
 
 
-def longest_first(left: dict[int, int], capacity: int, out: Plan) -> None:
-    """The longest piece's gap is filled exactly by one, two or three others, else by the longest that fit, in turn."""
-    while left:
-        long = max(left)
-        gap = capacity - long
+def complements(left: dict[int, int], capacity: int, out: Plan) -> None:
+    """From the longest piece down, gaps are filled exactly while there are combinations for them; best fit places the rest."""
+    index, aside = Sums(left, capacity), {}
+    while left and 2 * (long := max(left)) > capacity:
         left[long] -= 1
-        found = next((x for most in (1, 2, 3) if (x := exact(left, gap, most, long))), None)
-        if not found:
-            rest = []
-            for n in sorted(left, reverse=True):
-                k = min(left[n], gap // n)
-                rest += [n] * k
-                gap -= n * k
-            found = tuple(rest)
+        found = index.filling(capacity - long, long)
         left[long] += 1
-        take(left, (long, *found), out)
+        if found:
+            take(left, (long, *found), out, at_once=max(1, index.there(long, *found) // 2))
+        else:
+            aside[long] = left.pop(long)
+    left |= aside
+    out += best_fit(left, capacity)
 
 
 def plan(counts: dict[int, int], capacity: int) -> Plan:
     """Patterns of lengths and how many sequences follow each, for pieces counted by length (full ones left out).
 
-    The best of three: exact pairs, then exact sums from the longest piece down; exact pairs, then best fit; best fit
-    alone. So there are never more sequences than best fit from the longest down makes.
+    The best of three: exact pairs, then exact sums and best fit for the rest; exact pairs, then best fit; best fit alone. So there are never more sequences than best fit from the longest down makes.
     """
     given = {n: c for n, c in counts.items() if c > 0 and n < capacity}
     plans: list[Plan] = []
-    for way in (lambda left, out: out.extend(best_fit(left, capacity)), lambda left, out: longest_first(left, capacity, out)):
+    for way in (lambda left, out: out.extend(best_fit(left, capacity)), lambda left, out: complements(left, capacity, out)):
         left, out = dict(given), []
         pairs(left, capacity, out)
         way(left, out)
