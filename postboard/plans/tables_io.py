@@ -14,7 +14,7 @@ from postboard.functions import vectors
 from postboard.operators import companies, delivery, enrich, monitoring, postings, quality, ranking
 from postboard.plans import registry as rg
 from postboard.plans import tables as tb
-from postboard.sources import config_tables, feeds, payload_files
+from postboard.sources import compaction, config_tables, feeds, payload_files
 from postboard.sources import landing as land
 from postboard.sources import versioned
 from postboard.streaming import incremental
@@ -50,6 +50,20 @@ def landing_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"WITH {tb.LANDING_SQL} SELECT source, external_id, CAST(ingested_at AS DATE) AS ingest_date FROM landing")
+def compacted_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many small files a day become one; the rows stay as they were, also after the replaced files are gone."""
+    path = folder(spark, "small")
+    rows = tb.landing(spark, sf_dir).select("source", "external_id", F.col("ingested_at").cast("date").alias("ingest_date"))
+    rows.repartition(6).write.partitionBy("source", "ingest_date").parquet(path)
+    before = compaction.files(spark, path).count()
+    compaction.compact(spark, path)
+    left = compaction.vacuum(spark, path)
+    if compaction.files(spark, path).count() != before - left:
+        raise AssertionError("files were lost")
+    return compaction.read(spark, path).select("source", "external_id", "ingest_date")
+
+
 @query(f"""WITH {tb.LANDING_SQL} SELECT source, CAST(ingested_at AS DATE) AS ingest_date, count(*) AS n FROM landing
   WHERE CAST(ingested_at AS DATE) >= (SELECT CAST(max(ingested_at) AS DATE) FROM landing) - 10 GROUP BY ALL""")
 def retention_job(spark: SparkSession, sf_dir: str) -> DataFrame:

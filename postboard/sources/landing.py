@@ -63,10 +63,11 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def expire(spark: SparkSession, path: str, days: int = 180) -> int:
-    """Drop the day partitions of a landing that are more than `days` older than the newest, and return their number."""
+def expire(spark: SparkSession, path: str, days: int = 180, last: dt.date | None = None) -> int:
+    """Drop the day partitions of a landing that are more than `days` older than the newest (or a given day), and return their
+    number."""
     parts = spark.read.option("basePath", path).parquet(path).select("source", "ingest_date").distinct()
-    last = parts.agg(F.max("ingest_date")).first()[0]
+    last = last or parts.agg(F.max("ingest_date")).first()[0]
     if last is None:
         return 0
     old = parts.filter(F.col("ingest_date") < F.lit(last - dt.timedelta(days=days))).collect()  # sources times days

@@ -46,9 +46,9 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
 
 
-def numbers(spark: SparkSession, path: str) -> list[int]:
+def numbers(spark: SparkSession, path: str, manifests: str = "manifests") -> list[int]:
     """The numbers of the published versions, ascending."""
-    return sorted(int(m[1]) for n in names(spark, f"{path}/manifests") if (m := re.fullmatch(r"v(\d+)\.json", n)))
+    return sorted(int(m[1]) for n in names(spark, f"{path}/{manifests}") if (m := re.fullmatch(r"v(\d+)\.json", n)))
 
 
 def load(spark: SparkSession, path: str, number: int | None = None) -> Version | None:
@@ -62,16 +62,21 @@ def load(spark: SparkSession, path: str, number: int | None = None) -> Version |
     return Version(number, found["buckets"], T.StructType.fromJson(found["schema"]), {int(k): v for k, v in found["parts"].items()}, found["batch"])
 
 
-def publish(spark: SparkSession, path: str, version: Version) -> None:
-    """Write the manifest beside its place, then rename it there; an error if that number is taken."""
-    jvm = spark._jvm
-    fs, draft = folder(spark, f"{path}/manifests/.draft-{uuid.uuid4().hex}")
-    target = jvm.org.apache.hadoop.fs.Path(f"{path}/manifests/v{version.number}.json")
+def put_once(spark: SparkSession, target: str, text: str) -> None:
+    """Write a small file beside its place, then rename it there; an error if there is one of that name."""
+    jvm, (above, _, _) = spark._jvm, target.rpartition("/")
+    fs, draft = folder(spark, f"{above}/.draft-{uuid.uuid4().hex}")
     out = fs.create(draft, False)
-    out.write(bytearray(json.dumps({"buckets": version.buckets, "batch": version.batch, "schema": version.schema.jsonValue(), "parts": version.parts}).encode()))
+    out.write(bytearray(text.encode()))
     out.close()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(target).toUri(), spark._jsc.hadoopConfiguration())
-    context.rename(fs.makeQualified(draft), fs.makeQualified(target), spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    place = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(target))
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(draft), place, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+
+
+def publish(spark: SparkSession, path: str, version: Version) -> None:
+    """Make a version the newest; an error if its number is taken."""
+    put_once(spark, f"{path}/manifests/v{version.number}.json", json.dumps({"buckets": version.buckets, "batch": version.batch, "schema": version.schema.jsonValue(), "parts": version.parts}))
 
 
 def bucket(key: Column, buckets: int) -> Column:

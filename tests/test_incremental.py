@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
 from postboard.operators import delivery, enrich, postings
+from postboard.sources import compaction
 from postboard.sources import landing as land
 from postboard.sources import versioned
 from postboard.streaming import incremental
@@ -176,3 +177,45 @@ def test_delivery_again(spark, tmp_path, monkeypatch, fails_at):
     assert [s for s in dict.fromkeys(map(str, sent)) if s != "failed"] == [str(x) for x in [(0, ["a"]), (1, ["b"]), (2, ["c"]), (3, []), (4, ["d"])]]
     rows = land.read_or_empty(spark, ledger, delivery.LEDGER).orderBy("batch").collect()
     assert [(r.batch, r.postings_sent, r.watermark) for r in rows] == [(n, 1, T0 - dt.timedelta(hours=h)) for n, h in ((0, 20), (1, 10), (2, 9), (4, 1))]
+
+
+def test_compaction(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "landing")
+    day = lambda k: dt.datetime(2026, 7, 1 + k, 6)
+    posting = lambda k: spark.createDataFrame([(s, "c", f"{k}-{i}", "t", None, None, None, None, "u", "d" * 50, None, "{}") for s in ("a b", "é", None) for i in range(3)], land.POSTING).coalesce(1)
+    for k in range(8):
+        land.land(posting(k), path, f"r{k}", day(0 if k < 4 else 5))
+    landed_files = lambda: {str(p) for p in Path(path).glob("source=*/*/*.parquet")}
+    rows = lambda df: sorted(map(str, df.select(*land.RAW_COLUMNS, "ingest_date").collect()))
+    before, early = rows(compaction.read(spark, path)), compaction.read(spark, path)
+    assert len(landed_files()) == 24 and len(before) == 72
+    with monkeypatch.context() as m:  # stopped before the manifest: nothing has happened
+        m.setattr(versioned, "put_once", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            compaction.compact(spark, path)
+    assert rows(compaction.read(spark, path)) == before
+    put = versioned.put_once
+
+    def while_landing(*a):
+        land.land(posting(9), path, "r9", day(5))  # somebody lands before the manifest is there
+        put(*a)
+
+    with monkeypatch.context() as m:
+        m.setattr(versioned, "put_once", while_landing)
+        assert compaction.compact(spark, path) == 24
+    after = rows(compaction.read(spark, path))
+    assert len(after) == 81 and {*before} < {*after} and rows(early) == before
+    large = [p for a in compaction.manifest(spark, path)[1] for p in Path(f"{path}/_compacted/{a}").glob("source=*/*/*.parquet")]
+    assert len(large) == 6  # a file per source and day
+    assert compaction.compact(spark, path) == 0  # one small file a partition is left
+    assert compaction.vacuum(spark, path) == 24 and rows(compaction.read(spark, path)) == after and len(landed_files()) == 3
+    assert compaction.expire(spark, path, 3) == 3 and len(compaction.read(spark, path).collect()) == 45
+
+
+def test_bins(spark):
+    sizes = [60, 30, 30, 20, 10, 5, 49, 48]
+    listed = spark.createDataFrame([("s", "d", f"f{i}", n) for i, n in enumerate(sizes)] + [("s", "e", "alone", 1)], "source string, ingest_date string, file string, bytes long")
+    got = {}
+    for r in compaction.bins(listed, 100).collect():
+        got.setdefault(r.bin, []).append(r.bytes)
+    assert sorted(map(sorted, got.values())) == [[5, 10, 20, 30], [30, 48, 49]]  # each begins below a multiple of 100
