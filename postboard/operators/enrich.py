@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from postboard.functions.text import round_score
 from postboard.sources import versioned
+from postboard.tables import materialise
 
 EXTRACTED = "content_hash string, company_type string, geo_restriction string, manages_people string, years_experience_min long, required_techs string, nice_to_have_techs string, relevant_text string, extract_ok boolean, extract_model string, extracted_at timestamp"
 SCORED = "content_hash string, fit_score long, scoring_model string, prompt_version string, scored_at timestamp"
@@ -105,38 +107,102 @@ def upsert_table(path: str, new: DataFrame, key: str = "content_hash", buckets:
     return versioned.change(path, new, key, lambda old, rows: upsert(old, rows, key), buckets=buckets)
 
 
-def packed(df: DataFrame, id_column: str, groups: int, block: int) -> DataFrame:
-    """(grp, dim, ids, vectors): blocks of up to `block` vectors of one length, the ids of a block in order. Vectors that
-    are null, hold a null or have no length are left out."""
+#: Angles may be off by so much before two of them count as different: cosines are compared to twelve digits.
+SLACK = 2e-6
+
+
+@dataclass(frozen=True)
+class Pivots:
+    """Some of the units as unit vectors, by length: their numbers and a matrix. At most `most` come to the driver."""
+
+    by_dim: dict[int, tuple[np.ndarray, np.ndarray]]
+
+    @staticmethod
+    def of(units: DataFrame, most: int) -> Pivots:
+        groups: dict[int, list[np.ndarray]] = {}
+        for r in units.orderBy(F.xxhash64("unit_id"), "unit_id").limit(most).collect():
+            if usable(r["embedding"]):
+                v = np.array(r["embedding"], float)
+                groups.setdefault(len(v), []).append(v / np.linalg.norm(v))
+        out, at = {}, 0
+        for dim, vectors in groups.items():
+            out[dim], at = (np.arange(at, at + len(vectors)), np.stack(vectors)), at + len(vectors)
+        return Pivots(out)
+
+    def angles(self, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the pivots of this length (-1 where there is none), and the angle of each row to each."""
+        numbers, vectors = self.by_dim.get(matrix.shape[1], (np.array([-1]), None))
+        if vectors is None:
+            return numbers, np.zeros((len(matrix), 1))
+        return numbers, np.arccos(np.clip(matrix @ vectors.T / np.linalg.norm(matrix, axis=1)[:, None], -1, 1))
+
+
+def usable(v: Sequence[float] | None) -> bool:
+    return v is not None and len(v) > 0 and not pd.isna(v).any() and bool(np.any(v))
+
+
+def packed(df: DataFrame, id_column: str, groups: int, block: int, chosen: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> DataFrame:
+    """(grp, pivot, dim, far, ids, vectors): blocks of up to `block` vectors of one length and pivot, the ids of a block in
+    order. `chosen` gives pivots, which rows go to which, and the angles to them. Vectors that are null, hold a null or have no
+    length are left out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch = batch[batch["embedding"].map(lambda v: v is not None and len(v) > 0 and not pd.isna(v).any() and bool(np.any(v)))]
+            batch = batch[batch["embedding"].map(usable)]
             for dim, part in batch.groupby(batch["embedding"].map(len)):
                 part = part.sort_values("id", kind="stable")
-                for at in range(0, len(part), block):
-                    some = part.iloc[at : at + block]
-                    matrix = np.stack(some["embedding"].to_numpy()).astype(float)
-                    yield pd.DataFrame({"grp": [zlib.crc32(matrix.tobytes()) % groups], "dim": [dim], "ids": [some["id"].tolist()], "vectors": [matrix.tobytes()]})
+                ids, matrix = part["id"].to_numpy(object), np.stack(part["embedding"].to_numpy()).astype(float)
+                numbers, goes, angles = chosen(matrix)
+                for k, pivot in enumerate(numbers.tolist()):
+                    rows = np.flatnonzero(goes[:, k])
+                    for at in range(0, len(rows), block):
+                        some = rows[at : at + block]
+                        raw = matrix[some].tobytes()
+                        yield pd.DataFrame({"grp": [zlib.crc32(raw) % groups], "pivot": [pivot], "dim": [dim], "far": [float(angles[some, k].max())], "ids": [ids[some].tolist()], "vectors": [raw]})
 
     kind = df.schema[id_column].dataType.simpleString()
-    return df.select(F.col(id_column).alias("id"), "embedding").mapInPandas(run, f"grp int, dim int, ids array<{kind}>, vectors binary")
+    return df.select(F.col(id_column).alias("id"), "embedding").mapInPandas(run, f"grp int, pivot int, dim int, far double, ids array<{kind}>, vectors binary")
 
 
-def best_match(texts: DataFrame, units: DataFrame, *, block: int = 2048, grouped: int = 65_536) -> DataFrame:
-    """Per content hash: the nearest unit by cosine distance, ties to the smaller unit id, and the similarity.
+def tiles(texts: DataFrame, units: DataFrame, *, block: int = 2048, grouped: int = 65_536, pivots: int | None = None) -> DataFrame:
+    """(dim, hashes, x, units, y): blocks of texts and the blocks of units that can hold their nearest unit.
 
-    Each group of texts meets each group of units in one tile, block by block; the least distance of each text is merged
-    over the tiles. Only vectors of equal length are compared. Texts whose vector is null, holds a null or has no length
-    get null, and such units are never chosen.
+    Units are grouped by their nearest pivot. A text is no further from its nearest unit than from its nearest pivot, which is
+    a unit, and no unit of a group is nearer than the angle to the group's pivot less the largest angle in the group: groups
+    beyond are left out. Without `pivots` there is one to 4,096 units, 256 at most.
     """
-    size = lambda df: max(1, -(-df.count() // grouped))
-    n_texts, n_units = size(texts), size(units)
+    n_all = units.count()
+    size = lambda n: max(1, -(-n // grouped))
+    n_texts, n_units = size(texts.count()), size(n_all)
+    points = Pivots.of(units, max(1, min(256, n_all // 4096)) if pivots is None else pivots)
     spread = max(1, texts.sparkSession.sparkContext.defaultParallelism // (n_texts * n_units))  # more tiles where there are few
     n_texts *= spread
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    t = packed(texts, "content_hash", n_texts, block).select(F.col("grp").alias("t"), "dim", F.col("ids").alias("hashes"), F.col("vectors").alias("x"), each(n_units).alias("u"))
-    u = packed(units, "unit_id", n_units, block).select(F.col("grp").alias("u"), "dim", F.col("ids").alias("units"), F.col("vectors").alias("y"), each(n_texts).alias("t"))
+
+    def nearest(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        numbers, angles = points.angles(matrix)
+        return numbers, np.arange(len(numbers)) == angles.argmin(axis=1)[:, None], angles
+
+    u = materialise(packed(units, "unit_id", n_units, block, nearest), "unit_blocks")
+    reach = {r["pivot"]: r["far"] for r in u.groupBy("pivot").agg(F.max("far").alias("far")).collect()}  # a row per pivot
+
+    def needed(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        numbers, angles = points.angles(matrix)
+        reaches = np.array([reach.get(k, -np.inf) for k in numbers.tolist()])
+        return numbers, angles - reaches <= angles.min(axis=1)[:, None] + SLACK, angles
+
+    t = packed(texts, "content_hash", n_texts, block, needed).select(F.col("grp").alias("t"), "pivot", "dim", F.col("ids").alias("hashes"), F.col("vectors").alias("x"), each(n_units).alias("u"))
+    u = u.select(F.col("grp").alias("u"), "pivot", "dim", F.col("ids").alias("units"), F.col("vectors").alias("y"), each(n_texts).alias("t"))
+    return t.join(u, ["t", "u", "pivot", "dim"]).select("dim", "hashes", "x", "units", "y")
+
+
+def best_match(texts: DataFrame, units: DataFrame, *, block: int = 2048, grouped: int = 65_536, pivots: int | None = None) -> DataFrame:
+    """Per content hash: the nearest unit by cosine distance, ties to the smaller unit id, and the similarity.
+
+    Each group of texts meets each group of units that can hold a nearest one, block by block; the least distance of each text
+    is merged over the tiles. Only vectors of equal length are compared. Texts whose vector is null, holds a null or has no
+    length get null, and such units are never chosen.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -147,7 +213,7 @@ def best_match(texts: DataFrame, units: DataFrame, *, block: int = 2048, grouped
                 yield pd.DataFrame({"content_hash": hashes, "d": d[np.arange(len(a)), i], "unit_id": [ids[k] for k in i]})
 
     kind, key = (df.schema[c].dataType.simpleString() for df, c in ((units, "unit_id"), (texts, "content_hash")))
-    near = t.join(u, ["t", "u", "dim"]).mapInPandas(run, f"content_hash {key}, d double, unit_id {kind}")
+    near = tiles(texts, units, block=block, grouped=grouped, pivots=pivots).mapInPandas(run, f"content_hash {key}, d double, unit_id {kind}")
     best = near.groupBy("content_hash").agg(F.min(F.struct("d", "unit_id")).alias("b"))
     return texts.select("content_hash").join(best, "content_hash", "left").select("content_hash", (1 - F.col("b.d")).alias("similarity"), "b.unit_id")
 

@@ -182,7 +182,7 @@ def test_best_match_without_length(spark):
     assert enrich.best_match(texts, units.limit(0)).filter("unit_id is not null").count() == 0 and enrich.best_match(texts.limit(0), units).count() == 0
 
 
-@pytest.mark.parametrize("sizes", [{"block": 3, "grouped": 5}, {"block": 2048, "grouped": 65_536}])
+@pytest.mark.parametrize("sizes", [{"block": 3, "grouped": 5}, {"block": 2048, "grouped": 65_536}, {"block": 4, "pivots": 7}, {"pivots": 40}, {"block": 2, "grouped": 9, "pivots": 3}])
 def test_best_match_tiles(spark, sizes):
     rng = random.Random(3)
     draw = lambda n, kind: [(kind(i), [float(rng.randint(-2, 2)) for _ in range(3)]) for i in range(n)]
@@ -196,6 +196,18 @@ def test_best_match_tiles(spark, sizes):
     assert {r.content_hash: r.unit_id for r in got.collect()} == plain
 
 
+def test_best_match_skips(spark):
+    """On vectors that lie in bunches, most groups of units are never compared, and the nearest units are the same."""
+    rng = random.Random(5)
+    middles = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(12)]
+    draw = lambda n, kind: [(kind(i), [x + rng.gauss(0, 0.05) for x in rng.choice(middles)]) for i in range(n)]
+    texts, units = spark.createDataFrame(draw(300, str), "content_hash string, embedding array<double>"), spark.createDataFrame(draw(900, int), "unit_id long, embedding array<double>")
+    compared = lambda k: enrich.tiles(texts, units, pivots=k).agg(F.sum(F.size("hashes").cast("long") * F.size("units"))).first()[0]
+    assert compared(1) == 300 * 900 and compared(40) < 0.25 * 300 * 900
+    rows = lambda k: sorted(map(tuple, enrich.best_match(texts, units, pivots=k).collect()))
+    assert rows(1) == rows(40)
+
+
 def test_merge(spark):
     cols = "company_name string, source string, board_ref string, active boolean, tier int, website string, notes string"
     master = spark.createDataFrame([("Acme  Inc", "a", "acme", True, 1, "", "n"), ("Solo", "a", "solo", True, 1, "w", "")], cols)
