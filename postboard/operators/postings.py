@@ -42,8 +42,9 @@ def maybe_there(rows: DataFrame, wanted: DataFrame, n: int, *columns: str) -> Da
     of sixteen bits for each of the n wanted, so that few unwanted rows go into the shuffle of the join that follows."""
     bits = min(MOST_BITS, max(ROW_BITS, 1 << (16 * n - 1).bit_length()))
     place = F.pmod(F.xxhash64(*columns), F.lit(bits))
-    marks = wanted.select(F.expr(f"{ROW_BITS}").cast("long").alias("_w"), place.alias("_at")).groupBy(F.floor(F.col("_at") / F.col("_w")).alias("_row")).agg(F.bitmap_construct_agg(F.col("_at") % F.col("_w")).alias("_bits"))
-    rows = rows.withColumn("_at", place).withColumn("_row", F.floor(F.col("_at") / ROW_BITS)).join(F.broadcast(marks), "_row")
+    row, bit = F.expr(f"_at div {ROW_BITS}").alias("_row"), F.col("_at") % ROW_BITS
+    marks = wanted.select(place.alias("_at")).groupBy(row).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    rows = rows.withColumn("_at", place).withColumn("_row", row).join(F.broadcast(marks), "_row")
     byte = F.conv(F.hex(F.substring("_bits", F.expr(f"cast(_at % {ROW_BITS} div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("int")
     return rows.filter(F.call_function("shiftright", byte, F.expr("cast(_at % 8 as int)")) % 2 == 1).drop("_at", "_row", "_bits")
 
@@ -77,15 +78,19 @@ def board_maxima(landing: DataFrame) -> DataFrame:
 
 
 def with_activity(current: DataFrame, boards: DataFrame, stale_hours: int = 36) -> DataFrame:
-    """Adds is_active: seen in its board's last landing, and the board landed within the hours before the last of all.
+    """Adds is_active: seen in its board's last landing, and the board landed within the hours before the last of all; and
+    inactive_reason, null for active ones. A board that is no longer landed would keep its postings alive for ever without
+    the second condition.
 
     The boards' maxima come from every landed row. Boards with null parts compare as equal.
     """
     boards = boards.select(F.col("source").alias("_source"), F.col("company").alias("_company"), F.col("board_at").alias("_board_at"))
     last = boards.agg(F.max("_board_at").alias("_last_at"))
     df = current.join(boards, F.col("source").eqNullSafe(F.col("_source")) & F.col("company").eqNullSafe(F.col("_company")), "left").join(F.broadcast(last), how="cross")
-    active = (F.col("last_seen_at") >= F.col("_board_at")) & (F.col("_board_at") >= hours_before(F.col("_last_at"), stale_hours))
-    return df.withColumn("is_active", F.coalesce(active, F.lit(False))).drop("_source", "_company", "_board_at", "_last_at")
+    fresh = F.coalesce(F.col("_board_at") >= hours_before(F.col("_last_at"), stale_hours), F.lit(False))
+    there = F.coalesce(F.col("last_seen_at") >= F.col("_board_at"), F.lit(False))
+    df = df.withColumn("inactive_reason", F.when(~fresh, "stale board").when(~there, "not in the last landing"))
+    return df.withColumn("is_active", fresh & there).drop("_source", "_company", "_board_at", "_last_at")
 
 
 def current_postings(landing: DataFrame, stale_hours: int = 36) -> DataFrame:

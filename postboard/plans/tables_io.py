@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postboard.functions import vectors
-from postboard.operators import companies, delivery, enrich, monitoring, postings, quality, ranking
+from postboard.operators import companies, delivery, enrich, matching, monitoring, postings, quality, ranking
 from postboard.plans import registry as rg
 from postboard.plans import tables as tb
 from postboard.sources import compaction, config_tables, feeds, payload_files
@@ -277,6 +277,25 @@ def vector_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Checks, details and streams
 
 
+@query(f"""WITH {tb.LIFE_SQL} SELECT job_key, source, company, CASE WHEN board_at < last_at - INTERVAL 36 HOUR THEN 'stale board' ELSE 'not in the last landing' END AS inactive_reason
+  FROM life WHERE rn = 1 AND NOT (last_seen_at >= board_at AND board_at >= last_at - INTERVAL 36 HOUR)""")
+def inactive_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings that are not live, and why: taken down, or of a board that has not been landed for long."""
+    df = postings.current_postings(postings.keyed(tb.landing(spark, sf_dir)))
+    return df.filter("not is_active").select("job_key", "source", "company", "inactive_reason")
+
+
+@query(r"""WITH r AS (SELECT list(DISTINCT lower(regexp_extract(text, '[A-Za-z0-9]+'))) AS t FROM benchmark WHERE regexp_extract(text, '[A-Za-z0-9]+') <> '')
+  SELECT doc_id, array_to_string(list_sort(list_filter(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')), lambda x: list_contains(r.t, x))), ', ') AS terms FROM documents, r""")
+def rule_table_to_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule table from its CSV to the terms that each text holds: the first words of the benchmark's items as rules."""
+    path = folder(spark, "rules")
+    word = F.regexp_extract("text", "[A-Za-z0-9]+", 0)
+    tb.table(spark, sf_dir, "benchmark").select(word.alias("tech"), F.lit("").alias("note")).filter("tech <> ''").write.option("header", True).csv(path)
+    terms = [t.lower() for t in matching.term_list(config_tables.read_rules(spark, path, "desired_tech"), "tech")]
+    return tb.table(spark, sf_dir, "documents").select("doc_id", F.array_join(matching.matched_terms(F.col("text"), terms), ", ").alias("terms"))
+
+
 @query("SELECT doc_id, lang FROM documents")
 def contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The frame passes its own contract, and another contract fails."""

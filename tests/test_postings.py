@@ -56,7 +56,7 @@ def test_taken_down_and_stale(spark):
     assert got["k1"].is_active and not got["k2"].is_active and got["k2"].first_seen_at == at(1)
     rows = [{"external_id": "old", "company": "x", "ingested_at": at(25, month=6)}, {"external_id": "late", "company": "y", "ingested_at": at(2, 9)}, {"external_id": "now", "company": None, "ingested_at": at(2, 10)}]
     got = silver(spark, rows)
-    assert {k: r.is_active for k, r in got.items()} == {"old": False, "late": True, "now": True}
+    assert {k: (r.is_active, r.inactive_reason) for k, r in got.items()} == {"old": (False, "stale board"), "late": (True, None), "now": (True, None)}
 
 
 def test_special_terms(spark):
