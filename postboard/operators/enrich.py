@@ -170,6 +170,9 @@ def tiles(texts: DataFrame, units: DataFrame, *, block: int = 2048, grouped: int
     Units are grouped by their nearest pivot. A text is no further from its nearest unit than from its nearest pivot, which is
     a unit, and no unit of a group is nearer than the angle to the group's pivot less the largest angle in the group: groups
     beyond are left out. Without `pivots` there is one to 4,096 units, 256 at most.
+
+    Blocks are sorted and merged, never broadcast: a text's vector is there once per group that it meets, which Spark's
+    estimate from the files does not know, and the driver would have to hold all of them.
     """
     n_all = units.count()
     size = lambda n: max(1, -(-n // grouped))
@@ -193,7 +196,7 @@ def tiles(texts: DataFrame, units: DataFrame, *, block: int = 2048, grouped: int
 
     t = packed(texts, "content_hash", n_texts, block, needed).select(F.col("grp").alias("t"), "pivot", "dim", F.col("ids").alias("hashes"), F.col("vectors").alias("x"), each(n_units).alias("u"))
     u = u.select(F.col("grp").alias("u"), "pivot", "dim", F.col("ids").alias("units"), F.col("vectors").alias("y"), each(n_texts).alias("t"))
-    return t.join(u, ["t", "u", "pivot", "dim"]).select("dim", "hashes", "x", "units", "y")
+    return t.join(u.hint("merge"), ["t", "u", "pivot", "dim"]).select("dim", "hashes", "x", "units", "y")
 
 
 def best_match(texts: DataFrame, units: DataFrame, *, block: int = 2048, grouped: int = 65_536, pivots: int | None = None) -> DataFrame:

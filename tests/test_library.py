@@ -208,6 +208,13 @@ def test_best_match_skips(spark):
     assert rows(1) == rows(40)
 
 
+def test_best_match_broadcasts_no_vectors(spark):
+    """However few bytes the blocks have in their files: each text is there once per group of units that it meets."""
+    v = spark.range(50).select(F.col("id").alias("unit_id"), F.array(F.lit(1.0), F.col("id").cast("double")).alias("embedding"))
+    plan = enrich.tiles(v.withColumnRenamed("unit_id", "content_hash"), v)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_merge(spark):
     cols = "company_name string, source string, board_ref string, active boolean, tier int, website string, notes string"
     master = spark.createDataFrame([("Acme  Inc", "a", "acme", True, 1, "", "n"), ("Solo", "a", "solo", True, 1, "w", "")], cols)
