@@ -89,17 +89,24 @@ def read(spark: SparkSession, path: str, version: Version, only: set[int] | None
     return spark.read.schema(version.schema).parquet(*places) if places else spark.createDataFrame([], version.schema)
 
 
-def replace_buckets(df: DataFrame, path: str, key: str, before: Version, touched: set[int], batch: int | None = None) -> Version:
-    """Put a frame in place of the touched buckets and publish the next version."""
+def touched_by(new: DataFrame, key: str, before: Version) -> set[int]:
+    """The buckets of a frame's keys."""
+    return {r[0] for r in new.select(bucket(F.col(key), before.buckets)).distinct().collect()}
+
+
+def replace_buckets(df: DataFrame, path: str, key: str, before: Version, touched: set[int], batch: int | None = None, reduce: Callable[[DataFrame], DataFrame] | None = None) -> Version:
+    """Put a frame in place of the touched buckets and publish the next version. Rows of a bucket come to one task: `reduce` can
+    work on the keys there, by windows over `bucket` and the key, without another shuffle."""
     spark, write = df.sparkSession, uuid.uuid4().hex
     place = f"{path}/data/{write}"
     rows = df.withColumn("bucket", bucket(F.col(key), before.buckets)).repartition(max(1, len(touched)), "bucket")
-    rows.write.partitionBy("bucket").parquet(place)
+    rows = reduce(rows) if reduce else rows
+    rows.write.option("compression", "zstd").partitionBy("bucket").parquet(place)
     written = {int(n.partition("=")[2]) for n in names(spark, place) if n.startswith("bucket=")}
     if not written <= touched:
         raise ValueError(f"rows of buckets that are not to be replaced: {sorted(written - touched)[:5]}")
     parts = {k: w for k, w in before.parts.items() if k not in touched} | dict.fromkeys(sorted(written), write)
-    version = Version(before.number + 1, before.buckets, T.StructType(df.schema.fields), parts, before.batch if batch is None else batch)
+    version = Version(before.number + 1, before.buckets, T.StructType([f for f in rows.schema.fields if f.name != "bucket"]), parts, before.batch if batch is None else batch)
     publish(spark, path, version)
     return version
 
@@ -112,7 +119,7 @@ def change(path: str, new: DataFrame, key: str, merge: Callable[[DataFrame, Data
     """
     spark, new = new.sparkSession, materialise(new, "changes")
     before = load(spark, path) or Version(-1, buckets, new.schema)
-    touched = {r[0] for r in new.select(bucket(F.col(key), before.buckets)).distinct().collect()}
+    touched = touched_by(new, key, before)
     return replace_buckets(merge(read(spark, path, before, touched), new), path, key, before, touched, batch)
 
 

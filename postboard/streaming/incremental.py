@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from postboard.operators.delivery import deliver
-from postboard.operators.postings import keyed, lifecycle
+from postboard.operators.postings import keyed, lifecycle, maybe_there, newest_order, pointers
 from postboard.sources import versioned
+from postboard.tables import materialise
 
 
 def stream_landing(spark: SparkSession, source: str, target: str, checkpoint: str, schema: T.StructType) -> StreamingQuery:
@@ -43,6 +44,49 @@ def merged_states(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.withColumn("_row", row).select(*[seen.get(c, F.col(f"_row.{c}")).alias(c) for c in a.columns])
 
 
+def spans(state: DataFrame, landing: DataFrame) -> DataFrame:
+    """(job_key, first_seen_at, last_seen_at, old, new) of the state's and the landed postings, and whether the newest row can be
+    in the state, among the landed rows, or in both. No bodies are read."""
+    seen = pointers(landing).groupBy("job_key").agg(F.min("first_seen_at").alias("_first"), F.max("last_seen_at").alias("_last"))
+    both = state.select("job_key", "first_seen_at", "last_seen_at").join(seen, "job_key", "full")
+    last = F.greatest("last_seen_at", "_last")
+    return both.select("job_key", F.least("first_seen_at", "_first").alias("first_seen_at"), last.alias("last_seen_at"), F.col("last_seen_at").eqNullSafe(last).alias("old"), F.col("_last").eqNullSafe(last).alias("new"))
+
+
+def bodies(state: DataFrame, landing: DataFrame, span: DataFrame, n: int) -> DataFrame:
+    """The rows of the state and the landed rows that may be a posting's newest, by bitmaps of the spans: of the rows that a newer
+    one replaces, few are left."""
+    old = maybe_there(state, span.filter("old").select("job_key"), n, "job_key")
+    new = maybe_there(landing, span.filter("new").select("job_key", F.col("last_seen_at").alias("ingested_at")), n, "job_key", "ingested_at")
+    return old.unionByName(new.withColumn("first_seen_at", F.col("ingested_at")).withColumn("last_seen_at", F.col("ingested_at")).select(*state.columns))
+
+
+def newest_states(rows: DataFrame) -> DataFrame:
+    """Of bodies and spans in buckets, the newest body of each posting with the least and greatest stamp."""
+    each = Window.partitionBy("bucket", "job_key")
+    newest = each.orderBy(F.col("_body").desc(), F.col("last_seen_at").desc_nulls_last(), *newest_order())
+    rows = rows.withColumn("_n", F.row_number().over(newest)).withColumn("first_seen_at", F.min("first_seen_at").over(each)).withColumn("last_seen_at", F.max("last_seen_at").over(each))
+    return rows.filter("_n = 1").drop("_n", "_body")
+
+
+def update_state(path: str, landing: DataFrame, buckets: int, batch: int) -> versioned.Version:
+    """The next version of the state: landed rows, keyed, merged into the buckets that they touch.
+
+    Stamps are compared first, without bodies. Then the bodies that can be newest, about one per posting, go through one
+    shuffle, that into buckets, and the spans go with them.
+    """
+    spark, stamp = landing.sparkSession, landing.schema["ingested_at"].dataType
+    columns = ["job_key", *[c for c in landing.columns if c != "job_key"]]
+    schema = T.StructType([landing.schema[c] for c in columns] + [T.StructField(c, stamp) for c in ("first_seen_at", "last_seen_at")])
+    before = versioned.load(spark, path) or versioned.Version(-1, buckets, schema)
+    touched = versioned.touched_by(landing, "job_key", before)
+    state = versioned.read(spark, path, before, touched)
+    span = materialise(spans(state, landing), "spans")
+    rows = bodies(state, landing, span, span.count()).withColumn("_body", F.lit(True))
+    rows = rows.unionByName(span.drop("old", "new").withColumn("_body", F.lit(False)), allowMissingColumns=True)
+    return versioned.replace_buckets(rows, path, "job_key", before, touched, batch, newest_states)
+
+
 def state_of(spark: SparkSession, state_path: str, number: int | None = None) -> DataFrame | None:
     """The state that the stream keeps; None before its first batch."""
     version = versioned.load(spark, state_path, number)
@@ -65,7 +109,7 @@ def stream_lifecycle(spark: SparkSession, source: str, state_path: str, checkpoi
             return
         if done != n - 1:
             raise ValueError(f"the state holds batch {done}, and batch {n} was to follow")
-        versioned.change(state_path, partial_state(batch), "job_key", merged_states, buckets=buckets, batch=n)
+        update_state(state_path, keyed(batch), buckets, n)
         versioned.expire(s, state_path, keep=2)
 
     files = spark.readStream.schema(schema)
