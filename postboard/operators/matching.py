@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 #: Up to this many terms are matched by native expressions; more by an automaton in a
 #: vectorised helper.
 MOST_NATIVE = 200
+#: More terms of letters and digits than this are looked up among the text's words, all at once; fewer by a pattern each.
+MOST_PATTERNS = 8
 
 
 def word_pattern(term: str) -> str:
@@ -71,7 +73,18 @@ def matched_terms(text: Column, terms: Sequence[str]) -> Column:
         return F.array().cast("array<string>")
     if len(terms) > MOST_NATIVE:
         return many_terms(terms)(F.lower(text))
-    return with_lower(text, lambda low: F.array_compact(F.array(*[F.when(has_word(low, t), F.lit(t)) for t in terms])))
+    words = [t for t in terms if re.fullmatch("[a-z0-9]+", t)]
+    words = words if len(words) > MOST_PATTERNS else []
+    others = [t for t in terms if t not in {*words}]
+    pattern = lambda low: [F.when(has_word(low, t), F.lit(t)) for t in others]
+    if not words:
+        return with_lower(text, lambda low: F.array_compact(F.array(*pattern(low))))
+    return with_lower(text, lambda low: F.array_sort(F.array_compact(F.concat(words_among(low, words), F.array(*pattern(low)).cast("array<string>")))))
+
+
+def words_among(low: Column, words: Sequence[str]) -> Column:
+    """The given words of a-z and 0-9 that a text in lower case holds; the text is split once, however many words there are."""
+    return F.array_intersect(F.split(F.coalesce(low, F.lit("")), "[^a-z0-9]+"), F.array(*map(F.lit, words)))
 
 
 def any_word(text: Column, terms: Sequence[str]) -> Column:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postboard.operators import postings
-from postboard.operators.matching import MOST_NATIVE, any_word, matched_terms
+from postboard.operators.matching import MOST_NATIVE, any_word, has_word, matched_terms
 from postboard.operators.ranking import global_row_number, top_per_group
 
 RAW = "external_id string, source string, company string, title string, description_html string, location string, ingested_at timestamp, posted_or_updated_at timestamp, url string"
@@ -72,6 +72,15 @@ def test_many_terms_equal_few(spark):
     assert [r.a for r in got] == [r.b for r in got] and [r.c for r in got] == [bool(r.b) for r in got] and got[3].a == []
 
 
+def test_plain_words_are_looked_up(spark):
+    """Plain words need no pattern each, and the terms found are those of the patterns."""
+    terms = [f"t{i}" for i in range(30)] + ["c++", "AB", "a b", "é"]
+    df = spark.createDataFrame([("T3 c++ a b",), ("t31 ét4é ab",), ("x_t3-t3.T7",), (None,), ("",), ("at3_t4 t2",)], "text string")
+    both = df.select(matched_terms(F.col("text"), terms).alias("a"), F.array_compact(F.array(*[F.when(has_word(F.lower("text"), t), F.lit(t)) for t in sorted(terms)])).alias("b"))
+    assert [r.a for r in both.collect()] == [r.b for r in both.collect()]
+    assert df.select(matched_terms(F.col("text"), terms).alias("a"))._jdf.queryExecution().analyzed().toString().count("RLIKE") <= 4
+
+
 def test_gold(spark):
     rows = [{"external_id": k, "posted_or_updated_at": p, "description_html": k} for k, p in (("a", at(1)), ("b", at(3)), ("c", None), ("d", at(3)))] + [{"external_id": "gone", "ingested_at": at(1)}]
     df = postings.silver(raw(spark, rows), **RULES)
