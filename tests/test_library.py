@@ -7,6 +7,7 @@ import math
 import random
 import time
 from html.entities import html5
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,10 +15,12 @@ from pyspark.sql import functions as F
 from postboard.functions import text as tx
 from postboard.functions import web
 from postboard.operators import companies, corpus, delivery, enrich, evaluation, matching, monitoring, quality
+from postboard.plans import tables_io
 from postboard.sources import config_tables, feeds, payload_files
 from postboard.sources import landing as land
 from postboard.sources import versioned
 from postboard.streaming import incremental
+from postboard.tables import shared_dir
 
 T0 = dt.datetime(2026, 7, 2, 10)
 
@@ -330,6 +333,50 @@ def test_payload_files_bare_list(spark, tmp_path):
     assert sorted((r.board_ref, r.pos, r.item.text) for r in good.collect()) == [("a", 0, "]}"), ("a", 1, "t")] and [r.board_ref for r in bad.collect()] == ["b"]
 
 
+def test_payload_files_list_after_a_brace(spark, tmp_path):
+    """A list that opens in a piece which begins inside of a string."""
+    boards = {"a": '{"x":"}","jobs":[{"id":1,"title":"t","absolute_url":"u"}]}', "b": '{"x":"{}\\"}","jobs":[]}', "c": '{"x":"}","jobs":[1]}'}
+    for b, text in boards.items():
+        (tmp_path / f"board_ref={b}").mkdir()
+        (tmp_path / f"board_ref={b}/0.json").write_text(text)
+    good, bad = feeds.items(payload_files.PayloadFiles(spark, str(tmp_path)), "A")
+    assert [(r.board_ref, r.pos, r.item.title) for r in good.collect()] == [("a", 0, "t")] and [r.board_ref for r in bad.collect()] == ["c"]
+
+
+def test_packed_payloads(spark, tmp_path):
+    """Many payloads a file, whole and broken ones side by side, give what payloads in rows give; no other payload suffers."""
+    rng, tricky = random.Random(2), ["}", '{"a":1}', '"', "\\", '\\"', '"jobs":[', "],", "}]", "\x1e", "\x1eb\n", "é😀", "\n", ""]
+    job = lambda i: {"id": i, "title": rng.choice(tricky) + "t", "absolute_url": "u", "content": "".join(rng.choice(tricky) for _ in range(rng.randint(0, 12)))}
+    one = '{"id":1,"title":"a","absolute_url":"u"}'
+    boards = [(f"b {i}", json.dumps({"meta": {"jobs": [1], "x": "}{"}, "jobs": [job(k) for k in range(rng.randint(0, 30))], "more": [{"z": {}}]}, indent=rng.choice([None, 1]), ensure_ascii=rng.random() < 0.5)) for i in range(20)]
+    broken = ["", " ", None, "not json", '{"x":1}', f'{{"jobs":[{one}', f'{{"jobs":[{one}]', '{"jobs":[{"id":1}]}', f'{{"jobs":[1,{one}]}}', '{"jobs":null}', '{"jobs":[{"id":"', "}]}", "[[[{{{", '"', "x\x1ey", f'x\x1eb\n{{"jobs":[{one}]', '{"jobs":[]}', "[]", "\n"]
+    boards += [(f"broken {i}", t) for i, t in enumerate(broken)] + [(n, f'{{"jobs":[{one}]}}') for n in ["}\x1e", "a\nb", "é %2F+/=", None, "twice", "twice"]]
+    rng.shuffle(boards)
+    df = spark.createDataFrame(boards, "board_ref string, payload string")
+    payload_files.write_packed(df.coalesce(2), str(tmp_path / "packed"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    plain = lambda good: sorted((str(r.board_ref), r.pos, json.dumps(json.loads(r.raw), sort_keys=True), str(r.item)) for r in good.collect())
+    try:
+        for size in ("2000", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            good, bad = feeds.items(payload_files.PayloadFiles(spark, str(tmp_path / "packed"), packed=True), "A")
+            want, want_bad = feeds.items(df, "A")
+            assert plain(good) == plain(want) and sorted(map(str, bad.collect())) == sorted(map(str, want_bad.collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_feed_files_no_folder_per_board(spark):
+    """As many files as tasks write, however many boards there are."""
+    shared = Path(shared_dir(spark))
+    known = set(shared.glob("payloads-*"))
+    tables_io.feed_files(spark, "/root/testdata/sf0.001")
+    (path,) = set(shared.glob("payloads-*")) - known
+    assert not list(path.glob("board_ref=*")) and 0 < len(list(path.glob("part-*"))) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_doubled_details(spark):
     """A detail that was fetched twice makes one posting; the surplus is told."""
     item = lambda k: {"id": k, "name": "n", "uuid": k, "url": "u", "jobOpeningName": "n"}
