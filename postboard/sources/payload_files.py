@@ -25,6 +25,7 @@ from postboard.tables import materialise
 UNIT = ["file", "rec"]
 #: Begins each payload of a packed file. JSON escapes it in strings and allows it nowhere else.
 MARK = "\x1e"
+SPACES = " \t\n\x0b\f\r"
 
 
 @dataclass(frozen=True)
@@ -46,13 +47,26 @@ def write_packed(payloads: DataFrame, path: str) -> None:
 
 def depth_of(structure: Column) -> Column:
     """Opening less closing brackets."""
-    n = lambda c: F.length(structure) - F.length(F.replace(structure, F.lit(c), F.lit("")))
+    n = lambda c: F.octet_length(structure) - F.octet_length(F.replace(structure, F.lit(c), F.lit("")))
     return n("{") + n("[") - n("]") - n("}")
 
 
-def unquoted(text: Column) -> Column:
-    """A text that begins outside of strings, without its strings."""
-    return F.regexp_replace(text, '"[^"]*("|$)', "")
+def quoted_parts(text: Column) -> Column:
+    """A text cut at its quotes, those after a backslash left out: in turn outside and inside of strings, or the other way round."""
+    return F.split(F.replace(F.replace(text, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit("")), '"')
+
+
+def depth_change(parts: Column, first: int) -> Column:
+    """By how much the parts that are outside of strings change the depth: every second one, from the first (0) or second (1)."""
+    return depth_of(F.array_join(F.filter(parts, lambda _, i: i % 2 == first), ""))
+
+
+def opened(text: Column, what: str) -> Column:
+    """Whether a text begins with an object, after a comma or not (first), or with the list's end (ends)."""
+    lead = F.ltrim(text, F.lit(SPACES))
+    if what == "ends":
+        return F.startswith(lead, F.lit("]"))
+    return F.startswith(F.when(F.startswith(lead, F.lit(",")), F.ltrim(F.substr(lead, F.lit(2)), F.lit(SPACES))).otherwise(lead), F.lit("{"))
 
 
 def parts(files: PayloadFiles) -> DataFrame:
@@ -75,22 +89,21 @@ def parts(files: PayloadFiles) -> DataFrame:
 def pieces(files: PayloadFiles) -> DataFrame:
     """Adds seq, quotes, d_out and d_in to the parts: their order in a split, the quotes in them, and by how much each changes the
     depth if it begins outside or inside of a string. No escape reaches over an end."""
-    rows = parts(files).select("*", F.monotonically_increasing_id().alias("seq"), F.regexp_replace("text", r"(?s)\\.", "").alias("_plain"))
-    quotes = F.length("_plain") - F.length(F.replace("_plain", F.lit('"'), F.lit("")))
-    return rows.select("*", quotes.alias("quotes"), depth_of(unquoted(F.col("_plain"))).alias("d_out"), depth_of(unquoted(F.concat(F.lit('"'), "_plain"))).alias("d_in")).drop("_plain")
+    rows = parts(files).select("*", F.monotonically_increasing_id().alias("seq"), quoted_parts(F.col("text")).alias("_parts"))
+    return rows.select("*", (F.size("_parts") - 1).alias("quotes"), depth_change(F.col("_parts"), 0).alias("d_out"), depth_change(F.col("_parts"), 1).alias("d_in")).drop("_parts")
 
 
 def openings(rows: DataFrame, root: str) -> DataFrame:
     """Adds to pieces where the list may open: under its key, or with the payload's first character. head is the length up to
     there, h_out and h_in the change of depth; of the text and of what follows head: whether an object or the list's end is first."""
     head = F.when(F.contains("text", F.lit(f'"{root}"')), F.regexp_extract("text", rf'(?s)^(.*?"{root}"\s*:\s*\[)', 1)).otherwise("") if root else F.regexp_extract("text", r"(?s)^(\s*\[)", 1)
-    rows = rows.withColumn("_head", head).withColumn("_before", F.regexp_replace("_head", r"(?s)\\.", ""))
-    rest = F.substr("text", F.length("_head") + 1)
-    first, end = r"^\s*,?\s*\{", r"^\s*\]"
+    rows = rows.withColumn("_head", head)
+    found = lambda c: F.when(F.col("_head") != "", c)
+    before, rest = quoted_parts(F.col("_head")), F.substr("text", F.length("_head") + 1)
     return rows.select(
-        "*", F.length("_head").alias("head"), depth_of(unquoted(F.col("_before"))).alias("h_out"), depth_of(unquoted(F.concat(F.lit('"'), "_before"))).alias("h_in"),
-        F.rlike("text", F.lit(first)).alias("text_first"), F.rlike("text", F.lit(end)).alias("text_ends"), F.rlike(rest, F.lit(first)).alias("rest_first"), F.rlike(rest, F.lit(end)).alias("rest_ends"),
-    ).drop("_head", "_before")
+        "*", F.length("_head").alias("head"), found(depth_change(before, 0)).alias("h_out"), found(depth_change(before, 1)).alias("h_in"),
+        *[opened(F.col("text"), what).alias(f"text_{what}") for what in ("first", "ends")], *[found(opened(rest, what)).alias(f"rest_{what}") for what in ("first", "ends")],
+    ).drop("_head")
 
 
 def carried(rows: DataFrame, value: Column, name: str, unit: list[str]) -> DataFrame:
@@ -127,15 +140,16 @@ def item_texts(files: PayloadFiles, root: str) -> tuple[DataFrame, DataFrame]:
     step = F.when(F.col("inside"), F.col("d_in")).otherwise(F.col("d_out")) - closing.cast("int")
     narrow = carried(narrow.withColumn("step", step), F.col("step"), "depth", UNIT)
     at = F.col("depth") + F.when(F.col("inside"), F.col("h_in")).otherwise(F.col("h_out"))
-    narrow = narrow.withColumn("opens", (F.col("head") > 0) & (at == level) & (F.col("depth") < level))
+    narrow = narrow.withColumn("opens", (F.col("head") > 0) & F.coalesce(at == level, F.lit(False)) & (F.col("depth") < level))
     begins = lambda what: F.when(F.col("opens"), F.col(f"rest_{what}")).otherwise((F.col("depth") == level) & ~F.col("inside") & F.col(f"text_{what}"))
     df = materialise(narrow.select("board_ref", *UNIT, "split", "seq", "head", "ended", "step", "depth", "opens", begins("first").alias("first"), begins("ends").alias("closes")), "placed_pieces")
     spot = F.struct("split", "seq")
     lists = df.groupBy(*UNIT).agg(F.min("board_ref").alias("board_ref"), F.min(F.when(F.col("opens"), spot)).alias("start"), F.sum("step").alias("left"))
-    ends = df.join(lists.select(*UNIT, "start"), UNIT).filter(F.col("closes") & (spot >= F.col("start"))).groupBy(*UNIT).agg(F.min(spot).alias("end"))
+    # merged: as files these rows are a few bytes each, in a broadcast a path each
+    ends = df.join(lists.select(*UNIT, "start").hint("merge"), UNIT).filter(F.col("closes") & (spot >= F.col("start"))).groupBy(*UNIT).agg(F.min(spot).alias("end"))
     lists = lists.join(ends, UNIT, "left")
     lists = materialise(lists.withColumn("listed", F.coalesce((F.col("left") == 0) & F.col("start").isNotNull(), F.lit(False))), "lists")
-    bounds = lists.filter("listed and end is not null").select(*UNIT, "board_ref", "start", "end")
+    bounds = lists.filter("listed and end is not null").select(*UNIT, "board_ref", "start", "end").hint("merge")
     inner = df.drop("board_ref").join(bounds, UNIT).filter((spot >= F.col("start")) & (spot < F.col("end")) & ((F.col("depth") >= level) | F.col("opens")))
     odd = inner.filter("not first and (opens or depth = %d)" % level).select(*UNIT).distinct().withColumn("odd", F.lit(True))
     inner = carried(inner.drop("start", "end"), F.col("first").cast("int"), "_seen", UNIT).withColumn("pos", F.col("_seen") + F.col("first").cast("int") - 1)
