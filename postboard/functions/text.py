@@ -99,9 +99,9 @@ def join_parts(*parts: Column) -> Column:
     return blank_to_null(F.concat_ws(", ", *[blank_to_null(p) for p in parts]))
 
 
-def join_sections(*sections: Column) -> Column:
-    """The sections that are not blank, one a line."""
-    return F.concat_ws("\n", *[blank_to_null(s) for s in sections])
+def join_sections(first: Column, *others: Column, keep_first: bool = False) -> Column:
+    """The sections that are not blank, one a line. keep_first: the first one has its line even if it is empty, but not if null."""
+    return F.concat_ws("\n", first if keep_first else blank_to_null(first), *[blank_to_null(s) for s in others])
 
 
 def headed(header: Column, body: Column) -> Column:

@@ -38,6 +38,14 @@ def test_feed_escaped_body_and_quarantine(spark):
     assert {r.board_ref for r in bad.collect()} == {"b", "c", "d", "f"}
 
 
+def test_feed_empty_sections(spark):
+    """An empty section has no line; the first has one if that is asked for, and if it is there."""
+    jobs = [{"id": i, "text": "T", "hostedUrl": "u", "description": d, "lists": [], "additional": "end"} for i, d in enumerate(("", None, "x"))]
+    for keep, want in ((False, ["end", "end", "x\nend"]), (True, ["\nend", "end", "x\nend"])):
+        good, _ = feeds.shape_b(payloads(spark, ("b", jobs)), keep_first=keep)
+        assert [r.description_html for r in good.orderBy("external_id").collect()] == want
+
+
 def test_feed_places(spark):
     jobs = [{"uuid": u, "name": "N", "url": "x", "workLocation": {"label": p}} for u, p in (("1", "A"), ("2", "B"), ("1", "C"), ("1", "A"))]
     details = [("h", {"uuid": "1", "description": {"company": "no", "role": "yes"}, "createdOn": "2026-07-01T10:00:00-07:00"}), ("h", {"uuid": "2", "description": {"role": "r"}, "workLocations": ["Z"]})]
