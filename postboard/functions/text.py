@@ -104,9 +104,9 @@ def join_sections(first: Column, *others: Column, keep_first: bool = False) -> C
     return F.concat_ws("\n", first if keep_first else blank_to_null(first), *[blank_to_null(s) for s in others])
 
 
-def headed(header: Column, body: Column) -> Column:
-    """A section under its header, if it has one; null without a body."""
-    return F.when(blank_to_null(body).isNotNull(), F.concat(F.coalesce(F.concat(F.lit("<h3>"), blank_to_null(header), F.lit("</h3>")), F.lit("")), body))
+def headed(header: Column, body: Column, keep_empty: bool = False) -> Column:
+    """A section under its header, if it has one; null without a body. keep_empty: an empty body is one, null is none."""
+    return F.when((body if keep_empty else blank_to_null(body)).isNotNull(), F.concat(F.coalesce(F.concat(F.lit("<h3>"), blank_to_null(header), F.lit("</h3>")), F.lit("")), body))
 
 
 def squeeze(c: Column) -> Column:

@@ -46,6 +46,15 @@ def test_feed_empty_sections(spark):
         assert [r.description_html for r in good.orderBy("external_id").collect()] == want
 
 
+def test_feed_empty_headed_section(spark):
+    """The header of an empty section goes with it, unless the first section is kept."""
+    texts = ("", None, "x")
+    details = [("i", {"id": str(n), "postingUrl": "u", "jobAd": {"sections": {"jobDescription": {"title": "Job", "text": t}, "qualifications": {"text": "q"}, "additionalInformation": {"title": "More", "text": ""}}}}) for n, t in enumerate(texts)]
+    for keep, want in ((False, ["q", "q", "<h3>Job</h3>x\nq"]), (True, ["<h3>Job</h3>\nq", "q", "<h3>Job</h3>x\nq"])):
+        good, _ = feeds.shape_i(payloads(spark, ("i", {"content": [{"id": str(n), "name": "N"} for n in range(3)]})), payloads(spark, *details), keep_first=keep)
+        assert [r.description_html for r in good.orderBy("external_id").collect()] == want
+
+
 def test_feed_places(spark):
     jobs = [{"uuid": u, "name": "N", "url": "x", "workLocation": {"label": p}} for u, p in (("1", "A"), ("2", "B"), ("1", "C"), ("1", "A"))]
     details = [("h", {"uuid": "1", "description": {"company": "no", "role": "yes"}, "createdOn": "2026-07-01T10:00:00-07:00"}), ("h", {"uuid": "2", "description": {"role": "r"}, "workLocations": ["Z"]})]
